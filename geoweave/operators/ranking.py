@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoweave.plans.iterate import shuffle_partitions
+from geoweave.plans.iterate import checkpoint, shuffle_partitions
 
 _LOW33 = (1 << 33) - 1
 
@@ -39,12 +39,15 @@ def global_rank(
     """
     n = num_partitions or shuffle_partitions(df.sparkSession)
     keys = _cols(order_cols)
-    ranked = (
+    # materialised once: partition ids and positions are stored as data, so the offset table
+    # and the rows can never disagree (a recomputed range partitioning may pick other bounds)
+    ranked = checkpoint(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
+    )
+    ranked = ranked.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).withColumn(
+        "_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33))
     )
     counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _partition_offsets(counts, "_n", "_off")
@@ -76,8 +79,9 @@ def grouped_exclusive_sum(
         .withColumn("_pid", F.spark_partition_id())
     )
     w_local = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum(value_col).over(w_local), F.lit(0)))
-    totals = ranged.groupBy("_pid").agg(F.sum(value_col).alias("_tot"))
+    # materialised once so that every consumer sees the same partition assignment
+    local = checkpoint(ranged.withColumn("_local", F.coalesce(F.sum(value_col).over(w_local), F.lit(0))))
+    totals = local.groupBy("_pid").agg(F.sum(value_col).alias("_tot"))
     offsets = _partition_offsets(totals, "_tot", "_off")
     glob = local.join(F.broadcast(offsets), "_pid").withColumn(
         "_g", F.col("_off") + F.col("_local")

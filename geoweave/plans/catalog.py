@@ -142,3 +142,87 @@ def q_sample_edges(spark, sf):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Smoke query: inspection table of the weighted part graph (placeholder until SSSP)."""
     return quality.inspection_table(_f1w(spark, sf_dir), 50)
+
+
+# ---- traversal -----------------------------------------------------------------------------
+
+from geoweave.operators import paths, traverse  # noqa: E402
+
+
+@register("bfs_levels")
+def q_bfs_levels(spark, sf):
+    return traverse.bfs_tree(_f1(spark, sf), 0)
+
+
+@register("bfs_level_histogram")
+def q_bfs_level_histogram(spark, sf):
+    t = traverse.bfs_tree(_f1(spark, sf), 0)
+    return t.groupBy("level").agg(F.count(F.lit(1)).alias("n_nodes"))
+
+
+@register("reachable_count")
+def q_reachable_count(spark, sf):
+    g = _f1(spark, sf)
+    src = traverse.resolve_start(g, 0).select(F.col("id").alias("source"), "id")
+    r = traverse.reachable(g, src)
+    return r.groupBy("source").agg(F.count(F.lit(1)).alias("n_reached"))
+
+
+@register("farthest_node")
+def q_farthest_node(spark, sf):
+    return traverse.farthest_node(traverse.bfs_tree(_f1(spark, sf), 0))
+
+
+@register("bfs_longest_path")
+def q_bfs_longest_path(spark, sf):
+    return traverse.bfs_longest_path(traverse.bfs_tree(_f1(spark, sf), 0))
+
+
+@register("bfs_budget")
+def q_bfs_budget(spark, sf):
+    return traverse.bfs_tree(_f1(spark, sf), 0, max_nodes=500)
+
+
+@register("sssp_distances")
+def q_sssp_distances(spark, sf):
+    g = _f1w(spark, sf)
+    src = g.nodes.filter(F.col("id") == 0).select(F.lit(0).alias("qid"), F.col("id").alias("source"))
+    st = paths.shortest_paths(g, src)
+    return st.select("id", F.round("dist", 6).alias("dist"))
+
+
+def _far_route(spark, sf):
+    g = _f1w(spark, sf)
+    fp = geo.farthest_pair(g.nodes).select(F.lit(0).alias("qid"), F.col("u").alias("source"), F.col("v").alias("sink"))
+    state = paths.shortest_paths(g, fp.select("qid", "source"), fp.select("qid", "sink"))
+    route = paths.route_paths(state, fp)
+    return fp, state, route
+
+
+@register("route_cost")
+def q_route_cost(spark, sf):
+    fp, state, route = _far_route(spark, sf)
+    s = paths.route_summary(state, fp, fp, route)
+    return s.select("source", "sink", F.round("cost", 6).alias("cost"), "hops")
+
+
+@register("route_nodes")
+def q_route_nodes(spark, sf):
+    _, _, route = _far_route(spark, sf)
+    return route.select("pos", "id")
+
+
+def _f4_tree(spark, sf):
+    g = fixtures.hierarchy_tree(spark, sf)
+    roots = g.nodes.filter(F.col("id") == 0).select("id")
+    return traverse.tree_depths(g.edges, roots)
+
+
+@register("tree_preorder")
+def q_tree_preorder(spark, sf):
+    return traverse.tree_preorder(_f4_tree(spark, sf))
+
+
+@register("dfs_deepest")
+def q_dfs_deepest(spark, sf):
+    return traverse.deepest_in_preorder(traverse.tree_preorder(_f4_tree(spark, sf)))

@@ -181,3 +181,126 @@ SQL["induced_subgraph"] = with_graphs(
 SQL["sample_edges"] = with_graphs(
     "SELECT src, dst FROM f1e ORDER BY md5('42:' || src || ':' || dst), src, dst LIMIT 1000"
 )
+
+
+# ---- traversal -----------------------------------------------------------------------------
+
+
+def bfs_cte(source: int = 0, budget: int | None = None, name: str = "bfs") -> str:
+    """Queue-order BFS with visit orders as a keyed recursive CTE (optionally budgeted)."""
+    cut = f" WHERE vo < {int(budget)}" if budget is not None else ""
+    return (
+        f"{name} AS (WITH RECURSIVE t(id, level, parent, visit_order) USING KEY (id) AS ("
+        f"SELECT {int(source)}::BIGINT, 0, NULL::BIGINT, 0::BIGINT UNION "
+        "SELECT id, level, parent, vo FROM ("
+        "SELECT c.dst AS id, c.lvl AS level, c.par AS parent, "
+        "(SELECT max(visit_order) FROM recurring.t) + row_number() OVER (ORDER BY c.po, c.dst) AS vo "
+        "FROM (SELECT e.dst, max(t.level) + 1 AS lvl, arg_min(t.id, t.visit_order) AS par, "
+        "min(t.visit_order) AS po FROM t JOIN f1e e ON e.src = t.id "
+        "WHERE e.dst NOT IN (SELECT id FROM recurring.t) GROUP BY e.dst) c)"
+        f"{cut}) SELECT * FROM t)"
+    )
+
+
+SQL["bfs_levels"] = with_graphs("SELECT id, level, parent, visit_order FROM bfs", bfs_cte(0))
+SQL["bfs_level_histogram"] = with_graphs(
+    "SELECT level, count(*) AS n_nodes FROM bfs GROUP BY level", bfs_cte(0)
+)
+SQL["reachable_count"] = with_graphs(
+    "SELECT 0::BIGINT AS source, count(*) AS n_reached FROM bfs", bfs_cte(0)
+)
+SQL["farthest_node"] = with_graphs(
+    "SELECT id, level FROM bfs ORDER BY level DESC, id LIMIT 1", bfs_cte(0)
+)
+SQL["bfs_longest_path"] = with_graphs(
+    "SELECT w.level AS pos, w.id FROM w",
+    bfs_cte(0),
+    "w AS (WITH RECURSIVE w(id, level) AS ("
+    "SELECT id, level FROM (SELECT id, level FROM bfs ORDER BY level DESC, id LIMIT 1) UNION ALL "
+    "SELECT b.parent, w.level - 1 FROM w JOIN bfs b ON b.id = w.id WHERE b.parent IS NOT NULL) "
+    "SELECT * FROM w)",
+)
+SQL["bfs_budget"] = with_graphs(
+    "SELECT id, level, parent, visit_order FROM bfs", bfs_cte(0, budget=500)
+)
+
+
+def sssp_cte(source: str, name: str = "sp") -> str:
+    """Single-source shortest distances with predecessor (strict improvement per round)."""
+    return (
+        f"{name} AS (WITH RECURSIVE d(id, dist, pred) USING KEY (id) AS ("
+        f"SELECT ({source})::BIGINT, 0.0::DOUBLE, NULL::BIGINT UNION "
+        "SELECT c.id, c.dist, c.pred FROM ("
+        "SELECT e.dst AS id, min(d.dist + e.weight) AS dist, "
+        "arg_min(d.id, (d.dist + e.weight, d.dist, d.id)) AS pred "
+        "FROM d JOIN f1w e ON e.src = d.id GROUP BY e.dst) c "
+        "LEFT JOIN recurring.d r ON r.id = c.id WHERE r.id IS NULL OR c.dist < r.dist"
+        ") SELECT * FROM d)"
+    )
+
+
+FAR_PAIR = (
+    "fp AS (SELECT least(a.id, b.id) AS u, greatest(a.id, b.id) AS v, "
+    + hav("a.lat", "a.lon", "b.lat", "b.lon")
+    + " AS dkm FROM c a JOIN c b ON a.id < b.id ORDER BY dkm DESC, u, v LIMIT 1)"
+)
+FAR_X = (
+    "x AS (SELECT first(id ORDER BY lat, id) AS i1, first(id ORDER BY lat DESC, id) AS i2, "
+    "first(id ORDER BY lon, id) AS i3, first(id ORDER BY lon DESC, id) AS i4 FROM f1n)"
+)
+FAR_C = (
+    "c AS (SELECT * FROM f1n WHERE id IN (SELECT i1 FROM x UNION SELECT i2 FROM x UNION "
+    "SELECT i3 FROM x UNION SELECT i4 FROM x))"
+)
+ROUTE_WALK = (
+    "w AS (WITH RECURSIVE w(id, step) AS (SELECT v, 0 FROM fp WHERE v IN (SELECT id FROM sp) "
+    "UNION ALL SELECT s.pred, w.step + 1 FROM w JOIN sp s ON s.id = w.id WHERE s.pred IS NOT NULL) "
+    "SELECT * FROM w)"
+)
+
+SQL["sssp_distances"] = with_graphs(
+    "SELECT id, round(dist, 6) AS dist FROM sp",
+    f"f1w AS ({F1_WEIGHTED})",
+    sssp_cte("0"),
+)
+SQL["route_cost"] = with_graphs(
+    "SELECT fp.u AS source, fp.v AS sink, round(s.dist, 6) AS cost, "
+    "(SELECT CAST(max(step) AS INTEGER) FROM w) AS hops FROM fp LEFT JOIN sp s ON s.id = fp.v",
+    f"f1w AS ({F1_WEIGHTED})",
+    FAR_X,
+    FAR_C,
+    FAR_PAIR,
+    sssp_cte("SELECT u FROM fp"),
+    ROUTE_WALK,
+)
+SQL["route_nodes"] = with_graphs(
+    "SELECT (SELECT max(step) FROM w) - step AS pos, id FROM w",
+    f"f1w AS ({F1_WEIGHTED})",
+    FAR_X,
+    FAR_C,
+    FAR_PAIR,
+    sssp_cte("SELECT u FROM fp"),
+    ROUTE_WALK,
+)
+
+F4_EDGES = (
+    "SELECT 0::BIGINT AS src, CAST(r_regionkey + 1 AS BIGINT) AS dst FROM region UNION ALL "
+    "SELECT CAST(n_regionkey + 1 AS BIGINT), CAST(n_nationkey + 100 AS BIGINT) FROM nation UNION ALL "
+    "SELECT CAST(c_nationkey + 100 AS BIGINT), CAST(c_custkey + 1000000000 AS BIGINT) FROM customer UNION ALL "
+    "SELECT CAST(s_nationkey + 100 AS BIGINT), CAST(s_suppkey + 2000000000 AS BIGINT) FROM supplier"
+)
+F4_PATHS = (
+    "tp AS (WITH RECURSIVE t(id, depth, path) AS (SELECT 0::BIGINT, 0, [0::BIGINT] UNION ALL "
+    "SELECT e.dst, t.depth + 1, list_append(t.path, e.dst) FROM t JOIN f4e e ON e.src = t.id) "
+    "SELECT * FROM t)"
+)
+SQL["tree_preorder"] = (
+    f"WITH f4e AS ({F4_EDGES}), {F4_PATHS} "
+    "SELECT id, depth, row_number() OVER (ORDER BY path) - 1 AS visit_order, "
+    "(SELECT count(*) FROM tp t2 WHERE list_contains(t2.path, tp.id)) AS subtree_size FROM tp"
+)
+SQL["dfs_deepest"] = (
+    f"WITH f4e AS ({F4_EDGES}), {F4_PATHS}, o AS (SELECT id, depth, "
+    "row_number() OVER (ORDER BY path) - 1 AS visit_order FROM tp) "
+    "SELECT id, depth, visit_order FROM o ORDER BY depth DESC, visit_order LIMIT 1"
+)
