@@ -226,3 +226,116 @@ def q_tree_preorder(spark, sf):
 @register("dfs_deepest")
 def q_dfs_deepest(spark, sf):
     return traverse.deepest_in_preorder(traverse.tree_preorder(_f4_tree(spark, sf)))
+
+
+# ---- components, forests, communities ------------------------------------------------------
+
+from geoweave.operators import community, components, forest  # noqa: E402
+
+
+def _f3(spark, sf):
+    return fixtures.sparse_graph(spark, sf)
+
+
+@register("components")
+def q_components(spark, sf):
+    g = _f3(spark, sf)
+    return components.connected_components(g.nodes, g.edges)
+
+
+@register("component_sizes")
+def q_component_sizes(spark, sf):
+    g = _f3(spark, sf)
+    return components.component_sizes(components.connected_components(g.nodes, g.edges))
+
+
+@register("spanning_forest_edges")
+def q_spanning_forest_edges(spark, sf):
+    g = _f3(spark, sf)
+    return forest.spanning_forest(g.nodes, g.edges)
+
+
+@register("spanning_forest_total")
+def q_spanning_forest_total(spark, sf):
+    g = _f3(spark, sf)
+    t = forest.forest_total(forest.spanning_forest(g.nodes, g.edges))
+    return t.select("n_edges", F.round("total_weight", 3).alias("total_weight"))
+
+
+def _lpa3(spark, sf):
+    g = _f3(spark, sf)
+    labels, _ = community.label_propagation(g.nodes, g.edges, max_iter=3)
+    return g, labels
+
+
+@register("label_propagation_3")
+def q_label_propagation_3(spark, sf):
+    return _lpa3(spark, sf)[1]
+
+
+@register("lpa_changes")
+def q_lpa_changes(spark, sf):
+    g = _f3(spark, sf)
+    _, changes = community.label_propagation(g.nodes, g.edges, max_iter=10)
+    # the per-iteration counters are driver-side scalars: one row per iteration
+    rows = [(i + 1, int(c)) for i, c in enumerate(changes)]
+    return spark.createDataFrame(rows, "iteration int, changes long")
+
+
+def _membership(labels):
+    return labels.select("id", F.col("label").alias("community"))
+
+
+@register("community_selection")
+def q_community_selection(spark, sf):
+    _, labels = _lpa3(spark, sf)
+    return community.select_communities(_membership(labels), num_random=20, seed=42)
+
+
+@register("community_internal_edges")
+def q_community_internal_edges(spark, sf):
+    g, labels = _lpa3(spark, sf)
+    return community.internal_edges(_membership(labels), g.edges)
+
+
+@register("contract_communities")
+def q_contract_communities(spark, sf):
+    g, labels = _lpa3(spark, sf)
+    cw = community.canonical_weighted(g.edges, "weight")
+    c = community.contract(_membership(labels), cw)
+    return c.select("u", "v", F.round("w", 4).alias("w"))
+
+
+@register("lpa_modularity")
+def q_lpa_modularity(spark, sf):
+    g, labels = _lpa3(spark, sf)
+    cw = community.canonical_weighted(g.edges, "weight")
+    q = community.modularity(_membership(labels), cw)
+    return q.select(F.round("modularity", 6).alias("modularity"), F.round("m", 4).alias("m"))
+
+
+@register("community_forest")
+def q_community_forest(spark, sf):
+    g, labels = _lpa3(spark, sf)
+    return forest.spanning_forest(g.nodes, g.edges, membership=_membership(labels))
+
+
+@register("sample_per_group")
+def q_sample_per_group(spark, sf):
+    _, labels = _lpa3(spark, sf)
+    s = sampling.sample_per_group(_membership(labels), "community", cap=5, seed=42)
+    return s.select("community", "id")
+
+
+@register("louvain_membership")
+def q_louvain_membership(spark, sf):
+    g = _f3(spark, sf)
+    memb, _ = community.louvain(g.nodes, g.edges, "weight")
+    return memb
+
+
+@register("louvain_modularity")
+def q_louvain_modularity(spark, sf):
+    g = _f3(spark, sf)
+    _, hist = community.louvain(g.nodes, g.edges, "weight")
+    return community.history_df(spark, hist)

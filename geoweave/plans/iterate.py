@@ -10,6 +10,7 @@ round (size of the delta), never rows.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,18 @@ from geoweave.session import ensure_checkpoint_dir
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder and return the truncated frame.
+    """Materialise ``df`` as a Parquet table under the checkpoint folder and read it back.
 
-    ``Dataset.checkpoint`` keeps the physical output partitioning, so a state that was hash
-    partitioned on ``id`` can be joined on ``id`` in the next round without a new shuffle.
+    The returned frame is a plain file scan: the lineage and the logical plan are cut completely
+    (``Dataset.checkpoint`` keeps traces of the origin plan, which grow with every self-join
+    round), the data sits on the shared, reliable folder named by ``spark.checkpoint.dir``, and
+    AQE sees the real file sizes when it chooses join strategies for the next round.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/rounds/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

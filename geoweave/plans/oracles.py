@@ -304,3 +304,125 @@ SQL["dfs_deepest"] = (
     "row_number() OVER (ORDER BY path) - 1 AS visit_order FROM tp) "
     "SELECT id, depth, visit_order FROM o ORDER BY depth DESC, visit_order LIMIT 1"
 )
+
+
+# ---- components, forests, communities (F3) -------------------------------------------------
+
+F3 = [f"f3e AS ({F3_EDGES})", "f3s AS (SELECT src, dst, weight FROM f3e UNION ALL SELECT dst, src, weight FROM f3e)"]
+CC = (
+    "cc AS (WITH RECURSIVE r(id, comp) USING KEY (id) AS (SELECT id, id FROM f1n UNION "
+    "SELECT c.id, c.comp FROM (SELECT s.src AS id, min(r.comp) AS comp FROM r JOIN f3s s ON s.dst = r.id "
+    "GROUP BY s.src) c JOIN recurring.r o ON o.id = c.id WHERE c.comp < o.comp) SELECT * FROM r)"
+)
+
+
+def minimax_cte(edge_view: str, name: str = "mm") -> str:
+    """Minimax path weight between every pair of a component (keyed recursion)."""
+    return (
+        f"{name} AS (WITH RECURSIVE m(a, b, w) USING KEY (a, b) AS (SELECT src, dst, weight FROM {edge_view} UNION "
+        f"SELECT c.a, c.b, c.w FROM (SELECT m.a, e.dst AS b, min(greatest(m.w, e.weight)) AS w FROM m "
+        f"JOIN {edge_view} e ON e.src = m.b WHERE e.dst <> m.a GROUP BY m.a, e.dst) c "
+        "LEFT JOIN recurring.m o ON o.a = c.a AND o.b = c.b WHERE o.w IS NULL OR c.w < o.w) SELECT * FROM m)"
+    )
+
+
+FOREST = (
+    "forest AS (SELECT e.src AS u, e.dst AS v, e.weight, cc.comp AS grp FROM f3e e "
+    "JOIN mm ON mm.a = e.src AND mm.b = e.dst AND mm.w = e.weight JOIN cc ON cc.id = e.src)"
+)
+
+SQL["components"] = with_graphs("SELECT id, comp AS component FROM cc", *F3, CC)
+SQL["component_sizes"] = with_graphs(
+    "SELECT comp AS component, count(*) AS size FROM cc GROUP BY comp", *F3, CC
+)
+SQL["spanning_forest_edges"] = with_graphs(
+    "SELECT u, v, weight, grp FROM forest", *F3, CC, minimax_cte("f3s"), FOREST
+)
+SQL["spanning_forest_total"] = with_graphs(
+    "SELECT count(*) AS n_edges, round(sum(weight), 3) AS total_weight FROM forest",
+    *F3,
+    CC,
+    minimax_cte("f3s"),
+    FOREST,
+)
+
+
+def lpa_ctes(k: int) -> list[str]:
+    ctes = [
+        "vs AS (SELECT src, dst FROM f3e UNION ALL SELECT dst, src FROM f3e UNION ALL SELECT id, id FROM f1n)",
+        "l0 AS (SELECT id, id AS label FROM f1n)",
+    ]
+    for i in range(1, k + 1):
+        ctes.append(
+            f"l{i} AS (SELECT id, label FROM (SELECT v.src AS id, l.label, count(*) AS n FROM vs v "
+            f"JOIN l{i - 1} l ON l.id = v.dst GROUP BY v.src, l.label) "
+            "QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, label) = 1)"
+        )
+    return ctes
+
+
+LPA3 = lpa_ctes(3)
+SQL["label_propagation_3"] = with_graphs("SELECT id, label FROM l3", *F3, *LPA3)
+_LPA10 = lpa_ctes(10)
+_CH = " UNION ALL ".join(
+    f"SELECT {i} AS iteration, count(*) FILTER (WHERE a.label <> b.label) AS changes "
+    f"FROM l{i} a JOIN l{i - 1} b ON a.id = b.id"
+    for i in range(1, 11)
+)
+SQL["lpa_changes"] = with_graphs(
+    "SELECT iteration, changes FROM ch WHERE iteration <= "
+    "coalesce((SELECT min(iteration) FROM ch WHERE changes = 0), 10)",
+    *F3,
+    *_LPA10,
+    f"ch AS ({_CH})",
+)
+_SIZES = "sz AS (SELECT label AS community, count(*) AS size FROM l3 GROUP BY label)"
+SQL["community_selection"] = with_graphs(
+    "SELECT * FROM lg UNION ALL SELECT * FROM sm UNION ALL SELECT * FROM rnd",
+    *F3,
+    *LPA3,
+    _SIZES,
+    "lg AS (SELECT community, 'largest' AS role, size FROM sz ORDER BY size DESC, community LIMIT 1)",
+    "sm AS (SELECT community, 'smallest' AS role, size FROM sz WHERE size > 1 ORDER BY size, community LIMIT 1)",
+    "rnd AS (SELECT community, 'random' AS role, size FROM sz WHERE size > 5 AND size < 3000 "
+    "AND community NOT IN (SELECT community FROM lg UNION SELECT community FROM sm) "
+    "ORDER BY md5('42:' || community), community LIMIT 20)",
+)
+SQL["community_internal_edges"] = with_graphs(
+    "SELECT a.label AS community, count(*) AS n_edges FROM f3e e JOIN l3 a ON a.id = e.src "
+    "JOIN l3 b ON b.id = e.dst WHERE a.label = b.label GROUP BY a.label",
+    *F3,
+    *LPA3,
+)
+SQL["contract_communities"] = with_graphs(
+    "SELECT least(a.label, b.label) AS u, greatest(a.label, b.label) AS v, round(sum(e.weight), 4) AS w "
+    "FROM f3e e JOIN l3 a ON a.id = e.src JOIN l3 b ON b.id = e.dst GROUP BY 1, 2",
+    *F3,
+    *LPA3,
+)
+SQL["lpa_modularity"] = with_graphs(
+    "SELECT round(sum(in_c) / (SELECT sum(weight) FROM f3e) - sum(tot_c * tot_c) / "
+    "(4 * pow((SELECT sum(weight) FROM f3e), 2)), 6) AS modularity, "
+    "round((SELECT sum(weight) FROM f3e), 4) AS m FROM ("
+    "SELECT c, sum(inw) AS in_c, sum(tw) AS tot_c FROM ("
+    "SELECT a.label AS c, CASE WHEN a.label = b.label THEN e.weight ELSE 0 END AS inw, e.weight AS tw "
+    "FROM f3e e JOIN l3 a ON a.id = e.src JOIN l3 b ON b.id = e.dst UNION ALL "
+    "SELECT b.label, 0, e.weight FROM f3e e JOIN l3 a ON a.id = e.src JOIN l3 b ON b.id = e.dst) GROUP BY c)",
+    *F3,
+    *LPA3,
+)
+SQL["community_forest"] = with_graphs(
+    "SELECT e.src AS u, e.dst AS v, e.weight, a.label AS grp FROM f3c e "
+    "JOIN mmc ON mmc.a = e.src AND mmc.b = e.dst AND mmc.w = e.weight JOIN l3 a ON a.id = e.src",
+    *F3,
+    *LPA3,
+    "f3c AS (SELECT e.* FROM f3e e JOIN l3 a ON a.id = e.src JOIN l3 b ON b.id = e.dst WHERE a.label = b.label)",
+    "f3cs AS (SELECT src, dst, weight FROM f3c UNION ALL SELECT dst, src, weight FROM f3c)",
+    minimax_cte("f3cs", "mmc"),
+)
+SQL["sample_per_group"] = with_graphs(
+    "SELECT label AS community, id FROM l3 QUALIFY row_number() OVER "
+    "(PARTITION BY label ORDER BY md5('42:' || id), id) <= 5",
+    *F3,
+    *LPA3,
+)
