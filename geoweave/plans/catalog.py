@@ -339,3 +339,87 @@ def q_louvain_modularity(spark, sf):
     g = _f3(spark, sf)
     _, hist = community.louvain(g.nodes, g.edges, "weight")
     return community.history_df(spark, hist)
+
+
+# ---- DFS path layers, colours, exports, feature tables -------------------------------------
+
+from geoweave.operators import features  # noqa: E402
+
+
+def _dfs_path(spark, sf):
+    order = traverse.tree_preorder(_f4_tree(spark, sf))
+    return order, order.select(F.col("visit_order").alias("pos"), "id")
+
+
+@register("path_downsample")
+def q_path_downsample(spark, sf):
+    _, path = _dfs_path(spark, sf)
+    return sampling.stride_downsample(path, 50)
+
+
+@register("segment_colors")
+def q_segment_colors(spark, sf):
+    _, path = _dfs_path(spark, sf)
+    seg = features.path_segments(sampling.stride_downsample(path, 50))
+    return seg.select("seg", "from_id", "to_id", "color")
+
+
+@register("path_layers")
+def q_path_layers(spark, sf):
+    _, path = _dfs_path(spark, sf)
+    return features.path_layers(features.path_segments(sampling.stride_downsample(path, 50)), 10)
+
+
+@register("dense_ids")
+def q_dense_ids(spark, sf):
+    return structure.dense_ids(sampling.sample_nodes(_f1(spark, sf).nodes, 500, seed=42))
+
+
+def _export(spark, sf):
+    g1 = _f1(spark, sf)
+    g3 = _f3(spark, sf)
+    fst = forest.spanning_forest(g3.nodes, g3.edges)
+    fe = sampling.sample_rows(fst.select("u", "v"), 75_000, 42, ("u", "v"))
+    ends = fe.select(F.col("u").alias("id")).unionByName(fe.select(F.col("v").alias("id"))).distinct()
+    mapping = structure.dense_ids(ends, start=0)
+    deg = structure.total_degree(g1)
+    return g1, fe, mapping, deg
+
+
+@register("export_nodes")
+def q_export_nodes(spark, sf):
+    g1, _, mapping, deg = _export(spark, sf)
+    return mapping.join(g1.nodes, "id").join(deg, "id", "left").select(
+        F.col("new_id").alias("node_id"), "lat", "lon", F.coalesce("degree", F.lit(0)).cast("long").alias("degree_original")
+    )
+
+
+@register("export_edges")
+def q_export_edges(spark, sf):
+    _, fe, mapping, _ = _export(spark, sf)
+    e = structure.remap_edges(fe.select(F.col("u").alias("src"), F.col("v").alias("dst")), mapping)
+    return e.select(F.col("src").alias("source"), F.col("dst").alias("destination"))
+
+
+@register("bfs_features")
+def q_bfs_features(spark, sf):
+    g = _f1(spark, sf)
+    tree = traverse.bfs_tree(g, 0, max_nodes=500)
+    return features.bfs_features(g.nodes, tree, traverse.bfs_longest_path(tree))
+
+
+@register("dfs_features")
+def q_dfs_features(spark, sf):
+    g = fixtures.hierarchy_tree(spark, sf)
+    order, path = _dfs_path(spark, sf)
+    deep = traverse.deepest_in_preorder(order).first()["id"]
+    last = order.agg(F.max_by("id", "visit_order")).first()[0]
+    return features.dfs_features(g.nodes, sampling.stride_downsample(path, 50), deep, last)
+
+
+@register("community_features")
+def q_community_features(spark, sf):
+    g, labels = _lpa3(spark, sf)
+    memb = _membership(labels)
+    sel = community.select_communities(memb, num_random=20, seed=42)
+    return features.community_features(g.nodes, g.edges, memb, sel)

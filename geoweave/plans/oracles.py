@@ -426,3 +426,83 @@ SQL["sample_per_group"] = with_graphs(
     *F3,
     *LPA3,
 )
+
+
+# ---- DFS path layers, colours, exports -----------------------------------------------------
+
+from geoweave.functions.colors import GRADIENT_LIGHTNESS as _L, GRADIENT_SATURATION as _S  # noqa: E402
+
+_M2 = _L * (1.0 + _S) if _L <= 0.5 else _L + _S - _L * _S
+_M1 = 2.0 * _L - _M2
+
+
+def _dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def _hls_chan(h: str) -> str:
+    hh = f"(({h}) - floor({h}))"
+    m1, m2, d = _dbl(_M1), _dbl(_M2), _dbl(_M2 - _M1)
+    return (
+        f"(CASE WHEN {hh} < 1.0 / 6.0 THEN {m1} + {d} * {hh} * 6.0 WHEN {hh} < 0.5 THEN {m2} "
+        f"WHEN {hh} < 2.0 / 3.0 THEN {m1} + {d} * (2.0 / 3.0 - {hh}) * 6.0 ELSE {m1} END)"
+    )
+
+
+def gradient_sql(step: str, k: str) -> str:
+    hue = f"(240.0 / 360.0 * (1.0 - CAST({step} AS DOUBLE) / CAST({k} - 1 AS DOUBLE)))"
+    r = _hls_chan(f"{hue} + 1.0 / 3.0")
+    g = _hls_chan(hue)
+    b = _hls_chan(f"{hue} - 1.0 / 3.0")
+    return (
+        f"(CASE WHEN {k} <= 1 THEN '#FF0000' ELSE printf('#%02x%02x%02x', "
+        f"CAST(floor({r} * 255) AS INTEGER), CAST(floor({g} * 255) AS INTEGER), "
+        f"CAST(floor({b} * 255) AS INTEGER)) END)"
+    )
+
+
+_F4_ORDER = [
+    f"f4e AS ({F4_EDGES})",
+    F4_PATHS,
+    "o AS (SELECT id, depth, row_number() OVER (ORDER BY path) - 1 AS visit_order FROM tp)",
+    "ds AS (SELECT visit_order AS pos, id FROM o, (SELECT count(*) AS n FROM o) c "
+    "WHERE c.n <= 50 OR visit_order % (c.n // 50) = 0 OR visit_order = c.n - 1)",
+    "st AS (SELECT id, row_number() OVER (ORDER BY pos) - 1 AS step, count(*) OVER () AS k FROM ds)",
+    "seg AS (SELECT * FROM (SELECT step AS seg, id AS from_id, lead(id) OVER (ORDER BY step) AS to_id, k FROM st) "
+    "WHERE to_id IS NOT NULL)",
+]
+SQL["path_downsample"] = "WITH " + ", ".join(_F4_ORDER) + " SELECT pos, id FROM ds"
+SQL["segment_colors"] = (
+    "WITH " + ", ".join(_F4_ORDER) + f" SELECT seg, from_id, to_id, {gradient_sql('seg', 'k')} AS color FROM seg"
+)
+SQL["path_layers"] = (
+    "WITH "
+    + ", ".join(_F4_ORDER)
+    + " SELECT seg // greatest(1, (k - 1) // 10) AS layer, min(seg) + 1 AS start_step, max(seg) + 1 AS end_step, "
+    "arg_min(from_id, seg) AS start_id, arg_max(to_id, seg) AS end_id, count(*) AS n_segments "
+    "FROM seg GROUP BY 1"
+)
+
+SQL["dense_ids"] = with_graphs(
+    "SELECT id, row_number() OVER (ORDER BY id) - 1 AS new_id FROM s",
+    "s AS (SELECT id FROM f1n ORDER BY md5('42:' || id), id LIMIT 500)",
+)
+_EXPORT = [
+    *F3,
+    CC,
+    minimax_cte("f3s"),
+    FOREST,
+    "fe AS (SELECT u, v FROM forest ORDER BY md5('42:' || u || ':' || v), u, v LIMIT 75000)",
+    "ends AS (SELECT u AS id FROM fe UNION SELECT v FROM fe)",
+    "mp AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS new_id FROM ends)",
+    "deg AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM f1e UNION ALL SELECT dst FROM f1e) GROUP BY id)",
+]
+SQL["export_nodes"] = with_graphs(
+    "SELECT mp.new_id AS node_id, n.lat, n.lon, coalesce(deg.degree, 0) AS degree_original "
+    "FROM mp JOIN f1n n ON n.id = mp.id LEFT JOIN deg ON deg.id = mp.id",
+    *_EXPORT,
+)
+SQL["export_edges"] = with_graphs(
+    "SELECT a.new_id AS source, b.new_id AS destination FROM fe JOIN mp a ON a.id = fe.u JOIN mp b ON b.id = fe.v",
+    *_EXPORT,
+)
