@@ -140,8 +140,14 @@ def q_sample_edges(spark, sf):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Smoke query: inspection table of the weighted part graph (placeholder until SSSP)."""
-    return quality.inspection_table(_f1w(spark, sf_dir), 50)
+    """Smoke query: great-circle shortest distances from node 0 over the haversine-weighted part
+    graph (frontier relaxation), with each node's out-degree: ``(id, dist, out_degree)``."""
+    g = _f1w(spark, sf_dir)
+    src = g.nodes.filter(F.col("id") == 0).select(F.lit(0).alias("qid"), F.col("id").alias("source"))
+    from geoweave.operators import paths as _paths
+
+    st = _paths.shortest_paths(g, src).select("id", F.round("dist", 6).alias("dist"))
+    return structure.out_degree(_f1(spark, sf_dir)).join(st, "id", "left").select("id", "dist", "out_degree")
 
 
 # ---- traversal -----------------------------------------------------------------------------
@@ -423,3 +429,26 @@ def q_community_features(spark, sf):
     memb = _membership(labels)
     sel = community.select_communities(memb, num_random=20, seed=42)
     return features.community_features(g.nodes, g.edges, memb, sel)
+
+
+# ---- random route batch ----------------------------------------------------------------------
+
+
+def _random_routes(spark, sf):
+    g = _f1w(spark, sf)
+    return g, paths.random_routes(g, n_pairs=100, max_attempts=50, seed=7)
+
+
+@register("route_batch")
+def q_route_batch(spark, sf):
+    _, rnd = _random_routes(spark, sf)
+    return rnd.select("slot", "attempt", "u", "v", F.round("cost", 6).alias("cost"))
+
+
+@register("route_batch_stats")
+def q_route_batch_stats(spark, sf):
+    _, rnd = _random_routes(spark, sf)
+    s = paths.route_stats(rnd)
+    return s.select(
+        "n_routes", F.round("min_km", 6).alias("min_km"), F.round("max_km", 6).alias("max_km"), F.round("avg_km", 4).alias("avg_km")
+    )

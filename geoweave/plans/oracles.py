@@ -506,3 +506,39 @@ SQL["export_edges"] = with_graphs(
     "SELECT a.new_id AS source, b.new_id AS destination FROM fe JOIN mp a ON a.id = fe.u JOIN mp b ON b.id = fe.v",
     *_EXPORT,
 )
+
+
+# ---- random route batch ------------------------------------------------------------------------
+
+
+def _h(expr: str) -> str:
+    return f"CAST(('0x' || substr(md5({expr}), 1, 8)) AS BIGINT)"
+
+
+_ATT = [
+    f"f1w AS ({F1_WEIGHTED})",
+    "nn AS (SELECT count(*) AS n FROM f1n)",
+    "dn AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS k FROM f1n)",
+    "grid AS (SELECT s AS slot, a AS attempt FROM range(100) r1(s), range(2) r2(a))",
+    "draw AS (SELECT slot, attempt, "
+    + _h("'7:' || slot || ':' || attempt || ':u'")
+    + " % (SELECT n FROM nn) AS ku, "
+    + _h("'7:' || slot || ':' || attempt || ':v'")
+    + " % (SELECT n FROM nn) AS kv FROM grid)",
+    "att AS (SELECT slot, attempt, a.id AS u, b.id AS v FROM draw JOIN dn a ON a.k = draw.ku "
+    "JOIN dn b ON b.k = draw.kv WHERE a.id <> b.id)",
+    "msp AS (WITH RECURSIVE d(q, id, dist) USING KEY (q, id) AS ("
+    "SELECT slot * 100 + attempt, u, 0.0::DOUBLE FROM att UNION "
+    "SELECT c.q, c.id, c.dist FROM (SELECT d.q, e.dst AS id, min(d.dist + e.weight) AS dist FROM d "
+    "JOIN f1w e ON e.src = d.id GROUP BY d.q, e.dst) c LEFT JOIN recurring.d r ON r.q = c.q AND r.id = c.id "
+    "WHERE r.id IS NULL OR c.dist < r.dist) SELECT * FROM d)",
+    "ok AS (SELECT att.*, msp.dist AS cost FROM att JOIN msp ON msp.q = att.slot * 100 + att.attempt "
+    "AND msp.id = att.v WHERE msp.dist > 0)",
+    "rb AS (SELECT * FROM ok QUALIFY row_number() OVER (PARTITION BY slot ORDER BY attempt) = 1)",
+]
+SQL["route_batch"] = with_graphs("SELECT slot, attempt, u, v, round(cost, 6) AS cost FROM rb", *_ATT)
+SQL["route_batch_stats"] = with_graphs(
+    "SELECT count(*) AS n_routes, round(min(cost), 6) AS min_km, round(max(cost), 6) AS max_km, "
+    "round(avg(cost), 4) AS avg_km FROM rb",
+    *_ATT,
+)
