@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+The reference workload is one-shot batch analytics: it has no streaming source, watermark,
+windowed or stateful operator. Nothing is built here; the batch operators accept any DataFrame,
+so a ``foreachBatch`` sink can call them on micro-batches if ever needed.
+"""
