@@ -90,7 +90,7 @@ def node_strength(nodes: DataFrame, cw: DataFrame) -> DataFrame:
     return nodes.select("id").join(k, "id", "left").select("id", F.coalesce("k", F.lit(0.0)).alias("k"))
 
 
-def modularity(membership: DataFrame, cw: DataFrame) -> DataFrame:
+def modularity(membership: DataFrame, cw: DataFrame, moved_col: str | None = None) -> DataFrame:
     """One row ``(modularity, m)`` with ``Q = Σ_c in_c/m − (tot_c/2m)²``.
 
     ``membership(id, community)``, ``cw(u, v, w)`` canonical. ``m = 0`` gives ``Q = 0``.
@@ -105,13 +105,20 @@ def modularity(membership: DataFrame, cw: DataFrame) -> DataFrame:
     )
     per = parts.groupBy("c").agg(F.sum("inw").alias("in_c"), F.sum("tw").alias("tot_c"))
     # one aggregate over per-community terms and edge weights together (no join needed)
-    sums = per.select(F.col("in_c").alias("a"), F.pow("tot_c", 2).alias("b"), F.lit(0.0).alias("w")).unionByName(
-        cw.select(F.lit(0.0).alias("a"), F.lit(0.0).alias("b"), F.col("w"))
-    ).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("w").alias("m"))
+    z = F.lit(0.0)
+    parts_sum = per.select(F.col("in_c").alias("a"), F.pow("tot_c", 2).alias("b"), z.alias("w"), z.alias("mv")).unionByName(
+        cw.select(z.alias("a"), z.alias("b"), F.col("w"), z.alias("mv"))
+    )
+    if moved_col is not None:  # count moved nodes in the same job
+        parts_sum = parts_sum.unionByName(
+            membership.select(z.alias("a"), z.alias("b"), z.alias("w"), F.col(moved_col).cast("double").alias("mv"))
+        )
+    sums = parts_sum.agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("w").alias("m"), F.sum("mv").alias("mv"))
     mm = F.nullif(F.col("m"), F.lit(0.0))
     q = sums.select(
         F.coalesce(F.col("a") / mm - F.col("b") / (4 * mm * mm), F.lit(0.0)).alias("modularity"),
         F.coalesce(F.col("m"), F.lit(0.0)).alias("m"),
+        F.coalesce(F.col("mv"), F.lit(0.0)).cast("long").alias("moved"),
     )
     return q
 
@@ -164,8 +171,12 @@ def select_communities(
 # ---- Louvain ---------------------------------------------------------------------------------
 
 
-def _louvain_sweep(memb: DataFrame, cw: DataFrame, k: DataFrame, m: float, sweep: int, seed: int) -> DataFrame:
-    """One synchronous local-moving sweep: returns ``(id, community, moved)``."""
+def _louvain_sweep(
+    memb: DataFrame, cw: DataFrame, k: DataFrame, m: float, sweep: int, seed: int, parity: int | None = None
+) -> DataFrame:
+    """One synchronous local-moving sweep: returns ``(id, community, moved)``.
+
+    With ``parity`` only nodes whose hash bit equals it may move (damping)."""
     links_e = cw.filter(F.col("u") != F.col("v"))
     sym = links_e.select(F.col("u").alias("i"), F.col("v").alias("j"), "w").unionByName(
         links_e.select(F.col("v").alias("i"), F.col("u").alias("j"), "w")
@@ -192,8 +203,8 @@ def _louvain_sweep(memb: DataFrame, cw: DataFrame, k: DataFrame, m: float, sweep
         F.max(F.struct(gain.alias("g"), (-F.col("cj")).alias("nc"))).alias("b")
     )  # A13
     stay = F.coalesce(F.col("l_own"), F.lit(0.0)) / F.lit(m) - (F.col("tot_own") - F.col("k")) * F.col("k") / F.lit(two_m2)
-    # sweep damping: only nodes whose hash bit matches the sweep parity may move
-    turn = md5_bit(seed, F.lit(sweep), F.col("i")) == F.lit(sweep % 2)
+    # damping: only nodes whose hash bit matches the parity may move
+    turn = F.lit(True) if parity is None else md5_bit(seed, F.lit(sweep), F.col("i")) == F.lit(parity)
     dec = node.join(own, "i", "left").join(best, "i", "left").select(
         F.col("i").alias("id"),
         F.col("ci"),
@@ -211,53 +222,59 @@ def louvain(
     weight_col: str | None = "weight",
     max_passes: int = 10,
     max_sweeps: int = 20,
+    tol: float = 1e-4,
     seed: int = 42,
     rounds: RoundLog | None = None,
 ) -> tuple[DataFrame, list[dict]]:
     """``membership(id, community)`` and per-pass ``{pass, modularity, communities}``.
 
-    Passes of local moving (G8) and contraction (G9) until a pass moves nobody or no edge is
-    left. Community labels are original node ids.
+    Passes of local moving (G8) and contraction (G9) until a pass improves modularity by less
+    than ``tol`` or no edge is left. A pass ends when a sweep (and the following sweep of the
+    other parity) gains less than ``tol``. Community labels are original node ids.
     """
     cw = checkpoint(canonical_weighted(edges, weight_col))
     level_nodes = checkpoint(nodes.select("id"))
     assign = checkpoint(nodes.select("id", F.col("id").alias("community")))  # original → current
     history: list[dict] = []
+    q_prev_pass = None
+    sweep_no = 0
     for p in range(max_passes):
-        m_row = cw.agg(F.sum("w").alias("m")).first()
-        m = float(m_row["m"] or 0.0)
+        k = checkpoint(node_strength(level_nodes, cw))
+        memb = level_nodes.select("id", F.col("id").alias("community"))
+        q0 = modularity(memb, cw).first()
+        m = float(q0["m"])
         if m <= 0.0:
             break
-        k = checkpoint(node_strength(level_nodes, cw))
-        memb = checkpoint(level_nodes.select("id", F.col("id").alias("community")))
-        q = modularity(memb, cw).first()["modularity"]
-        moved_any = False
-        for s in range(max_sweeps):
-            nxt = checkpoint(_louvain_sweep(memb, cw, k, m, p * max_sweeps + s, seed))
-            n_moved = nxt.filter("moved").count()
-            if n_moved == 0:
-                # the other parity may still have moves; stop after two idle sweeps
-                nxt2 = checkpoint(_louvain_sweep(memb, cw, k, m, p * max_sweeps + s + 1, seed)) if s + 1 < max_sweeps else None
-                if nxt2 is None or nxt2.filter("moved").count() == 0:
-                    break
-                nxt = nxt2
-            q_new = modularity(nxt.select("id", "community"), cw).first()["modularity"]
+        q = q0["modularity"]
+        q_start = q
+        idle = 0
+        for _ in range(max_sweeps):
+            # synchronous sweep over the half of the nodes whose hash bit matches the parity
+            nxt = checkpoint(_louvain_sweep(memb, cw, k, m, sweep_no, seed, sweep_no % 2))
+            sweep_no += 1
+            r = modularity(nxt, cw, "moved").first()
             if rounds is not None:
-                rounds.record(louvain_pass=p + 1, sweep=s + 1, moved=n_moved, modularity=q_new)
-            if q_new <= q + EPS:
+                rounds.record(louvain_pass=p + 1, sweep=sweep_no, moved=r["moved"], modularity=r["modularity"])
+            if r["moved"] > 0 and r["modularity"] > q + EPS:
+                gained = r["modularity"] - q
+                memb = nxt.select("id", "community")
+                q = r["modularity"]
+                idle = 0 if gained >= tol else idle + 1
+            else:
+                idle += 1
+            if idle >= 2:  # both parities had their turn without a worthwhile gain
                 break
-            memb = nxt.select("id", "community")
-            q = q_new
-            moved_any = True
-        n_comm = memb.select("community").distinct().count()
+        if q > q_start:  # fold this pass's moves into the original-node membership
+            assign = checkpoint(
+                assign.join(memb.select(F.col("id").alias("community"), F.col("community").alias("_nc")), "community").select(
+                    "id", F.col("_nc").alias("community")
+                )
+            )
+        n_comm = assign.select("community").distinct().count()
         history.append({"pass": p + 1, "modularity": q, "communities": n_comm})
-        if not moved_any:
+        if q - q_start < tol or (q_prev_pass is not None and q - q_prev_pass < tol):
             break
-        assign = checkpoint(
-            assign.join(memb.select(F.col("id").alias("community"), F.col("community").alias("_nc")), "community").select(
-                "id", F.col("_nc").alias("community")
-            )
-        )
+        q_prev_pass = q
         cw = checkpoint(contract(memb, cw))
         level_nodes = checkpoint(memb.select(F.col("community").alias("id")).distinct())
     return assign, history
@@ -266,3 +283,23 @@ def louvain(
 def history_df(spark: SparkSession, history: list[dict]) -> DataFrame:
     rows = [(h["pass"], float(h["modularity"]), int(h["communities"])) for h in history]
     return spark.createDataFrame(rows, "pass int, modularity double, communities long")
+
+
+def members_of(membership: DataFrame, selection: DataFrame) -> DataFrame:
+    """Members of the selected communities in long form ``(community, id)``.
+
+    The reference keeps a Python list per community; one community can hold most of the graph,
+    so the members stay as rows (a semi-join), never one array per community.
+    """
+    return membership.join(selection.select("community").distinct(), "community", "left_semi")
+
+
+def valid_start_nodes(membership: DataFrame, nodes: DataFrame, degree: DataFrame) -> DataFrame:
+    """Per community the smallest member with coordinates and degree > 0 ``(community, id)``;
+    communities without such a member have no row (they are skipped)."""
+    from geoweave.functions.geo import coord_present
+
+    ok = nodes.filter(coord_present("lat", "lon")).select("id").join(
+        degree.filter(F.col("degree") > 0).select("id"), "id", "left_semi"
+    )
+    return membership.join(ok, "id", "left_semi").groupBy("community").agg(F.min("id").alias("id"))

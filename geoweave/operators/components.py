@@ -61,9 +61,10 @@ def connected_components(
     """
     cur = checkpoint(_canon(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))))
     for _ in range(max_rounds):
-        ls = checkpoint(_large_star(cur))
-        nxt = checkpoint(_small_star(ls))
-        changed = nxt.join(cur, ["a", "b"], "left_anti").count() + cur.join(nxt, ["a", "b"], "left_anti").count()
+        nxt = checkpoint(_small_star(_large_star(cur)))
+        # edges in exactly one of the two sets, counted in one job
+        diff = nxt.withColumn("_n", F.lit(1)).join(cur.withColumn("_o", F.lit(1)), ["a", "b"], "full_outer")
+        changed = diff.filter(F.col("_n").isNull() | F.col("_o").isNull()).count()
         if rounds is not None:
             rounds.record(changed_edges=changed)
         cur = nxt

@@ -46,7 +46,13 @@ def shortest_paths(
 
     ``sources``: ``(qid, source)``. ``sinks``: optional ``(qid, sink)`` enabling the bound
     ``dist ≤ dist(sink)``; without sinks distances to all reachable nodes are exact.
+
+    One reliable write per round: the state carries ``upd``, the round in which a node's
+    distance last dropped, and the next frontier is read back from the written state, so the
+    lineage never spans more than one round. One small aggregate per round returns, per query,
+    the number of dropped distances and the sink's current distance (≤ #queries rows).
     """
+    spark = g.nodes.sparkSession
     edges = checkpoint(usable_edges(g))
     state = checkpoint(
         sources.select(
@@ -55,13 +61,19 @@ def shortest_paths(
             F.lit(0.0).alias("dist"),
             F.lit(-1.0).alias("pdist"),
             F.lit(None).cast("long").alias("pred"),
+            F.lit(0).alias("upd"),
         )
     )
-    frontier = state
-    sink_tab = sinks.select("qid", F.col("sink").cast("long").alias("id")) if sinks is not None else None
+    sink_rows = None
+    if sinks is not None:
+        # one row per query (the caller's batch size, not the data size)
+        sink_rows = [(int(x[0]), int(x[1])) for x in sinks.select("qid", "sink").collect() if x[1] is not None]
+    sink_tab = spark.createDataFrame(sink_rows, "qid long, _sink long") if sink_rows else None
+    bounds = None
     r = 0
     while max_rounds is None or r < max_rounds:
         r += 1
+        frontier = state.filter(F.col("upd") == r - 1)
         cand = frontier.join(edges, frontier.id == edges.src).select(
             "qid",
             edges.dst.alias("id"),
@@ -69,15 +81,15 @@ def shortest_paths(
             frontier.dist.alias("pdist"),
             edges.src.alias("pred"),
         )
-        if sink_tab is not None:
-            # one row per query: the current distance at its sink (a bounded broadcast)
-            bound = state.join(sink_tab, ["qid", "id"]).select("qid", F.col("dist").alias("_bound"))
-            cand = cand.join(F.broadcast(bound), "qid", "left").filter(
+        if bounds:
+            # one row per query with a reached sink: a small local relation
+            btab = spark.createDataFrame(bounds, "qid long, _bound double")
+            cand = cand.join(F.broadcast(btab), "qid", "left").filter(
                 F.col("_bound").isNull() | (F.col("dist") <= F.col("_bound"))
             ).drop("_bound")
         best = cand.groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("c"))
-        old = state.select("qid", "id", F.struct(*BEST).alias("o"))
-        improved = checkpoint(
+        old = state.select("qid", "id", F.struct(*BEST).alias("o"), F.col("upd").alias("_oupd"))
+        improved = (
             best.join(old, ["qid", "id"], "left")
             .filter(F.col("o").isNull() | (F.col("c") < F.col("o")))
             .select(
@@ -86,20 +98,36 @@ def shortest_paths(
                 "c.dist",
                 "c.pdist",
                 "c.pred",
-                (F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist"))).alias("_dropped"),
+                F.when(F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist")), F.lit(r))
+                .otherwise(F.col("_oupd"))
+                .alias("upd"),
             )
         )
-        n_imp = improved.count()
-        if rounds is not None:
-            rounds.record(improved=n_imp)
-        if n_imp == 0:
-            break
         state = checkpoint(
-            state.join(improved.select("qid", "id"), ["qid", "id"], "left_anti").unionByName(
-                improved.drop("_dropped")
-            )
+            state.join(improved.select("qid", "id"), ["qid", "id"], "left_anti").unionByName(improved)
         )
-        frontier = improved.filter("_dropped").drop("_dropped")
+        dropped = F.count_if(F.col("upd") == r).alias("n")
+        if sink_rows is not None and len(sink_rows) == 1:
+            qid0, sink0 = sink_rows[0]
+            row = state.agg(
+                dropped, F.min(F.when(F.col("id") == F.lit(sink0), F.col("dist"))).alias("b")
+            ).first()
+            per_q = [{"qid": qid0, "n": row["n"], "b": row["b"]}]
+        elif sink_tab is not None:
+            per_q = (
+                state.join(F.broadcast(sink_tab), "qid")
+                .groupBy("qid")
+                .agg(dropped, F.min(F.when(F.col("id") == F.col("_sink"), F.col("dist"))).alias("b"))
+                .collect()
+            )
+        else:
+            per_q = state.agg(dropped, F.lit(None).cast("double").alias("b")).collect()
+        n_new = sum(int(x["n"]) for x in per_q)
+        bounds = [(int(x["qid"]), float(x["b"])) for x in per_q if sink_tab is not None and x["b"] is not None]
+        if rounds is not None:
+            rounds.record(improved=n_new)
+        if n_new == 0:
+            break
     return state.select("qid", "id", "dist", "pred")
 
 

@@ -30,17 +30,14 @@ def _partition_offsets(counts: DataFrame, value: str, out: str) -> DataFrame:
     return counts.select("_pid", F.coalesce(F.sum(value).over(w), F.lit(0)).alias(out))
 
 
-def global_rank(
+def global_rank_counted(
     df: DataFrame, order_cols, rank_col: str = "rank", start: int = 1, num_partitions: int | None = None
-) -> DataFrame:
-    """Add ``rank_col`` = ``start`` + position of the row in ``order_cols`` order.
-
-    ``order_cols`` must be a total order (end with a unique column) for a deterministic result.
-    """
+) -> tuple[DataFrame, int]:
+    """``global_rank`` plus the number of rows (read from the per-partition count table)."""
     n = num_partitions or shuffle_partitions(df.sparkSession)
     keys = _cols(order_cols)
-    # materialised once: partition ids and positions are stored as data, so the offset table
-    # and the rows can never disagree (a recomputed range partitioning may pick other bounds)
+    # materialised once: partition ids and positions are stored as data, so the offsets and
+    # the rows can never disagree (a recomputed range partitioning may pick other bounds)
     ranked = checkpoint(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
@@ -49,13 +46,30 @@ def global_rank(
     ranked = ranked.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).withColumn(
         "_pos", F.col("_mid").bitwiseAND(F.lit(_LOW33))
     )
-    counts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = _partition_offsets(counts, "_n", "_off")
-    # offsets has one row per partition: a broadcast of bounded size
+    # one row per partition: a bounded collect; offsets come back as a small local relation
+    counts = sorted(
+        (r["_pid"], r["_n"]) for r in ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()
+    )
+    rows, acc = [], 0
+    for pid, cnt in counts:
+        rows.append((int(pid), acc))
+        acc += int(cnt)
+    spark = df.sparkSession
+    offsets = spark.createDataFrame(rows or [(0, 0)], "_pid long, _off long")
     out = ranked.join(F.broadcast(offsets), "_pid").withColumn(
         rank_col, F.col("_off") + F.col("_pos") + F.lit(start)
     )
-    return out.drop("_mid", "_pid", "_pos", "_off")
+    return out.drop("_mid", "_pid", "_pos", "_off"), acc
+
+
+def global_rank(
+    df: DataFrame, order_cols, rank_col: str = "rank", start: int = 1, num_partitions: int | None = None
+) -> DataFrame:
+    """Add ``rank_col`` = ``start`` + position of the row in ``order_cols`` order.
+
+    ``order_cols`` must be a total order (end with a unique column) for a deterministic result.
+    """
+    return global_rank_counted(df, order_cols, rank_col, start, num_partitions)[0]
 
 
 def grouped_exclusive_sum(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.model import Graph
-from geoweave.operators.ranking import global_rank, grouped_exclusive_sum
+from geoweave.operators.ranking import global_rank_counted, grouped_exclusive_sum
 from geoweave.plans.iterate import RoundLog, checkpoint
 
 log = logging.getLogger(__name__)
@@ -70,13 +70,12 @@ def bfs_tree(
         new = cand.join(visited, cand.dst == visited.id, "left_anti").select(
             F.col("dst").alias("id"), F.col("b.p").alias("parent"), F.col("b.o").alias("_po")
         )
-        ranked = global_rank(new, ["_po", "id"], rank_col="visit_order", start=total)
+        ranked, n_new = global_rank_counted(new, ["_po", "id"], rank_col="visit_order", start=total)
         if max_nodes is not None:
             ranked = ranked.filter(F.col("visit_order") < F.lit(max_nodes))
-        nxt = checkpoint(
-            ranked.select("id", F.lit(level + 1).alias("level"), "parent", "visit_order")
-        )
-        n_new = nxt.count()
+            n_new = min(n_new, max_nodes - total)
+        # the ranked rows are already on reliable storage; this frame only adds columns
+        nxt = ranked.select("id", F.lit(level + 1).alias("level"), "parent", "visit_order")
         if rounds is not None:
             rounds.record(level=level + 1, new_nodes=n_new)
         if n_new == 0:

@@ -395,7 +395,7 @@ SQL["community_internal_edges"] = with_graphs(
     *LPA3,
 )
 SQL["contract_communities"] = with_graphs(
-    "SELECT least(a.label, b.label) AS u, greatest(a.label, b.label) AS v, round(sum(e.weight), 4) AS w "
+    "SELECT least(a.label, b.label) AS u, greatest(a.label, b.label) AS v, round(sum(e.weight), 6) AS w "
     "FROM f3e e JOIN l3 a ON a.id = e.src JOIN l3 b ON b.id = e.dst GROUP BY 1, 2",
     *F3,
     *LPA3,

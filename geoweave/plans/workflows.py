@@ -95,3 +95,15 @@ def bfs_report(g: Graph, start: int, max_nodes: int = 5000) -> dict[str, DataFra
     tree = traverse.bfs_tree(g, start, max_nodes)
     lp = traverse.bfs_longest_path(tree)
     return {"tree": tree, "longest_path": lp, "features": features.bfs_features(g.nodes, tree, lp)}
+
+
+def sampled_subgraph_tables(g: Graph, n: int, seed: int = 42, one_based: bool = False) -> dict[str, DataFrame]:
+    """Sample ``n`` nodes (L5), take the induced edges (J5) and return viewer tables
+    ``nodes(node_id, lat, lon)`` and ``edges(source, destination)``; ``one_based`` shifts ids by
+    one as one of the reference's exports does (P4). Original ids are kept (Q29)."""
+    sample = sampling.sample_nodes(g.nodes, n, seed)
+    sub = structure.induced_subgraph(g, sample)
+    shift = 1 if one_based else 0
+    nodes = sub.nodes.select((F.col("id") + shift).alias("node_id"), "lat", "lon")
+    edges = sub.edges.select((F.col("src") + shift).alias("source"), (F.col("dst") + shift).alias("destination"))
+    return {"nodes": nodes, "edges": edges}
