@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.functions.keys import md5_bit
-from geoweave.plans.iterate import RoundLog, checkpoint
+from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 EPS = 1e-12
 
@@ -45,6 +45,7 @@ def label_propagation(
     number of label changes per iteration (A19)."""
     voters = checkpoint(vote_edges(nodes, edges, self_vote))
     labels = checkpoint(nodes.select("id", F.col("id").alias("label")))
+    labels_src = labels
     changes: list[int] = []
     for _ in range(max_iter):
         votes = (
@@ -64,6 +65,8 @@ def label_propagation(
         changes.append(n)
         if rounds is not None:
             rounds.record(changes=n)
+        release(labels_src)
+        labels_src = new
         labels = new.drop("_changed")
         if n == 0:
             break
@@ -171,49 +174,46 @@ def select_communities(
 # ---- Louvain ---------------------------------------------------------------------------------
 
 
-def _louvain_sweep(
-    memb: DataFrame, cw: DataFrame, k: DataFrame, m: float, sweep: int, seed: int, parity: int | None = None
-) -> DataFrame:
-    """One synchronous local-moving sweep: returns ``(id, community, moved)``.
-
-    With ``parity`` only nodes whose hash bit equals it may move (damping)."""
+def _louvain_sweep(memb: DataFrame, cw: DataFrame, m: float, sweep: int, seed: int, parity: int | None = None) -> DataFrame:
+    """One synchronous local-moving sweep over ``memb(id, community, k)``; returns
+    ``(id, community, k, moved)``. With ``parity`` only nodes whose hash bit equals it may move."""
     links_e = cw.filter(F.col("u") != F.col("v"))
     sym = links_e.select(F.col("u").alias("i"), F.col("v").alias("j"), "w").unionByName(
         links_e.select(F.col("v").alias("i"), F.col("u").alias("j"), "w")
     )
     mj = memb.select(F.col("id").alias("j"), F.col("community").alias("cj"))
-    # Weight from each node to each neighbouring community
+    # Weight from each node to each neighbouring community (partial aggregate)
     links = sym.join(mj, "j").groupBy("i", "cj").agg(F.sum("w").alias("l"))
-    kc = memb.join(k, "id")
-    tot = kc.groupBy("community").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size"))  # A8
-    node = kc.join(tot, "community").select(
+    tot = memb.groupBy("community").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size"))  # A8
+    node = memb.join(tot, "community").select(
         F.col("id").alias("i"), F.col("community").alias("ci"), "k", F.col("tot").alias("tot_own"), F.col("size").alias("size_own")
     )
-    own = links.join(node.select("i", "ci"), "i").filter(F.col("cj") == F.col("ci")).select("i", F.col("l").alias("l_own"))
-    cand = (
-        links.join(node, "i")
-        .filter(F.col("cj") != F.col("ci"))
-        .join(tot.select(F.col("community").alias("cj"), "tot", F.col("size").alias("size_c")), "cj")
-    )
+    tc = tot.select(F.col("community").alias("cj"), F.col("tot").alias("tot_c"), F.col("size").alias("size_c"))
+    ln = links.join(node, "i").join(tc, "cj")
     two_m2 = 2.0 * m * m
-    gain = F.col("l") / F.lit(m) - F.col("tot") * F.col("k") / F.lit(two_m2)
+    gain = F.col("l") / F.lit(m) - F.col("tot_c") * F.col("k") / F.lit(two_m2)
     # two singletons may merge only toward the smaller label (damping)
-    allowed = ~((F.col("size_own") == 1) & (F.col("size_c") == 1) & (F.col("cj") > F.col("ci")))
-    best = cand.filter(allowed).groupBy("i").agg(
-        F.max(F.struct(gain.alias("g"), (-F.col("cj")).alias("nc"))).alias("b")
-    )  # A13
-    stay = F.coalesce(F.col("l_own"), F.lit(0.0)) / F.lit(m) - (F.col("tot_own") - F.col("k")) * F.col("k") / F.lit(two_m2)
-    # damping: only nodes whose hash bit matches the parity may move
+    allowed = (F.col("cj") != F.col("ci")) & ~(
+        (F.col("size_own") == 1) & (F.col("size_c") == 1) & (F.col("cj") > F.col("ci"))
+    )
+    per_node = ln.groupBy("i").agg(
+        F.max(F.when(allowed, F.struct(gain.alias("g"), (-F.col("cj")).alias("nc")))).alias("b"),  # A13
+        F.sum(F.when(F.col("cj") == F.col("ci"), F.col("l")).otherwise(F.lit(0.0))).alias("l_own"),
+    )
+    stay = F.col("l_own") / F.lit(m) - (F.col("tot_own") - F.col("k")) * F.col("k") / F.lit(two_m2)
     turn = F.lit(True) if parity is None else md5_bit(seed, F.lit(sweep), F.col("i")) == F.lit(parity)
-    dec = node.join(own, "i", "left").join(best, "i", "left").select(
+    dec = node.join(per_node, "i", "left").select(
         F.col("i").alias("id"),
-        F.col("ci"),
+        "ci",
+        "k",
         (-F.col("b.nc")).alias("cbest"),
         (F.col("b.g") - stay).alias("delta"),
         turn.alias("_turn"),
     )
     move = F.col("cbest").isNotNull() & (F.col("delta") > F.lit(EPS)) & F.col("_turn")
-    return dec.select("id", F.when(move, F.col("cbest")).otherwise(F.col("ci")).alias("community"), move.alias("moved"))
+    return dec.select(
+        "id", F.when(move, F.col("cbest")).otherwise(F.col("ci")).alias("community"), "k", move.alias("moved")
+    )
 
 
 def louvain(
@@ -240,7 +240,7 @@ def louvain(
     sweep_no = 0
     for p in range(max_passes):
         k = checkpoint(node_strength(level_nodes, cw))
-        memb = level_nodes.select("id", F.col("id").alias("community"))
+        memb = k.select("id", F.col("id").alias("community"), "k")
         q0 = modularity(memb, cw).first()
         m = float(q0["m"])
         if m <= 0.0:
@@ -248,35 +248,43 @@ def louvain(
         q = q0["modularity"]
         q_start = q
         idle = 0
+        memb_src = None
         for _ in range(max_sweeps):
             # synchronous sweep over the half of the nodes whose hash bit matches the parity
-            nxt = checkpoint(_louvain_sweep(memb, cw, k, m, sweep_no, seed, sweep_no % 2))
+            nxt = checkpoint(_louvain_sweep(memb, cw, m, sweep_no, seed, sweep_no % 2))
             sweep_no += 1
             r = modularity(nxt, cw, "moved").first()
             if rounds is not None:
                 rounds.record(louvain_pass=p + 1, sweep=sweep_no, moved=r["moved"], modularity=r["modularity"])
             if r["moved"] > 0 and r["modularity"] > q + EPS:
                 gained = r["modularity"] - q
-                memb = nxt.select("id", "community")
+                release(memb_src)
+                memb_src = nxt
+                memb = nxt.select("id", "community", "k")
                 q = r["modularity"]
                 idle = 0 if gained >= tol else idle + 1
             else:
+                release(nxt)
                 idle += 1
             if idle >= 2:  # both parities had their turn without a worthwhile gain
                 break
         if q > q_start:  # fold this pass's moves into the original-node membership
+            prev_assign = assign
             assign = checkpoint(
                 assign.join(memb.select(F.col("id").alias("community"), F.col("community").alias("_nc")), "community").select(
                     "id", F.col("_nc").alias("community")
                 )
             )
+            release(prev_assign)
         n_comm = assign.select("community").distinct().count()
         history.append({"pass": p + 1, "modularity": q, "communities": n_comm})
         if q - q_start < tol or (q_prev_pass is not None and q - q_prev_pass < tol):
             break
         q_prev_pass = q
+        prev_cw, prev_nodes = cw, level_nodes
         cw = checkpoint(contract(memb, cw))
         level_nodes = checkpoint(memb.select(F.col("community").alias("id")).distinct())
+        release(prev_cw, prev_nodes, memb_src, k)
     return assign, history
 
 

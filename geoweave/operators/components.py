@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweave.plans.iterate import RoundLog, checkpoint
+from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 
 def _canon(pairs: DataFrame) -> DataFrame:
@@ -67,6 +67,7 @@ def connected_components(
         changed = diff.filter(F.col("_n").isNull() | F.col("_o").isNull()).count()
         if rounds is not None:
             rounds.record(changed_edges=changed)
+        release(cur)
         cur = nxt
         if changed == 0:
             break
@@ -87,6 +88,7 @@ def pointer_jump(ptr: DataFrame, rounds: RoundLog | None = None) -> DataFrame:
     """Resolve a forest of parent pointers ``(c, p)`` (roots point to themselves) to
     ``(c, root)`` by repeated ``p ← p(p)``; O(log depth) rounds."""
     cur = checkpoint(ptr.select("c", "p"))
+    cur_src = cur
     while True:
         q = cur.select(F.col("c").alias("_qc"), F.col("p").alias("_qp"))
         nxt = checkpoint(
@@ -99,6 +101,8 @@ def pointer_jump(ptr: DataFrame, rounds: RoundLog | None = None) -> DataFrame:
         changed = nxt.filter("_changed").count()
         if rounds is not None:
             rounds.record(jump_changed=changed)
+        release(cur_src)
+        cur_src = nxt
         cur = nxt.drop("_changed")
         if changed == 0:
             break

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.operators.components import pointer_jump
-from geoweave.plans.iterate import RoundLog, checkpoint
+from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 INF = float("inf")
 
@@ -49,10 +49,13 @@ def spanning_forest(
     live = checkpoint(canon)
     comp = checkpoint(nodes.select("id", F.col("id").alias("frag")))
     picked: list[DataFrame] = []
+    cross = live
     while True:
         fu = comp.select(F.col("id").alias("u"), F.col("frag").alias("fu"))
         fv = comp.select(F.col("id").alias("v"), F.col("frag").alias("fv"))
+        prev_cross = cross
         cross = checkpoint(live.join(fu, "u").join(fv, "v").filter(F.col("fu") != F.col("fv")))
+        release(prev_cross)
         n_cross = cross.count()
         if rounds is not None:
             rounds.record(cross_edges=n_cross)
@@ -75,11 +78,13 @@ def spanning_forest(
             F.when((F.col("_bp") == F.col("f")) & (F.col("f") < F.col("p")), F.col("f")).otherwise(F.col("p")).alias("p"),
         )
         roots = pointer_jump(ptr)
+        prev_comp = comp
         comp = checkpoint(
             comp.join(roots, comp.frag == roots.c, "left").select(
                 "id", F.coalesce(F.col("root"), F.col("frag")).alias("frag")
             )
         )
+        release(prev_comp, best)
         live = cross.select("u", "v", "weight")
     if not picked:
         spark = nodes.sparkSession

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from geoweave.functions.keys import md5_int
 from geoweave.model import Graph
 from geoweave.operators.traverse import walk_up
-from geoweave.plans.iterate import RoundLog, checkpoint
+from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 BEST = ["dist", "pdist", "pred"]
 
@@ -103,9 +103,11 @@ def shortest_paths(
                 .alias("upd"),
             )
         )
+        prev = state
         state = checkpoint(
             state.join(improved.select("qid", "id"), ["qid", "id"], "left_anti").unionByName(improved)
         )
+        release(prev)
         dropped = F.count_if(F.col("upd") == r).alias("n")
         if sink_rows is not None and len(sink_rows) == 1:
             qid0, sink0 = sink_rows[0]
@@ -128,6 +130,7 @@ def shortest_paths(
             rounds.record(improved=n_new)
         if n_new == 0:
             break
+    release(edges)
     return state.select("qid", "id", "dist", "pred")
 
 

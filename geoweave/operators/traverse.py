@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from geoweave.model import Graph
 from geoweave.operators.ranking import global_rank_counted, grouped_exclusive_sum
-from geoweave.plans.iterate import RoundLog, checkpoint
+from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 log = logging.getLogger(__name__)
 
@@ -84,6 +84,7 @@ def bfs_tree(
         total += n_new
         frontier = nxt
         level += 1
+    release(edges)
     return _union(frames)
 
 

@@ -30,7 +30,31 @@ def checkpoint(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/rounds/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    _ROUND_PATHS[id(out)] = path
+    return out
+
+
+# round tables written by ``checkpoint``, by the id of the frame that reads them
+_ROUND_PATHS: dict[int, str] = {}
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Delete the round tables behind superseded checkpoint frames.
+
+    Call only when nothing lazy still reads the frame (its successor has been written). Keeps
+    the checkpoint folder at O(live state) instead of O(rounds × state).
+    """
+    for df in frames:
+        if df is None:
+            continue
+        path = _ROUND_PATHS.pop(id(df), None)
+        if path is None:
+            continue
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
