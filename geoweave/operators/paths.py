@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoweave.functions.geo import haversine_km
 from geoweave.functions.keys import md5_int
 from geoweave.model import Graph
 from geoweave.operators.traverse import walk_up
@@ -41,12 +42,18 @@ def shortest_paths(
     sinks: DataFrame | None = None,
     max_rounds: int | None = None,
     rounds: RoundLog | None = None,
+    geo_bound: bool = True,
 ) -> DataFrame:
     """``(qid, id, dist, pred)`` for the nodes reached from each query's source.
 
     ``sources``: ``(qid, source)``. ``sinks``: optional ``(qid, sink)`` enabling the bound
     ``dist ≤ dist(sink)``; without sinks distances to all reachable nodes are exact.
 
+    With sinks and ``geo_bound`` (weights are great-circle distances of the endpoints, so the
+    great-circle distance to the sink is a lower bound of any remaining route), a candidate is
+    also pruned when ``dist + h(node) > dist(sink)`` — exact, and it stops the search soon after
+    the sink is reached instead of settling every closer node.
+
     One reliable write per round: the state carries ``upd``, the round in which a node's
     distance last dropped, and the next frontier is read back from the written state, so the
     lineage never spans more than one round. One small aggregate per round returns, per query,
@@ -69,24 +76,47 @@ def shortest_paths(
         # one row per query (the caller's batch size, not the data size)
         sink_rows = [(int(x[0]), int(x[1])) for x in sinks.select("qid", "sink").collect() if x[1] is not None]
     sink_tab = spark.createDataFrame(sink_rows, "qid long, _sink long") if sink_rows else None
+    targets: dict[int, tuple] = {}
+    if sink_rows and geo_bound:
+        # coordinates of each query's sink (one row per query)
+        sink_ids = spark.createDataFrame(sink_rows, "qid long, id long")
+        for x in sink_ids.join(g.nodes.select("id", "lat", "lon"), "id").collect():
+            if x["lat"] is not None and x["lon"] is not None:
+                targets[int(x["qid"])] = (float(x["lat"]), float(x["lon"]))
+        if targets:
+            ends = g.nodes.select(F.col("id").alias("dst"), F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon"))
+            prev_edges = edges
+            edges = checkpoint(edges.join(ends, "dst", "left"))
+            release(prev_edges)
     bounds = None
     r = 0
     while max_rounds is None or r < max_rounds:
         r += 1
         frontier = state.filter(F.col("upd") == r - 1)
+        extra = [edges["_dlat"], edges["_dlon"]] if targets else []
         cand = frontier.join(edges, frontier.id == edges.src).select(
             "qid",
             edges.dst.alias("id"),
             (frontier.dist + edges.weight).alias("dist"),
             frontier.dist.alias("pdist"),
             edges.src.alias("pred"),
+            *extra,
         )
         if bounds:
             # one row per query with a reached sink: a small local relation
-            btab = spark.createDataFrame(bounds, "qid long, _bound double")
-            cand = cand.join(F.broadcast(btab), "qid", "left").filter(
-                F.col("_bound").isNull() | (F.col("dist") <= F.col("_bound"))
-            ).drop("_bound")
+            rows = [(q, b, *targets.get(q, (None, None))) for q, b in bounds]
+            btab = spark.createDataFrame(rows, "qid long, _bound double, _tlat double, _tlon double")
+            cand = cand.join(F.broadcast(btab), "qid", "left")
+            keep = F.col("_bound").isNull() | (F.col("dist") <= F.col("_bound"))
+            if targets:
+                h = haversine_km(F.col("_dlat"), F.col("_dlon"), F.col("_tlat"), F.col("_tlon"))
+                h = F.when(F.col("_tlat").isNull() | (h == F.lit(float("inf"))), F.lit(0.0)).otherwise(h)
+                # tolerance: never prune a route that is equal to the bound up to rounding
+                slack = F.col("_bound") * F.lit(1e-12) + F.lit(1e-9)
+                keep = F.col("_bound").isNull() | (F.col("dist") + h <= F.col("_bound") + slack)
+            cand = cand.filter(keep).drop("_bound", "_tlat", "_tlon")
+        if targets:
+            cand = cand.drop("_dlat", "_dlon")
         best = cand.groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("c"))
         old = state.select("qid", "id", F.struct(*BEST).alias("o"), F.col("upd").alias("_oupd"))
         improved = (
