@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoweave.plans.iterate import checkpoint, shuffle_partitions
+from geoweave.plans.iterate import checkpoint
 
 _LOW33 = (1 << 33) - 1
 
@@ -34,13 +34,13 @@ def global_rank_counted(
     df: DataFrame, order_cols, rank_col: str = "rank", start: int = 1, num_partitions: int | None = None
 ) -> tuple[DataFrame, int]:
     """``global_rank`` plus the number of rows (read from the per-partition count table)."""
-    n = num_partitions or shuffle_partitions(df.sparkSession)
     keys = _cols(order_cols)
+    # without a fixed count AQE may merge adjacent ranges of small data (order is preserved)
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     # materialised once: partition ids and positions are stored as data, so the offsets and
     # the rows can never disagree (a recomputed range partitioning may pick other bounds)
     ranked = checkpoint(
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        ranged.sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     ranked = ranked.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).withColumn(
@@ -85,11 +85,10 @@ def grouped_exclusive_sum(
     Skew-safe: rows are range partitioned on (group, order), so a huge group spans several
     partitions; the group's starting offset is found with a partial aggregate (min), not a window.
     """
-    n = num_partitions or shuffle_partitions(df.sparkSession)
     keys = [F.col(group_col)] + _cols(order_cols)
+    base = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     ranged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
+        base.sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
     )
     w_local = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
