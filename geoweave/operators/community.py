@@ -223,20 +223,23 @@ def louvain(
     max_passes: int = 10,
     max_sweeps: int = 20,
     tol: float = 1e-4,
+    rel_tol: float = 0.01,
     seed: int = 42,
     rounds: RoundLog | None = None,
 ) -> tuple[DataFrame, list[dict]]:
     """``membership(id, community)`` and per-pass ``{pass, modularity, communities}``.
 
-    Passes of local moving (G8) and contraction (G9) until a pass improves modularity by less
-    than ``tol`` or no edge is left. A pass ends when a sweep (and the following sweep of the
-    other parity) gains less than ``tol``. Community labels are original node ids.
+    Passes of local moving (G8) and contraction (G9). A pass ends when its last two sweeps (one
+    per parity) together gain less than ``max(tol, rel_tol × gain of the pass so far)``; the
+    remaining small moves are taken up at the next, coarser level. Passes stop when one adds
+    less than ``max(tol, rel_tol × total gain)`` or no edge is left. Community labels are
+    original node ids.
     """
     cw = checkpoint(canonical_weighted(edges, weight_col))
     level_nodes = checkpoint(nodes.select("id"))
     assign = checkpoint(nodes.select("id", F.col("id").alias("community")))  # original → current
     history: list[dict] = []
-    q_prev_pass = None
+    q0_total = None
     sweep_no = 0
     for p in range(max_passes):
         k = checkpoint(node_strength(level_nodes, cw))
@@ -247,8 +250,8 @@ def louvain(
             break
         q = q0["modularity"]
         q_start = q
-        idle = 0
         memb_src = None
+        recent: list[float] = []  # gains of the latest sweeps (0 for a rejected sweep)
         for _ in range(max_sweeps):
             # synchronous sweep over the half of the nodes whose hash bit matches the parity
             nxt = checkpoint(_louvain_sweep(memb, cw, m, sweep_no, seed, sweep_no % 2))
@@ -257,16 +260,15 @@ def louvain(
             if rounds is not None:
                 rounds.record(louvain_pass=p + 1, sweep=sweep_no, moved=r["moved"], modularity=r["modularity"])
             if r["moved"] > 0 and r["modularity"] > q + EPS:
-                gained = r["modularity"] - q
+                recent.append(r["modularity"] - q)
                 release(memb_src)
                 memb_src = nxt
                 memb = nxt.select("id", "community", "k")
                 q = r["modularity"]
-                idle = 0 if gained >= tol else idle + 1
             else:
+                recent.append(0.0)
                 release(nxt)
-                idle += 1
-            if idle >= 2:  # both parities had their turn without a worthwhile gain
+            if len(recent) >= 2 and sum(recent[-2:]) < max(tol, rel_tol * (q - q_start)):
                 break
         if q > q_start:  # fold this pass's moves into the original-node membership
             prev_assign = assign
@@ -278,9 +280,10 @@ def louvain(
             release(prev_assign)
         n_comm = assign.select("community").distinct().count()
         history.append({"pass": p + 1, "modularity": q, "communities": n_comm})
-        if q - q_start < tol or (q_prev_pass is not None and q - q_prev_pass < tol):
+        if q0_total is None:
+            q0_total = q_start
+        if q - q_start < max(tol, rel_tol * (q - q0_total)):
             break
-        q_prev_pass = q
         prev_cw, prev_nodes = cw, level_nodes
         cw = checkpoint(contract(memb, cw))
         level_nodes = checkpoint(memb.select(F.col("community").alias("id")).distinct())
