@@ -214,16 +214,23 @@ def random_pair_attempts(nodes: DataFrame, n_pairs: int, max_attempts: int, seed
 
 
 def random_routes(
-    g: Graph, n_pairs: int = 100, max_attempts: int = 50, seed: int = 7, rounds: RoundLog | None = None
-) -> DataFrame:
+    g: Graph,
+    n_pairs: int = 100,
+    max_attempts: int = 50,
+    seed: int = 7,
+    rounds: RoundLog | None = None,
+    with_state: bool = False,
+):
     """Up to ``n_pairs`` routes between random reachable pairs with positive cost.
 
     Each slot tries its attempts in order; a wave solves the current attempt of every open slot
     in one batched relaxation, so the number of waves is the largest number of attempts any
-    slot needs. Returns ``(slot, attempt, u, v, cost)``.
+    slot needs. Returns ``(slot, attempt, u, v, cost)``; with ``with_state`` also the relaxation
+    state ``(qid = slot, id, dist, pred)`` of the solved slots, for path reconstruction.
     """
     attempts = checkpoint(random_pair_attempts(g.nodes, n_pairs, max_attempts, seed))
     done: list[DataFrame] = []
+    states: list[DataFrame] = []
     open_slots = attempts.select("slot").distinct()
     for a in range(max_attempts):
         wave = attempts.filter(F.col("attempt") == a).join(open_slots, "slot", "left_semi")
@@ -244,10 +251,17 @@ def random_routes(
             .select("slot", "attempt", "u", "v", "cost")
         )
         done.append(solved)
+        states.append(state.join(solved.select(F.col("slot").alias("qid")), "qid", "left_semi"))
         open_slots = checkpoint(open_slots.join(solved.select("slot"), "slot", "left_anti"))
     if not done:
-        return attempts.limit(0).select("slot", "attempt", "u", "v", F.lit(0.0).alias("cost"))
-    return reduce(lambda x, y: x.unionByName(y), done)
+        empty = attempts.limit(0).select("slot", "attempt", "u", "v", F.lit(0.0).alias("cost"))
+        if with_state:
+            return empty, empty.select(F.col("slot").alias("qid"), F.col("u").alias("id"), F.col("cost").alias("dist"), F.col("v").alias("pred"))
+        return empty
+    routes = reduce(lambda x, y: x.unionByName(y), done)
+    if with_state:
+        return routes, reduce(lambda x, y: x.unionByName(y), states)
+    return routes
 
 
 def route_stats(routes: DataFrame) -> DataFrame:

@@ -454,3 +454,22 @@ def q_route_batch_stats(spark, sf):
     return s.select(
         "n_routes", F.round("min_km", 6).alias("min_km"), F.round("max_km", 6).alias("max_km"), F.round("avg_km", 4).alias("avg_km")
     )
+
+
+def _random_route_paths(spark, sf):
+    g = _f1w(spark, sf)
+    rnd, state = paths.random_routes(g, n_pairs=100, max_attempts=50, seed=7, with_state=True)
+    rq = rnd.select(F.col("slot").alias("qid"), F.col("u").alias("source"), F.col("v").alias("sink"), "cost")
+    return g, rq, paths.route_paths(state, rq)
+
+
+@register("route_nodes_union")
+def q_route_nodes_union(spark, sf):
+    _, _, rn = _random_route_paths(spark, sf)
+    return rn.select("id").distinct()  # A21 / U2
+
+
+@register("route_features")
+def q_route_features(spark, sf):
+    g, rq, rn = _random_route_paths(spark, sf)
+    return features.route_features(g.nodes, rq.select("qid", "cost"), rn)

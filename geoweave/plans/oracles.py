@@ -542,3 +542,23 @@ SQL["route_batch_stats"] = with_graphs(
     "round(avg(cost), 4) AS avg_km FROM rb",
     *_ATT,
 )
+
+_ATT_PRED = [c for c in _ATT if not c.startswith("msp AS")] + [
+    "msp AS (WITH RECURSIVE d(q, id, dist, pred) USING KEY (q, id) AS ("
+    "SELECT slot * 100 + attempt, u, 0.0::DOUBLE, NULL::BIGINT FROM att UNION "
+    "SELECT c.q, c.id, c.dist, c.pred FROM (SELECT d.q, e.dst AS id, min(d.dist + e.weight) AS dist, "
+    "arg_min(d.id, (d.dist + e.weight, d.dist, d.id)) AS pred FROM d "
+    "JOIN f1w e ON e.src = d.id GROUP BY d.q, e.dst) c LEFT JOIN recurring.d r ON r.q = c.q AND r.id = c.id "
+    "WHERE r.id IS NULL OR c.dist < r.dist) SELECT * FROM d)",
+]
+# keep the CTE order: msp must precede ok/rb
+_ATT_PRED = [c for c in _ATT_PRED if not (c.startswith("ok AS") or c.startswith("rb AS"))] + [
+    c for c in _ATT if c.startswith("ok AS") or c.startswith("rb AS")
+]
+SQL["route_nodes_union"] = with_graphs(
+    "SELECT DISTINCT id FROM walk",
+    *_ATT_PRED,
+    "walk AS (WITH RECURSIVE w(q, id) AS (SELECT slot * 100 + attempt, v FROM rb UNION ALL "
+    "SELECT w.q, m.pred FROM w JOIN msp m ON m.q = w.q AND m.id = w.id WHERE m.pred IS NOT NULL) "
+    "SELECT * FROM w)",
+)

@@ -58,9 +58,8 @@ def route_report(g: Graph, n_random: int = 100, max_attempts: int = 50, seed: in
     state = paths.shortest_paths(g, fp.select("qid", "source"), fp.select("qid", "sink"))
     route = paths.route_paths(state, fp)
     summary = paths.route_summary(state, fp, fp, route)
-    rnd = paths.random_routes(g, n_random, max_attempts, seed)
+    rnd, rstate = paths.random_routes(g, n_random, max_attempts, seed, with_state=True)
     rq = rnd.select(F.col("slot").alias("qid"), F.col("u").alias("source"), F.col("v").alias("sink"), "cost")
-    rstate = paths.shortest_paths(g, rq.select("qid", "source"), rq.select("qid", "sink"))
     rnodes = paths.route_paths(rstate, rq)
     feats = features.route_features(g.nodes, rq.select("qid", "cost"), rnodes)
     return {"route": summary, "route_nodes": route, "random_routes": rnd, "stats": paths.route_stats(rnd), "features": feats}
