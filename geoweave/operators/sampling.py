@@ -20,34 +20,49 @@ def _key_exprs(key_cols):
     return [F.col(c) if isinstance(c, str) else c for c in key_cols]
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42, key_cols=("id",)) -> DataFrame:
-    """The ``n`` rows with the smallest ``md5(seed:key)`` (ties on the key columns)."""
+def sample_rows(
+    df: DataFrame, n: int, seed: int = 42, key_cols=("id",), max_boundary_rows: int = 1_000_000
+) -> DataFrame:
+    """The ``n`` rows with the smallest ``md5(seed:key)`` (ties on the key columns).
+
+    Rows in hash buckets entirely below the n-th key are taken as they are. The boundary bucket
+    is refined with the next hex digits until it holds at most ``max_boundary_rows`` rows, and
+    only that bucket is ordered (a bounded top-k), so no task ever sorts a data-sized set.
+    """
     keys = _key_exprs(key_cols)
-    keyed = df.withColumn("_h", md5_key(seed, *keys)).withColumn(
-        "_b", F.substring("_h", 1, PREFIX_DIGITS)
-    )
-    # bounded collect: one row per hash bucket (≤ 65,536), independent of the data size
-    hist = sorted(
-        (r["_b"], r["c"]) for r in keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect()
-    )
-    before = 0
-    boundary = None
-    for bucket, count in hist:
-        if before + count >= n:
-            boundary = bucket
-            break
-        before += count
+    cur = df.withColumn("_h", md5_key(seed, *keys))
     cols = df.columns
-    if boundary is None:  # fewer than n rows in total
-        return df
-    lower = keyed.filter(F.col("_b") < F.lit(boundary)).select(*cols)
-    edge = (
-        keyed.filter(F.col("_b") == F.lit(boundary))
-        .orderBy("_h", *keys)
-        .limit(n - before)
-        .select(*cols)
-    )
-    return lower.unionByName(edge)
+    lower: list[DataFrame] = []
+    need = n
+    offset = 0
+    while True:
+        level = cur.withColumn("_b", F.substring("_h", offset + 1, PREFIX_DIGITS))
+        # bounded collect: one row per bucket (≤ 16^4), independent of the data size
+        hist = sorted(
+            (r["_b"], r["c"]) for r in level.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect()
+        )
+        before, boundary, size = 0, None, 0
+        for bucket, count in hist:
+            if before + count >= need:
+                boundary, size = bucket, count
+                break
+            before += count
+        if boundary is None:  # fewer rows than needed: everything qualifies
+            lower.append(level.select(*cols))
+            edge = None
+            break
+        lower.append(level.filter(F.col("_b") < F.lit(boundary)).select(*cols))
+        need -= before
+        cur = level.filter(F.col("_b") == F.lit(boundary)).drop("_b")
+        offset += PREFIX_DIGITS
+        if size <= max_boundary_rows or offset >= 32:
+            edge = cur.orderBy("_h", *keys).limit(need).select(*cols)
+            break
+    parts = lower + ([edge] if edge is not None else [])
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def sample_nodes(nodes: DataFrame, n: int, seed: int = 42) -> DataFrame:

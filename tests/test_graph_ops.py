@@ -191,3 +191,10 @@ def test_farthest_pair_orientation(spark):
     coords = {0: (0.0, 0.0), 1: (10.0, 10.0), 2: (-10.0, -170.0), 3: (5.0, 5.0)}
     fp = geo.farthest_pair(graph(spark, [], n=4, coords=coords).nodes).first()
     assert fp.u < fp.v and {fp.u, fp.v} == {1, 2}
+
+
+def test_sampling_refines_boundary_bucket(spark):
+    nodes = spark.range(5000).select(F.col("id"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"))
+    a = sorted(r.id for r in sampling.sample_rows(nodes, 777, 3, ("id",), max_boundary_rows=1).collect())
+    b = sorted(r.id for r in sampling.sample_rows(nodes, 777, 3, ("id",)).collect())
+    assert len(a) == 777 and a == b
