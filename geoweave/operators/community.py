@@ -174,9 +174,21 @@ def select_communities(
 # ---- Louvain ---------------------------------------------------------------------------------
 
 
-def _louvain_sweep(memb: DataFrame, cw: DataFrame, m: float, sweep: int, seed: int, parity: int | None = None) -> DataFrame:
+def _louvain_sweep(
+    memb: DataFrame,
+    cw: DataFrame,
+    m: float,
+    sweep: int,
+    seed: int,
+    parity: int | None = None,
+    gain_rule: str = "standard",
+) -> DataFrame:
     """One synchronous local-moving sweep over ``memb(id, community, k)``; returns
-    ``(id, community, k, moved)``. With ``parity`` only nodes whose hash bit equals it may move."""
+    ``(id, community, k, moved)``. With ``parity`` only nodes whose hash bit equals it may move.
+
+    ``gain_rule="standard"`` compares the best gain with the gain of staying (the cost of leaving
+    the current community); ``"simple"`` is the reference's rule: move when the best gain of
+    joining another community is positive (P12, Q21)."""
     links_e = cw.filter(F.col("u") != F.col("v"))
     sym = links_e.select(F.col("u").alias("i"), F.col("v").alias("j"), "w").unionByName(
         links_e.select(F.col("v").alias("i"), F.col("u").alias("j"), "w")
@@ -200,7 +212,10 @@ def _louvain_sweep(memb: DataFrame, cw: DataFrame, m: float, sweep: int, seed: i
         F.max(F.when(allowed, F.struct(gain.alias("g"), (-F.col("cj")).alias("nc")))).alias("b"),  # A13
         F.sum(F.when(F.col("cj") == F.col("ci"), F.col("l")).otherwise(F.lit(0.0))).alias("l_own"),
     )
-    stay = F.col("l_own") / F.lit(m) - (F.col("tot_own") - F.col("k")) * F.col("k") / F.lit(two_m2)
+    if gain_rule == "simple":
+        stay = F.lit(0.0)
+    else:
+        stay = F.col("l_own") / F.lit(m) - (F.col("tot_own") - F.col("k")) * F.col("k") / F.lit(two_m2)
     turn = F.lit(True) if parity is None else md5_bit(seed, F.lit(sweep), F.col("i")) == F.lit(parity)
     dec = node.join(per_node, "i", "left").select(
         F.col("i").alias("id"),
@@ -226,6 +241,7 @@ def louvain(
     rel_tol: float = 0.01,
     seed: int = 42,
     rounds: RoundLog | None = None,
+    gain_rule: str = "standard",
 ) -> tuple[DataFrame, list[dict]]:
     """``membership(id, community)`` and per-pass ``{pass, modularity, communities}``.
 
@@ -254,7 +270,7 @@ def louvain(
         recent: list[float] = []  # gains of the latest sweeps (0 for a rejected sweep)
         for _ in range(max_sweeps):
             # synchronous sweep over the half of the nodes whose hash bit matches the parity
-            nxt = checkpoint(_louvain_sweep(memb, cw, m, sweep_no, seed, sweep_no % 2))
+            nxt = checkpoint(_louvain_sweep(memb, cw, m, sweep_no, seed, sweep_no % 2, gain_rule))
             sweep_no += 1
             r = modularity(nxt, cw, "moved").first()
             if rounds is not None:

@@ -198,3 +198,13 @@ def test_sampling_refines_boundary_bucket(spark):
     a = sorted(r.id for r in sampling.sample_rows(nodes, 777, 3, ("id",), max_boundary_rows=1).collect())
     b = sorted(r.id for r in sampling.sample_rows(nodes, 777, 3, ("id",)).collect())
     assert len(a) == 777 and a == b
+
+
+def test_louvain_simple_gain_rule_runs(spark):
+    a = [(i, j) for i in range(5) for j in range(i + 1, 5)]
+    edges = a + [(i + 5, j + 5) for i, j in a] + [(4, 5)]
+    g = graph(spark, edges, weights=[1.0] * len(edges), directed=False)
+    memb, hist = community.louvain(g.nodes, g.edges, "weight", gain_rule="simple")
+    assert memb.count() == 10 and memb.select("community").distinct().count() <= 10
+    mods = [h["modularity"] for h in hist]
+    assert all(b >= a - 1e-12 for a, b in zip(mods, mods[1:]))
