@@ -87,8 +87,8 @@ def component_sizes(membership: DataFrame, col: str = "component") -> DataFrame:
 def pointer_jump(ptr: DataFrame, rounds: RoundLog | None = None) -> DataFrame:
     """Resolve a forest of parent pointers ``(c, p)`` (roots point to themselves) to
     ``(c, root)`` by repeated ``p ← p(p)``; O(log depth) rounds."""
-    cur = checkpoint(ptr.select("c", "p"))
-    cur_src = cur
+    cur = ptr.select("c", "p")  # short lineage: the first jump reads it directly
+    cur_src = None
     while True:
         q = cur.select(F.col("c").alias("_qc"), F.col("p").alias("_qp"))
         nxt = checkpoint(

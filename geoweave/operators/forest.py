@@ -70,7 +70,8 @@ def spanning_forest(
                 "f", F.col("b.k.u").alias("u"), F.col("b.k.v").alias("v"), F.col("b.k.weight").alias("weight"), F.col("b.other").alias("p")
             )
         )
-        picked.append(checkpoint(best.select("u", "v", "weight").distinct()))
+        # the round's best-edge table is kept (one row per fragment); forest edges are read from it
+        picked.append(best.select("u", "v", "weight").distinct())
         # mutual picks form the only cycles: the smaller fragment label becomes the root
         back = best.select(F.col("f").alias("_bf"), F.col("p").alias("_bp"))
         ptr = best.join(back, best.p == back["_bf"]).select(
@@ -84,7 +85,7 @@ def spanning_forest(
                 "id", F.coalesce(F.col("root"), F.col("frag")).alias("frag")
             )
         )
-        release(prev_comp, best)
+        release(prev_comp)
         live = cross.select("u", "v", "weight")
     if not picked:
         spark = nodes.sparkSession
