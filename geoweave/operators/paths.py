@@ -43,6 +43,7 @@ def shortest_paths(
     max_rounds: int | None = None,
     rounds: RoundLog | None = None,
     geo_bound: bool = True,
+    max_local_queries: int = 100_000,
 ) -> DataFrame:
     """``(qid, id, dist, pred)`` for the nodes reached from each query's source.
 
@@ -72,8 +73,10 @@ def shortest_paths(
         )
     )
     sink_rows = None
+    if sinks is not None and sinks.count() > max_local_queries:
+        return _shortest_paths_joined(g, sources, sinks, edges, state, max_rounds, rounds)
     if sinks is not None:
-        # one row per query (the caller's batch size, not the data size)
+        # at most max_local_queries rows (checked above): one row per query
         sink_rows = [(int(x[0]), int(x[1])) for x in sinks.select("qid", "sink").collect() if x[1] is not None]
     sink_tab = spark.createDataFrame(sink_rows, "qid long, _sink long") if sink_rows else None
     targets: dict[int, tuple] = {}
@@ -164,6 +167,53 @@ def shortest_paths(
     return state.select("qid", "id", "dist", "pred")
 
 
+def _shortest_paths_joined(g, sources, sinks, edges, state, max_rounds, rounds) -> DataFrame:
+    """Batch variant for very many queries: sink bounds stay distributed (a join whose strategy
+    AQE picks from measured sizes) and the driver reads only the round counter."""
+    sink_tab = checkpoint(sinks.select("qid", F.col("sink").cast("long").alias("_sink")))
+    r = 0
+    while max_rounds is None or r < max_rounds:
+        r += 1
+        frontier = state.filter(F.col("upd") == r - 1)
+        cand = frontier.join(edges, frontier.id == edges.src).select(
+            "qid",
+            edges.dst.alias("id"),
+            (frontier.dist + edges.weight).alias("dist"),
+            frontier.dist.alias("pdist"),
+            edges.src.alias("pred"),
+        )
+        bound = state.join(sink_tab, (state.qid == sink_tab.qid) & (state.id == sink_tab["_sink"])).select(
+            state.qid.alias("_bq"), state.dist.alias("_bound")
+        )
+        cand = cand.join(bound, cand.qid == bound["_bq"], "left").filter(
+            F.col("_bound").isNull() | (F.col("dist") <= F.col("_bound"))
+        ).drop("_bq", "_bound")
+        best = cand.groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("c"))
+        old = state.select("qid", "id", F.struct(*BEST).alias("o"), F.col("upd").alias("_oupd"))
+        improved = (
+            best.join(old, ["qid", "id"], "left")
+            .filter(F.col("o").isNull() | (F.col("c") < F.col("o")))
+            .select(
+                "qid", "id", "c.dist", "c.pdist", "c.pred",
+                F.when(F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist")), F.lit(r))
+                .otherwise(F.col("_oupd"))
+                .alias("upd"),
+            )
+        )
+        prev = state
+        state = checkpoint(
+            state.join(improved.select("qid", "id"), ["qid", "id"], "left_anti").unionByName(improved)
+        )
+        release(prev)
+        n_new = state.filter(F.col("upd") == r).count()
+        if rounds is not None:
+            rounds.record(improved=n_new)
+        if n_new == 0:
+            break
+    release(edges, sink_tab)
+    return state.select("qid", "id", "dist", "pred")
+
+
 def route_paths(state: DataFrame, sinks: DataFrame) -> DataFrame:
     """Node sequence of each query's route as long form ``(qid, pos, id)`` (pos 0 = source).
 

@@ -208,3 +208,21 @@ def test_louvain_simple_gain_rule_runs(spark):
     assert memb.count() == 10 and memb.select("community").distinct().count() <= 10
     mods = [h["modularity"] for h in hist]
     assert all(b >= a - 1e-12 for a, b in zip(mods, mods[1:]))
+
+
+def test_many_query_path_matches_local_path(spark):
+    import random
+
+    rnd = random.Random(21)
+    edges = sorted({(rnd.randrange(25), rnd.randrange(25)) for _ in range(90)})
+    w = [round(rnd.uniform(0.5, 9.5), 3) for _ in edges]
+    g = graph(spark, edges, n=25, weights=w)
+    qs = spark.createDataFrame([(i, i, (i * 7 + 3) % 25) for i in range(6)], "qid long, source long, sink long")
+    a = paths.shortest_paths(g, qs.select("qid", "source"), qs.select("qid", "sink"))
+    b = paths.shortest_paths(g, qs.select("qid", "source"), qs.select("qid", "sink"), max_local_queries=0)
+    sinks = {(r.qid, r.sink) for r in qs.collect()}
+
+    def at_sinks(df):
+        return sorted((r.qid, r.id, round(r.dist, 9), r.pred) for r in df.collect() if (r.qid, r.id) in sinks)
+
+    assert at_sinks(a) == at_sinks(b)
