@@ -78,3 +78,18 @@ def test_generators_roundtrip(spark):
     # same seed → same data on a different partitioning
     again = generate.generate_visit_lines(spark, 50, seed=3, max_visits=5, num_partitions=7)
     assert sorted(map(tuple, vis.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_line_numbers_with_compressed_files(spark):
+    import gzip
+
+    d = tempfile.mkdtemp(prefix="geoweave-gz-")
+    expected = []
+    for f in range(2):
+        body = [f"{f},{i}" for i in range(3000)]
+        expected += body
+        with gzip.open(os.path.join(d, f"part-{f}.txt.gz"), "wt") as fh:
+            fh.write("\n".join(body) + "\n")
+    got = text.read_numbered_lines(spark, d).orderBy("line_no").collect()
+    assert [r.line_no for r in got] == list(range(len(expected)))
+    assert [r.value for r in got] == expected
