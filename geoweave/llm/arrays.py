@@ -61,27 +61,26 @@ def slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def words(data: np.ndarray, offsets: np.ndarray, separator=SEPARATOR, fold=LOWER):
-    """``(hash, row, start, end)`` of every word: runs of bytes that are no separator, folded.
+def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = ~SEPARATOR, fold: np.ndarray = LOWER):
+    """``(hash, row, start, end)`` of every word: longest runs of bytes of one nonzero ``kind``, folded.
 
     A polynomial hash is summed per word by ``reduceat`` and shifted back to the word's start by
     the inverse power, so no Python code runs per word.
     """
     n = len(data)
+    none = (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
     if n == 0:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
-    inside = ~separator[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    begin = offsets[:-1][offsets[:-1] < n]
-    first[begin] = inside[begin]
-    last = inside.copy()
-    last[:-1] &= ~inside[1:]
-    stop = offsets[1:][offsets[1:] > 0] - 1
-    last[stop] = inside[stop]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        return none
+    k = kind[data]
+    inside = k != 0
+    change = np.empty(n + 1, bool)
+    change[0] = change[n] = True
+    change[1:n] = k[1:] != k[:-1]
+    change[offsets] = True
+    start = np.flatnonzero(change[:n] & inside)
+    end = np.flatnonzero(change[1:] & inside) + 1
     if len(start) == 0:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
+        return none
     power, inverse = _power_tables(n)
     value = (fold[data].astype(np.uint64) + np.uint64(1)) * power[:n]
     value[~inside] = 0

@@ -12,6 +12,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.toxicity import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+def op2_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op3_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.language import identify
+
+    return identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.embedding_join import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.quality import quality_scores, resample
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample(quality_scores(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.warc import archive_pages
+
+    return archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from geoweave.llm.token_count import token_counts
 
@@ -19,12 +69,80 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.minhash import Banding, near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), banding=Banding(size=3, num=85, den=100))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_module("corpus_pipeline").run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op9_token_counts": op9_token_counts,
+    f.__name__: f
+    for f in (
+        op1_toxicity_grammar,
+        op2_html_blocks,
+        op3_language_kernel,
+        op4_source_mixing,
+        op5_decontamination,
+        op6_embedding_near_dup,
+        op7_quality_resampling,
+        op8_warc_zip,
+        op9_token_counts,
+        op10_minhash_near_dup,
+        pipeline,
+    )
 }
 
-SQL: dict[str, str] = {}
+_REACH = """
+, reach AS (
+  SELECT id, id AS goal FROM node
+  UNION
+  SELECT reach.id, link.b FROM reach JOIN link ON link.a = reach.goal
+), comp AS (SELECT id, min(goal) AS component_id FROM reach GROUP BY id)
+"""
+
+SQL: dict[str, str] = {
+    "op6_embedding_near_dup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), link AS (
+  SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.label = y.label AND x.id <> y.id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.98
+), node AS (SELECT id FROM v)"""
+    + _REACH
+    + """
+SELECT id AS vec_id, (SELECT count(*) FROM link WHERE a = comp.id) AS n_links, component_id, id = component_id AS kept
+FROM comp
+""",
+    "op10_minhash_near_dup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id AS id, list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t
+  FROM documents
+), s AS (
+  SELECT id, list_distinct(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 3 THEN [array_to_string(t, ' ')]
+    ELSE list_transform(range(1, len(t) - 1), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]) END) AS g FROM w
+), n AS (SELECT id, len(g) AS n FROM s), u AS (SELECT id, unnest(g) AS h FROM s),
+pair AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM u x JOIN u y ON x.h = y.h AND x.id <> y.id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+), node AS (SELECT id FROM n)"""
+    + _REACH
+    + """
+SELECT id AS doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, id = component_id AS kept FROM comp JOIN n USING (id)
+""",
+    "op8_warc_zip": """
+WITH d AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hx FROM pages
+), g AS (SELECT *, max(page_id) OVER (PARTITION BY hx) AS best FROM d)
+SELECT page_id, url, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(hx, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> best THEN best END AS refers_to
+FROM g
+""",
+}
