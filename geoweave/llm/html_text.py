@@ -52,8 +52,8 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: elements whose content is no text of the page
-UNREAD = frozenset("script style noscript template svg iframe object select textarea math canvas audio video".split())
-RAW = frozenset("script style iframe noscript textarea title".split())
+UNREAD = frozenset("head title script style noscript template svg iframe object select textarea math canvas audio video".split())
+RAW = frozenset("title script style noscript iframe textarea".split())
 #: an opening tag of the key closes an open element of the value
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = frozenset("div article section main aside nav header footer body table ul ol dl form blockquote td th li figure".split())
@@ -74,29 +74,38 @@ def blocks(page: str) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
-    path: tuple[str, ...] = ()
     held: list[str] = []
-    link = 0
-    unread = links = 0
+    link = unread = links = 0
 
     def end_block() -> None:
         nonlocal held, link
         if held:
-            text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
+            text = "".join(held)
+            if "&" in text:
+                text = html.unescape(text)
+            text = " ".join(text.split())
             if text:
-                out.append(Block(path, text, link))
-        held, link = [], 0
-
-    def set_path() -> None:
-        nonlocal path, unread, links
-        path = tuple(m for name, marks in stack if name not in INLINE for m in marks)
-        unread = sum(name in UNREAD or name in ("head", "title") for name, _ in stack)
-        links = sum(name == "a" for name, _ in stack)
+                out.append(Block(tuple(m for name, marks in stack if name not in INLINE for m in marks), text, link))
+            held = []
+        link = 0
+
+    def push(name: str, marks: tuple[str, ...]) -> None:
+        nonlocal unread, links
+        stack.append((name, marks))
+        unread += name in UNREAD
+        links += name == "a"
+
+    def cut(k: int) -> None:
+        nonlocal unread, links
+        for name, _ in stack[k:]:
+            unread -= name in UNREAD
+            links -= name == "a"
+        del stack[k:]
 
     def close(names) -> None:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in names:
-                del stack[k:]
+                cut(k)
                 return
             if stack[k][0] in _SCOPES:
                 return
@@ -104,11 +113,12 @@ def blocks(page: str) -> list[Block]:
     at = 0
     while True:
         m = _TAG.search(page, at)
-        text = page[at : m.start() if m else len(page)]
-        if text and not unread:
-            held.append(text)
-            if links:
-                link += len(text)
+        if not unread:
+            text = page[at : m.start() if m else len(page)]
+            if text:
+                held.append(text)
+                if links:
+                    link += len(text)
         if m is None:
             break
         at = m.end()
@@ -116,43 +126,38 @@ def blocks(page: str) -> list[Block]:
         if tag[1] in "!?":
             continue
         name = _NAME.match(tag)[1].lower()
+        inline = name in INLINE
         if tag[1] == "/":
-            if name not in INLINE:
+            if not inline:
                 end_block()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    del stack[k:]
+                    cut(k)
                     break
-                if name in INLINE and stack[k][0] not in INLINE:
+                if inline and stack[k][0] not in INLINE:
                     break
-            set_path()
             continue
-        if name not in INLINE:
+        if not inline:
             end_block()
             if name in CLOSES:
                 close(CLOSES[name])
-            elif any(n == "p" for n, _ in stack) and name not in ("br", "hr", "input", "img"):
+            elif name not in VOID:
                 close(("p",))
             if name == "body":  # a head that never closed
-                stack[:] = [x for x in stack if x[0] not in ("head", "title")]
+                close(("head",))
         if name in VOID or tag.endswith("/>") and name not in RAW:
-            set_path()
             continue
         if name in RAW:
             found = re.compile(f"</{name}", re.I).search(page, at)
-            body = page[at : found.start() if found else len(page)]
-            at = found.start() if found else len(page)
-            stack.append((name, (name,)))
-            set_path()
-            if not unread:
-                held.append(body)
-            continue
+            end = found.start() if found else len(page)
+            if not unread and name not in UNREAD:
+                held.append(page[at:end])
+            at = end
         marks = [name]
         if "=" in tag:
             for g in _MARKS.findall(tag):
                 marks += ["." + w.lower() for w in _PIECE.findall("".join(g))[:6]]
-        stack.append((name, tuple(marks)))
-        set_path()
+        push(name, tuple(marks))
     end_block()
     return out
 
@@ -171,33 +176,41 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
     return np.clip(v, -2, 2)
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """``(blocks, INPUT)`` inputs of one page."""
-    n = len(page)
-    x = np.zeros((n, INPUT), np.float32)
-    texts = [b.text for b in page]
+_STOP = frozenset(".!?…\"'”»")
+_POINTS = np.zeros(256, np.int64)
+_POINTS[list(b".,;")] = 1
+
+
+def vectors(pages: list[list[Block]]) -> list[np.ndarray]:
+    """``(blocks, INPUT)`` inputs of every page; no page is empty."""
+    every = [b for page in pages for b in page]
+    n = len(every)
+    texts = [b.text for b in every]
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    h, row, _, _ = words(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    h, row, _, _ = words(data, offsets)
     count = np.bincount(row, minlength=n)
     bag = np.bincount(row * WORDS + (h % np.uint64(WORDS)).astype(np.int64), minlength=n * WORDS).reshape(n, WORDS)
+    size = np.array([len(t) for t in texts])
+    lengths = np.array([len(p) for p in pages])
+    place = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    of = np.repeat(lengths, lengths)
+    x = np.empty((n, INPUT), np.float32)
+    x[:, :PATH] = [_path_vector(b.path) for b in every]
     x[:, PATH : PATH + WORDS] = bag / np.sqrt(np.maximum((bag * bag).sum(1, keepdims=True), 1))
-    for i, b in enumerate(page):
-        x[i, :PATH] = _path_vector(b.path)
-        t, size = b.text, len(b.text)
-        x[i, PATH + WORDS :] = (
-            np.log1p(count[i]) / 4,
-            min(1.0, b.link / size),
-            t[-1] in ".!?…\"'”»",
-            sum(map(t.count, ".,;")) * 8 / size,
-            "©" in t or "@" in t,
-            i / n,
-            (n - 1 - i) / n,
-            count[i] > 12,
-            t[0].isupper(),
-            np.log1p(n) / 6,
-        )
-    return x
+    shape = x[:, PATH + WORDS :]
+    shape[:, 0] = np.log1p(count) / 4
+    shape[:, 1] = np.minimum(1.0, np.array([b.link for b in every]) / size)
+    shape[:, 2] = [t[-1] in _STOP for t in texts]
+    shape[:, 3] = np.add.reduceat(_POINTS[data], offsets[:-1]) * 8 / size
+    shape[:, 4] = ["©" in t or "@" in t for t in texts]
+    shape[:, 5] = place / of
+    shape[:, 6] = (of - 1 - place) / of
+    shape[:, 7] = count > 12
+    shape[:, 8] = [t[0].isupper() for t in texts]
+    shape[:, 9] = np.log1p(of) / 6
+    return np.split(x, np.cumsum(lengths)[:-1])
 
 
 # ---- network ---------------------------------------------------------------------------------
@@ -335,6 +348,10 @@ def layouts(n: int, seed: int = 3) -> Iterator[tuple[str, str]]:
         return "".join(pick(*sounds) for _ in range(int(rng.integers(1, 4))))
 
     def prose(lo: int, hi: int) -> str:
+        if hi > 12 and chance(0.12):  # odd texts: one word, signs between words, one word again and again, shouting
+            lo, hi = pick((1, 1), (1, 3), (lo, hi))
+            w, n = word(), int(rng.integers(lo, hi + 1))
+            return pick(w.title() + ".", " | ".join(word() for _ in range(n)) + " |", " ".join([w] * n), "!! ".join(word().upper() for _ in range(n)) + "!!", " ".join(word() + pick("%%%", "***", "$$$") for _ in range(n)))
         out = []
         for _ in range(int(rng.integers(lo, hi + 1))):
             w = word()
@@ -385,8 +402,8 @@ def layouts(n: int, seed: int = 3) -> Iterator[tuple[str, str]]:
 
         if chance(0.85):
             say(f"<{pick('h1', 'h1', 'h2')}>{{}}</h1>", prose(1, 14))
-        for _ in range(int(rng.integers(1, 9))):
-            kind = pick("p", "p", "p", "p", "open", "br", "list", "quote", "head", "table", "pre", "inline", "plain")
+        for _ in range(int(rng.integers(20, 60)) if chance(0.06) else int(rng.integers(1, 9))):
+            kind = pick("p", "p", "p", "p", "p", "p", "p", "p", "open", "br", "list", "quote", "head", "table", "pre", "inline", "plain")
             if kind == "p":
                 say("<p>{}</p>", prose(1, 70))
             elif kind == "open":
@@ -445,11 +462,11 @@ def _taught(page: str, main: str) -> tuple[np.ndarray, np.ndarray]:
         labels.append(hit)
         if hit:
             at += len(b.text) + 1
-    return vectors(found), np.array(labels, np.float32)
+    return (vectors([found])[0] if found else np.zeros((0, INPUT), np.float32)), np.array(labels, np.float32)
 
 
 @lru_cache(maxsize=2)
-def trained(pages: int = 900, epochs: int = 12) -> Labeller:
+def trained(pages: int = 1400, epochs: int = 14) -> Labeller:
     """The labeller, trained on first use (seeded: the same in every process)."""
     taught = [_taught(p, m) for p, m in layouts(pages)]
     taught = [t for t in taught if len(t[0])]
@@ -472,7 +489,7 @@ def main_texts(pages: list[str], model: Labeller, batch_blocks: int = 4096) -> l
         while end < len(order) and end - at < 64 and len(read[order[end]]) * (end + 1 - at) <= batch_blocks:
             end += 1
         part = order[at:end]
-        for i, p in zip(part, model.probabilities([vectors(read[i]) for i in part]), strict=True):
+        for i, p in zip(part, model.probabilities(vectors([read[i] for i in part])), strict=True):
             out[i] = " ".join(b.text for b, y in zip(read[i], p, strict=True) if y >= 0.5)
         at = end
     return out
