@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from geoweave.llm.arrays import runs
 from geoweave.llm.minhash import parts
-from geoweave.operators.components import connected_components
+from geoweave.operators.components import edge_components
 from geoweave.plans.iterate import checkpoint
 
 BLOCK_ROWS = 1024
@@ -204,9 +204,7 @@ def near_vectors(
     celled = checkpoint(_cells(usable, cosine, blocks, grid, width))
     found = checkpoint(_verify(celled, cosine, blocks, _kind(usable)))
     counts = found.groupBy(F.col("src").alias("id")).agg(F.sum("n").alias("n_links")).filter("n_links > 0")
-    edges = found.filter("src <> dst").select("src", "dst")
-    nodes = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    result = counts.join(connected_components(nodes, edges), "id", "left")
+    result = counts.join(edge_components(found.filter("src <> dst").select("src", "dst")), "id", "left")
     out = table.select(id_col).withColumn("id", F.col(id_col).cast("long")).join(result, "id", "left")
     component = F.coalesce(F.col("component"), F.col("id"))
     return out.select(

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.llm.arrays import mix, runs, shingles, slices, text_bytes, words
-from geoweave.operators.components import connected_components
+from geoweave.operators.components import edge_components
 from geoweave.plans.iterate import checkpoint
 
 SIGNATURE = 64  # bytes
@@ -247,7 +247,8 @@ def confirmed_trees(grouped: DataFrame, docs: DataFrame, b: Banding) -> DataFram
         "component",
         F.ceil(F.greatest(F.col("_n") / F.lit(BLOCK_ROWS), F.col("_s") / F.lit(BLOCK_SHINGLES))).cast("long").alias("_blocks"),
     )
-    texts = grouped.select("id", "component").join(blocks, "component").join(docs.select("id", "text"), "id")
+    # merge: texts are shuffled at every size; the groups' ids are never small enough to count on
+    texts = grouped.select("id", "component").join(blocks, "component").hint("merge").join(docs.select("id", "text"), "id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,9 +280,12 @@ def confirmed_trees(grouped: DataFrame, docs: DataFrame, b: Banding) -> DataFram
     return _block_pairs(rows, "component", "_blocks").mapInArrow(run, "src long, dst long")
 
 
-def _components(edges: DataFrame) -> DataFrame:
-    nodes = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    return connected_components(nodes, edges)
+def _components(trees: DataFrame) -> DataFrame:
+    """``(id, component)`` of trees ``(src root, dst)``, which many tables repeat: every node keeps the link to
+    its smallest root, and its other roots are linked with that root, once each."""
+    least = trees.groupBy("dst").agg(F.min("src").alias("_m"))
+    roots = trees.join(least, "dst").filter("src <> _m").select("src", F.col("_m").alias("dst")).distinct()
+    return edge_components(roots.unionByName(least.select(F.col("_m").alias("src"), "dst")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", banding: Banding = Banding()) -> DataFrame:

@@ -16,8 +16,8 @@ word never scores alone: the same insult weighs differently when negated or quot
 
 The lexicon is a seed list plus word forms and word beginnings learnt from labelled rows, with
 strengths by smoothed log odds; outcome weights are fitted on the same rows, starting from the
-grammar's own. At most ``sample`` rows of either class are learnt from (documented bound), from
-distinct openings, so that copies of one text do not vote twice.
+grammar's own. At most ``sample`` toxic and ``2 * sample`` clean rows are learnt from (documented bound), one
+per opening, so that copies of one text do not vote twice.
 """
 
 from __future__ import annotations
@@ -48,8 +48,8 @@ SEED = {
 #: clauses end at these signs
 _CLAUSE = re.compile(r"[.!?;:\n\r]+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
-#: a learnt word form or beginning stands in at least this share of the toxic rows learnt from
-MIN_SHARE = 0.004
+#: natural logarithm of the odds against chance that a learnt mark must show
+EVIDENCE = 16.0
 PREFIXES = range(3, 9)
 
 
@@ -142,8 +142,9 @@ _OUTCOME = {o: i for i, o in enumerate(OUTCOMES)}
 
 
 def grammar_weights() -> np.ndarray:
-    """The grammar's own weight of every outcome, before fitting: targets raise, negation and reported speech lower."""
-    w = np.zeros(len(OUTCOMES))
+    """The grammar's own weight of every outcome, before fitting: targets raise, negation and reported speech
+    lower. The last is that of the sum over clauses."""
+    w = np.full(len(OUTCOMES) + 1, 0.2)
     for i, (kind, flags) in enumerate(OUTCOMES):
         w[i] = (1.0 if kind == INSULT else 1.5) * (1.25 if flags & TARGETED else 1) * (0.6 if flags & NEGATED else 1) * (0.7 if flags & REPORTED else 1)
     return w
@@ -186,7 +187,7 @@ def seed_lexicon() -> Lexicon:
 
 
 def outcomes(text: str, lexicon: Lexicon, machine: Machine = GRAMMAR) -> np.ndarray:
-    """Strength of the strongest clause per outcome, and the number of matching clauses at the end.
+    """Strength of the strongest clause per outcome, and the sum over all matching clauses at the end.
 
     Only clauses with an insult or a threat are run through the machine; the others leave nothing."""
     out = np.zeros(len(OUTCOMES) + 1)
@@ -208,7 +209,7 @@ def outcomes(text: str, lexicon: Lexicon, machine: Machine = GRAMMAR) -> np.ndar
                 score[i] = max(score[i], found[1])
         if score.any():
             out[:-1] = np.maximum(out[:-1], score)
-            out[-1] += 1
+            out[-1] += score.max()
     return out
 
 
@@ -220,7 +221,7 @@ class Model:
 
     def score(self, text: str) -> float:
         x = outcomes(text, self.lexicon)
-        z = float(np.log1p(x[:-1]) @ self.weights + 0.1 * np.log1p(x[-1]) + self.offset)
+        z = float(np.log1p(x) @ self.weights + self.offset)
         return 1 / (1 + np.exp(-max(min(z, 30.0), -30.0)))
 
 
@@ -228,43 +229,58 @@ class Model:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int) -> DataFrame:
-    """``(text, y)`` of at most ``sample`` learnable labelled rows of either class, in hash order."""
+    """``(text, y)`` of at most ``sample`` toxic and ``2 * sample`` clean learnable rows, in hash order."""
     learn = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
     usable = labels.filter(learn & F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.max(label_col).alias("y"))
     chosen = None
     for y in (0, 1):
-        part = usable.filter(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(sample)
+        part = usable.filter(F.col("y") == y).orderBy(F.xxhash64(id_col), id_col).limit(sample * (2 - y))
         chosen = part if chosen is None else chosen.unionByName(part)
     return docs.select(id_col, F.col(text_col).alias("text")).filter("text is not null").join(F.broadcast(chosen), id_col).select("text", "y")
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
-    """Seed words plus forms and beginnings that mark toxic rows, counted by Spark over distinct openings."""
-    words = F.array_distinct(F.array_remove(F.split(F.lower("text"), r"[^\p{L}'’]+"), ""))
-    each = rows.select("y", F.substring("text", 1, 40).alias("opening"), F.explode(words).alias("w"))
-    marks = F.array(F.concat(F.lit("="), F.col("w")), *(F.when(F.length("w") >= n, F.substring("w", 1, n)) for n in PREFIXES))
-    counted = (
-        each.select("y", "opening", F.explode(marks).alias("mark"))
-        .filter("mark is not null")
-        .groupBy("mark")
-        .agg(
-            F.approx_count_distinct(F.when(F.col("y") == 1, F.col("opening"))).alias("t"),
-            F.count_if(F.col("y") == 0).alias("c"),
-            F.count_if(F.col("y") == 1).alias("n"),
-        )
-    )
+    """Seed words plus forms and beginnings that mark toxic rows, counted by Spark over rows ``(text, y)``
+    of distinct openings.
+
+    A mark counts when its split between toxic and clean rows is no chance: with ``t`` toxic and ``c``
+    clean rows, ``(t + c) · KL(t / (t + c) ‖ share of toxic rows)`` is at least ``EVIDENCE`` and clean rows hold it at
+    most 1/20 as often as toxic rows do.
+    """
+    rows = rows.groupBy("y", F.substring("text", 1, 40).alias("opening")).agg(F.min("text").alias("text"))
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = seed_lexicon()
     if not toxic or not clean:
         return lexicon
-    least = max(3, MIN_SHARE * toxic)
-    # marks in clean rows as often as chance would have it are no marks: at most 1 in 50 of the toxic share
-    strong = counted.filter((F.col("t") >= least) & (F.col("c") / clean <= 0.02 * F.col("n") / toxic)).orderBy(F.desc("t"), "mark").limit(5000)
-    for r in strong.collect():
+    words = F.array_distinct(F.array_remove(F.split(F.lower("text"), r"[^\p{L}'’]+"), ""))
+    forms = F.transform(words, lambda w: F.concat(F.lit("="), w))
+
+    def beginnings(n: int):
+        return F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) >= n), lambda w: F.substring(w, 1, n)))
+
+    starts = [beginnings(n) for n in PREFIXES]
+    marks = F.flatten(F.array(forms, *starts))
+    counted = (
+        rows.select("y", F.explode(marks).alias("mark"))
+        .groupBy("mark")
+        .agg(F.count_if(F.col("y") == 1).alias("n"), F.count_if(F.col("y") == 0).alias("c"))
+    )
+    share = toxic / (toxic + clean)
+    p = F.col("n") / (F.col("n") + F.col("c"))
+    other = F.when(F.col("c") > 0, (1 - p) * F.log((1 - p) / (1 - share))).otherwise(F.lit(0.0))
+    evidence = (F.col("n") + F.col("c")) * (p * F.log(p / share) + other)
+    rare = F.col("c") / clean <= 0.05 * F.col("n") / toxic
+    strong = counted.filter("n >= 3").filter(rare & (evidence >= EVIDENCE)).orderBy(F.desc("n"), "mark").limit(5000)
+    found = {r["mark"]: r for r in strong.collect()}  # at most 5,000
+    for mark, r in found.items():
+        form = mark.startswith("=")
+        # a beginning that a longer one stands in for says nothing of its own
+        longer = (found[q]["n"] for q in found if len(q) == len(mark) + 1 and q.startswith(mark))
+        if not form and any(n >= 0.95 * r["n"] for n in longer):
+            continue
         odds = float(np.log((r["n"] + 0.5) / (toxic + 1)) - np.log((r["c"] + 0.5) / (clean + 1)))
-        form = r["mark"].startswith("=")
-        (lexicon.forms if form else lexicon.beginnings).setdefault(r["mark"].lstrip("="), (INSULT, max(odds, 0.1)))
+        (lexicon.forms if form else lexicon.beginnings)[mark.lstrip("=")] = (INSULT, max(odds, 0.1))
     return lexicon
 
 
@@ -275,22 +291,22 @@ def fit_weights(texts: list[str], y: np.ndarray, lexicon: Lexicon) -> Model:
         return Model(lexicon, prior, -1.0)
     x = np.array([outcomes(t, lexicon) for t in texts])
     x = np.log1p(x)
-    fixed, design = 0.1 * x[:, -1], np.hstack([x[:, :-1], np.ones((len(x), 1))])
+    design = np.hstack([x, np.ones((len(x), 1))])
     beta, centre = np.append(prior, -1.0), np.append(prior, -1.0)
     pull = np.append(np.full(len(prior), 2e-3), 1e-4)
     w = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta + fixed, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
         grad = design.T @ (w * (p - y)) + pull * (beta - centre)
         hess = (design * (w * p * (1 - p))[:, None]).T @ design + np.diag(pull)
         beta = beta - np.linalg.solve(hess, grad)
     return Model(lexicon, beta[:-1], float(beta[-1]))
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 3000) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 1500) -> Model:
     rows = labelled_rows(docs, labels, id_col, text_col, label_col, sample)
     lexicon = learn_lexicon(rows)
-    got = [(r["text"], r["y"]) for r in rows.collect()]  # at most 2 * sample rows
+    got = [(r["text"], r["y"]) for r in rows.collect()]  # at most 3 * sample rows
     return fit_weights([t for t, _ in got], np.array([y for _, y in got]), lexicon)
 
 
@@ -300,7 +316,7 @@ def toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    sample: int = 3000,
+    sample: int = 1500,
 ) -> DataFrame:
     """``(id_col, held_out, score, predicted)`` per row of ``docs``; the whole text is read.
 
