@@ -28,7 +28,7 @@ from geoweave.llm.minhash import parts
 from geoweave.operators.components import edge_components
 from geoweave.plans.iterate import checkpoint
 
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 2048
 #: added to a squared distance budget: rounding of the rotated single coordinates
 SLACK = 1e-9
 

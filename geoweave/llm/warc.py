@@ -38,6 +38,8 @@ INDEX = "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"  # fixed value: a rewritten package has equal bytes
 
+RUNS_PER_TASK = 4
+
 MANIFEST = "path string, n_records long, n_bytes long"
 RECORD = (
     "record_id string, url string, payload_bytes long, payload_digest string, record_type string, "
@@ -357,8 +359,9 @@ def archive_pages(pages: DataFrame, folder: str | None = None, min_revisit_bytes
         F.col("_best").cast("string").alias("refers_to"),
     )
     manifest = write_packages(records, folder)
-    located = checkpoint(locate_records(manifest.repartition("path")))
-    back = read_records(located.repartition("path", "start"), with_payload=False)
+    # fixed counts: the rows are few and small, but each stands for much reading
+    located = checkpoint(locate_records(manifest.repartition(max(1, manifest.count()), "path")))
+    back = read_records(located.repartition(max(1, -(-located.count() // RUNS_PER_TASK)), "path", "start"), with_payload=False)
     as_id = lambda c: F.when(F.col(c) != "", F.col(c)).cast(pages.schema["page_id"].dataType)
     return back.select(
         as_id("record_id").alias("page_id"),
