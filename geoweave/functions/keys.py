@@ -13,8 +13,8 @@ def md5_key(seed, *cols) -> Column:
 
 
 def md5_int(seed, *cols) -> Column:
-    """First 32 bits of ``md5_key`` as a non-negative BIGINT (no overflow under ANSI mode)."""
-    return F.conv(F.substring(md5_key(seed, *cols), 1, 8), 16, 10).cast("long")
+    """First 60 bits of ``md5_key`` as a non-negative BIGINT (no overflow under ANSI mode)."""
+    return F.conv(F.substring(md5_key(seed, *cols), 1, 15), 16, 10).cast("long")
 
 
 def md5_bit(seed, *cols) -> Column:

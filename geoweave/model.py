@@ -29,12 +29,15 @@ class Graph:
 
     ``nodes``: ``id BIGINT, lat DOUBLE, lon DOUBLE`` (coordinates nullable).
     ``edges``: ``src BIGINT, dst BIGINT`` and optionally ``weight DOUBLE``.
+    ``km_weights`` is true only when the weights are the great-circle distances of the edges'
+    endpoints (set by ``geo.edge_weights``); searches may then bound the remaining way by distance.
     Nothing is computed until an operator runs an action.
     """
 
     nodes: DataFrame
     edges: DataFrame
     directed: bool = True
+    km_weights: bool = False
 
     @property
     def has_weight(self) -> bool:
@@ -48,8 +51,9 @@ class Graph:
     def edge_attrs(self) -> list[str]:
         return [c for c in self.edges.columns if c not in ("src", "dst")]
 
-    def with_edges(self, edges: DataFrame, directed: bool | None = None) -> "Graph":
-        return Graph(self.nodes, edges, self.directed if directed is None else directed)
+    def with_edges(self, edges: DataFrame, directed: bool | None = None, km_weights: bool = False) -> "Graph":
+        """Same nodes, other edges; weights count as custom ones unless ``km_weights`` says otherwise."""
+        return Graph(self.nodes, edges, self.directed if directed is None else directed, km_weights)
 
     def with_nodes(self, nodes: DataFrame) -> "Graph":
         return Graph(nodes, self.edges, self.directed)
@@ -59,19 +63,3 @@ class Graph:
         from geoweave.operators.structure import graph_summary
 
         return graph_summary(self)
-
-
-def typed_nodes(df: DataFrame) -> DataFrame:
-    """Project any ``id, lat, lon`` frame onto the node schema types."""
-    return df.select(
-        F.col("id").cast("long").alias("id"),
-        F.col("lat").cast("double").alias("lat"),
-        F.col("lon").cast("double").alias("lon"),
-    )
-
-
-def typed_edges(df: DataFrame) -> DataFrame:
-    cols = [F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst")]
-    if "weight" in df.columns:
-        cols.append(F.col("weight").cast("double").alias("weight"))
-    return df.select(*cols)

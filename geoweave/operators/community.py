@@ -5,14 +5,17 @@
   from oscillating on sparse graphs.
 * Louvain: synchronous local-moving sweeps with the standard modularity gain (including the
   cost of leaving the current community), damped so that neighbouring nodes do not swap
-  labels forever: in a sweep only nodes whose hash bit matches the sweep parity may move, and
-  two singletons merge only toward the smaller label. A sweep is kept only if modularity rises.
+  labels forever: a hash bit of the node id splits the nodes into two fixed halves that move in
+  turn, and two singletons merge only toward the smaller label. A sweep is kept only if modularity
+  rises; a pass ends when neither half makes such a move.
   Contraction keeps intra-community weight as self-loops and community labels are original
   node ids, so memberships compose across passes.
 """
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ from geoweave.functions.keys import md5_bit
 from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 EPS = 1e-12
+log = logging.getLogger(__name__)
 
 
 # ---- label propagation -----------------------------------------------------------------------
@@ -70,6 +74,10 @@ def label_propagation(
         labels = new.drop("_changed")
         if n == 0:
             break
+    else:
+        if changes and changes[-1]:
+            log.warning("label propagation stopped after %d iterations with %d changes in the last", max_iter, changes[-1])
+    release(voters)
     return labels, changes
 
 
@@ -146,10 +154,10 @@ def internal_edges(membership: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def select_communities(
-    membership: DataFrame, num_random: int = 20, max_size: int = 3000, min_size: int = 5, seed: int = 42
+    membership: DataFrame, num_random: int = 20, max_size: int | None = None, min_size: int = 5, seed: int = 42
 ) -> DataFrame:
     """``(community, role, size)`` — the largest, the smallest with more than one member
-    (any size if none) and ``num_random`` seeded picks among ``min_size < size < max_size``
+    (any size if none) and ``num_random`` seeded picks among ``min_size < size`` (``< max_size``, where given)
     excluding those two. Fewer than three communities → no rows (Q32)."""
     from geoweave.operators.sampling import sample_rows
 
@@ -166,7 +174,10 @@ def select_communities(
         F.col("b.c").alias("community"), F.lit("smallest").alias("role"), F.col("b.s").alias("size")
     )
     extremes = largest.select("community").unionByName(smallest.select("community"))
-    mid = sizes.filter((F.col("size") > min_size) & (F.col("size") < max_size)).join(extremes, "community", "left_anti")
+    wanted = F.col("size") > min_size
+    if max_size is not None:
+        wanted &= F.col("size") < max_size
+    mid = sizes.filter(wanted).join(extremes, "community", "left_anti")
     rnd = sample_rows(mid, num_random, seed, ("community",)).select("community", F.lit("random").alias("role"), "size")
     return largest.unionByName(smallest).unionByName(rnd)
 
@@ -178,13 +189,12 @@ def _louvain_sweep(
     memb: DataFrame,
     cw: DataFrame,
     m: float,
-    sweep: int,
     seed: int,
     parity: int | None = None,
     gain_rule: str = "standard",
 ) -> DataFrame:
     """One synchronous local-moving sweep over ``memb(id, community, k)``; returns
-    ``(id, community, k, moved)``. With ``parity`` only nodes whose hash bit equals it may move.
+    ``(id, community, k, moved)``. With ``parity`` only the half of the nodes whose hash bit equals it may move.
 
     ``gain_rule="standard"`` compares the best gain with the gain of staying (the cost of leaving
     the current community); ``"simple"`` is the reference's rule: move when the best gain of
@@ -216,7 +226,7 @@ def _louvain_sweep(
         stay = F.lit(0.0)
     else:
         stay = F.col("l_own") / F.lit(m) - (F.col("tot_own") - F.col("k")) * F.col("k") / F.lit(two_m2)
-    turn = F.lit(True) if parity is None else md5_bit(seed, F.lit(sweep), F.col("i")) == F.lit(parity)
+    turn = F.lit(True) if parity is None else md5_bit(seed, F.col("i")) == F.lit(parity)
     dec = node.join(per_node, "i", "left").select(
         F.col("i").alias("id"),
         "ci",
@@ -235,75 +245,60 @@ def louvain(
     nodes: DataFrame,
     edges: DataFrame,
     weight_col: str | None = "weight",
-    max_passes: int = 10,
-    max_sweeps: int = 20,
-    tol: float = 1e-4,
-    rel_tol: float = 0.01,
     seed: int = 42,
     rounds: RoundLog | None = None,
     gain_rule: str = "standard",
 ) -> tuple[DataFrame, list[dict]]:
     """``membership(id, community)`` and per-pass ``{pass, modularity, communities}``.
 
-    Passes of local moving (G8) and contraction (G9). A pass ends when its last two sweeps (one
-    per parity) together gain less than ``max(tol, rel_tol × gain of the pass so far)``; the
-    remaining small moves are taken up at the next, coarser level. Passes stop when one adds
-    less than ``max(tol, rel_tol × total gain)`` or no edge is left. Community labels are
-    original node ids.
+    Passes of local moving (G8) and contraction (G9), until a pass moves nothing. A pass ends when its
+    last two sweeps, one per half of the nodes, both made no move that raises modularity; as every
+    kept sweep raises it, passes end. Community labels are original node ids.
     """
     cw = checkpoint(canonical_weighted(edges, weight_col))
     level_nodes = checkpoint(nodes.select("id"))
     assign = checkpoint(nodes.select("id", F.col("id").alias("community")))  # original → current
     history: list[dict] = []
-    q0_total = None
     sweep_no = 0
-    for p in range(max_passes):
+    while True:
         k = checkpoint(node_strength(level_nodes, cw))
         memb = k.select("id", F.col("id").alias("community"), "k")
         q0 = modularity(memb, cw).first()
         m = float(q0["m"])
         if m <= 0.0:
+            release(k)
             break
-        q = q0["modularity"]
-        q_start = q
-        memb_src = None
-        recent: list[float] = []  # gains of the latest sweeps (0 for a rejected sweep)
-        for _ in range(max_sweeps):
-            # synchronous sweep over the half of the nodes whose hash bit matches the parity
-            nxt = checkpoint(_louvain_sweep(memb, cw, m, sweep_no, seed, sweep_no % 2, gain_rule))
+        q = q_start = q0["modularity"]
+        memb_src, idle = None, 0
+        while idle < 2:
+            nxt = checkpoint(_louvain_sweep(memb, cw, m, seed, sweep_no % 2, gain_rule))
             sweep_no += 1
             r = modularity(nxt, cw, "moved").first()
             if rounds is not None:
-                rounds.record(louvain_pass=p + 1, sweep=sweep_no, moved=r["moved"], modularity=r["modularity"])
+                rounds.record(louvain_pass=len(history) + 1, sweep=sweep_no, moved=r["moved"], modularity=r["modularity"])
             if r["moved"] > 0 and r["modularity"] > q + EPS:
-                recent.append(r["modularity"] - q)
                 release(memb_src)
-                memb_src = nxt
-                memb = nxt.select("id", "community", "k")
-                q = r["modularity"]
+                memb_src, memb, q, idle = nxt, nxt.select("id", "community", "k"), r["modularity"], 0
             else:
-                recent.append(0.0)
                 release(nxt)
-            if len(recent) >= 2 and sum(recent[-2:]) < max(tol, rel_tol * (q - q_start)):
-                break
-        if q > q_start:  # fold this pass's moves into the original-node membership
-            prev_assign = assign
-            assign = checkpoint(
-                assign.join(memb.select(F.col("id").alias("community"), F.col("community").alias("_nc")), "community").select(
-                    "id", F.col("_nc").alias("community")
-                )
-            )
-            release(prev_assign)
-        n_comm = assign.select("community").distinct().count()
-        history.append({"pass": p + 1, "modularity": q, "communities": n_comm})
-        if q0_total is None:
-            q0_total = q_start
-        if q - q_start < max(tol, rel_tol * (q - q0_total)):
+                idle += 1
+        if q <= q_start:
+            if not history:
+                history.append({"pass": 1, "modularity": q, "communities": assign.select("community").distinct().count()})
+            release(k)
             break
+        prev_assign = assign
+        assign = checkpoint(
+            assign.join(memb.select(F.col("id").alias("community"), F.col("community").alias("_nc")), "community").select(
+                "id", F.col("_nc").alias("community")
+            )
+        )
+        history.append({"pass": len(history) + 1, "modularity": q, "communities": assign.select("community").distinct().count()})
         prev_cw, prev_nodes = cw, level_nodes
         cw = checkpoint(contract(memb, cw))
         level_nodes = checkpoint(memb.select(F.col("community").alias("id")).distinct())
-        release(prev_cw, prev_nodes, memb_src, k)
+        release(prev_assign, prev_cw, prev_nodes, memb_src, k)
+    release(cw, level_nodes)
     return assign, history
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweave.plans.iterate import RoundLog, checkpoint, release
+from geoweave.plans.iterate import RoundLog, checkpoint, fingerprint, release
 
 
 def _canon(pairs: DataFrame) -> DataFrame:
@@ -51,29 +51,41 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _canon(linked.unionByName(centre))
 
 
-def connected_components(
-    nodes: DataFrame, edges: DataFrame, rounds: RoundLog | None = None, max_rounds: int = 1000
-) -> DataFrame:
-    """``(id, component)`` where ``component`` is the smallest node id of the weak component.
+def stars(edges: DataFrame, rounds: RoundLog | None = None) -> DataFrame:
+    """``(a, b)``: every node ``b`` of a component but its smallest one, linked to that one, ``a``.
 
-    ``edges`` may be directed or undirected; both orientations are used. Nodes without edges
-    are their own component.
+    ``edges (src, dst)`` may be directed or undirected; both orientations are used. Rounds go on until
+    the edge set no longer changes (its row count and hash are compared, one small job per round).
     """
     cur = checkpoint(_canon(edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))))
-    for _ in range(max_rounds):
+    seen = fingerprint(cur)
+    while True:
         nxt = checkpoint(_small_star(_large_star(cur)))
-        # edges in exactly one of the two sets, counted in one job
-        diff = nxt.withColumn("_n", F.lit(1)).join(cur.withColumn("_o", F.lit(1)), ["a", "b"], "full_outer")
-        changed = diff.filter(F.col("_n").isNull() | F.col("_o").isNull()).count()
+        now = fingerprint(nxt)
         if rounds is not None:
-            rounds.record(changed_edges=changed)
+            rounds.record(edges=now[0])
         release(cur)
         cur = nxt
-        if changed == 0:
-            break
-    # converged: every edge joins a node to its component's smallest id
-    # (a = centre, b = member); a centre has no row and keeps its own id
-    lab = cur.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("_c"))
+        if now == seen:
+            return cur
+        seen = now
+
+
+def edge_components(edges: DataFrame, rounds: RoundLog | None = None) -> DataFrame:
+    """``(id, component)`` of the nodes that have an edge to another node."""
+    found = stars(edges, rounds)
+    members = found.select(F.col("b").alias("id"), F.col("a").alias("component"))
+    centres = found.groupBy("a").agg(F.lit(1).alias("_one")).select(F.col("a").alias("id"), F.col("a").alias("component"))
+    return members.unionByName(centres)
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, rounds: RoundLog | None = None) -> DataFrame:
+    """``(id, component)`` where ``component`` is the smallest node id of the weak component.
+
+    Nodes without edges are their own component.
+    """
+    # a centre has no row as a member and keeps its own id
+    lab = stars(edges, rounds).select(F.col("b").alias("id"), F.col("a").alias("_c"))
     return nodes.select("id").join(lab, "id", "left").select(
         "id", F.coalesce(F.col("_c"), F.col("id")).alias("component")
     )

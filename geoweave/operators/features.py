@@ -28,6 +28,10 @@ START_COLOR = "#2ca02c"
 END_COLOR = "#d62728"
 DEEPEST_COLOR = "#800080"
 VERTEX_COLOR = "#3186cc"
+MAIN_ROUTE_COLOR = "#1f77b4"
+SOURCE_COLOR = "#2ca02c"
+SINK_COLOR = "#d62728"
+ROUTE_NODE_COLOR = "#800080"
 LAYER_START_COLOR = "green"
 LAYER_END_COLOR = "red"
 
@@ -97,26 +101,46 @@ def bfs_features(nodes: DataFrame, tree: DataFrame, longest_path: DataFrame) ->
 # ---- routes (G20) ----------------------------------------------------------------------------
 
 
-def route_features(nodes: DataFrame, routes: DataFrame, route_nodes: DataFrame) -> DataFrame:
-    """Random routes styled shortest / longest / other (P10), plus the nodes on any route.
+def route_features(
+    nodes: DataFrame, routes: DataFrame, route_nodes: DataFrame, main: DataFrame | None = None, main_nodes: DataFrame | None = None
+) -> DataFrame:
+    """Random routes styled shortest / longest / other (P10), the main route with the markers of its
+    ends, and the nodes on any route, the main one included (A21, U2).
 
-    ``routes``: ``(qid, cost)``; ``route_nodes``: ``(qid, pos, id)``.
+    ``routes``: ``(qid, cost)``; ``route_nodes``: ``(qid, pos, id)``; ``main``: ``(source, sink, cost)``;
+    ``main_nodes``: ``(pos, id)``.
     """
     lines = polyline(with_coords(route_nodes, nodes), ["qid"])
-    # the number of routes is bounded by the number of slots: one global window is fine
-    w = Window.partitionBy()
-    styled = lines.join(routes.select("qid", "cost"), "qid").select(
-        "qid", "coords", "cost", F.min("cost").over(w).alias("_lo"), F.max("cost").over(w).alias("_hi")
-    )
-    style = route_style("cost", "_lo", "_hi")
+    # a global aggregate of one row, read as two scalars
+    bounds = routes.agg(F.min("cost").alias("lo"), F.max("cost").alias("hi")).first()
+    styled = lines.join(routes.select("qid", "cost"), "qid")
+    style = route_style("cost", F.lit(bounds["lo"]), F.lit(bounds["hi"]))
     colour = F.when(style == "shortest", F.lit(ROUTE_COLORS["shortest"])).when(style == "longest", F.lit(ROUTE_COLORS["longest"])).otherwise(F.lit(ROUTE_COLORS["other"]))
     label = F.when(style == "shortest", F.format_string("shortest of the sample (%.2f km)", F.col("cost"))).when(
         style == "longest", F.format_string("longest of the sample (%.2f km)", F.col("cost"))
     ).otherwise(F.format_string("route of %.2f km", F.col("cost")))
-    rl = _feature(styled, "random routes", "line", colour, label, F.col("coords"))
-    on_route = with_coords(route_nodes.select("id").distinct(), nodes)
-    pts = _feature(on_route, "nodes on routes", "point", VERTEX_COLOR, F.format_string("node %d", F.col("id")), F.array(_pt()))
-    return rl.unionByName(pts)
+    out = _feature(styled, "random routes", "line", colour, label, F.col("coords"))
+    ids = route_nodes.select("id")
+    if main is not None and main_nodes is not None:
+        ids = ids.unionByName(main_nodes.select("id"))
+        line = polyline(with_coords(main_nodes, nodes).withColumn("_k", F.lit(0)), ["_k"])
+        cost = main.filter("cost is not null").select(F.lit(0).alias("_k"), "cost")
+        main_line = line.join(cost, "_k")
+        out = out.unionByName(
+            _feature(main_line, "main route", "line", MAIN_ROUTE_COLOR, F.format_string("route of %.2f km", F.col("cost")), F.col("coords"))
+        )
+        ends = main.select(F.explode(F.array(
+            F.struct(F.lit("source").alias("role"), F.col("source").alias("id")),
+            F.struct(F.lit("sink").alias("role"), F.col("sink").alias("id")),
+        )).alias("m")).select("m.role", "m.id")
+        end_colour = F.when(F.col("role") == "source", F.lit(SOURCE_COLOR)).otherwise(F.lit(SINK_COLOR))
+        out = out.unionByName(
+            _feature(with_coords(ends, nodes), "markers", "point", end_colour, F.format_string("%s node %d", F.col("role"), F.col("id")), F.array(_pt()))
+        )
+    on_route = with_coords(ids.distinct(), nodes)
+    return out.unionByName(
+        _feature(on_route, "nodes on routes", "point", ROUTE_NODE_COLOR, F.format_string("node %d", F.col("id")), F.array(_pt()))
+    )
 
 
 # ---- DFS path layers (G19) -------------------------------------------------------------------
@@ -189,13 +213,13 @@ def community_features(
     edges: DataFrame,
     membership: DataFrame,
     selection: DataFrame,
-    max_members: int = 3000,
-    max_edge_size: int = 3000,
+    max_members: int | None = None,
+    max_edge_size: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """Selected communities: ≤ ``max_members`` sampled members each (L7), coloured by the
-    log-normalised community size (P9), and internal edges for communities of at most
-    ``max_edge_size`` members."""
+    """Selected communities coloured by the log-normalised community size (P9): their members and
+    internal edges. On request only ``max_members`` sampled members each (L7), and edges only for
+    communities of at most ``max_edge_size`` members."""
     from geoweave.operators.sampling import sample_per_group
 
     sizes = membership.groupBy("community").agg(F.count(F.lit(1)).alias("size"))
@@ -210,10 +234,10 @@ def community_features(
     ).otherwise(F.format_string("community %d (%d members)", F.col("community"), F.col("size")))
     sel = sel.withColumn("layer", layer)
     members = membership.join(sel.select("community"), "community", "left_semi")
-    shown = sample_per_group(members, "community", max_members, seed)
+    shown = sample_per_group(members, "community", max_members, seed) if max_members is not None else members
     pts = with_coords(shown, nodes).join(sel, "community")
     pts_f = _feature(pts, F.col("layer"), "point", F.col("color"), F.format_string("node %d (community %d)", F.col("id"), F.col("community")), F.array(_pt()))
-    small = sel.filter(F.col("size") <= max_edge_size)
+    small = sel.filter(F.col("size") <= max_edge_size) if max_edge_size is not None else sel
     sm = shown.join(small.select("community"), "community", "left_semi")
     mu = sm.select(F.col("id").alias("src"), F.col("community").alias("cs"))
     mv = sm.select(F.col("id").alias("dst"), F.col("community").alias("cd"))

@@ -35,7 +35,7 @@ def edge_weights(g: Graph, force_recalc: bool = False) -> Graph:
             *extra,
         )
     )
-    return g.with_edges(weighted)
+    return g.with_edges(weighted, km_weights=True)
 
 
 def bbox_extremes(nodes: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ dropped in the previous round, keeps per destination the minimum of
 ``struct(dist, pdist, pred)`` (a partial aggregate: hubs are pre-combined map-side) and keeps
 only strict improvements. Equal-cost predecessors resolve to the smallest
 ``(dist(pred), pred)`` — the one a binary-heap Dijkstra pops first. With a sink, candidates
-longer than the sink's current distance are pruned (weights are non-negative).
+longer than the sink's current distance are pruned (weights are not negative).
 All queries of a batch advance in the same jobs.
 """
 
@@ -36,32 +36,44 @@ def usable_edges(g: Graph) -> DataFrame:
     )
 
 
+def prepared_edges(g: Graph) -> DataFrame:
+    """Usable edges written once for a whole search or batch; with km weights each edge also carries its
+    head's coordinates, so rounds need no join with the nodes."""
+    edges = usable_edges(g)
+    if g.km_weights:
+        ends = g.nodes.select(F.col("id").alias("dst"), F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon"))
+        edges = edges.join(ends, "dst", "left")
+    return checkpoint(edges)
+
+
 def shortest_paths(
     g: Graph,
     sources: DataFrame,
     sinks: DataFrame | None = None,
-    max_rounds: int | None = None,
     rounds: RoundLog | None = None,
     geo_bound: bool = True,
-    max_local_queries: int = 100_000,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
     """``(qid, id, dist, pred)`` for the nodes reached from each query's source.
 
     ``sources``: ``(qid, source)``. ``sinks``: optional ``(qid, sink)`` enabling the bound
-    ``dist ≤ dist(sink)``; without sinks distances to all reachable nodes are exact.
+    ``dist ≤ dist(sink)``; without sinks distances to all reachable nodes are exact. Weights must
+    not be negative; zero is allowed.
 
-    With sinks and ``geo_bound`` (weights are great-circle distances of the endpoints, so the
-    great-circle distance to the sink is a lower bound of any remaining route), a candidate is
-    also pruned when ``dist + h(node) > dist(sink)`` — exact, and it stops the search soon after
-    the sink is reached instead of settling every closer node.
+    With sinks and ``geo_bound``, and only where the graph's weights are known to be great-circle
+    distances (``Graph.km_weights``), a candidate is also pruned when ``dist + h(node) > dist(sink)``
+    for the great-circle distance ``h`` to the sink: exact, and it stops the search soon after the
+    sink is reached. Any other weights are searched without it.
 
-    One reliable write per round: the state carries ``upd``, the round in which a node's
-    distance last dropped, and the next frontier is read back from the written state, so the
-    lineage never spans more than one round. One small aggregate per round returns, per query,
-    the number of dropped distances and the sink's current distance (≤ #queries rows).
+    Queries, bounds and state are tables: nothing but one counter per round reaches the driver. The
+    state carries ``upd``, the round in which a node's distance last dropped; the next frontier is
+    read back from the written state. A predecessor of equal cost replaces another only if it is
+    itself nearer to the source, so predecessors never form a cycle over zero-weight edges.
+    ``edges`` may be given as made by ``prepared_edges`` to share them between searches.
     """
-    spark = g.nodes.sparkSession
-    edges = checkpoint(usable_edges(g))
+    own = edges is None
+    edges = prepared_edges(g) if own else edges
+    geo_bound = geo_bound and g.km_weights and sinks is not None
     state = checkpoint(
         sources.select(
             "qid",
@@ -72,145 +84,58 @@ def shortest_paths(
             F.lit(0).alias("upd"),
         )
     )
-    sink_rows = None
-    if sinks is not None and sinks.count() > max_local_queries:
-        return _shortest_paths_joined(g, sources, sinks, edges, state, max_rounds, rounds)
+    goal = None
     if sinks is not None:
-        # at most max_local_queries rows (checked above): one row per query
-        sink_rows = [(int(x[0]), int(x[1])) for x in sinks.select("qid", "sink").collect() if x[1] is not None]
-    sink_tab = spark.createDataFrame(sink_rows, "qid long, _sink long") if sink_rows else None
-    targets: dict[int, tuple] = {}
-    if sink_rows and geo_bound:
-        # coordinates of each query's sink (one row per query)
-        sink_ids = spark.createDataFrame(sink_rows, "qid long, id long")
-        for x in sink_ids.join(g.nodes.select("id", "lat", "lon"), "id").collect():
-            if x["lat"] is not None and x["lon"] is not None:
-                targets[int(x["qid"])] = (float(x["lat"]), float(x["lon"]))
-        if targets:
-            ends = g.nodes.select(F.col("id").alias("dst"), F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon"))
-            prev_edges = edges
-            edges = checkpoint(edges.join(ends, "dst", "left"))
-            release(prev_edges)
-    bounds = None
+        goal = sinks.filter("sink is not null").select("qid", F.col("sink").cast("long").alias("id"))
+        if geo_bound:
+            place = g.nodes.select("id", F.col("lat").alias("_tlat"), F.col("lon").alias("_tlon"))
+            goal = goal.join(place, "id", "left")
+        goal = checkpoint(goal)
+    place_cols = ["_tlat", "_tlon"] if geo_bound else []
+    head_cols = ["_dlat", "_dlon"] if geo_bound else []
     r = 0
-    while max_rounds is None or r < max_rounds:
+    while True:
         r += 1
-        frontier = state.filter(F.col("upd") == r - 1)
-        extra = [edges["_dlat"], edges["_dlon"]] if targets else []
-        cand = frontier.join(edges, frontier.id == edges.src).select(
+        frontier = state.filter(F.col("upd") == r - 1).select("qid", "id", "dist")
+        cand = frontier.join(edges.withColumnRenamed("src", "id"), "id").select(
             "qid",
-            edges.dst.alias("id"),
-            (frontier.dist + edges.weight).alias("dist"),
-            frontier.dist.alias("pdist"),
-            edges.src.alias("pred"),
-            *extra,
+            F.col("dst").alias("id"),
+            (F.col("dist") + F.col("weight")).alias("dist"),
+            F.col("dist").alias("pdist"),
+            F.col("id").alias("pred"),
+            *head_cols,
         )
-        if bounds:
-            # one row per query with a reached sink: a small local relation
-            rows = [(q, b, *targets.get(q, (None, None))) for q, b in bounds]
-            btab = spark.createDataFrame(rows, "qid long, _bound double, _tlat double, _tlon double")
-            cand = cand.join(F.broadcast(btab), "qid", "left")
-            keep = F.col("_bound").isNull() | (F.col("dist") <= F.col("_bound"))
-            if targets:
+        if goal is not None:
+            reached = goal.join(state.select("qid", "id", F.col("dist").alias("_bound")), ["qid", "id"]).drop("id")
+            cand = cand.join(reached.select("qid", "_bound", *place_cols), "qid", "left")
+            way = F.col("dist")
+            if geo_bound:
                 h = haversine_km(F.col("_dlat"), F.col("_dlon"), F.col("_tlat"), F.col("_tlon"))
                 h = F.when(F.col("_tlat").isNull() | (h == F.lit(float("inf"))), F.lit(0.0)).otherwise(h)
                 # tolerance: never prune a route that is equal to the bound up to rounding
-                slack = F.col("_bound") * F.lit(1e-12) + F.lit(1e-9)
-                keep = F.col("_bound").isNull() | (F.col("dist") + h <= F.col("_bound") + slack)
-            cand = cand.filter(keep).drop("_bound", "_tlat", "_tlon")
-        if targets:
-            cand = cand.drop("_dlat", "_dlon")
+                way = way + h - (F.col("_bound") * F.lit(1e-12) + F.lit(1e-9))
+            cand = cand.filter(F.col("_bound").isNull() | (way <= F.col("_bound")))
         best = cand.groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("c"))
         old = state.select("qid", "id", F.struct(*BEST).alias("o"), F.col("upd").alias("_oupd"))
-        improved = (
-            best.join(old, ["qid", "id"], "left")
-            .filter(F.col("o").isNull() | (F.col("c") < F.col("o")))
-            .select(
-                "qid",
-                "id",
-                "c.dist",
-                "c.pdist",
-                "c.pred",
-                F.when(F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist")), F.lit(r))
-                .otherwise(F.col("_oupd"))
-                .alias("upd"),
-            )
-        )
+        nearer = F.col("c").isNotNull() & (F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist")))
+        tie = (F.col("c.dist") == F.col("o.dist")) & (F.col("c") < F.col("o")) & (F.col("c.pdist") < F.col("c.dist"))
+        pick = F.when(nearer | tie, F.col("c")).otherwise(F.col("o"))
         prev = state
         state = checkpoint(
-            state.join(improved.select("qid", "id"), ["qid", "id"], "left_anti").unionByName(improved)
-        )
-        release(prev)
-        dropped = F.count_if(F.col("upd") == r).alias("n")
-        if sink_rows is not None and len(sink_rows) == 1:
-            qid0, sink0 = sink_rows[0]
-            row = state.agg(
-                dropped, F.min(F.when(F.col("id") == F.lit(sink0), F.col("dist"))).alias("b")
-            ).first()
-            per_q = [{"qid": qid0, "n": row["n"], "b": row["b"]}]
-        elif sink_tab is not None:
-            per_q = (
-                state.join(F.broadcast(sink_tab), "qid")
-                .groupBy("qid")
-                .agg(dropped, F.min(F.when(F.col("id") == F.col("_sink"), F.col("dist"))).alias("b"))
-                .collect()
-            )
-        else:
-            per_q = state.agg(dropped, F.lit(None).cast("double").alias("b")).collect()
-        n_new = sum(int(x["n"]) for x in per_q)
-        bounds = [(int(x["qid"]), float(x["b"])) for x in per_q if sink_tab is not None and x["b"] is not None]
-        if rounds is not None:
-            rounds.record(improved=n_new)
-        if n_new == 0:
-            break
-    release(edges)
-    return state.select("qid", "id", "dist", "pred")
-
-
-def _shortest_paths_joined(g, sources, sinks, edges, state, max_rounds, rounds) -> DataFrame:
-    """Batch variant for very many queries: sink bounds stay distributed (a join whose strategy
-    AQE picks from measured sizes) and the driver reads only the round counter."""
-    sink_tab = checkpoint(sinks.select("qid", F.col("sink").cast("long").alias("_sink")))
-    r = 0
-    while max_rounds is None or r < max_rounds:
-        r += 1
-        frontier = state.filter(F.col("upd") == r - 1)
-        cand = frontier.join(edges, frontier.id == edges.src).select(
-            "qid",
-            edges.dst.alias("id"),
-            (frontier.dist + edges.weight).alias("dist"),
-            frontier.dist.alias("pdist"),
-            edges.src.alias("pred"),
-        )
-        bound = state.join(sink_tab, (state.qid == sink_tab.qid) & (state.id == sink_tab["_sink"])).select(
-            state.qid.alias("_bq"), state.dist.alias("_bound")
-        )
-        cand = cand.join(bound, cand.qid == bound["_bq"], "left").filter(
-            F.col("_bound").isNull() | (F.col("dist") <= F.col("_bound"))
-        ).drop("_bq", "_bound")
-        best = cand.groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("c"))
-        old = state.select("qid", "id", F.struct(*BEST).alias("o"), F.col("upd").alias("_oupd"))
-        improved = (
-            best.join(old, ["qid", "id"], "left")
-            .filter(F.col("o").isNull() | (F.col("c") < F.col("o")))
-            .select(
-                "qid", "id", "c.dist", "c.pdist", "c.pred",
-                F.when(F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist")), F.lit(r))
-                .otherwise(F.col("_oupd"))
-                .alias("upd"),
+            old.join(best, ["qid", "id"], "full_outer").select(
+                "qid",
+                "id",
+                *(pick.getField(x).alias(x) for x in BEST),
+                F.when(nearer, F.lit(r)).otherwise(F.col("_oupd")).alias("upd"),
             )
         )
-        prev = state
-        state = checkpoint(
-            state.join(improved.select("qid", "id"), ["qid", "id"], "left_anti").unionByName(improved)
-        )
         release(prev)
         n_new = state.filter(F.col("upd") == r).count()
         if rounds is not None:
             rounds.record(improved=n_new)
         if n_new == 0:
             break
-    release(edges, sink_tab)
+    release(goal, edges if own else None)
     return state.select("qid", "id", "dist", "pred")
 
 
@@ -279,30 +204,39 @@ def random_routes(
     state ``(qid = slot, id, dist, pred)`` of the solved slots, for path reconstruction.
     """
     attempts = checkpoint(random_pair_attempts(g.nodes, n_pairs, max_attempts, seed))
+    edges = prepared_edges(g)
     done: list[DataFrame] = []
     states: list[DataFrame] = []
     open_slots = attempts.select("slot").distinct()
     for a in range(max_attempts):
-        wave = attempts.filter(F.col("attempt") == a).join(open_slots, "slot", "left_semi")
-        if wave.limit(1).count() == 0:
-            if open_slots.limit(1).count() == 0:
+        wave = checkpoint(
+            attempts.filter(F.col("attempt") == a).join(open_slots, "slot", "left_semi").withColumn("qid", F.col("slot"))
+        )
+        if wave.isEmpty():
+            release(wave)
+            if open_slots.isEmpty():
                 break
             continue
-        wave = checkpoint(wave.withColumn("qid", F.col("slot")))
         state = shortest_paths(
             g,
             wave.select("qid", F.col("u").alias("source")),
             wave.select("qid", F.col("v").alias("sink")),
             rounds=rounds,
+            edges=edges,
         )
         solved = checkpoint(
             wave.join(state.select("qid", F.col("id").alias("v"), F.col("dist").alias("cost")), ["qid", "v"])
             .filter(F.col("cost") > 0)
             .select("slot", "attempt", "u", "v", "cost")
         )
+        release(wave)
         done.append(solved)
-        states.append(state.join(solved.select(F.col("slot").alias("qid")), "qid", "left_semi"))
+        if with_state:
+            states.append(state.join(solved.select(F.col("slot").alias("qid")), "qid", "left_semi"))
+        prev = open_slots
         open_slots = checkpoint(open_slots.join(solved.select("slot"), "slot", "left_anti"))
+        release(prev)
+    release(edges)
     if not done:
         empty = attempts.limit(0).select("slot", "attempt", "u", "v", F.lit(0.0).alias("cost"))
         if with_state:

@@ -20,27 +20,22 @@ def _key_exprs(key_cols):
     return [F.col(c) if isinstance(c, str) else c for c in key_cols]
 
 
-def sample_rows(
-    df: DataFrame, n: int, seed: int = 42, key_cols=("id",), max_boundary_rows: int = 1_000_000
-) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, seed: int = 42, key_cols=("id",)) -> DataFrame:
     """The ``n`` rows with the smallest ``md5(seed:key)`` (ties on the key columns).
 
-    Rows in hash buckets entirely below the n-th key are taken as they are. The boundary bucket
-    is refined with the next hex digits until it holds at most ``max_boundary_rows`` rows, and
-    only that bucket is ordered (a bounded top-k), so no task ever sorts a data-sized set.
+    Rows in hash buckets entirely below the n-th key are taken as they are. The boundary bucket is
+    refined with the next hex digits until it is taken whole or its keys agree in all 32 digits; only
+    such equal keys are ever ordered.
     """
     keys = _key_exprs(key_cols)
     cur = df.withColumn("_h", md5_key(seed, *keys))
     cols = df.columns
-    lower: list[DataFrame] = []
-    need = n
-    offset = 0
+    taken: list[DataFrame] = []
+    need, offset = n, 0
     while True:
         level = cur.withColumn("_b", F.substring("_h", offset + 1, PREFIX_DIGITS))
         # bounded collect: one row per bucket (≤ 16^4), independent of the data size
-        hist = sorted(
-            (r["_b"], r["c"]) for r in level.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect()
-        )
+        hist = sorted((r["_b"], r["c"]) for r in level.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect())
         before, boundary, size = 0, None, 0
         for bucket, count in hist:
             if before + count >= need:
@@ -48,19 +43,20 @@ def sample_rows(
                 break
             before += count
         if boundary is None:  # fewer rows than needed: everything qualifies
-            lower.append(level.select(*cols))
-            edge = None
+            taken.append(level.select(*cols))
             break
-        lower.append(level.filter(F.col("_b") < F.lit(boundary)).select(*cols))
         need -= before
+        if size == need:
+            taken.append(level.filter(F.col("_b") <= F.lit(boundary)).select(*cols))
+            break
+        taken.append(level.filter(F.col("_b") < F.lit(boundary)).select(*cols))
         cur = level.filter(F.col("_b") == F.lit(boundary)).drop("_b")
         offset += PREFIX_DIGITS
-        if size <= max_boundary_rows or offset >= 32:
-            edge = cur.orderBy("_h", *keys).limit(need).select(*cols)
+        if offset >= 32:
+            taken.append(cur.orderBy(*keys).limit(need).select(*cols))
             break
-    parts = lower + ([edge] if edge is not None else [])
-    out = parts[0]
-    for p in parts[1:]:
+    out = taken[0]
+    for p in taken[1:]:
         out = out.unionByName(p)
     return out
 
@@ -73,23 +69,20 @@ def sample_edges(edges: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return sample_rows(edges, n, seed, ("src", "dst"))
 
 
-def sample_per_group(
-    df: DataFrame, group_col: str, cap: int, seed: int = 42, key_cols=("id",), salts: int = 16
-) -> DataFrame:
+def sample_per_group(df: DataFrame, group_col: str, cap: int, seed: int = 42, key_cols=("id",)) -> DataFrame:
     """At most ``cap`` rows per group, the smallest ``md5(seed:key)`` first.
 
-    Two-level top-k so that a giant group is never ranked by one task: first per
-    ``(group, salt)`` (salt = other hash bits), then per group over the ≤ cap × salts survivors.
+    The group's size (a partial aggregate) gives a hash threshold below which about ``4 × cap + 1000`` of
+    its rows lie; fewer than ``cap`` below it would be a deviation of more than 20 standard errors. So
+    a giant group is thinned map-side and no task ranks more than the rows below the threshold.
     """
     keys = _key_exprs(key_cols)
-    keyed = df.withColumn("_h", md5_key(seed, *keys)).withColumn(
-        "_s", F.pmod(F.conv(F.substring("_h", 25, 8), 16, 10).cast("long"), F.lit(salts))
-    )
-    w1 = Window.partitionBy(group_col, "_s").orderBy("_h", *keys)
-    w2 = Window.partitionBy(group_col).orderBy("_h", *keys)
-    first = keyed.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= cap)
-    second = first.withColumn("_r", F.row_number().over(w2)).filter(F.col("_r") <= cap)
-    return second.drop("_h", "_s", "_r")
+    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = df.withColumn("_h", md5_key(seed, *keys)).join(sizes, group_col)
+    part = F.conv(F.substring("_h", 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
+    near = keyed.filter(part * F.col("_n") < F.lit(4.0 * cap + 1000.0))
+    w = Window.partitionBy(group_col).orderBy("_h", *keys)
+    return near.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= cap).select(*df.columns)
 
 
 def stride_downsample(path: DataFrame, max_points: int, pos_col: str = "pos") -> DataFrame:
@@ -104,11 +97,3 @@ def stride_downsample(path: DataFrame, max_points: int, pos_col: str = "pos") ->
         return path
     step = length // max_points
     return path.filter((F.col(pos_col) % step == 0) | (F.col(pos_col) == F.lit(last)))
-
-
-def mid_size_groups(sizes: DataFrame, lo: int, hi: int, exclude: DataFrame | None = None) -> DataFrame:
-    """Groups with ``lo < size < hi`` not in ``exclude`` (U5, left-anti)."""
-    mid = sizes.filter((F.col("size") > lo) & (F.col("size") < hi))
-    if exclude is not None:
-        mid = mid.join(exclude.select("community"), "community", "left_anti")
-    return mid

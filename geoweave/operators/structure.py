@@ -1,5 +1,4 @@
-"""Structural operators: summary (A1), degrees (A2–A4), undirected collapse (A5), symmetric
-view (J3), self-loops, induced subgraph (J5), dense id remap (W4/J11)."""
+"""Structural operators: summary (A1), degrees (A2–A4), undirected collapse (A5), self-loops, induced subgraph (J5), dense id remap."""
 
 from __future__ import annotations
 
@@ -78,16 +77,6 @@ def undirected(g: Graph, combine: str = "sum") -> Graph:
     return Graph(g.nodes, edges, directed=False)
 
 
-def symmetric_edges(edges: DataFrame, keep_weight: bool = True) -> DataFrame:
-    """Both orientations of every edge (``E ∪ swap(E)``), self-loops once."""
-    extra = ["weight"] if keep_weight and "weight" in edges.columns else []
-    fwd = edges.select("src", "dst", *extra)
-    back = edges.filter(F.col("src") != F.col("dst")).select(
-        F.col("dst").alias("src"), F.col("src").alias("dst"), *extra
-    )
-    return fwd.unionByName(back)
-
-
 def self_loops(g: Graph) -> DataFrame:
     return g.edges.filter(F.col("src") == F.col("dst"))
 

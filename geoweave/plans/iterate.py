@@ -1,10 +1,10 @@
 """Iteration kernel for graph algorithms.
 
 Each round of an iterative operator is an ordinary DataFrame plan. At the end of a round the
-new state is written with a *reliable* ``checkpoint()`` into the session's checkpoint folder
-(``spark.checkpoint.dir``), which cuts the lineage (plans stay O(1) in size) and lets a job
-lose executors without recomputing earlier rounds. The driver only ever receives a counter per
-round (size of the delta), never rows.
+new state is written as a Parquet table into the session's checkpoint folder
+(``spark.checkpoint.dir``) and read back, which cuts the lineage (plans stay O(1) in size) and lets a
+job lose executors without recomputing earlier rounds. The driver only ever receives counters per
+round (size of the delta, a hash of the table), never rows.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from geoweave.session import ensure_checkpoint_dir
 
@@ -30,33 +31,34 @@ def checkpoint(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/rounds/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    _ROUND_PATHS[id(out)] = path
+    out = spark.read.schema(df.schema).parquet(path)  # a given schema saves the job that infers it
+    out._round_path = path  # the frame itself knows its table, so ``release`` cannot mistake it
     return out
 
 
-# round tables written by ``checkpoint``, by the id of the frame that reads them
-_ROUND_PATHS: dict[int, str] = {}
-
-
 def release(*frames: DataFrame | None) -> None:
     """Delete the round tables behind superseded checkpoint frames.
 
-    Call only when nothing lazy still reads the frame (its successor has been written). Keeps
-    the checkpoint folder at O(live state) instead of O(rounds × state).
+    Call only when nothing lazy still reads the frame (its successor has been written). Frames that
+    were not made by ``checkpoint`` are left alone.
     """
     for df in frames:
-        if df is None:
-            continue
-        path = _ROUND_PATHS.pop(id(df), None)
+        path = getattr(df, "_round_path", None) if df is not None else None
         if path is None:
             continue
+        df._round_path = None
         spark = df.sparkSession
         jvm = spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def fingerprint(df: DataFrame) -> tuple[int, int]:
+    """Row count and an order-free hash of all rows: equal for equal tables without repeated rows."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x")).first()
+    return int(row["n"]), int(row["x"] or 0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -50,24 +50,25 @@ F1_WEIGHTED = (
     "FROM f1e e JOIN f1n s ON s.id = e.src JOIN f1n d ON d.id = e.dst"
 )
 
-# F3 sparse undirected graph (weights rounded to 6)
+# F3 undirected graph of all F1 links (weights rounded to 6)
 F3_EDGES = (
     "SELECT p.src, p.dst, round(" + hav("s.lat", "s.lon", "d.lat", "d.lon") + ", 6) AS weight "
     "FROM (SELECT DISTINCT least(src, dst) AS src, greatest(src, dst) AS dst FROM f1e "
-    "WHERE src <> dst AND (src * 31 + dst * 17) % 20 = 0) p "
+    "WHERE src <> dst) p "
     "JOIN f1n s ON s.id = p.src JOIN f1n d ON d.id = p.dst"
 )
 
 F5_ADJ = (
     "SELECT p.p_partkey AS line_no, CASE WHEN p.p_partkey % 50 = 0 "
-    "THEN coalesce(a.adj, '') || ',x,-3,0,1.5,999999999, 7 ,99999999999999999999' "
+    "THEN coalesce(a.adj, '') || ',x,-3,0,1.5,999999999, 7 ,99999999999999999999,' || chr(9) || '3' || chr(9) "
     "ELSE coalesce(a.adj, '') END AS value FROM part p LEFT JOIN "
     "(SELECT src, string_agg(CAST(dst + 1 AS VARCHAR), ',' ORDER BY dst + 1) AS adj FROM f1e GROUP BY src) a "
     "ON a.src = p.p_partkey"
 )
 F5_LOC = (
     "SELECT p_partkey AS line_no, CASE p_partkey % 97 WHEN 5 THEN 'bad' WHEN 6 THEN '1.0,abc' "
-    "WHEN 7 THEN '1,2,3' ELSE printf('%.2f,%.2f', "
+    "WHEN 7 THEN '1,2,3' WHEN 8 THEN '1.0d,2f' WHEN 9 THEN '0x1p3,1' "
+    "WHEN 10 THEN chr(9) || '1.5,' || chr(9) || '2.5 ' ELSE printf('%.2f,%.2f', "
     "CAST((p_partkey * 7919) % 18000 - 9000 AS DOUBLE) / 100, "
     "CAST((p_partkey * 104729) % 36000 - 18000 AS DOUBLE) / 100) END AS value FROM part"
 )
@@ -79,10 +80,17 @@ def with_graphs(body: str, *extra: str) -> str:
     return "WITH " + ", ".join(ctes) + " " + body
 
 
+_BLANK = "' ' || chr(9)"
+_NUMBER = "'[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'"
+
+
+def _field(k: int) -> str:
+    t = f"trim(string_split(value, ',')[{k}], {_BLANK})"
+    return f"CASE WHEN regexp_full_match({t}, {_NUMBER}) THEN try_cast({t} AS DOUBLE) END"
+
+
 LOC_FIELDS = (
-    "SELECT line_no, value, len(string_split(trim(value), ',')) AS k, "
-    "try_cast(trim(string_split(trim(value), ',')[1]) AS DOUBLE) AS la, "
-    "try_cast(trim(string_split(trim(value), ',')[2]) AS DOUBLE) AS lo FROM loc"
+    f"SELECT line_no, value, len(string_split(value, ',')) AS k, {_field(1)} AS la, {_field(2)} AS lo FROM loc"
 )
 
 SQL: dict[str, str] = {}
@@ -126,13 +134,13 @@ SQL["inspection_table"] = with_graphs(
 )
 SQL["quality_checks"] = with_graphs(
     "SELECT check_name, actual, expected, (expected IS NULL OR actual = expected) AS ok FROM ("
-    "SELECT 'n_nodes' AS check_name, count(*) AS actual, NULL::BIGINT AS expected FROM f1n "
+    "SELECT 'n_nodes' AS check_name, count(*) AS actual, (SELECT count(*) FROM part) AS expected FROM f1n "
     "UNION ALL SELECT 'min_id', min(id), 0 FROM f1n "
     "UNION ALL SELECT 'max_id', max(id), count(*) - 1 FROM f1n "
     "UNION ALL SELECT 'distinct_ids', count(DISTINCT id), count(*) FROM f1n "
     "UNION ALL SELECT 'lat_missing', count(*) FILTER (WHERE lat IS NULL OR isnan(lat)), 0 FROM f1n "
     "UNION ALL SELECT 'lon_missing', count(*) FILTER (WHERE lon IS NULL OR isnan(lon)), 0 FROM f1n "
-    "UNION ALL SELECT 'n_edges', count(*), NULL FROM f1e "
+    "UNION ALL SELECT 'n_edges', count(*), (SELECT count(*) FROM lineitem) FROM f1e "
     "UNION ALL SELECT 'probe_out_degree', count(*) FILTER (WHERE src = 0), NULL FROM f1e "
     "UNION ALL SELECT 'dangling_src', count(*), 0 FROM f1e WHERE src NOT IN (SELECT id FROM f1n) "
     "UNION ALL SELECT 'dangling_dst', count(*), 0 FROM f1e WHERE dst NOT IN (SELECT id FROM f1n))"
@@ -155,11 +163,12 @@ SQL["centroid"] = with_graphs(
     "SELECT round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon, count(*) AS n_nodes FROM f1n"
 )
 SQL["parse_adjacency"] = with_graphs(
-    "SELECT DISTINCT src, try_cast(trim(t) AS BIGINT) - 1 AS dst FROM "
-    "(SELECT line_no AS src, unnest(string_split(trim(value), ',')) AS t FROM adj "
-    " WHERE line_no < (SELECT count(*) FROM part)) "
-    "WHERE regexp_full_match(trim(t), '[0-9]+') "
-    "AND try_cast(trim(t) AS BIGINT) BETWEEN 1 AND (SELECT count(*) FROM part)",
+    "SELECT DISTINCT src, try_cast(t AS BIGINT) - 1 AS dst FROM (SELECT src, "
+    f"trim(t, {_BLANK}) AS t FROM "
+    "(SELECT line_no AS src, unnest(string_split(value, ',')) AS t FROM adj "
+    " WHERE line_no < (SELECT count(*) FROM part))) "
+    "WHERE regexp_full_match(t, '[0-9]+') "
+    "AND try_cast(t AS BIGINT) BETWEEN 1 AND (SELECT count(*) FROM part)",
     f"adj AS ({F5_ADJ})",
 )
 SQL["parse_locations"] = (
@@ -309,41 +318,51 @@ SQL["dfs_deepest"] = (
 # ---- components, forests, communities (F3) -------------------------------------------------
 
 F3 = [f"f3e AS ({F3_EDGES})", "f3s AS (SELECT src, dst, weight FROM f3e UNION ALL SELECT dst, src, weight FROM f3e)"]
-CC = (
-    "cc AS (WITH RECURSIVE r(id, comp) USING KEY (id) AS (SELECT id, id FROM f1n UNION "
-    "SELECT c.id, c.comp FROM (SELECT s.src AS id, min(r.comp) AS comp FROM r JOIN f3s s ON s.dst = r.id "
+F6 = [
+    "f6n AS (SELECT c_custkey AS id FROM customer UNION ALL SELECT 1000000000 + o_orderkey FROM orders)",
+    "f6e AS (SELECT o_custkey AS src, 1000000000 + o_orderkey AS dst FROM orders)",
+]
+CC6 = (
+    "cc AS (WITH RECURSIVE r(id, comp) USING KEY (id) AS (SELECT id, id FROM f6n UNION "
+    "SELECT c.id, c.comp FROM (SELECT s.src AS id, min(r.comp) AS comp FROM r "
+    "JOIN (SELECT src, dst FROM f6e UNION ALL SELECT dst, src FROM f6e) s ON s.dst = r.id "
     "GROUP BY s.src) c JOIN recurring.r o ON o.id = c.id WHERE c.comp < o.comp) SELECT * FROM r)"
 )
 
 
-def minimax_cte(edge_view: str, name: str = "mm") -> str:
-    """Minimax path weight between every pair of a component (keyed recursion)."""
-    return (
-        f"{name} AS (WITH RECURSIVE m(a, b, w) USING KEY (a, b) AS (SELECT src, dst, weight FROM {edge_view} UNION "
-        f"SELECT c.a, c.b, c.w FROM (SELECT m.a, e.dst AS b, min(greatest(m.w, e.weight)) AS w FROM m "
-        f"JOIN {edge_view} e ON e.src = m.b WHERE e.dst <> m.a GROUP BY m.a, e.dst) c "
-        "LEFT JOIN recurring.m o ON o.a = c.a AND o.b = c.b WHERE o.w IS NULL OR c.w < o.w) SELECT * FROM m)"
-    )
+def boruvka_ctes(edges: str, name: str, rounds: int = 11) -> list[str]:
+    """Minimum spanning forest by unrolled rounds: the lightest edge ``(weight, u, v)`` of every fragment is
+    taken and the fragments it joins are merged by a recursion over the taken edges. Fragments at least
+    halve per round, so 11 rounds are enough for 2,048 nodes."""
+    p = name
+    ctes = [f"{p}c0 AS (SELECT id, id AS f FROM f1n)"]
+    for i in range(rounds):
+        ctes += [
+            f"{p}x{i} AS MATERIALIZED (SELECT e.src AS u, e.dst AS v, e.weight, a.f AS fu, b.f AS fv FROM {edges} e "
+            f"JOIN {p}c{i} a ON a.id = e.src JOIN {p}c{i} b ON b.id = e.dst WHERE a.f <> b.f)",
+            f"{p}p{i} AS MATERIALIZED (SELECT DISTINCT u, v, weight, fu, fv FROM (SELECT fu AS f, * FROM {p}x{i} "
+            f"UNION ALL SELECT fv AS f, * FROM {p}x{i}) "
+            "QUALIFY row_number() OVER (PARTITION BY f ORDER BY weight, u, v) = 1)",
+            f"{p}r{i} AS MATERIALIZED (WITH RECURSIVE r(f, g) USING KEY (f) AS (SELECT DISTINCT f, f FROM {p}c{i} UNION "
+            f"SELECT c.f, c.g FROM (SELECT l.a AS f, min(r.g) AS g FROM r JOIN (SELECT fu AS a, fv AS b FROM {p}p{i} "
+            f"UNION ALL SELECT fv, fu FROM {p}p{i}) l ON l.b = r.f GROUP BY l.a) c JOIN recurring.r o ON o.f = c.f "
+            "WHERE c.g < o.g) SELECT * FROM r)",
+            f"{p}c{i + 1} AS MATERIALIZED (SELECT c.id, r.g AS f FROM {p}c{i} c JOIN {p}r{i} r ON r.f = c.f)",
+        ]
+    union = " UNION ALL ".join(f"SELECT u, v, weight FROM {p}p{i}" for i in range(rounds))
+    ctes.append(f"{name} AS (SELECT m.u, m.v, m.weight, c.f AS grp FROM ({union}) m JOIN {p}c{rounds} c ON c.id = m.u)")
+    return ctes
 
 
-FOREST = (
-    "forest AS (SELECT e.src AS u, e.dst AS v, e.weight, cc.comp AS grp FROM f3e e "
-    "JOIN mm ON mm.a = e.src AND mm.b = e.dst AND mm.w = e.weight JOIN cc ON cc.id = e.src)"
-)
+FOREST = boruvka_ctes("f3e", "forest")
 
-SQL["components"] = with_graphs("SELECT id, comp AS component FROM cc", *F3, CC)
-SQL["component_sizes"] = with_graphs(
-    "SELECT comp AS component, count(*) AS size FROM cc GROUP BY comp", *F3, CC
-)
-SQL["spanning_forest_edges"] = with_graphs(
-    "SELECT u, v, weight, grp FROM forest", *F3, CC, minimax_cte("f3s"), FOREST
+SQL["components"] = f"WITH {', '.join([*F6, CC6])} SELECT id, comp AS component FROM cc"
+SQL["component_sizes"] = (
+    f"WITH {', '.join([*F6, CC6])} SELECT comp AS component, count(*) AS size FROM cc GROUP BY comp"
 )
+SQL["spanning_forest_edges"] = with_graphs("SELECT u, v, weight, grp FROM forest", *F3, *FOREST)
 SQL["spanning_forest_total"] = with_graphs(
-    "SELECT count(*) AS n_edges, round(sum(weight), 3) AS total_weight FROM forest",
-    *F3,
-    CC,
-    minimax_cte("f3s"),
-    FOREST,
+    "SELECT count(*) AS n_edges, round(sum(weight), 3) AS total_weight FROM forest", *F3, *FOREST
 )
 
 
@@ -377,16 +396,28 @@ SQL["lpa_changes"] = with_graphs(
     f"ch AS ({_CH})",
 )
 _SIZES = "sz AS (SELECT label AS community, count(*) AS size FROM l3 GROUP BY label)"
-SQL["community_selection"] = with_graphs(
-    "SELECT * FROM lg UNION ALL SELECT * FROM sm UNION ALL SELECT * FROM rnd",
+_SELECTION = [
     *F3,
     *LPA3,
     _SIZES,
     "lg AS (SELECT community, 'largest' AS role, size FROM sz ORDER BY size DESC, community LIMIT 1)",
-    "sm AS (SELECT community, 'smallest' AS role, size FROM sz WHERE size > 1 ORDER BY size, community LIMIT 1)",
-    "rnd AS (SELECT community, 'random' AS role, size FROM sz WHERE size > 5 AND size < 3000 "
+    "sm AS (SELECT community, 'smallest' AS role, size FROM sz WHERE size > 1 OR (SELECT max(size) FROM sz) = 1 "
+    "ORDER BY size, community LIMIT 1)",
+    "rnd AS (SELECT community, 'random' AS role, size FROM sz WHERE size > 5 "
     "AND community NOT IN (SELECT community FROM lg UNION SELECT community FROM sm) "
     "ORDER BY md5('42:' || community), community LIMIT 20)",
+    "sel AS (SELECT * FROM (SELECT * FROM lg UNION ALL SELECT * FROM sm UNION ALL SELECT * FROM rnd) "
+    "WHERE (SELECT count(*) FROM sz) >= 3)",
+]
+SQL["community_selection"] = with_graphs("SELECT * FROM sel", *_SELECTION)
+SQL["community_members"] = with_graphs(
+    "SELECT label AS community, id FROM l3 WHERE label IN (SELECT community FROM sel)", *_SELECTION
+)
+SQL["community_starts"] = with_graphs(
+    "SELECT label AS community, min(id) AS id FROM l3 "
+    "WHERE id IN (SELECT src FROM f1e UNION SELECT dst FROM f1e) GROUP BY label",
+    *F3,
+    *LPA3,
 )
 SQL["community_internal_edges"] = with_graphs(
     "SELECT a.label AS community, count(*) AS n_edges FROM f3e e JOIN l3 a ON a.id = e.src "
@@ -412,13 +443,11 @@ SQL["lpa_modularity"] = with_graphs(
     *LPA3,
 )
 SQL["community_forest"] = with_graphs(
-    "SELECT e.src AS u, e.dst AS v, e.weight, a.label AS grp FROM f3c e "
-    "JOIN mmc ON mmc.a = e.src AND mmc.b = e.dst AND mmc.w = e.weight JOIN l3 a ON a.id = e.src",
+    "SELECT m.u, m.v, m.weight, a.label AS grp FROM cf m JOIN l3 a ON a.id = m.u",
     *F3,
     *LPA3,
     "f3c AS (SELECT e.* FROM f3e e JOIN l3 a ON a.id = e.src JOIN l3 b ON b.id = e.dst WHERE a.label = b.label)",
-    "f3cs AS (SELECT src, dst, weight FROM f3c UNION ALL SELECT dst, src, weight FROM f3c)",
-    minimax_cte("f3cs", "mmc"),
+    *boruvka_ctes("f3c", "cf"),
 )
 SQL["sample_per_group"] = with_graphs(
     "SELECT label AS community, id FROM l3 QUALIFY row_number() OVER "
@@ -483,16 +512,11 @@ SQL["path_layers"] = (
     "FROM seg GROUP BY 1"
 )
 
-SQL["dense_ids"] = with_graphs(
-    "SELECT id, row_number() OVER (ORDER BY id) - 1 AS new_id FROM s",
-    "s AS (SELECT id FROM f1n ORDER BY md5('42:' || id), id LIMIT 500)",
-)
+SQL["dense_ids"] = with_graphs("SELECT id, row_number() OVER (ORDER BY id) - 1 AS new_id FROM f1n")
 _EXPORT = [
     *F3,
-    CC,
-    minimax_cte("f3s"),
-    FOREST,
-    "fe AS (SELECT u, v FROM forest ORDER BY md5('42:' || u || ':' || v), u, v LIMIT 75000)",
+    *FOREST,
+    "fe AS (SELECT u, v FROM forest)",
     "ends AS (SELECT u AS id FROM fe UNION SELECT v FROM fe)",
     "mp AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS new_id FROM ends)",
     "deg AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM f1e UNION ALL SELECT dst FROM f1e) GROUP BY id)",
@@ -512,7 +536,7 @@ SQL["export_edges"] = with_graphs(
 
 
 def _h(expr: str) -> str:
-    return f"CAST(('0x' || substr(md5({expr}), 1, 8)) AS BIGINT)"
+    return f"CAST(('0x' || substr(md5({expr}), 1, 15)) AS BIGINT)"
 
 
 _ATT = [
@@ -556,9 +580,44 @@ _ATT_PRED = [c for c in _ATT_PRED if not (c.startswith("ok AS") or c.startswith(
     c for c in _ATT if c.startswith("ok AS") or c.startswith("rb AS")
 ]
 SQL["route_nodes_union"] = with_graphs(
-    "SELECT DISTINCT id FROM walk",
+    "SELECT id FROM walk UNION SELECT id FROM w",
     *_ATT_PRED,
+    FAR_X,
+    FAR_C,
+    FAR_PAIR,
+    sssp_cte("SELECT u FROM fp"),
+    ROUTE_WALK,
     "walk AS (WITH RECURSIVE w(q, id) AS (SELECT slot * 100 + attempt, v FROM rb UNION ALL "
     "SELECT w.q, m.pred FROM w JOIN msp m ON m.q = w.q AND m.id = w.id WHERE m.pred IS NOT NULL) "
     "SELECT * FROM w)",
 )
+
+
+# ---- other weights, viewer tables, starts ------------------------------------------------------
+
+_PRICED = (
+    "f1w AS (SELECT a.l_partkey AS src, b.l_partkey AS dst, min(CAST(a.l_quantity AS DOUBLE)) AS weight "
+    "FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 GROUP BY 1, 2)"
+)
+SQL["sssp_custom_weight"] = with_graphs("SELECT id, round(dist, 6) AS dist FROM sp", _PRICED, sssp_cte("0"))
+SQL["route_custom_weight"] = with_graphs(
+    "SELECT 0::BIGINT AS source, m.id AS sink, round(sp.dist, 6) AS cost FROM (SELECT max(id) AS id FROM f1n) m "
+    "LEFT JOIN sp ON sp.id = m.id",
+    _PRICED,
+    sssp_cte("0"),
+)
+SQL["route_zero_weight"] = with_graphs(
+    "SELECT id, round(dist, 6) AS dist, 1::BIGINT AS chains_home FROM sp",
+    "fcn AS (SELECT id, floor(lat / 30) * 30 AS lat, floor(lon / 30) * 30 AS lon FROM f1n)",
+    f"f1w AS (SELECT e.src, e.dst, {hav('s.lat', 's.lon', 'd.lat', 'd.lon')} AS weight "
+    "FROM f1e e JOIN fcn s ON s.id = e.src JOIN fcn d ON d.id = e.dst)",
+    sssp_cte("0"),
+)
+_S500 = "s AS (SELECT id, lat, lon FROM f1n ORDER BY md5('42:' || id), id LIMIT 500)"
+SQL["sampled_table_nodes"] = with_graphs("SELECT id AS node_id, lat, lon FROM s", _S500)
+SQL["sampled_table_edges"] = with_graphs(
+    "SELECT src + 1 AS source, dst + 1 AS destination FROM f1e "
+    "WHERE src IN (SELECT id FROM s) AND dst IN (SELECT id FROM s)",
+    _S500,
+)
+SQL["fallback_start"] = with_graphs("SELECT id FROM f1n ORDER BY md5('42:' || id), id LIMIT 1")

@@ -41,8 +41,8 @@ def build_graph(
 
     nodes = checkpoint(nodes)
     n = nodes.count()
-    if max_nodes is not None and n < max_nodes:
-        log.warning("location input has %d nodes, fewer than the expected %d", n, max_nodes)
+    if max_nodes is not None and (report := text.short_file_report(n, max_nodes))["short"]:
+        log.warning("location input has %(actual)d nodes, fewer than the expected %(expected)d", report)
     edges = text.parse_adjacency(text.read_numbered_lines(spark, user_path), n, skip_first)
     g = Graph(nodes, edges, directed=True)
     if out_path:
@@ -61,22 +61,23 @@ def route_report(g: Graph, n_random: int = 100, max_attempts: int = 50, seed: in
     rnd, rstate = paths.random_routes(g, n_random, max_attempts, seed, with_state=True)
     rq = rnd.select(F.col("slot").alias("qid"), F.col("u").alias("source"), F.col("v").alias("sink"), "cost")
     rnodes = paths.route_paths(rstate, rq)
-    feats = features.route_features(g.nodes, rq.select("qid", "cost"), rnodes)
+    feats = features.route_features(g.nodes, rq.select("qid", "cost"), rnodes, summary, route)
     return {"route": summary, "route_nodes": route, "random_routes": rnd, "stats": paths.route_stats(rnd), "features": feats}
 
 
 def skeleton_export(
-    g: Graph, max_nodes: int = 200_000, max_edges: int = 75_000, seed: int = 42, similarity: str = "distance"
+    g: Graph, max_nodes: int | None = None, max_edges: int | None = None, seed: int = 42, similarity: str = "distance"
 ) -> dict[str, DataFrame]:
-    """§3.3/G22: forest per community of a sampled subgraph, exported with dense ids and the
-    nodes' degree in the full graph."""
-    sample = sampling.sample_nodes(g.nodes, max_nodes, seed)
-    sub = geo.edge_weights(structure.induced_subgraph(g, sample), force_recalc=True)
+    """§3.3/G22: forest per community of the graph, exported with dense ids and the nodes' degree in
+    the full graph. ``max_nodes`` analyses the induced subgraph of a sample, ``max_edges`` exports a
+    sample of the forest's edges; both are off unless asked for."""
+    part = structure.induced_subgraph(g, sampling.sample_nodes(g.nodes, max_nodes, seed)) if max_nodes is not None else g
+    sub = geo.edge_weights(part, force_recalc=True)
     und = structure.undirected(sub, "min")
     sim = {"distance": F.col("weight"), "unit": F.lit(1.0), "inverse": F.lit(1.0) / F.nullif(F.col("weight"), F.lit(0.0))}[similarity]
     memb, _ = community.louvain(und.nodes, und.edges.withColumn("sim", sim), "sim")
     fst = forest.spanning_forest(und.nodes, und.edges, membership=memb)
-    fe = sampling.sample_rows(fst, max_edges, seed, ("u", "v"))
+    fe = sampling.sample_rows(fst, max_edges, seed, ("u", "v")) if max_edges is not None else fst
     ends = fe.select(F.col("u").alias("id")).unionByName(fe.select(F.col("v").alias("id"))).distinct()
     deg = structure.total_degree(g).join(ends, "id", "left_semi")
     mapping = structure.dense_ids(ends, start=0)

@@ -14,12 +14,13 @@ from geoweave.model import Graph
 
 # Fixed values of the fixture rules.
 SUPPLIER_OFFSET = 1_000_000_000  # supplier node id = offset + suppkey
+ORDER_OFFSET = 1_000_000_000  # order node id = offset + orderkey
 F4_CUSTOMER_OFFSET = 1_000_000_000
 F4_SUPPLIER_OFFSET = 2_000_000_000
 F4_NATION_OFFSET = 100
 F4_REGION_OFFSET = 1
-F5_DIRTY_SUFFIX = ",x,-3,0,1.5,999999999, 7 ,99999999999999999999"
-F5_BAD_LINES = {5: "bad", 6: "1.0,abc", 7: "1,2,3"}
+F5_DIRTY_SUFFIX = ",x,-3,0,1.5,999999999, 7 ,99999999999999999999,\t3\t"
+F5_ODD_LINES = {5: "bad", 6: "1.0,abc", 7: "1,2,3", 8: "1.0d,2f", 9: "0x1p3,1", 10: "\t1.5,\t2.5 "}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,22 +75,52 @@ def order_multigraph(spark: SparkSession, sf_dir: str) -> Graph:
     return Graph(keyed_nodes(cust.unionByName(supp)), edges, directed=True)
 
 
-def sparse_graph(spark: SparkSession, sf_dir: str) -> Graph:
-    """sparse undirected graph with many components, haversine weights rounded to 6."""
+def pair_graph(spark: SparkSession, sf_dir: str) -> Graph:
+    """all F1 links as an undirected graph without self-loops, haversine weights rounded to 6."""
     from geoweave.operators.geo import edge_weights
 
     g = part_graph(spark, sf_dir)
-    picked = g.edges.filter(
-        (F.col("src") != F.col("dst")) & (((F.col("src") * 31 + F.col("dst") * 17) % 20) == 0)
-    ).select(
+    pairs = g.edges.filter(F.col("src") != F.col("dst")).select(
         F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")
     ).distinct()
-    weighted = edge_weights(Graph(g.nodes, picked)).edges.withColumn(
-        "weight", F.round("weight", 6)
-    )
+    weighted = edge_weights(Graph(g.nodes, pairs)).edges.withColumn("weight", F.round("weight", 6))
     return Graph(g.nodes, weighted, directed=False)
 
 
+def order_graph(spark: SparkSession, sf_dir: str) -> Graph:
+    """customers and orders; an undirected edge joins every order with its customer, so there is a
+    component for each customer."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("id"))
+    ids = cust.unionByName(orders.select((F.lit(ORDER_OFFSET) + F.col("o_orderkey")).cast("long").alias("id")))
+    edges = orders.select(
+        F.col("o_custkey").cast("long").alias("src"), (F.lit(ORDER_OFFSET) + F.col("o_orderkey")).cast("long").alias("dst")
+    )
+    return Graph(keyed_nodes(ids), edges, directed=False)
+
+
+def coarse_graph(spark: SparkSession, sf_dir: str) -> Graph:
+    """F1 with all coordinates cut to whole multiples of 30 degrees, so many nodes coincide and
+    many edges weigh zero."""
+    g = part_graph(spark, sf_dir)
+    coarse = lambda c: (F.floor(F.col(c) / 30) * 30).cast("double").alias(c)
+    return g.with_nodes(g.nodes.select("id", coarse("lat"), coarse("lon")))
+
+
+def priced_graph(spark: SparkSession, sf_dir: str) -> Graph:
+    """F8: F1 whose edges carry a weight that is no distance: the lowest quantity of the line items
+    that link the two parts."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    a, b = li.alias("a"), li.alias("b")
+    same = (F.col("a.l_orderkey") == F.col("b.l_orderkey")) & (F.col("b.l_linenumber") == F.col("a.l_linenumber") + 1)
+    edges = (
+        a.join(b, same)
+        .groupBy(F.col("a.l_partkey").alias("src"), F.col("b.l_partkey").alias("dst"))
+        .agg(F.min(F.col("a.l_quantity").cast("double")).alias("weight"))
+    )
+    return Graph(part_nodes(spark, sf_dir), edges, directed=True)
+
+
 def hierarchy_tree(spark: SparkSession, sf_dir: str) -> Graph:
     """root → regions → nations → customers and suppliers (parent → child edges)."""
     region = table(spark, sf_dir, "region").select("r_regionkey")
@@ -143,11 +174,11 @@ def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def location_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F5 location text: ``%.2f,%.2f`` per part, three kinds of malformed line."""
+    """F5 location text: ``%.2f,%.2f`` per part, five kinds of malformed line and one padded by tabs."""
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("line_no"))
     good = F.format_string("%.2f,%.2f", key_lat("line_no"), key_lon("line_no"))
     r = F.col("line_no") % 97
     value = good
-    for rem in sorted(F5_BAD_LINES, reverse=True):
-        value = F.when(r == rem, F.lit(F5_BAD_LINES[rem])).otherwise(value)
+    for rem in sorted(F5_ODD_LINES, reverse=True):
+        value = F.when(r == rem, F.lit(F5_ODD_LINES[rem])).otherwise(value)
     return parts.select("line_no", value.alias("value"))

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from geoweave.functions.keys import md5_int
 
-_U32 = float(2**32)
+_U60 = float(2**60)
 
 
 def _unit(seed, *cols):
-    return md5_int(seed, *cols).cast("double") / F.lit(_U32)
+    return md5_int(seed, *cols).cast("double") / F.lit(_U60)
 
 
 def generate_location_lines(spark: SparkSession, n: int, seed: int = 0, num_partitions: int | None = None) -> DataFrame:

@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 
 from geoweave.functions.text import is_digits, tokens, try_double, try_long
 from geoweave.operators.ranking import global_rank
+from geoweave.plans.iterate import checkpoint
+
+MAX_BLOCKS = 1_000_000  # file blocks whose offsets may be broadcast
 
 
 def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(line_no BIGINT, value STRING)`` with 0-based line numbers in file order.
 
     Files are ordered by path and lines by their position in the file. The number of a line is
-    the offset of its file block (a cumulative count over a table with one row per block) plus
-    its position inside the block; no shuffle of the lines themselves is needed.
+    the offset of its file block (a cumulative count over a table with one row per block, whose size
+    follows the number of blocks) plus its position inside the block. Up to ``MAX_BLOCKS`` offsets
+    (counted) are broadcast, so the lines themselves are not shuffled; more are joined.
     """
     raw = spark.read.text(path).select(
         F.col("value"),
@@ -25,7 +29,9 @@ def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame
     blocks = raw.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_f", "_b", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return raw.join(offsets, ["_f", "_b"]).select(
+    offsets = checkpoint(offsets)
+    few = offsets.count() <= MAX_BLOCKS
+    return raw.join(F.broadcast(offsets) if few else offsets, ["_f", "_b"]).select(
         (F.col("_off") + F.col("_m") - F.col("_m0")).alias("line_no"), F.col("value")
     )
 
@@ -56,7 +62,7 @@ def parse_locations(lines: DataFrame, max_nodes: int | None = None) -> DataFrame
     if max_nodes is not None:
         lines = lines.filter(F.col("line_no") < max_nodes)
     valid = _location_fields(lines).filter(_valid_location())
-    ranked = global_rank(valid, ["line_no"], rank_col="id", start=0)
+    ranked = global_rank(valid.select("line_no", "_lat", "_lon"), ["line_no"], rank_col="id", start=0)
     return ranked.select(
         F.col("id").cast("long").alias("id"), F.col("_lat").alias("lat"), F.col("_lon").alias("lon")
     )

@@ -5,6 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from geoweave.operators import community, components, forest, geo, paths, quality, sampling, structure, traverse
+from geoweave.model import Graph
 from tests.helpers import as_dict, graph, q
 
 
@@ -210,19 +211,118 @@ def test_louvain_simple_gain_rule_runs(spark):
     assert all(b >= a - 1e-12 for a, b in zip(mods, mods[1:]))
 
 
-def test_many_query_path_matches_local_path(spark):
+def dijkstra(edges, source):
+    import heapq
+
+    best, heap, out = {source: 0.0}, [(0.0, source)], {}
+    for (u, v), w in edges.items():
+        out.setdefault(u, []).append((v, w))
+    while heap:
+        d, u = heapq.heappop(heap)
+        if d > best[u]:
+            continue
+        for v, w in out.get(u, ()):
+            if d + w < best.get(v, float("inf")):
+                best[v] = d + w
+                heapq.heappush(heap, (d + w, v))
+    return best
+
+
+def test_batch_of_queries_matches_heap_search(spark):
     import random
 
     rnd = random.Random(21)
-    edges = sorted({(rnd.randrange(25), rnd.randrange(25)) for _ in range(90)})
-    w = [round(rnd.uniform(0.5, 9.5), 3) for _ in edges]
-    g = graph(spark, edges, n=25, weights=w)
-    qs = spark.createDataFrame([(i, i, (i * 7 + 3) % 25) for i in range(6)], "qid long, source long, sink long")
-    a = paths.shortest_paths(g, qs.select("qid", "source"), qs.select("qid", "sink"))
-    b = paths.shortest_paths(g, qs.select("qid", "source"), qs.select("qid", "sink"), max_local_queries=0)
-    sinks = {(r.qid, r.sink) for r in qs.collect()}
-
-    def at_sinks(df):
-        return sorted((r.qid, r.id, round(r.dist, 9), r.pred) for r in df.collect() if (r.qid, r.id) in sinks)
+    pairs = sorted({(rnd.randrange(25), rnd.randrange(25)) for _ in range(90)})
+    w = [round(rnd.uniform(0.5, 9.5), 3) if rnd.random() < 0.8 else 0.0 for _ in pairs]
+    g = graph(spark, pairs, n=25, weights=w)
+    asked = [(i, i, (i * 7 + 3) % 25) for i in range(8)]
+    qs = spark.createDataFrame(asked, "qid long, source long, sink long")
+    st = paths.shortest_paths(g, qs.select("qid", "source"), qs.select("qid", "sink"))
+    route = paths.route_paths(st, qs)
+    got = {r.qid: r.cost for r in paths.route_summary(st, qs, qs, route).collect()}
+    steps = {}
+    for r in route.collect():
+        steps.setdefault(r.qid, {})[r.pos] = r.id
+    weight = dict(zip(pairs, w))
+    for q, s, t in asked:
+        want = dijkstra(weight, s).get(t)
+        assert (got[q] is None and want is None) or abs(got[q] - want) < 1e-9
+        if want is not None:
+            way = [steps[q][k] for k in range(len(steps[q]))]
+            assert way[0] == s and way[-1] == t
+            assert abs(sum(weight[e] for e in zip(way, way[1:])) - want) < 1e-9
+
+
+def test_custom_weights_are_not_bounded_by_distance(spark):
+    # the cheap way leads over far away places
+    nodes = spark.createDataFrame([(0, 0.0, 0.0), (1, 80.0, 170.0), (2, 1.0, 1.0), (3, -80.0, -170.0)], "id long, lat double, lon double")
+    edges = spark.createDataFrame([(0, 1, 1.0), (1, 3, 1.0), (3, 2, 1.0), (0, 2, 10.0)], "src long, dst long, weight double")
+    g = geo.edge_weights(Graph(nodes, edges))
+    qs = spark.createDataFrame([(0, 0, 2)], "qid long, source long, sink long")
+    st = paths.shortest_paths(g, qs.select("qid", "source"), qs.select("qid", "sink"))
+    assert {r.id: r.dist for r in st.collect()}[2] == 3.0
+
+
+def test_zero_weights_leave_no_cycle(spark):
+    g = graph(spark, [(9, 1), (1, 2), (2, 1), (2, 5)], n=10, weights=[0.0, 0.0, 0.0, 1.0])
+    qs = spark.createDataFrame([(0, 9, 5)], "qid long, source long, sink long")
+    st = paths.shortest_paths(g, qs.select("qid", "source"))
+    way = sorted((r.pos, r.id) for r in paths.route_paths(st, qs).collect())
+    assert [i for _, i in way] == [9, 1, 2, 5]
+
+
+def test_random_routes_retry_until_reachable(spark):
+    # two parts: about half of the drawn pairs are unreachable
+    edges = [(i, (i + 1) % 10) for i in range(10)] + [(10 + i, 10 + (i + 1) % 10) for i in range(10)]
+    g = graph(spark, edges, n=20, weights=[1.0] * len(edges))
+    tries = paths.random_pair_attempts(g.nodes, 12, 50, 7).collect()
+    first = {}
+    for r in sorted(tries, key=lambda r: (r.slot, r.attempt)):
+        if r.u // 10 == r.v // 10:
+            first.setdefault(r.slot, (r.attempt, r.u, r.v, float((r.v - r.u) % 10)))
+    got = {r.slot: (r.attempt, r.u, r.v, r.cost) for r in paths.random_routes(g, 12, 50, 7).collect()}
+    assert got == first and any(a > 1 for a, *_ in got.values())
+
+
+def test_start_falls_back_to_a_seeded_node(spark):
+    g = graph(spark, [(0, 1), (1, 2)])
+    a = [r.id for r in traverse.resolve_start(g, 77).collect()]
+    assert len(a) == 1 and a[0] in (0, 1, 2) and a == [r.id for r in traverse.resolve_start(g, 99).collect()]
+    assert [r.id for r in traverse.resolve_start(g, 1).collect()] == [1]
+
+
+def test_louvain_halves_are_complementary_and_it_converges(spark):
+    import random
 
-    assert at_sinks(a) == at_sinks(b)
+    rnd = random.Random(3)
+    edges = sorted({(min(a, b), max(a, b)) for a, b in ((rnd.randrange(40), rnd.randrange(40)) for _ in range(120)) if a != b})
+    g = graph(spark, edges, n=40, weights=[1.0] * len(edges), directed=False)
+    memb, hist = community.louvain(g.nodes, g.edges, "weight")
+    c = {r.id: r.community for r in memb.collect()}
+    m, deg = len(edges), {}
+    for a, b in edges:
+        deg[a] = deg.get(a, 0) + 1
+        deg[b] = deg.get(b, 0) + 1
+    inside = sum(c[a] == c[b] for a, b in edges)
+    tot = {}
+    for i in range(40):
+        tot[c[i]] = tot.get(c[i], 0) + deg.get(i, 0)
+    q = inside / m - sum(t * t for t in tot.values()) / (4 * m * m)
+    assert abs(q - hist[-1]["modularity"]) < 1e-9 and len(tot) == hist[-1]["communities"]
+
+
+def test_sample_per_group_of_one_giant_group(spark):
+    df = spark.range(60_000).select("id", F.when(F.col("id") % 20 == 0, F.col("id") % 7).otherwise(F.lit(99)).alias("grp"))
+    got = sampling.sample_per_group(df, "grp", 5, seed=42).collect()
+    import hashlib
+
+    want = {}
+    for i in range(60_000):
+        want.setdefault(i % 7 if i % 20 == 0 else 99, []).append((hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
+    assert sorted((r.grp, r.id) for r in got) == sorted((k, i) for k, v in want.items() for _, i in sorted(v)[:5])
+
+
+def test_sample_rows_with_equal_keys(spark):
+    df = spark.createDataFrame([(1,), (1,), (1,), (2,)], "id long")
+    assert sorted(r.id for r in sampling.sample_rows(df, 3).collect()) in ([1, 1, 1], [1, 1, 2])
+    assert sampling.sample_rows(df, 9).count() == 4

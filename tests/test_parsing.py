@@ -93,3 +93,29 @@ def test_line_numbers_with_compressed_files(spark):
     got = text.read_numbered_lines(spark, d).orderBy("line_no").collect()
     assert [r.line_no for r in got] == list(range(len(expected)))
     assert [r.value for r in got] == expected
+
+
+def test_number_grammar_and_padding(spark):
+    rows = ["\t1.5,\t2.5 ", "1.0d,2f", "0x1p3,1", "inf,nan", "1_0,2", "1__0,2", "+.5,-3.", "1e3,1E-2", "\u20031,2\u2003", "1 2,3"]
+    got = {r.line_no: r.raw for r in text.location_rejects(lines(spark, rows)).collect()}
+    assert sorted(got) == [1, 2, 5, 9]
+    nodes = [tuple(r)[1:] for r in text.parse_locations(lines(spark, rows)).orderBy("id").collect()]
+    assert nodes[0] == (1.5, 2.5) and nodes[1][0] == float("inf") and nodes[2:] == [(10.0, 2.0), (0.5, -3.0), (1000.0, 0.01), (1.0, 2.0)]
+
+
+def test_tab_padded_destinations(spark):
+    e = text.parse_adjacency(lines(spark, ["\t2\t,\x0b3\x0c,1\u00a0"]), 3)
+    assert sorted(r.dst for r in e.collect()) == [0, 1, 2]
+
+
+def test_line_numbers_are_joined_without_shuffling_lines(spark):
+    d = tempfile.mkdtemp(prefix="geoweave-plan-")
+    with open(os.path.join(d, "a.txt"), "w") as fh:
+        fh.write("x\n" * 100)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = text.read_numbered_lines(spark, d)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

@@ -6,9 +6,10 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from geoweave.model import Graph
 from geoweave.operators import community, features, traverse
 from geoweave.plans import workflows
-from geoweave.sources import store
+from geoweave.sources import store, text
 from tests.helpers import graph
 
 
@@ -57,3 +58,44 @@ def test_members_and_start_nodes(spark):
     deg = spark.createDataFrame([(0, 1), (1, 1), (2, 0), (3, 0)], "id long, degree long")
     got = {r.community: r.id for r in community.valid_start_nodes(memb, nodes, deg).collect()}
     assert got == {0: 1}
+
+
+def test_attributes_survive_the_store_and_a_hub_is_spread(spark):
+    nodes = spark.range(3001).select("id", F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), F.concat(F.lit("n"), "id").alias("name"))
+    edges = spark.range(1, 3001).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"), F.lit("visit").alias("kind"))
+    d = tempfile.mkdtemp(prefix="geoweave-attrs-")
+    g = Graph(nodes, edges, directed=False)
+    store.save_graph(g, d, num_partitions=3)
+    h = store.load_graph(spark, d)
+    assert not h.directed and h.nodes.columns == nodes.columns and h.edges.columns == edges.columns
+    assert sorted(map(tuple, h.nodes.collect())) == sorted(map(tuple, nodes.collect()))
+    assert h.summary().first() == g.summary().first()
+    assert len([f for f in os.listdir(os.path.join(d, "edges")) if f.endswith(".parquet")]) == 3
+
+
+def test_text_and_csv_sinks(spark):
+    d = tempfile.mkdtemp(prefix="geoweave-sinks-")
+    g = graph(spark, [(0, 1), (1, 2)])
+    store.write_location_lines(g.nodes, os.path.join(d, "loc"))
+    rows = [r.value for r in text.read_numbered_lines(spark, os.path.join(d, "loc")).orderBy("line_no").collect()]
+    want = [f"{r.lat},{r.lon}" for r in g.nodes.orderBy("id").collect()]
+    assert rows == want
+    store.write_csv(g.edges, os.path.join(d, "edges"))
+    back = spark.read.option("header", True).csv(os.path.join(d, "edges"))
+    assert sorted((int(r.src), int(r.dst)) for r in back.collect()) == [(0, 1), (1, 2)]
+
+
+def test_reports(spark):
+    g = graph(spark, [(i, (i + 1) % 8) for i in range(8)] + [(i, (i + 3) % 8) for i in range(8)])
+    r = workflows.route_report(g, n_random=3, max_attempts=5)
+    layers = {x.layer for x in r["features"].collect()}
+    assert layers == {"random routes", "main route", "markers", "nodes on routes"}
+    on_route = {x.label for x in r["features"].filter("layer = 'nodes on routes'").collect()}
+    assert {f"node {x.id}" for x in r["route_nodes"].collect()} <= on_route
+    b = workflows.bfs_report(g, 0, max_nodes=4)
+    assert b["tree"].count() == 4 and b["features"].filter("layer = 'centre'").count() == 1
+    s = workflows.skeleton_export(g)
+    n = s["export_nodes"].count()
+    assert n == s["forest"].select(F.explode(F.array("u", "v")).alias("id")).distinct().count()
+    ids = {x.node_id for x in s["export_nodes"].collect()}
+    assert ids == set(range(n)) and all(x.source in ids and x.destination in ids for x in s["export_edges"].collect())
