@@ -45,7 +45,7 @@ def main() -> None:
     def load():
         g1 = fixtures.part_graph(spark, sf_dir)
         nodes, edges = checkpoint(g1.nodes), checkpoint(g1.edges)
-        g3 = fixtures.sparse_graph(spark, sf_dir)
+        g3 = fixtures.pair_graph(spark, sf_dir)
         return (fixtures.Graph(nodes, edges), fixtures.Graph(checkpoint(g3.nodes), checkpoint(g3.edges), directed=False))
 
     g1, g3 = timed("load_graphs", load)
@@ -57,7 +57,7 @@ def main() -> None:
         run(text.parse_locations(fixtures.location_lines(spark, sf_dir)))
 
     timed("parse_text", parse)
-    g1w = timed("edge_weights", lambda: geo.edge_weights(g1).with_edges(checkpoint(geo.edge_weights(g1).edges)))
+    g1w = timed("edge_weights", lambda: geo.edge_weights(g1).with_edges(checkpoint(geo.edge_weights(g1).edges), km_weights=True))
     extra["edge_weights_edges_per_sec"] = round(n_edges / max(times["edge_weights"], 1e-9), 1)
     timed("inspection_table", lambda: run(quality.inspection_table(g1, 50)))
     timed("quality_checks", lambda: run(quality.quality_checks(g1)))
@@ -90,8 +90,10 @@ def main() -> None:
     extra["sssp_seconds_per_round"] = round(times["sssp_all"] / max(1, len(sssp_log.rounds)), 3)
     timed("sample_induced_subgraph", lambda: run(structure.induced_subgraph(g1, sampling.sample_nodes(g1.nodes, 2000, 42)).edges))
     cc_log = RoundLog("cc")
-    timed("components", lambda: run(components.connected_components(g3.nodes, g3.edges, rounds=cc_log)))
+    g6 = fixtures.order_graph(spark, sf_dir)
+    timed("components", lambda: run(components.connected_components(g6.nodes, g6.edges, rounds=cc_log)))
     timed("spanning_forest", lambda: run(forest.spanning_forest(g3.nodes, g3.edges)))
+    extra["spanning_forest_edges_per_sec"] = round(g3.edges.count() / max(times["spanning_forest"], 1e-9), 1)
     lpa_log = RoundLog("lpa")
     timed("label_propagation_3", lambda: run(community.label_propagation(g3.nodes, g3.edges, 3, rounds=lpa_log)[0]))
     extra["lpa_seconds_per_iteration"] = round(times["label_propagation_3"] / max(1, len(lpa_log.rounds)), 3)

@@ -46,30 +46,22 @@ def spanning_forest(
         mu = membership.select(F.col("id").alias("u"), F.col("community").alias("_cu"))
         mv = membership.select(F.col("id").alias("v"), F.col("community").alias("_cv"))
         canon = canon.join(mu, "u").join(mv, "v").filter(F.col("_cu") == F.col("_cv")).select("u", "v", "weight")
-    live = checkpoint(canon)
-    comp = checkpoint(nodes.select("id", F.col("id").alias("frag")))
+    # an edge carries the fragments of its ends; parallel edges between fragments keep their lightest,
+    # so the table shrinks with the fragments and the nodes themselves are never rewritten
+    live = checkpoint(canon.select(F.col("u").alias("fu"), F.col("v").alias("fv"), F.struct("weight", "u", "v").alias("k")))
     picked: list[DataFrame] = []
-    cross = live
-    while True:
-        fu = comp.select(F.col("id").alias("u"), F.col("frag").alias("fu"))
-        fv = comp.select(F.col("id").alias("v"), F.col("frag").alias("fv"))
-        prev_cross = cross
-        cross = checkpoint(live.join(fu, "u").join(fv, "v").filter(F.col("fu") != F.col("fv")))
-        release(prev_cross)
-        n_cross = cross.count()
-        if rounds is not None:
-            rounds.record(cross_edges=n_cross)
-        if n_cross == 0:
-            break
-        key = F.struct("weight", "u", "v")
-        inc = cross.select(F.col("fu").alias("f"), key.alias("k"), F.col("fv").alias("other")).unionByName(
-            cross.select(F.col("fv").alias("f"), key.alias("k"), F.col("fu").alias("other"))
+    merges: list[DataFrame] = []
+    while not live.isEmpty():
+        inc = live.select(F.col("fu").alias("f"), "k", F.col("fv").alias("other")).unionByName(
+            live.select(F.col("fv").alias("f"), "k", F.col("fu").alias("other"))
         )
         best = checkpoint(
             inc.groupBy("f").agg(F.min(F.struct("k", "other")).alias("b")).select(
                 "f", F.col("b.k.u").alias("u"), F.col("b.k.v").alias("v"), F.col("b.k.weight").alias("weight"), F.col("b.other").alias("p")
             )
         )
+        if rounds is not None:
+            rounds.record(fragments=best.count())
         # the round's best-edge table is kept (one row per fragment); forest edges are read from it
         picked.append(best.select("u", "v", "weight").distinct())
         # mutual picks form the only cycles: the smaller fragment label becomes the root
@@ -78,15 +70,19 @@ def spanning_forest(
             F.col("f").alias("c"),
             F.when((F.col("_bp") == F.col("f")) & (F.col("f") < F.col("p")), F.col("f")).otherwise(F.col("p")).alias("p"),
         )
-        roots = pointer_jump(ptr)
-        prev_comp = comp
-        comp = checkpoint(
-            comp.join(roots, comp.frag == roots.c, "left").select(
-                "id", F.coalesce(F.col("root"), F.col("frag")).alias("frag")
-            )
+        roots = checkpoint(pointer_jump(ptr))
+        merges.append(roots)
+        ru = roots.select(F.col("c").alias("fu"), F.col("root").alias("_ru"))
+        rv = roots.select(F.col("c").alias("fv"), F.col("root").alias("_rv"))
+        prev = live
+        live = checkpoint(
+            live.join(ru, "fu")
+            .join(rv, "fv")
+            .filter(F.col("_ru") != F.col("_rv"))
+            .groupBy(F.least("_ru", "_rv").alias("fu"), F.greatest("_ru", "_rv").alias("fv"))
+            .agg(F.min("k").alias("k"))
         )
-        release(prev_comp)
-        live = cross.select("u", "v", "weight")
+        release(prev)
     if not picked:
         spark = nodes.sparkSession
         return spark.createDataFrame([], "u bigint, v bigint, weight double, grp bigint")
@@ -94,8 +90,14 @@ def spanning_forest(
     if membership is not None:
         grp = membership.select(F.col("id").alias("u"), F.col("community").alias("grp"))
     else:
-        smallest = comp.groupBy("frag").agg(F.min("id").alias("grp"))
-        grp = comp.join(smallest, "frag").select(F.col("id").alias("u"), "grp")
+        # final root of every node: the merges composed from the last (smallest) to the first
+        final = merges[-1]
+        for roots in reversed(merges[:-1]):
+            later = final.select(F.col("c").alias("root"), F.col("root").alias("_end"))
+            final = roots.join(later, "root", "left").select("c", F.coalesce("_end", "root").alias("root"))
+        final = checkpoint(final)
+        smallest = final.groupBy("root").agg(F.min("c").alias("grp"))
+        grp = final.join(smallest, "root").select(F.col("c").alias("u"), "grp")
     return forest.join(grp, "u").select("u", "v", "weight", "grp")
 
 

@@ -70,10 +70,9 @@ def bfs_tree(
         new = cand.join(visited, cand.dst == visited.id, "left_anti").select(
             F.col("dst").alias("id"), F.col("b.p").alias("parent"), F.col("b.o").alias("_po")
         )
+        if max_nodes is not None:  # only the rows that still fit are ranked (a bounded top-k)
+            new = new.orderBy("_po", "id").limit(max_nodes - total)
         ranked, n_new = global_rank_counted(new, ["_po", "id"], rank_col="visit_order", start=total)
-        if max_nodes is not None:
-            ranked = ranked.filter(F.col("visit_order") < F.lit(max_nodes))
-            n_new = min(n_new, max_nodes - total)
         # the ranked rows are already on reliable storage; this frame only adds columns
         nxt = ranked.select("id", F.lit(level + 1).alias("level"), "parent", "visit_order")
         if rounds is not None:
@@ -142,10 +141,11 @@ def walk_up(parents: DataFrame, targets: DataFrame, key_cols=("key",)) -> DataFr
         nxt = checkpoint(
             cur.join(ptab, keys + ["id"]).select(*keys, F.col("parent").alias("id"), (F.col("step") + 1).alias("step"))
         )
-        if nxt.count() == 0:
+        if nxt.isEmpty():
             break
         frames.append(nxt)
         cur = nxt
+    release(ptab, nxt)
     return _union(frames)
 
 
@@ -179,6 +179,7 @@ def tree_depths(tree_edges: DataFrame, roots: DataFrame) -> DataFrame:
         frames.append(nxt)
         cur = nxt
         d += 1
+    release(edges, nxt)
     return _union(frames)
 
 

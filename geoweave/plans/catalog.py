@@ -163,9 +163,15 @@ def q_bfs_levels(spark, sf):
     return traverse.bfs_tree(_f1(spark, sf), 0)
 
 
+def _levels(spark, sf):
+    g = _f1(spark, sf)
+    return traverse.reachable(g, traverse.resolve_start(g, 0).select(F.col("id").alias("source"), "id"))
+
+
 @register("bfs_level_histogram")
 def q_bfs_level_histogram(spark, sf):
-    t = traverse.bfs_tree(_f1(spark, sf), 0)
+    # levels need no visit order
+    t = _levels(spark, sf)
     return t.groupBy("level").agg(F.count(F.lit(1)).alias("n_nodes"))
 
 
@@ -179,7 +185,7 @@ def q_reachable_count(spark, sf):
 
 @register("farthest_node")
 def q_farthest_node(spark, sf):
-    return traverse.farthest_node(traverse.bfs_tree(_f1(spark, sf), 0))
+    return traverse.farthest_node(_levels(spark, sf))
 
 
 @register("bfs_longest_path")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,7 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
+    if re.fullmatch(r"local(\[[^]]*\])?", sc.master):  # one JVM; not local-cluster, whose workers have own folders
         path = tempfile.mkdtemp(prefix="geoweave-ckpt-")
         sc.setCheckpointDir(path)
         return sc.getCheckpointDir() or path
