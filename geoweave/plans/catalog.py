@@ -418,11 +418,17 @@ def q_export_edges(spark, sf):
     return e.select(F.col("src").alias("source"), F.col("dst").alias("destination"))
 
 
+def _flat(feats):
+    """Feature rows with their coordinates as text, ``lon lat`` with 4 digits each."""
+    point = lambda p: F.format_string("%.4f %.4f", p["lon"], p["lat"])
+    return feats.select("layer", "kind", "color", "label", F.array_join(F.transform("coords", point), ", ").alias("points"))
+
+
 @register("bfs_features")
 def q_bfs_features(spark, sf):
     g = _f1(spark, sf)
     tree = traverse.bfs_tree(g, 0)
-    return features.bfs_features(g.nodes, tree, traverse.bfs_longest_path(tree))
+    return _flat(features.bfs_features(g.nodes, tree, traverse.bfs_longest_path(tree)))
 
 
 @register("dfs_features")
@@ -431,7 +437,7 @@ def q_dfs_features(spark, sf):
     order, path = _dfs_path(spark, sf)
     deep = traverse.deepest_in_preorder(order).first()["id"]
     last = order.agg(F.max_by("id", "visit_order")).first()[0]
-    return features.dfs_features(g.nodes, sampling.stride_downsample(path, 50), deep, last)
+    return _flat(features.dfs_features(g.nodes, sampling.stride_downsample(path, 50), deep, last))
 
 
 @register("community_features")
@@ -439,7 +445,7 @@ def q_community_features(spark, sf):
     g, labels = _lpa3(spark, sf)
     memb = _membership(labels)
     sel = community.select_communities(memb, num_random=20, seed=42)
-    return features.community_features(g.nodes, g.edges, memb, sel)
+    return _flat(features.community_features(g.nodes, g.edges, memb, sel))
 
 
 # ---- random route batch ----------------------------------------------------------------------
@@ -487,7 +493,7 @@ def q_route_nodes_union(spark, sf):
 @register("route_features")
 def q_route_features(spark, sf):
     g, rq, rn = _random_route_paths(spark, sf)
-    return features.route_features(g.nodes, rq.select("qid", "cost"), rn, *_main_route(spark, sf))
+    return _flat(features.route_features(g.nodes, rq.select("qid", "cost"), rn, *_main_route(spark, sf)))
 
 
 # ---- routes over other weights ---------------------------------------------------------------

@@ -621,3 +621,100 @@ SQL["sampled_table_edges"] = with_graphs(
     _S500,
 )
 SQL["fallback_start"] = with_graphs("SELECT id FROM f1n ORDER BY md5('42:' || id), id LIMIT 1")
+
+
+# ---- feature tables ----------------------------------------------------------------------------
+
+from geoweave.functions.colors import LEVEL_PALETTE, ROUTE_COLORS, TREE_EDGE_COLOR  # noqa: E402
+from geoweave.operators import features as _fx  # noqa: E402
+
+
+def _pt(alias: str) -> str:
+    return f"printf('%.4f %.4f', {alias}.lon, {alias}.lat)"
+
+
+_PALETTE = "[" + ", ".join(f"'{c}'" for c in LEVEL_PALETTE) + "]"
+SQL["bfs_features"] = with_graphs(
+    f"SELECT 'visited nodes' AS layer, 'point' AS kind, {_PALETTE}[b.level % 6 + 1] AS color, "
+    f"printf('node %d level %d', b.id, b.level) AS label, {_pt('n')} AS points FROM bfs b JOIN f1n n ON n.id = b.id "
+    f"UNION ALL SELECT 'bfs tree', 'line', '{TREE_EDGE_COLOR}', printf('%d -> %d', b.parent, b.id), "
+    f"{_pt('p')} || ', ' || {_pt('n')} FROM bfs b JOIN f1n n ON n.id = b.id JOIN f1n p ON p.id = b.parent "
+    f"UNION ALL SELECT 'longest path', 'line', '{_fx.END_COLOR}', 'longest path', "
+    f"string_agg({_pt('n')}, ', ' ORDER BY w.level) FROM w JOIN f1n n ON n.id = w.id "
+    f"UNION ALL SELECT 'markers', 'point', '{_fx.START_COLOR}', printf('start node %d', n.id), {_pt('n')} FROM f1n n "
+    "WHERE n.id = (SELECT arg_min(id, level) FROM w) "
+    f"UNION ALL SELECT 'markers', 'point', '{_fx.END_COLOR}', printf('end node %d', n.id), {_pt('n')} FROM f1n n "
+    "WHERE n.id = (SELECT arg_max(id, level) FROM w) "
+    "UNION ALL SELECT 'centre', 'point', '#000000', 'centre', printf('%.4f %.4f', avg(n.lon), avg(n.lat)) "
+    "FROM bfs b JOIN f1n n ON n.id = b.id",
+    bfs_cte(0),
+    "w AS (WITH RECURSIVE w(id, level) AS ("
+    "SELECT id, level FROM (SELECT id, level FROM bfs ORDER BY level DESC, id LIMIT 1) UNION ALL "
+    "SELECT b.parent, w.level - 1 FROM w JOIN bfs b ON b.id = w.id WHERE b.parent IS NOT NULL) "
+    "SELECT * FROM w)",
+)
+
+_DFS = [
+    *_F4_ORDER,
+    f"f4n AS (SELECT id, {key_coords('id')} FROM o)",
+    "lay AS (SELECT seg // greatest(1, (k - 1) // 10) AS layer, min(seg) + 1 AS s0, max(seg) + 1 AS s1, "
+    "arg_min(from_id, seg) AS a, arg_max(to_id, seg) AS b FROM seg GROUP BY 1)",
+    "named AS (SELECT *, printf('path (steps %d-%d)', s0, s1) AS name FROM lay)",
+]
+SQL["dfs_features"] = "WITH " + ", ".join(_DFS) + (
+    f" SELECT 'path vertices' AS layer, 'point' AS kind, '{_fx.VERTEX_COLOR}' AS color, printf('node %d', n.id) AS label, "
+    f"{_pt('n')} AS points FROM ds JOIN f4n n ON n.id = ds.id "
+    f"UNION ALL SELECT l.name, 'line', {gradient_sql('s.seg', 's.k')}, printf('segment %d', s.seg), {_pt('x')} || ', ' || {_pt('y')} "
+    "FROM seg s JOIN named l ON l.layer = s.seg // greatest(1, (s.k - 1) // 10) JOIN f4n x ON x.id = s.from_id JOIN f4n y ON y.id = s.to_id "
+    f"UNION ALL SELECT l.name, 'point', '{_fx.LAYER_START_COLOR}', printf('layer start: step %d', l.s0), {_pt('n')} FROM named l JOIN f4n n ON n.id = l.a "
+    f"UNION ALL SELECT l.name, 'point', '{_fx.LAYER_END_COLOR}', printf('layer end: step %d', l.s1), {_pt('n')} FROM named l JOIN f4n n ON n.id = l.b "
+    f"UNION ALL SELECT 'markers', 'point', '{_fx.START_COLOR}', printf('start: node %d', n.id), {_pt('n')} FROM f4n n "
+    "WHERE n.id = (SELECT arg_min(id, pos) FROM ds) "
+    f"UNION ALL SELECT 'markers', 'point', '{_fx.END_COLOR}', printf('last visited: node %d', n.id), {_pt('n')} FROM f4n n "
+    "WHERE n.id = (SELECT arg_max(id, visit_order) FROM o) "
+    f"UNION ALL SELECT 'markers', 'point', '{_fx.DEEPEST_COLOR}', printf('deepest: node %d', n.id), {_pt('n')} FROM f4n n "
+    "WHERE n.id = (SELECT id FROM o ORDER BY depth DESC, visit_order LIMIT 1)"
+)
+
+
+def _blend(a: int, b: int) -> str:
+    return f"CAST(round({float(a)}::DOUBLE + {float(b - a)}::DOUBLE * t) AS INTEGER)"
+
+
+SQL["community_features"] = with_graphs(
+    "SELECT layer, 'point' AS kind, color, printf('node %d (community %d)', n.id, s.community) AS label, "
+    f"{_pt('n')} AS points FROM shade s JOIN l3 m ON m.label = s.community JOIN f1n n ON n.id = m.id "
+    f"UNION ALL SELECT layer, 'line', color, printf('%d - %d', e.src, e.dst), {_pt('x')} || ', ' || {_pt('y')} "
+    "FROM shade s JOIN l3 p ON p.label = s.community JOIN f3e e ON e.src = p.id JOIN l3 q ON q.id = e.dst AND q.label = p.label "
+    "JOIN f1n x ON x.id = e.src JOIN f1n y ON y.id = e.dst",
+    *_SELECTION,
+    "lim AS (SELECT CAST(min(size) AS DOUBLE) AS lo, CAST(max(size) AS DOUBLE) AS hi FROM sz)",
+    "tone AS (SELECT s.community, s.role, s.size, least(greatest(coalesce(ln(s.size / lo) / nullif(ln(hi / lo), 0), 0), 0), 1) AS t "
+    "FROM sel s, lim)",
+    f"shade AS (SELECT *, printf('#%02x%02x%02x', {_blend(0x3B, 0xB4)}, {_blend(0x4C, 0x04)}, {_blend(0xC0, 0x26)}) AS color, "
+    "CASE role WHEN 'largest' THEN printf('largest community (%d)', size) WHEN 'smallest' THEN printf('smallest community (%d)', size) "
+    "ELSE printf('community %d (%d members)', community, size) END AS layer FROM tone)",
+)
+
+SQL["route_features"] = with_graphs(
+    "SELECT 'random routes' AS layer, 'line' AS kind, CASE WHEN cost = lo THEN '{shortest}' WHEN cost = hi THEN '{longest}' "
+    "ELSE '{other}' END AS color, printf(CASE WHEN cost = lo THEN 'shortest of the sample (%.2f km)' "
+    "WHEN cost = hi THEN 'longest of the sample (%.2f km)' ELSE 'route of %.2f km' END, cost) AS label, points "
+    "FROM lines, (SELECT min(cost) AS lo, max(cost) AS hi FROM rb) ".format(**ROUTE_COLORS)
+    + f"UNION ALL SELECT 'main route', 'line', '{_fx.MAIN_ROUTE_COLOR}', printf('route of %.2f km', (SELECT sp.dist FROM sp, fp WHERE sp.id = fp.v)), "
+    f"string_agg({_pt('n')}, ', ' ORDER BY w.step DESC) FROM w JOIN f1n n ON n.id = w.id "
+    f"UNION ALL SELECT 'markers', 'point', '{_fx.SOURCE_COLOR}', printf('source node %d', n.id), {_pt('n')} FROM f1n n, fp WHERE n.id = fp.u "
+    f"UNION ALL SELECT 'markers', 'point', '{_fx.SINK_COLOR}', printf('sink node %d', n.id), {_pt('n')} FROM f1n n, fp WHERE n.id = fp.v "
+    f"UNION ALL SELECT 'nodes on routes', 'point', '{_fx.ROUTE_NODE_COLOR}', printf('node %d', n.id), {_pt('n')} FROM f1n n "
+    "WHERE n.id IN (SELECT id FROM walk UNION SELECT id FROM w)",
+    *_ATT_PRED,
+    FAR_X,
+    FAR_C,
+    FAR_PAIR,
+    sssp_cte("SELECT u FROM fp"),
+    ROUTE_WALK,
+    "walk AS (WITH RECURSIVE k(q, id, step) AS (SELECT slot * 100 + attempt, v, 0 FROM rb UNION ALL "
+    "SELECT k.q, m.pred, k.step + 1 FROM k JOIN msp m ON m.q = k.q AND m.id = k.id WHERE m.pred IS NOT NULL) SELECT * FROM k)",
+    f"lines AS (SELECT rb.cost, string_agg({_pt('n')}, ', ' ORDER BY walk.step DESC) AS points FROM rb "
+    "JOIN walk ON walk.q = rb.slot * 100 + rb.attempt JOIN f1n n ON n.id = walk.id GROUP BY rb.slot, rb.cost)",
+)
