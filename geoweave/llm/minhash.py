@@ -85,7 +85,7 @@ def _keys(m: np.ndarray, b: Banding) -> np.ndarray:
     return np.concatenate(cols, axis=1).view(np.int64)
 
 
-def _text_shingles(column, b: Banding, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _text_shingles(column, b: Banding, limit: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, shingle hashes, rows)`` per slice of the column."""
     data, offsets = text_bytes(column)
     for a, z in slices(offsets, limit):

@@ -67,7 +67,7 @@ def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _column_ngrams(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, offsets = text_bytes(column)
-    for a, z in slices(offsets, 1 << 20):
+    for a, z in slices(offsets, 1 << 18):
         yield a, z, *ngrams(data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a])
 
 
