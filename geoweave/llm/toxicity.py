@@ -143,7 +143,7 @@ _OUTCOME = {o: i for i, o in enumerate(OUTCOMES)}
 
 def grammar_weights() -> np.ndarray:
     """The grammar's own weight of every outcome, before fitting: targets raise, negation and reported speech
-    lower. The last is that of the sum over clauses."""
+    lower. The last is that of the sum over matches."""
     w = np.full(len(OUTCOMES) + 1, 0.2)
     for i, (kind, flags) in enumerate(OUTCOMES):
         w[i] = (1.0 if kind == INSULT else 1.5) * (1.25 if flags & TARGETED else 1) * (0.6 if flags & NEGATED else 1) * (0.7 if flags & REPORTED else 1)
@@ -155,7 +155,8 @@ def grammar_weights() -> np.ndarray:
 
 @dataclass
 class Lexicon:
-    """Word forms and word beginnings, each with a symbol and a strength."""
+    """Word forms and word beginnings, each with a symbol and a strength. A beginning stands for longer
+    words only: a stem may be harmless as a word of its own."""
 
     forms: dict[str, tuple[int, float]]
     beginnings: dict[str, tuple[int, float]]
@@ -165,7 +166,7 @@ class Lexicon:
         found = self.forms.get(word)
         if found is None:
             for n in PREFIXES:
-                if len(word) < n:
+                if len(word) <= n:
                     break
                 found = max(found or (0, 0.0), self.beginnings.get(word[:n], (0, 0.0)), key=lambda x: x[1])
             found = found if found and found[1] > 0 else None
@@ -187,7 +188,7 @@ def seed_lexicon() -> Lexicon:
 
 
 def outcomes(text: str, lexicon: Lexicon, machine: Machine = GRAMMAR) -> np.ndarray:
-    """Strength of the strongest clause per outcome, and the sum over all matching clauses at the end.
+    """Strength of the strongest clause per outcome, and the sum over all matches at the end.
 
     Only clauses with an insult or a threat are run through the machine; the others leave nothing."""
     out = np.zeros(len(OUTCOMES) + 1)
@@ -199,7 +200,7 @@ def outcomes(text: str, lexicon: Lexicon, machine: Machine = GRAMMAR) -> np.ndar
     for clause in _CLAUSE.split(folded):
         if not some.search(clause):
             continue
-        state, score = 0, np.zeros(len(OUTCOMES))
+        state, score, total = 0, np.zeros(len(OUTCOMES)), 0.0
         for word in _WORD.findall(clause):
             found = lexicon.known(word) or (OTHER, 0.0)
             token = machine.out[state][found[0]]
@@ -207,9 +208,9 @@ def outcomes(text: str, lexicon: Lexicon, machine: Machine = GRAMMAR) -> np.ndar
             if token in _OUTCOME:
                 i = _OUTCOME[token]
                 score[i] = max(score[i], found[1])
-        if score.any():
-            out[:-1] = np.maximum(out[:-1], score)
-            out[-1] += score.max()
+                total += found[1]
+        out[:-1] = np.maximum(out[:-1], score)
+        out[-1] += total
     return out
 
 
@@ -245,7 +246,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
 
     A mark counts when its split between toxic and clean rows is no chance: with ``t`` toxic and ``c``
     clean rows, ``(t + c) · KL(t / (t + c) ‖ share of toxic rows)`` is at least ``EVIDENCE`` and clean rows hold it at
-    most 1/20 as often as toxic rows do.
+    most 3 % as often as toxic rows do.
     """
     rows = rows.groupBy("y", F.substring("text", 1, 40).alias("opening")).agg(F.min("text").alias("text"))
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -257,7 +258,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     forms = F.transform(words, lambda w: F.concat(F.lit("="), w))
 
     def beginnings(n: int):
-        return F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) >= n), lambda w: F.substring(w, 1, n)))
+        return F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) > n), lambda w: F.substring(w, 1, n)))
 
     starts = [beginnings(n) for n in PREFIXES]
     marks = F.flatten(F.array(forms, *starts))
@@ -270,14 +271,18 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     p = F.col("n") / (F.col("n") + F.col("c"))
     other = F.when(F.col("c") > 0, (1 - p) * F.log((1 - p) / (1 - share))).otherwise(F.lit(0.0))
     evidence = (F.col("n") + F.col("c")) * (p * F.log(p / share) + other)
-    rare = F.col("c") / clean <= 0.05 * F.col("n") / toxic
+    rare = F.col("c") / clean <= 0.03 * F.col("n") / toxic
     strong = counted.filter("n >= 3").filter(rare & (evidence >= EVIDENCE)).orderBy(F.desc("n"), "mark").limit(5000)
     found = {r["mark"]: r for r in strong.collect()}  # at most 5,000
+    longest: dict[str, list[int]] = {}
+    for q, r in found.items():
+        text = q.lstrip("=")
+        for k in range(PREFIXES.start, len(text)):
+            longest.setdefault(text[:k], []).append(r["n"])
     for mark, r in found.items():
         form = mark.startswith("=")
-        # a beginning that a longer one stands in for says nothing of its own
-        longer = (found[q]["n"] for q in found if len(q) == len(mark) + 1 and q.startswith(mark))
-        if not form and any(n >= 0.95 * r["n"] for n in longer):
+        # a beginning that one longer beginning or one word stands in for says nothing of its own
+        if not form and any(x >= 0.95 * r["n"] for x in longest.get(mark, ())):
             continue
         odds = float(np.log((r["n"] + 0.5) / (toxic + 1)) - np.log((r["c"] + 0.5) / (clean + 1)))
         (lexicon.forms if form else lexicon.beginnings)[mark.lstrip("=")] = (INSULT, max(odds, 0.1))
