@@ -16,12 +16,17 @@ def test_part_graph_counts(spark):
     assert g.edges.filter(F.col("src") == F.col("dst")).count() == 16
 
 
-def test_sparse_graph_components(spark):
-    g = fixtures.sparse_graph(spark, SF_SMALL)
-    assert g.edges.count() == 143
-    cc = components.connected_components(g.nodes, g.edges)
-    sizes = [r["count"] for r in cc.groupBy("component").count().collect()]
-    assert len(sizes) == 66 and max(sizes) == 28 and sizes.count(1) == 46
+def test_pair_graph_holds_every_link(spark):
+    g = fixtures.pair_graph(spark, SF_SMALL)
+    assert g.edges.count() == 2636
+    assert {r.component for r in components.connected_components(g.nodes, g.edges).collect()} == {0}
+
+
+def test_order_graph_components(spark):
+    g = fixtures.order_graph(spark, SF_SMALL)
+    assert g.nodes.count() == 1650 and g.edges.count() == 1500
+    sizes = [r["count"] for r in components.connected_components(g.nodes, g.edges).groupBy("component").count().collect()]
+    assert len(sizes) == 150 and sum(sizes) == 1650
 
 
 def test_hierarchy_nodes(spark):
