@@ -137,6 +137,30 @@ def test_contaminated_against_brute_force(spark):
     assert D.contaminated(df.limit(0), bm).collect() == [] and D.contaminated(df, bm.limit(0)).collect() == []
 
 
+def test_edited_passages_are_all_found(spark):
+    rng = random.Random(11)
+    vocab = ["".join(rng.choice("aeioukmnrst") for _ in range(rng.randint(2, 9))) for _ in range(5000)]
+    text = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items, docs, want = [], [], {}
+    for i in range(240):
+        n, edits = rng.choice([(rng.randint(45, 60), 1), (rng.randint(150, 200), 3)])
+        w = text(n)
+        e = list(w)
+        for at in rng.sample(range(n), edits):
+            e[at] = rng.choice(vocab)
+        items.append((i, " ".join(w)))
+        docs.append((i, " ".join(text(3) + e + text(4))))
+        # the window aligned by the unchanged words; shifted ones are not laid
+        x, y = ({tuple(v[k : k + 5]) for k in range(n - 4)} for v in (w, e))
+        share = sum(len("".join(g)) for g in x & y) / sum(len("".join(g)) for g in x | y)
+        if share >= 0.8:
+            want[i, i] = share
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in D.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) > 160 and set(got) >= set(want)
+    assert all(got[k] > want[k] - 1e-9 for k in want)
+
+
 @pytest.mark.parametrize("radius", [3, 7, 15])
 def test_hamming_index_finds_all_within_radius(spark, radius):
     rng = random.Random(radius)
