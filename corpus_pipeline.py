@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoweave.llm.decontaminate import drop_contaminated
+from geoweave.llm.decontaminate import drop_contaminated_rows
 from geoweave.llm.language import UNKNOWN, identify
 from geoweave.llm.minhash import Banding, near_duplicates
 from geoweave.llm.mixing import mix
@@ -50,8 +50,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of ``benchmark``."""
-    return drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+    """Rows whose own text holds no passage of ``benchmark``."""
+    return drop_contaminated_rows(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

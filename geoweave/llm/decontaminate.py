@@ -133,8 +133,29 @@ def contaminated(
     with a null id are reported under null; empty tables give an empty result. Columns named like
     the results' do no harm: only the named columns are read.
     """
+    src = _keyed(docs, id_col, text_col)
+    best = _best_windows(src, benchmark, item_col, item_text_col, run_words, num, den, radius, broadcast_rows)
+    ids = src.select("k", "doc").distinct()
+    return ids.join(_small(best, broadcast_rows // 10), "k").select(
+        F.col("doc").alias(id_col),
+        F.col("item").alias(item_col),
+        (-F.col("b.s")).alias("start_word"),
+        F.col("b.len").alias("n_words"),
+        (-F.col("b.d")).alias("hamming"),
+        F.col("b.similarity").alias("similarity"),
+    )
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc, text, k)`` of the rows with a text; ``k`` stands for id and text."""
     src = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).filter("text is not null")
-    src = src.withColumn("k", F.xxhash64("doc", "text"))
+    return src.withColumn("k", F.xxhash64("doc", "text"))
+
+
+def _best_windows(
+    src: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, run_words: int, num: int, den: int, radius: int, broadcast_rows: int
+) -> DataFrame:
+    """``(k, item, b)``: the best window of every text key and item."""
     items = benchmark.select(F.col(item_col).alias("item"), words_of(item_text_col).alias("w")).filter(F.size("w") >= run_words)
     items = checkpoint(items.distinct().withColumn("len", F.size("w")))
     item_runs = items.select("item", "len", F.posexplode(_runs("w", run_words)).alias("item_at", "h"))
@@ -190,15 +211,7 @@ def contaminated(
     best = found.groupBy("k", "item").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"), (-F.col("hamming")).alias("d"), "len")).alias("b")
     )
-    ids = src.select("k", "doc").distinct()
-    return ids.join(_small(checkpoint(best), broadcast_rows // 10), "k").select(
-        F.col("doc").alias(id_col),
-        F.col("item").alias(item_col),
-        (-F.col("b.s")).alias("start_word"),
-        F.col("b.len").alias("n_words"),
-        (-F.col("b.d")).alias("hamming"),
-        F.col("b.similarity").alias("similarity"),
-    )
+    return checkpoint(best)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -206,3 +219,25 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataF
     id_col = options.get("id_col", "doc_id")
     hits = checkpoint(contaminated(docs, benchmark, **options).select(F.col(id_col).alias("_hit")).distinct())
     return docs.join(hits, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+
+
+def drop_contaminated_rows(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    run_words: int = 5,
+    num: int = 80,
+    den: int = 100,
+    radius: int = 23,
+    broadcast_rows: int = 500_000,
+) -> DataFrame:
+    """Rows of ``docs`` whose own text has no contaminated window, whatever other rows with the same id or
+    without an id hold; rows with a null text stay."""
+    src = _keyed(docs, id_col, text_col)
+    best = _best_windows(src, benchmark, item_col, item_text_col, run_words, num, den, radius, broadcast_rows)
+    hits = checkpoint(best.select(F.col("k").alias("_hit")).distinct())
+    own = F.when(F.col(text_col).isNotNull(), F.xxhash64(id_col, text_col))
+    return docs.join(hits, own == F.col("_hit"), "left_anti")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from geoweave.llm import decontaminate as D
 from geoweave.llm import mixing as M
 
@@ -196,3 +197,13 @@ def test_null_id_rows(spark):
     bm = spark.createDataFrame([(0, item)], "item_id long, text string")
     assert {r.doc_id for r in D.contaminated(df, bm).collect()} == {None, 1}
     assert D.drop_contaminated(df, bm).collect() == []
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(None, item), (None, "clean text"), (None, None), (1, "clean " + item), (1, "other clean text"), (2, item), (2, item), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bm = spark.createDataFrame([(0, item)], "item_id long, text string")
+    left = corpus_pipeline.drop_contaminated_rows(df, bm)
+    assert left.columns == df.columns
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted([(None, "clean text"), (None, None), (1, "other clean text"), (3, "")], key=repr)
