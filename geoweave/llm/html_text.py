@@ -56,6 +56,8 @@ UNREAD = frozenset("head title script style noscript template svg iframe object
 RAW = frozenset("title script style noscript iframe textarea".split())
 #: an opening tag of the key closes an open element of the value
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: elements that may stand in a head; any other opening tag ends it, closed or not
+HEAD = frozenset("head title meta link base basefont bgsound script style noscript template".split())
 _SCOPES = frozenset("div article section main aside nav header footer body table ul ol dl form blockquote td th li figure".split())
 
 
@@ -113,8 +115,11 @@ def blocks(page: str) -> list[Block]:
     at = 0
     while True:
         m = _TAG.search(page, at)
+        end = m.start() if m else len(page)
+        if unread and stack[-1][0] == "head" and page[at:end].strip():  # words end a head, as other tags do
+            close(("head",))
         if not unread:
-            text = page[at : m.start() if m else len(page)]
+            text = page[at:end]
             if text:
                 held.append(text)
                 if links:
@@ -145,6 +150,8 @@ def blocks(page: str) -> list[Block]:
                 close(("p",))
             if name == "body":  # a head that never closed
                 close(("head",))
+        if unread and stack[-1][0] == "head" and name not in HEAD:
+            close(("head",))
         if name in VOID or tag.endswith("/>") and name not in RAW:
             continue
         if name in RAW:

@@ -31,6 +31,17 @@ def test_blocks_of_broken_markup():
     assert [b.path[-1] for b in H.blocks("<ul><li>a<li>b</ul><p>c<div>d</div>")] == ["li", "li", "p", "div"]
 
 
+def test_heads_that_never_close():
+    def texts(p):
+        return [b.text for b in H.blocks(p)]
+
+    assert texts("<html><head><title>t</title><article><p>text</p></article>") == ["text"]
+    assert texts("<head><meta charset=u><link href=x><style>p{}</style><script>'<p>'</script><a href=z>in</a> line<p>p") == ["in line", "p"]
+    assert texts("<head><title>t</title>\n plain words<p>p") == ["plain words", "p"]
+    assert texts("<head><title>t</title><template><p>no</p></template><noscript><p>no</p></noscript><header>h</header><p>p") == ["h", "p"]
+    assert texts("<head>\n<title>t</title>\n</head><p>p") == texts("<head><title>t</title><body><p>p") == ["p"]
+
+
 def test_held_out_layouts(model):
     pages = list(H.layouts(200, seed=77))
     got = H.main_texts([p for p, _ in pages], model)
