@@ -4,8 +4,9 @@ A text is cut into clauses at sentence and line signs. Words become symbols (ins
 negation, reported speech, other) by a lexicon; a clause is a string of symbols. Five small weighted
 transducers rewrite it in turn and are composed into one before any text is read:
 
-* ``insult`` and ``threat`` open a match that waits for its surroundings;
-* ``target`` marks a match that stands near an address ("you …");
+* ``insult`` and ``threat`` open a match that waits for its surroundings, a threat also for a target
+  after it ("kill you");
+* ``target`` marks a match that stands shortly after an address ("you …");
 * ``negation`` marks a match shortly after a negator;
 * ``report`` marks a match in a clause that reports speech.
 
@@ -41,7 +42,7 @@ SEED = {
     "dumb retard vermin filth garbage idiota imbécil estúpido estúpida basura idiotin dumm dumme trottel abschaum "
     "müll widerlich imbécile débile ordure minable dégoûtant",
     THREAT: "kill murder hurt destroy stab shoot strangle beat matar mataré golpear töten umbringen schlagen tuer frapper",
-    TARGET: "you your yours yourself u ur they them he she him du dich dein deine ihr sie tu vous toi vos tú usted ustedes",
+    TARGET: "you your yours yourself u ur they them he she him du dich dein deine ihr sie tu te vous toi vos tú usted ustedes",
     NEGATION: "not never nobody neither nor cannot isn't aren't wasn't don't nicht kein keine nie niemals jamais nunca jamás",
     REPORT: "said says say claimed called calls wrote quoted according reported sagte sagt schrieb dit écrit dijo dice llamó",
 }
@@ -101,15 +102,23 @@ def _lasts(symbol: int, flag: int) -> Transducer:
     return Transducer(2, step)
 
 
-def _matches() -> Transducer:
-    """Passes insults and threats; a threat needs a target before it and is dropped without one."""
+def _matches(window: int = WINDOW) -> Transducer:
+    """Passes insults and threats. A threat needs a target: one without a target before it waits, and comes out
+    in place of a target within ``window`` words after it. States hold the words left and the flags of the
+    latest waiting threat."""
 
     def step(state: int, token: tuple[int, int]):
-        if token[0] == THREAT and not token[1] & TARGETED:
-            return 0, (OTHER, 0)
-        return 0, token
+        symbol, flags = token
+        if symbol == THREAT and not flags & TARGETED:
+            return 1 + (window - 1) * 8 + flags, (OTHER, 0)
+        if not state:
+            return 0, token
+        left, waiting = divmod(state - 1, 8)
+        if symbol == TARGET:
+            return 0, (THREAT, waiting | TARGETED)
+        return (state - 8 if left else 0), token
 
-    return Transducer(1, step)
+    return Transducer(1 + window * 8, step)
 
 
 def compose(chain: list[Transducer]) -> Machine:
@@ -201,14 +210,21 @@ def outcomes(text: str, lexicon: Lexicon, machine: Machine = GRAMMAR) -> np.ndar
         if not some.search(clause):
             continue
         state, score, total = 0, np.zeros(len(OUTCOMES)), 0.0
-        for word in _WORD.findall(clause):
+        waiting: list[tuple[int, float]] = []  # place and strength of threats without a target so far
+        for at, word in enumerate(_WORD.findall(clause)):
             found = lexicon.known(word) or (OTHER, 0.0)
             token = machine.out[state][found[0]]
             state = machine.next[state][found[0]]
             if token in _OUTCOME:
                 i = _OUTCOME[token]
-                score[i] = max(score[i], found[1])
-                total += found[1]
+                strengths = [found[1]]
+                if found[0] == TARGET:
+                    strengths = [s for k, s in waiting if at - k <= WINDOW]
+                    waiting = []
+                score[i] = max(score[i], *strengths)
+                total += sum(strengths)
+            elif found[0] == THREAT:
+                waiting.append((at, found[1]))
         out[:-1] = np.maximum(out[:-1], score)
         out[-1] += total
     return out

@@ -43,6 +43,30 @@ def test_grammar_outcomes(text, want):
     assert outcome(text) == want
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("I will kill you", {(THREAT, TARGETED)}),
+        ("kill them all", {(THREAT, TARGETED)}),
+        ("te mataré", {(THREAT, TARGETED)}),
+        ("je vais te tuer", {(THREAT, TARGETED)}),
+        ("never kill or hurt you", {(THREAT, TARGETED | NEGATED)}),
+        ("he is gone, it is said, we murder you", {(THREAT, TARGETED | REPORTED)}),
+        ("kill one two three you", {(THREAT, TARGETED)}),
+        ("kill one two three four you", set()),
+        ("kill. you", set()),
+        ("kill a moron you", {(INSULT, 0), (THREAT, TARGETED)}),
+    ],
+)
+def test_threats_before_their_target(text, want):
+    assert outcome(text) == want
+
+
+def test_waiting_threats_keep_their_strength():
+    x = outcomes("kill and murder you", seed_lexicon())
+    assert x[OUTCOMES.index((THREAT, TARGETED))] == 3 and x[-1] == 6
+
+
 def test_composed_machine_equals_chain():
     chain = [toxicity._fades(toxicity.TARGET, TARGETED, 4), toxicity._fades(toxicity.NEGATION, NEGATED, 3), toxicity._lasts(toxicity.REPORT, REPORTED), toxicity._matches()]
     rng = random.Random(4)
