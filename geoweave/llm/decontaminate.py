@@ -128,9 +128,10 @@ def contaminated(
     """``(id_col, item_col, start_word, n_words, hamming, similarity)``: for every document and item the
     best window whose weighted similarity is at least ``num / den``.
 
-    ``start_word`` counts from 0; of equally similar windows the first is given. Null and empty texts
-    and items of fewer than ``run_words`` words match nothing; repeated rows give one result; rows
-    with a null id are reported under null; empty tables give an empty result. Columns named like
+    ``start_word`` counts from 0; of equally similar windows the first is given. Null texts
+    and those without a word match nothing; an item of fewer than ``run_words`` words is one run of its own and matches
+    where it stands whole; repeated rows give one result; texts that share an item id, or have
+    none, are held apart and the best is reported; rows with a null id are reported under null; empty tables give an empty result. Columns named like
     the results' do no harm: only the named columns are read.
     """
     src = _keyed(docs, id_col, text_col)
@@ -156,9 +157,11 @@ def _best_windows(
     src: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, run_words: int, num: int, den: int, radius: int, broadcast_rows: int
 ) -> DataFrame:
     """``(k, item, b)``: the best window of every text key and item."""
-    items = benchmark.select(F.col(item_col).alias("item"), words_of(item_text_col).alias("w")).filter(F.size("w") >= run_words)
-    items = checkpoint(items.distinct().withColumn("len", F.size("w")))
-    item_runs = items.select("item", "len", F.posexplode(_runs("w", run_words)).alias("item_at", "h"))
+    listed = benchmark.select(F.col(item_col).alias("item"), words_of(item_text_col).alias("w")).filter(F.size("w") > 0)
+    # texts under one id, or under none, are items of their own
+    listed = checkpoint(listed.distinct().withColumns({"ik": F.xxhash64("item", "w"), "len": F.size("w")}))
+    items = listed.filter(F.col("len") >= run_words).drop("item")
+    item_runs = items.select("ik", "len", F.posexplode(_runs("w", run_words)).alias("item_at", "h"))
 
     # 1. windows aligned by anchors
     doc_runs = src.withColumn("w", words_of("text")).select("k", F.posexplode(_runs("w", run_words)).alias("at", "h"))
@@ -180,40 +183,54 @@ def _best_windows(
     counted = checkpoint(counted.select(*key, F.col("r.h").alias("h"), F.col("r.wt").alias("wt")).groupBy(*key, "h").agg(F.sum("wt").alias("wt")))
     prints = checkpoint(simhash(counted, key))
     item_counted = checkpoint(
-        items.select("item", F.explode(_weighted_runs("w", run_words)).alias("r"))
-        .select("item", F.col("r.h").alias("h"), F.col("r.wt").alias("wt"))
-        .groupBy("item", "h")
+        items.select("ik", F.explode(_weighted_runs("w", run_words)).alias("r"))
+        .select("ik", F.col("r.h").alias("h"), F.col("r.wt").alias("wt"))
+        .groupBy("ik", "h")
         .agg(F.sum("wt").alias("wt"))
     )
-    item_prints = checkpoint(simhash(item_counted, ["item"]))
+    item_prints = checkpoint(simhash(item_counted, ["ik"]))
 
     # 3. all fingerprint pairs within the radius
     pairs = hamming_pairs(prints.select("fp").distinct(), item_prints.select("fp").distinct(), radius)
-    lengths = items.groupBy("item").agg(F.max("len").alias("item_len"))
-    named = item_prints.join(lengths, "item").select("item", "item_len", F.col("fp").alias("item_fp"), F.col("total").alias("item_total"))
+    lengths = items.select("ik", F.col("len").alias("item_len"))
+    named = item_prints.join(lengths, "ik").select("ik", "item_len", F.col("fp").alias("item_fp"), F.col("total").alias("item_total"))
     candidates = (
         prints.join(pairs.join(named, "item_fp"), "fp")
         .filter(F.col("len") == F.col("item_len"))
-        .select(*key, "total", "item", "item_total", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("hamming"))
+        .select(*key, "total", "ik", "item_total", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("hamming"))
     )
 
     # 4. exact weighted similarity
     shared = (
         candidates.join(counted, key)
-        .join(item_counted.withColumnRenamed("wt", "item_wt"), ["item", "h"])
-        .groupBy(*key, "item", "total", "item_total", "hamming")
+        .join(item_counted.withColumnRenamed("wt", "item_wt"), ["ik", "h"])
+        .groupBy(*key, "ik", "total", "item_total", "hamming")
         .agg(F.sum(F.least("wt", "item_wt")).alias("inter"))
     )
     union = F.col("total") + F.col("item_total") - F.col("inter")
     found = shared.filter(F.lit(den) * F.col("inter") >= F.lit(num) * union).select(
-        "k", "item", "start", "len", "hamming", (F.col("inter") / union).alias("similarity")
+        "k", "ik", "start", "len", "hamming", (F.col("inter") / union).alias("similarity")
     )
-    best = found.groupBy("k", "item").agg(
+    found = found.unionByName(_short_items(src, listed.filter(F.col("len") < run_words), broadcast_rows))
+    best = found.join(_small(listed.select("ik", "item"), broadcast_rows), "ik").groupBy("k", "item").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"), (-F.col("hamming")).alias("d"), "len")).alias("b")
     )
     return checkpoint(best)
 
 
+def _short_items(src: DataFrame, short: DataFrame, broadcast_rows: int) -> DataFrame:
+    """First place of items shorter than a run, which are one run of their own: found whole or not at all."""
+    out = None
+    for n in sorted(r[0] for r in short.select("len").distinct().collect()):  # fewer lengths than run_words
+        run = short.filter(F.col("len") == n).select("ik", _runs("w", n)[0].alias("h"))
+        runs = src.withColumn("w", words_of("text")).select("k", F.posexplode(_runs("w", n)).alias("start", "h"))
+        first = runs.join(_small(run, broadcast_rows), "h").groupBy("k", "ik").agg(F.min("start").alias("start"))
+        out = first.withColumn("len", F.lit(n)) if out is None else out.unionByName(first.withColumn("len", F.lit(n)))
+    if out is None:
+        out = src.sparkSession.createDataFrame([], "k long, ik long, start int, len int")
+    return out.withColumns({"hamming": F.lit(0), "similarity": F.lit(1.0)})
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of ``docs`` whose id has no contaminated window; rows with a null id are judged together."""
     id_col = options.get("id_col", "doc_id")

@@ -207,3 +207,14 @@ def test_rows_are_judged_by_their_own_text(spark):
     left = corpus_pipeline.drop_contaminated_rows(df, bm)
     assert left.columns == df.columns
     assert sorted(map(tuple, left.collect()), key=repr) == sorted([(None, "clean text"), (None, None), (1, "other clean text"), (3, "")], key=repr)
+
+
+def test_odd_items_are_all_searched(spark):
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen fourteen fifteen", "red green blue black white pink")
+    items = [(None, a), (None, c), (7, a), (7, b), (7, b), (8, "Solar wind!"), (9, "你好"), (10, "..."), (None, None)]
+    docs = [(1, "x " + a), (2, "y y " + b + " z"), (3, c), (4, "the solar wind, a solar wind"), (5, "你好"), (6, "solar x wind"), (7, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = D.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.item_id, r.start_word, r.n_words, r.similarity) for r in got), key=repr) == sorted(
+        [(1, None, 1, 7, 1.0), (1, 7, 1, 7, 1.0), (2, 7, 2, 8, 1.0), (3, None, 0, 6, 1.0), (4, 8, 1, 2, 1.0), (5, 9, 0, 1, 1.0)], key=repr
+    )
