@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from geoweave.llm.secret_scan import RULES
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -75,6 +78,24 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), banding=Banding(size=3, num=85, den=100))
 
 
+def op11_divergence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op12_phrase_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.phrases import phrases
+
+    return phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+def op13_secret_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geoweave.llm.secret_scan import digest, scan
+
+    return digest(scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_module("corpus_pipeline").run(spark, sf_dir)
 
@@ -92,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_zip,
         op9_token_counts,
         op10_minhash_near_dup,
+        op11_divergence_rows,
+        op12_phrase_streams,
+        op13_secret_trigrams,
         pipeline,
     )
 }
@@ -104,7 +128,95 @@ _REACH = """
 ), comp AS (SELECT id, min(goal) AS component_id FROM reach GROUP BY id)
 """
 
+
+
+def _spans_sql(rules) -> str:
+    """Spans of every rule: the pieces between the matches and the matches themselves give the places."""
+
+    def pattern(rule) -> str:
+        # either case is spelt out, since (?i) also folds letters beyond a to z
+        text = re.sub(r"[a-z](?=[a-z_]*[?|)])", lambda m: f"[{m[0]}{m[0].upper()}]", rule.pattern) if rule.ignore_case else rule.pattern
+        return "'" + text.replace("'", "''") + "'"
+
+    return " UNION ALL ".join(
+        f"SELECT doc_id, {i} AS ord, '{r.kind}' AS kind, {r.min_length} AS least, regexp_extract_all(t, {pattern(r)}) AS whole, "
+        f"regexp_extract_all(t, {pattern(r)}, {r.group}) AS part, regexp_split_to_array(t, {pattern(r)}) AS gap FROM d"
+        for i, r in enumerate(rules)
+    )
+
+
 SQL: dict[str, str] = {
+    "op11_divergence_rows": r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+t AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT DISTINCT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = d.lang AND c.source = d.source), 0) AS total,
+    (SELECT count(*) FROM kept WHERE kept.lang = d.lang) AS v FROM d
+), p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (total + 5 * v) AS p
+  FROM g JOIN kept ON kept.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS p FROM kept
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, (SELECT coalesce(sum(abs(x.p - y.p)), 0) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+    WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+), term AS (SELECT lang, source, term AS item, p.p - q.p AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p.p > q.p),
+u AS (SELECT *, 'pair' AS part FROM pair UNION ALL SELECT *, 'term' FROM term),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50
+""",
+    "op12_phrase_streams": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (
+  SELECT lang, k, g, count(*) AS n FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g
+    FROM w CROSS JOIN (VALUES (1), (2), (3)) AS o(k)
+  ) GROUP BY ALL
+), total AS (SELECT lang, CAST(sum(n) AS BIGINT) AS total FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, n AS a, string_split(g, ' ') AS ws FROM g WHERE k > 1 AND n >= 10),
+side AS (
+  SELECT lang, k, g, a, j, array_to_string(ws[1:j], ' ') AS lg, array_to_string(ws[j + 1:k], ' ') AS rg
+  FROM c JOIN (VALUES (1), (2)) AS o(j) ON j < k
+), cut AS (
+  SELECT side.lang, side.g, a, j, x.n AS l, y.n AS r, (1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n) AS score
+  FROM side JOIN g x ON x.lang = side.lang AND x.g = lg JOIN g y ON y.lang = side.lang AND y.g = rg
+), best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+covered AS (
+  SELECT DISTINCT c.lang, c.g FROM c JOIN (
+    SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part FROM c WHERE k = 3
+  ) y ON y.lang = c.lang AND y.part = c.g WHERE 100 * y.a >= 50 * c.a
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
+  FROM best ANTI JOIN covered USING (lang, g)
+)
+SELECT lang, rank, g AS phrase, a, l, r, total AS n, CAST(score AS BIGINT) AS score FROM r JOIN total USING (lang) WHERE rank <= 2000
+""",
+    "op13_secret_trigrams": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({_spans_sql(RULES)}),
+e AS (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM m),
+s AS (
+  SELECT doc_id, ord, kind, length(whole[i]) AS n,
+    list_sum(list_transform(gap[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS a
+  FROM e WHERE length(part[i]) >= least
+), j AS (
+  SELECT doc_id, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
+    string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, ord) FILTER (ord < 3) AS base,
+    string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, ord) AS spans
+  FROM s GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN j USING (doc_id)
+""",
     "op6_embedding_near_dup": """
 WITH RECURSIVE v AS (
   SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
