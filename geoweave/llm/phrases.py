@@ -1,8 +1,8 @@
 """Phrase collocation mining in the layout of external-memory n-gram estimation.
 
-Phrases of one to ``max_words`` words are counted into one stream ``(lang, phrase, n)``, of which the
-counts below ``min_count`` go at once: no part of a candidate is rarer than the candidate itself. The
-stream is then kept in two orders. In prefix order (words left to right) every phrase follows its own
+Phrases of one to ``max_words`` words are counted into one stream ``(lang, phrase, n)``: tasks send runs
+of phrases in the order of their words, and buckets of phrases are added up one after the other. Counts
+below ``min_count`` go at once: no part of a candidate is rarer than the candidate itself. The stream is then kept in two orders. In prefix order (words left to right) every phrase follows its own
 beginnings, in suffix order (words right to left) its own endings. So one pass over a sorted partition,
 which holds the latest count of each length, gives every phrase the counts of all its left (right) parts
 and tells each phrase its largest one-word extension: a merge in lockstep, without a hash table. What lies
@@ -12,6 +12,8 @@ on the far side of a partition's border (at most one phrase per length) is looke
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +21,22 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweave.llm.arrays import LOWER, text_bytes
+from geoweave.llm.arrays import LOWER, mix, text_bytes
+from geoweave.llm.arrays import words as word_hashes
 from geoweave.operators.ranking import global_rank
-from geoweave.plans.iterate import checkpoint
+from geoweave.plans.iterate import checkpoint, shuffle_partitions
 
 #: 0 between words, 1 in a word, 2 between pieces (. , ; : ! ? and line ends)
 KIND = np.ones(256, np.uint8)
 KIND[[0x20, 9]] = 0
 KIND[[0x2E, 0x2C, 0x3B, 0x3A, 0x21, 0x3F, 10, 11, 12, 13]] = 2
+ANY_BYTE, SAME = np.ones(256, bool), np.arange(256, dtype=np.uint8)
 #: bytes of text looked at in one numpy step
-SLICE = 1 << 22
+SLICE = 1 << 23
+#: buckets to a shuffle partition, phrases of a bundle at most, and phrases gathered before they are added up
+BUCKETS, LINES, GATHERED = 16, 256, 1 << 21
+#: languages whose totals may be broadcast
+FEW_LANGS = 10_000
 
 
 # ---- counting ------------------------------------------------------------------------------------
@@ -50,23 +58,31 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray,
     return found, ends + np.searchsorted(offsets, start, "right"), start
 
 
-def phrase_counts(found: pa.Array, piece: np.ndarray, own: int, max_words: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """``(phrases, counts)`` of each length, of the phrases that start at one of the first ``own`` words."""
+def phrase_counts(found: pa.Array, piece: np.ndarray, own: int, max_words: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """``(phrases, hashes, counts)`` of each length, in order of their words, of the phrases that start at
+    one of the first ``own`` words."""
     coded = found.dictionary_encode()
-    word = coded.indices.to_numpy().astype(np.int64)
-    size = max(len(coded.dictionary), 1)
-    code, texts = word[:own], coded.dictionary
-    at = np.arange(own)
-    yield texts, np.bincount(code, minlength=len(texts))
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    texts = coded.dictionary.take(pa.array(order))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    word = place[coded.indices.to_numpy()]
+    size = max(len(texts), 1)
+    hashed = own_hash = word_hashes(*text_bytes(texts), ANY_BYTE, SAME)[0]
+    code, at = word[:own], np.arange(own)
+    counts, last = np.bincount(code, minlength=len(texts)), texts
+    yield texts, hashed, counts
     for k in range(1, max_words):
         inside = at + k < len(word)
         at, code = at[inside], code[inside]
         inside = piece[at] == piece[at + k]
         at, code = at[inside], code[inside]
-        # a phrase is its beginning (numbered) and its last word
+        # a phrase is its beginning (numbered in order) and its last word
         key, code, counts = np.unique(code * size + word[at + k], return_inverse=True, return_counts=True)
-        texts = pc.binary_join_element_wise(texts.take(pa.array(key // size)), coded.dictionary.take(pa.array(key % size)), " ")
-        yield texts, counts
+        begin, end = key // size, key % size
+        texts = pc.binary_join_element_wise(texts.take(pa.array(begin)), last.take(pa.array(end)), " ")
+        hashed = mix(hashed[begin] * np.uint64(0x9E3779B97F4A7C15) + own_hash[end])
+        yield texts, hashed, counts
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, max_words: int):
@@ -103,8 +119,64 @@ def _next_word(data: np.ndarray, at: int, skip: int = 0) -> int:
     return at
 
 
-def counted_phrases(docs: DataFrame, max_words: int) -> DataFrame:
-    """``(lang, phrase, n)`` of all phrases; the empty phrase counts the words of a language."""
+def bundles(lang: str, buckets: int, phrases: pa.Array, hashed: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """``(bucket, lang, n, phrases)``: the phrases of one bucket and equal count, in order, as lines of one string."""
+    bucket = ((hashed ^ np.uint64(crc32(lang.encode()))) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((counts, bucket))
+    bucket, counts = bucket[order], counts[order].astype(np.int64)
+    new = np.ones(len(order), bool)
+    new[1:] = (bucket[1:] != bucket[:-1]) | (counts[1:] != counts[:-1])
+    begin = np.flatnonzero(new)
+    new |= (np.arange(len(order)) - begin[np.cumsum(new) - 1]) % LINES == 0
+    begin = np.flatnonzero(new)
+    ends = pa.array(np.append(begin, len(order)).astype(np.int32))
+    lines = pc.binary_join(pa.ListArray.from_arrays(ends, phrases.take(pa.array(order))), "\n")
+    cols = [pa.array(bucket[begin]), pa.repeat(lang, len(begin)), pa.array(counts[begin]), lines]
+    return pa.RecordBatch.from_arrays(cols, ["bucket", "lang", "n", "phrases"])
+
+
+def summed(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
+    """``(lang, phrase, n)`` with ``n >= min_count`` from bundles sorted by bucket; a bucket's phrases are
+    added up whenever ``GATHERED`` more, and as many as are held, have come, so it takes memory for its distinct phrases only."""
+
+    def total(parts: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(parts).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        return found.rename_columns({"n_sum": "n"})
+
+    def wanted(parts: list[pa.Table]) -> list[pa.RecordBatch]:
+        found = total(parts).select(["lang", "phrase", "n"])
+        keep = pc.or_(pc.greater_equal(found["n"], min_count), pc.equal(found["phrase"], ""))
+        return found.filter(keep).to_batches()
+
+    held, many, base, bucket = [], 0, 0, None
+    for batch in batches:
+        ends = np.flatnonzero(np.diff(batch.column("bucket").to_numpy())) + 1
+        for a, b in pairwise([0, *ends.tolist(), batch.num_rows]):
+            if a == b:
+                continue
+            here = batch.column("bucket")[a].as_py()
+            if held and here != bucket:
+                yield from wanted(held)
+                held, many, base = [], 0, 0
+            bucket = here
+            lines = pc.split_pattern(batch.column("phrases").slice(a, b - a), "\n")
+            row = pc.list_parent_indices(lines)
+            lang = batch.column("lang").slice(a, b - a).take(row)
+            held.append(pa.table({"lang": lang, "phrase": lines.flatten(), "n": batch.column("n").slice(a, b - a).take(row)}))
+            many += len(row)
+            if many >= max(GATHERED, base):
+                held, many = [total(held)], 0
+                base = len(held[0])
+    if held:
+        yield from wanted(held)
+
+
+def counted_phrases(docs: DataFrame, max_words: int, min_count: int = 1) -> DataFrame:
+    """``(lang, phrase, n)`` of the phrases with ``n >= min_count``; the empty phrase counts the words of a language.
+
+    Tasks send runs of phrases in order, bundled by bucket (a hash of language and phrase). Counting
+    takes one bucket at a time, and there are ``BUCKETS`` of them to a shuffle partition."""
+    buckets = BUCKETS * shuffle_partitions(docs.sparkSession)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")
     source = docs.select(lang, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
@@ -115,13 +187,15 @@ def counted_phrases(docs: DataFrame, max_words: int) -> DataFrame:
                 for data, offsets, own_bytes in stretches(*text_bytes(texts), max_words):
                     found, piece, start = words(data, offsets)
                     own = int(np.searchsorted(start, own_bytes))
-                    total = (pa.array([""]), np.array([own]))
-                    for phrase, n in (total, *phrase_counts(found, piece, own, max_words)):
-                        cols = [pa.repeat(lang, len(phrase)), phrase, pa.array(n.astype(np.int64))]
-                        yield pa.RecordBatch.from_arrays(cols, ["lang", "phrase", "n"])
+                    if own == 0:
+                        continue
+                    total = (pa.array([""]), np.zeros(1, np.uint64), np.array([own]))
+                    for part in (total, *phrase_counts(found, piece, own, max_words)):
+                        yield bundles(lang.as_py(), buckets, *part)
 
-    counted = source.mapInArrow(run, "lang string, phrase string, n long")
-    return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    sent = source.mapInArrow(run, "bucket long, lang string, n long, phrases string")
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(lambda batches: summed(batches, min_count), "lang string, phrase string, n long")
 
 
 # ---- lockstep passes -----------------------------------------------------------------------------
@@ -218,7 +292,7 @@ def phrases(
     that overlap by ``max_words - 1`` words; an empty table gives an empty result; other columns are not
     read. Products are 38-digit decimals.
     """
-    counted = checkpoint(counted_phrases(docs, max_words).filter((F.col("n") >= min_count) | (F.col("phrase") == "")))
+    counted = checkpoint(counted_phrases(docs, max_words, min_count))
     grams = counted.filter("phrase <> ''")
     sizes = counted.filter("phrase = ''").select("lang", F.col("n").alias("total"))
     cuts = range(1, max_words)
@@ -244,8 +318,10 @@ def phrases(
     found = scored.select("lang", "phrase", "a", "best.l", "best.r", "best.score")
     # a language can have any number of candidates: ranked over range partitions, not in one window
     ranked = global_rank(found, ["lang", F.desc("score"), F.desc("a"), "phrase"], rank_col="_at", start=0)
-    first = ranked.groupBy("lang").agg(F.min("_at").alias("_first"))
-    out = ranked.join(first, "lang").withColumn("rank", F.col("_at") - F.col("_first") + 1).filter(F.col("rank") <= top)
-    return out.join(sizes, "lang").select(
+    first = ranked.groupBy("lang").agg(F.min("_at").alias("_first")).join(sizes, "lang")
+    first = checkpoint(first)
+    few = first.count() <= FEW_LANGS  # a language can hold most rows: its row goes to them, not they to it
+    out = ranked.join(F.broadcast(first) if few else first, "lang")
+    return out.withColumn("rank", F.col("_at") - F.col("_first") + 1).filter(F.col("rank") <= top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), "score"
     )
