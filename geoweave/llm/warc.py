@@ -25,9 +25,10 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.plans.iterate import checkpoint
@@ -36,9 +37,12 @@ from geoweave.session import ensure_checkpoint_dir
 ARCHIVE = "archive/data.warc.gz"
 INDEX = "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+EXACT_URI = "X-Target-URI-Base64"
 DATE = "2020-01-01T00:00:00Z"  # fixed value: a rewritten package has equal bytes
 
 RUNS_PER_TASK = 4
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 MANIFEST = "path string, n_records long, n_bytes long"
 RECORD = (
@@ -53,9 +57,22 @@ def open_store(uri: str):
 
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    for scheme in ("s3a://", "s3n://"):  # Spark's names of what pyarrow calls s3
+        uri = uri.replace(scheme, "s3://", 1) if uri.startswith(scheme) else uri
     return fs.FileSystem.from_uri(uri)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, n_bytes: int):
+    """Arrow batches of about ``n_bytes`` inside the block (rows of whole pages are large)."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(n_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload, usedforsecurity=False).digest()).decode()
 
@@ -83,6 +100,8 @@ def record_bytes(record_id: str, url: str | None, payload: bytes, refers_to: str
     ]
     if url is not None:
         lines.append(f"WARC-Target-URI: {_clean(url)}")
+        if _clean(url) != url:  # the address as given, which has no place in a header line
+            lines.append(f"{EXACT_URI}: {base64.b64encode(url.encode()).decode()}")
     body = head
     if refers_to is None:
         body += payload
@@ -109,7 +128,7 @@ def parse_record(raw: bytes) -> dict:
         raise ValueError(f"payload of record {fields['WARC-Record-ID']} does not match its digest")
     return {
         "record_id": name(fields["WARC-Record-ID"]),
-        "url": fields.get("WARC-Target-URI"),
+        "url": base64.b64decode(fields[EXACT_URI]).decode() if EXACT_URI in fields else fields.get("WARC-Target-URI"),
         "payload_bytes": full,
         "payload_digest": digest,
         "record_type": kind,
@@ -196,7 +215,8 @@ def write_packages(records: DataFrame, folder: str, package_bytes: int = 64 << 2
                 ["path", "n_records", "n_bytes"],
             )
 
-    return checkpoint(records.select("record_id", "url", "html", "refers_to").mapInArrow(run, MANIFEST))
+    with arrow_batches(records.sparkSession, BATCH_BYTES):
+        return checkpoint(records.select("record_id", "url", "html", "refers_to").mapInArrow(run, MANIFEST))
 
 
 # ---- reader ----------------------------------------------------------------------------------
@@ -334,9 +354,11 @@ def archive_pages(pages: DataFrame, folder: str | None = None, min_revisit_bytes
     null only where the whole group has none, all of it responses); repeated rows get a record each, of the same type;
     an empty table gives an empty result; other columns are ignored. Groups of equal payloads are
     resolved on ``(page_id, digest)`` rows only, by a partial aggregate and a join whose hot side
-    can be split; payloads move once, by page.
+    can be split; payloads move once, by page. Packages in a given ``folder`` stay; without one they
+    are deleted as soon as they have been read back.
     """
     spark = pages.sparkSession
+    own = folder is None
     folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     html = F.coalesce(F.col("html"), F.lit("")).alias("html")
     source = pages.select("page_id", "url", html).withColumn("_d", F.sha1(F.col("html").cast("binary")))
@@ -362,6 +384,10 @@ def archive_pages(pages: DataFrame, folder: str | None = None, min_revisit_bytes
     # fixed counts: the rows are few and small, but each stands for much reading
     located = checkpoint(locate_records(manifest.repartition(max(1, manifest.count()), "path")))
     back = read_records(located.repartition(max(1, -(-located.count() // RUNS_PER_TASK)), "path", "start"), with_payload=False)
+    if own:  # what was read stays, the packages go
+        back = checkpoint(back.drop("payload"))
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
     as_id = lambda c: F.when(F.col(c) != "", F.col(c)).cast(pages.schema["page_id"].dataType)
     return back.select(
         as_id("record_id").alias("page_id"),
