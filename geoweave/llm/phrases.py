@@ -32,9 +32,9 @@ KIND[[0x20, 9]] = 0
 KIND[[0x2E, 0x2C, 0x3B, 0x3A, 0x21, 0x3F, 10, 11, 12, 13]] = 2
 ANY_BYTE, SAME = np.ones(256, bool), np.arange(256, dtype=np.uint8)
 #: bytes of text looked at in one numpy step
-SLICE = 1 << 23
+SLICE = 1 << 22
 #: buckets to a shuffle partition, phrases of a bundle at most, and phrases gathered before they are added up
-BUCKETS, LINES, GATHERED = 16, 256, 1 << 21
+BUCKETS, LINES, GATHERED = 16, 256, 1 << 20
 #: languages whose totals may be broadcast
 FEW_LANGS = 10_000
 
