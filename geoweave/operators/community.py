@@ -3,23 +3,23 @@
 * Label propagation: synchronous, every node votes for itself plus each neighbour's label; the
   most frequent label wins, ties to the smallest label. The self-vote keeps synchronous updates
   from oscillating on sparse graphs.
-* Louvain: synchronous local-moving sweeps with the standard modularity gain (including the
-  cost of leaving the current community), damped so that neighbouring nodes do not swap
-  labels forever: a hash bit of the node id splits the nodes into two fixed halves that move in
-  turn, and two singletons merge only toward the smaller label. A sweep is kept only if modularity
-  rises; a pass ends when neither half makes such a move.
-  Contraction keeps intra-community weight as self-loops and community labels are original
-  node ids, so memberships compose across passes.
+* Louvain: sweeps of many moves at once. A move is accepted if its standard modularity gain
+  (including the cost of leaving the current community) stays positive after everything that the
+  other candidates of its sweep could take from it; so every sweep raises modularity, and a pass
+  ends only when no node of its level gains by a move. Contraction keeps intra-community weight as
+  self-loops and community labels are original node ids, so memberships compose across passes.
 """
 
 from __future__ import annotations
 
 import logging
+from collections import deque
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoweave.functions.keys import md5_bit
 from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 EPS = 1e-12
@@ -185,27 +185,15 @@ def select_communities(
 # ---- Louvain ---------------------------------------------------------------------------------
 
 
-def _louvain_sweep(
-    memb: DataFrame,
-    cw: DataFrame,
-    m: float,
-    seed: int,
-    parity: int | None = None,
-    gain_rule: str = "standard",
-) -> DataFrame:
-    """One synchronous local-moving sweep over ``memb(id, community, k)``; returns
-    ``(id, community, k, moved)``. With ``parity`` only the half of the nodes whose hash bit equals it may move.
-
-    ``gain_rule="standard"`` compares the best gain with the gain of staying (the cost of leaving
-    the current community); ``"simple"`` is the reference's rule: move when the best gain of
-    joining another community is positive (P12, Q21)."""
-    links_e = cw.filter(F.col("u") != F.col("v"))
-    sym = links_e.select(F.col("u").alias("i"), F.col("v").alias("j"), "w").unionByName(
-        links_e.select(F.col("v").alias("i"), F.col("u").alias("j"), "w")
-    )
+def louvain_candidates(memb: DataFrame, sym: DataFrame, m: float, rule: str = "standard") -> DataFrame:
+    """``(id, ci, k, cb, delta)`` of the nodes that gain by moving to ``cb``, the best
+    of their neighbours' communities (ties: the smallest label).
+
+    ``memb(id, community, k)``; ``sym(i, j, w)`` holds every link in both directions, no loops. ``standard``
+    asks that moving gains over staying; ``simple`` is the reference's rule, a positive gain of joining (Q21).
+    """
     mj = memb.select(F.col("id").alias("j"), F.col("community").alias("cj"))
-    # Weight from each node to each neighbouring community (partial aggregate)
-    links = sym.join(mj, "j").groupBy("i", "cj").agg(F.sum("w").alias("l"))
+    links = sym.join(mj, "j").groupBy("i", "cj").agg(F.sum("w").alias("l"))  # A7
     tot = memb.groupBy("community").agg(F.sum("k").alias("tot"), F.count(F.lit(1)).alias("size"))  # A8
     node = memb.join(tot, "community").select(
         F.col("id").alias("i"), F.col("community").alias("ci"), "k", F.col("tot").alias("tot_own"), F.col("size").alias("size_own")
@@ -214,31 +202,162 @@ def _louvain_sweep(
     ln = links.join(node, "i").join(tc, "cj")
     two_m2 = 2.0 * m * m
     gain = F.col("l") / F.lit(m) - F.col("tot_c") * F.col("k") / F.lit(two_m2)
-    # two singletons may merge only toward the smaller label (damping)
+    # two singletons merge only toward the smaller label: the other one has the same gain
     allowed = (F.col("cj") != F.col("ci")) & ~(
         (F.col("size_own") == 1) & (F.col("size_c") == 1) & (F.col("cj") > F.col("ci"))
     )
-    per_node = ln.groupBy("i").agg(
+    best = ln.groupBy("i", "ci", "k", "tot_own").agg(
         F.max(F.when(allowed, F.struct(gain.alias("g"), (-F.col("cj")).alias("nc")))).alias("b"),  # A13
         F.sum(F.when(F.col("cj") == F.col("ci"), F.col("l")).otherwise(F.lit(0.0))).alias("l_own"),
     )
-    if gain_rule == "simple":
-        stay = F.lit(0.0)
-    else:
-        stay = F.col("l_own") / F.lit(m) - (F.col("tot_own") - F.col("k")) * F.col("k") / F.lit(two_m2)
-    turn = F.lit(True) if parity is None else md5_bit(seed, F.col("i")) == F.lit(parity)
-    dec = node.join(per_node, "i", "left").select(
-        F.col("i").alias("id"),
-        "ci",
-        "k",
-        (-F.col("b.nc")).alias("cbest"),
-        (F.col("b.g") - stay).alias("delta"),
-        turn.alias("_turn"),
+    stay = F.col("l_own") / F.lit(m) - (F.col("tot_own") - F.col("k")) * F.col("k") / F.lit(two_m2)
+    delta = F.col("b.g") - (F.lit(0.0) if rule == "simple" else stay)
+    return best.select(F.col("i").alias("id"), "ci", "k", (-F.col("b.nc")).alias("cb"), delta.alias("delta")).filter(F.col("delta") > EPS)
+
+
+def _accepted(cand: DataFrame, sym: DataFrame, m: float) -> DataFrame:
+    """The moves ``(id, cb)`` among ``cand(id, ci, k, cb, delta, turn)`` that gain one after the other.
+
+    Candidates are taken in falling order of ``turn``. What those of an earlier or equal turn can cost a
+    move is charged to it, accepted or not: degree that joins its target or leaves its own community,
+    and neighbours that leave the target or enter the own community. What is still above zero gains
+    whatever becomes of the others. A community has at most ``TURNS`` sums, however many members it has."""
+    flow = F.array(
+        F.struct(F.col("cb").alias("c"), F.lit(True).alias("joins")), F.struct(F.col("ci").alias("c"), F.lit(False).alias("joins"))
     )
-    move = F.col("cbest").isNotNull() & (F.col("delta") > F.lit(EPS)) & F.col("_turn")
-    return dec.select(
-        "id", F.when(move, F.col("cbest")).otherwise(F.col("ci")).alias("community"), "k", move.alias("moved")
+    sums = cand.select(F.inline(flow).alias("c", "joins"), "turn", "k").groupBy("c", "joins", "turn").agg(F.sum("k").alias("k"))
+    upto = Window.partitionBy("c", "joins").orderBy(F.desc("turn"))
+    sums = sums.select("c", "joins", "turn", F.sum("k").over(upto).alias("s"))
+    joins = sums.filter("joins").select(F.col("c").alias("cb"), "turn", F.col("s").alias("joining"))
+    leaves = sums.filter("not joins").select(F.col("c").alias("ci"), "turn", F.col("s").alias("leaving"))
+    mine = cand.select(F.col("id").alias("i"), "ci", "cb", "turn")
+    other = cand.select(F.col("id").alias("j"), F.col("ci").alias("_cj"), F.col("cb").alias("_bj"), F.col("turn").alias("_tj"))
+    lost = (F.col("_cj") == F.col("cb")).cast("int") + (F.col("_bj") == F.col("ci")).cast("int")
+    against = (
+        sym.join(mine, "i")
+        .join(other, "j")
+        .filter((F.col("_tj") >= F.col("turn")) & (lost > 0))
+        .groupBy(F.col("i").alias("id"))
+        .agg(F.sum(F.col("w") * lost).alias("against"))
     )
+    charge = F.col("k") * (F.col("joining") + F.col("leaving") - 2 * F.col("k")) / F.lit(2.0 * m * m)
+    charge = charge + F.coalesce(F.col("against"), F.lit(0.0)) / F.lit(m)
+    held = cand.join(joins, ["cb", "turn"]).join(leaves, ["ci", "turn"]).join(against, "id", "left")
+    return held.filter(F.col("delta") - charge > EPS).select("id", "cb")
+
+
+#: turns of a sweep: each takes about as many candidates as all earlier ones together
+TURNS = 40
+
+
+def _turn(seed: int, sweep: int):
+    """Turn of a node in a sweep, drawn by hashing: ``t`` or higher with probability ``2 ** -t``."""
+    h = F.xxhash64(F.lit(seed), F.lit(sweep), "id").bitwiseAND(F.lit((1 << TURNS) - 1))
+    return (F.lit(TURNS) - F.length(F.regexp_replace(F.conv(h.cast("string"), 10, 2), "^0+", ""))).cast("int")
+
+
+def _moved(memb: DataFrame, taken: DataFrame) -> tuple[DataFrame, int]:
+    """The membership after the moves ``taken(id, cb)``, written, and the number of moves."""
+    after = memb.join(taken, "id", "left").select(
+        "id", F.coalesce("cb", "community").alias("community"), "k", "d", F.col("cb").isNotNull().alias("moved")
+    )
+    after = checkpoint(after)
+    return after, after.filter("moved").count()
+
+
+#: link rows of a block of communities, about
+BLOCK_LINKS = 1 << 20
+
+
+def _block_sweep(memb: DataFrame, sym: DataFrame, m: float, blocks: int, seed: int, sweep: int) -> DataFrame:
+    """Moves ``(id, cb)`` of one sweep over blocks of whole communities.
+
+    Communities are dealt to ``blocks`` blocks by a hash that changes with the sweep. A move between two
+    communities of one block depends on nothing outside it (all links and degrees of both lie in the
+    block), so every block runs its moves one after the other, each with its exact gain, to its own end. A community
+    of more than ``BLOCK_LINKS`` link rows stays out: its moves are those of the other kind of sweep."""
+    where = F.pmod(F.xxhash64(F.lit(seed), F.lit(sweep), "community"), F.lit(blocks))
+    tot = memb.groupBy("community").agg(F.sum("k").alias("tot"), F.sum("d").alias("d")).filter(F.col("d") <= BLOCK_LINKS)
+    node = memb.join(tot.drop("d"), "community").select("id", "community", "k", "tot", where.alias("block"))
+    near = node.select(F.col("id").alias("j"), F.col("community").alias("cj"), F.col("tot").alias("tj"), F.col("block").alias("_b"))
+    rows = sym.join(node.withColumnRenamed("id", "i"), "i").join(near, "j").filter("block = _b")
+    rows = rows.select("block", "i", "j", "w", F.col("community").alias("ci"), "cj", "k", "tot", "tj")
+    return rows.groupBy("block").applyInPandas(lambda block: _moves_in_turn(block, m), "id long, cb long")
+
+
+def _moves_in_turn(block: pd.DataFrame, m: float) -> pd.DataFrame:
+    """Local moving over one block's link rows, node after node, until a round moves nothing."""
+    block = block.sort_values(["i", "j"])
+    ids, start = np.unique(block["i"].to_numpy(), return_index=True)
+    ends = [*start[1:].tolist(), len(block)]
+    at = np.searchsorted(ids, block["j"].to_numpy()).tolist()  # links are there in both directions
+    w = block["w"].tolist()
+    first = block.iloc[start]
+    here, k = first["ci"].tolist(), first["k"].tolist()
+    tot = dict(zip(block["cj"].tolist(), block["tj"].tolist(), strict=True)) | dict(zip(here, first["tot"].tolist(), strict=True))
+    before, two_m = list(here), 2.0 * m
+    waiting, queue = [True] * len(ids), deque(range(len(ids)))
+    while queue:
+        i = queue.popleft()
+        waiting[i] = False
+        links: dict[int, float] = {}
+        for e in range(start[i], ends[i]):
+            c = here[at[e]]
+            links[c] = links.get(c, 0.0) + w[e]
+        own, ki = here[i], k[i]
+        stay = links.get(own, 0.0) - (tot[own] - ki) * ki / two_m
+        best = max(((x - tot[c] * ki / two_m, -c) for c, x in links.items() if c != own), default=None)
+        if best is None or (best[0] - stay) / m <= EPS:
+            continue
+        here[i] = -best[1]
+        tot[own] -= ki
+        tot[here[i]] += ki
+        for e in range(start[i], ends[i]):
+            j = at[e]
+            if not waiting[j] and here[j] != here[i]:
+                waiting[j] = True
+                queue.append(j)
+    moved = [x for x in range(len(ids)) if here[x] != before[x]]
+    return pd.DataFrame({"id": ids[moved], "cb": np.array([here[x] for x in moved], np.int64)})
+
+
+def local_moving(memb: DataFrame, sym: DataFrame, m: float, seed: int = 42, rounds: RoundLog | None = None, level: int = 1):
+    """``(membership, its round table, moves)`` after sweeps of moves until no node gains by a move of its own.
+
+    ``memb(id, community, k, d)`` with ``d`` link rows of a node. Two kinds of sweep take turns: block sweeps
+    move nodes one after the other inside blocks of communities, and sweeps over all candidates
+    accept what gains whatever the others do (or, with nothing accepted, the best move alone). Both only
+    raise modularity; the end is reached when no candidate is left, which is a local optimum."""
+    moves, sweep, source = 0, 0, None
+    blocks = max(1, -(-sym.count() // BLOCK_LINKS))
+    while True:
+        sweep += 1
+        nxt, inside = _moved(memb, _block_sweep(memb, sym, m, blocks, seed, sweep))
+        release(source)
+        source, memb = nxt, nxt.drop("moved")
+        cand = checkpoint(louvain_candidates(memb, sym, m).withColumn("turn", _turn(seed, sweep)))
+        found, n = cand.count(), 0
+        if found:
+            nxt, n = _moved(memb, _accepted(cand, sym, m))
+            if n == 0:  # all charged by one another: the best candidate alone
+                release(nxt)
+                nxt, n = _moved(memb, cand.orderBy(F.desc("delta"), "id").limit(1).select("id", "cb"))
+            release(source)
+            source, memb = nxt, nxt.drop("moved")
+        release(cand)
+        moves += inside + n
+        if rounds is not None:
+            rounds.record(louvain_pass=level, sweep=sweep, in_blocks=inside, candidates=found, moved=n)
+        if not found:
+            return memb, source, moves
+
+
+def level_tables(nodes: DataFrame, cw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``sym(i, j, w)``, the links in both directions without loops, and ``(id, k, d)`` of a level's nodes."""
+    both = F.array(F.struct(F.col("u").alias("i"), F.col("v").alias("j")), F.struct(F.col("v").alias("i"), F.col("u").alias("j")))
+    sym = checkpoint(cw.filter(F.col("u") != F.col("v")).select(F.inline(both).alias("i", "j"), "w"))
+    degree = sym.groupBy(F.col("i").alias("id")).agg(F.count(F.lit(1)).alias("d"))
+    return sym, checkpoint(node_strength(nodes, cw).join(degree, "id", "left").na.fill(0, ["d"]))
 
 
 def louvain(
@@ -248,57 +367,63 @@ def louvain(
     seed: int = 42,
     rounds: RoundLog | None = None,
     gain_rule: str = "standard",
+    refine: bool = True,
+    on_pass=None,
 ) -> tuple[DataFrame, list[dict]]:
     """``membership(id, community)`` and per-pass ``{pass, modularity, communities}``.
 
-    Passes of local moving (G8) and contraction (G9), until a pass moves nothing. A pass ends when its
-    last two sweeps, one per half of the nodes, both made no move that raises modularity; as every
-    kept sweep raises it, passes end. Community labels are original node ids.
+    Passes of local moving (G8) and contraction (G9), until a pass moves nothing. A pass ends when no node
+    of its level gains by a single move. With ``refine`` the nodes themselves then move again from the
+    communities found, and passes go on from there, until neither nodes nor communities gain by a move; every pass
+    raises modularity. Community labels are original node ids. ``gain_rule="simple"`` chooses the same
+    targets and takes the same moves: those that the reference's rule alone would add lower modularity
+    (``louvain_candidates`` lists them). ``on_pass(pass, membership, links, m)``
+    sees the level's membership and its links in both directions at the end of every pass.
     """
-    cw = checkpoint(canonical_weighted(edges, weight_col))
-    level_nodes = checkpoint(nodes.select("id"))
-    assign = checkpoint(nodes.select("id", F.col("id").alias("community")))  # original → current
+    if gain_rule not in ("standard", "simple"):
+        raise ValueError(f"unknown gain rule {gain_rule!r}")
+    base = cw = checkpoint(canonical_weighted(edges, weight_col))
+    m = float(base.agg(F.sum("w")).first()[0] or 0.0)
+    assign = checkpoint(nodes.select("id", F.col("id").alias("community")))  # node → community
     history: list[dict] = []
-    sweep_no = 0
+    if m <= 0.0:
+        release(base)
+        return assign, history
+    base_sym, base_k = level_tables(nodes.select("id"), base)
+    sym, k = base_sym, base_k
+    start = k.select("id", F.col("id").alias("community"), "k", "d")
+    on_nodes = True
     while True:
-        k = checkpoint(node_strength(level_nodes, cw))
-        memb = k.select("id", F.col("id").alias("community"), "k")
-        q0 = modularity(memb, cw).first()
-        m = float(q0["m"])
-        if m <= 0.0:
-            release(k)
-            break
-        q = q_start = q0["modularity"]
-        memb_src, idle = None, 0
-        while idle < 2:
-            nxt = checkpoint(_louvain_sweep(memb, cw, m, seed, sweep_no % 2, gain_rule))
-            sweep_no += 1
-            r = modularity(nxt, cw, "moved").first()
-            if rounds is not None:
-                rounds.record(louvain_pass=len(history) + 1, sweep=sweep_no, moved=r["moved"], modularity=r["modularity"])
-            if r["moved"] > 0 and r["modularity"] > q + EPS:
-                release(memb_src)
-                memb_src, memb, q, idle = nxt, nxt.select("id", "community", "k"), r["modularity"], 0
-            else:
-                release(nxt)
-                idle += 1
-        if q <= q_start:
-            if not history:
-                history.append({"pass": 1, "modularity": q, "communities": assign.select("community").distinct().count()})
-            release(k)
+        memb, source, moves = local_moving(start, sym, m, seed, rounds, len(history) + 1)
+        if on_pass is not None:
+            on_pass(len(history) + 1, memb, sym, m)
+        if moves or not history:
+            after = memb.select("id", "community")
+            if not on_nodes:
+                step = after.select(F.col("id").alias("community"), F.col("community").alias("_nc"))
+                after = assign.join(step, "community").select("id", F.col("_nc").alias("community"))
+            prev, assign = assign, checkpoint(after)
+            q = modularity(memb, cw).first()["modularity"]
+            history.append({"pass": len(history) + 1, "modularity": q, "communities": assign.select("community").distinct().count()})
+            release(prev)
+        done = not moves and (on_nodes or not refine)
+        if not done and moves:
+            prev_cw = cw
+            cw = checkpoint(contract(memb, cw))
+            if not on_nodes:
+                release(prev_cw)
+        release(source, *(() if on_nodes else (sym, k)))
+        if done:
             break
-        prev_assign = assign
-        assign = checkpoint(
-            assign.join(memb.select(F.col("id").alias("community"), F.col("community").alias("_nc")), "community").select(
-                "id", F.col("_nc").alias("community")
-            )
-        )
-        history.append({"pass": len(history) + 1, "modularity": q, "communities": assign.select("community").distinct().count()})
-        prev_cw, prev_nodes = cw, level_nodes
-        cw = checkpoint(contract(memb, cw))
-        level_nodes = checkpoint(memb.select(F.col("community").alias("id")).distinct())
-        release(prev_assign, prev_cw, prev_nodes, memb_src, k)
-    release(cw, level_nodes)
+        if moves:  # up to the level of the communities
+            on_nodes = False
+            sym, k = level_tables(assign.select(F.col("community").alias("id")).distinct(), cw)
+            start = k.select("id", F.col("id").alias("community"), "k", "d")
+        else:  # back to the nodes
+            release(cw)
+            on_nodes, cw, sym, k = True, base, base_sym, base_k
+            start = assign.join(k, "id").select("id", "community", "k", "d")
+    release(*{id(x): x for x in (cw, base, base_sym, base_k)}.values())
     return assign, history
 
 

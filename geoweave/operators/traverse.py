@@ -1,8 +1,8 @@
 """Traversals: budgeted BFS tree (G1), reachability (G3), farthest node (A20), parent-chain
 walks (G2/G6) and depth-first pre-order numbering of trees (G4).
 
-All loops advance one level per round; every round's output is checkpointed and the driver
-only reads the number of new rows.
+Searches advance one level per round, walks and deep trees double their reach per round; every
+round's output is checkpointed and the driver only reads counters.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.model import Graph
-from geoweave.operators.ranking import global_rank_counted, grouped_exclusive_sum
+from geoweave.operators.ranking import global_rank, global_rank_counted, grouped_exclusive_sum
 from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 log = logging.getLogger(__name__)
@@ -112,10 +112,12 @@ def reachable(g: Graph, sources: DataFrame, rounds: RoundLog | None = None) -> D
         if rounds is not None:
             rounds.record(level=level + 1, new_nodes=n_new)
         if n_new == 0:
+            release(nxt)
             break
         frames.append(nxt)
         frontier = nxt
         level += 1
+    release(edges)
     return _union(frames)
 
 
@@ -130,23 +132,33 @@ def walk_up(parents: DataFrame, targets: DataFrame, key_cols=("key",)) -> DataFr
     """Follow ``parent`` pointers from each target to its root.
 
     ``parents``: ``(…key_cols, id, parent)``; ``targets``: ``(…key_cols, id)``. Returns
-    ``(…key_cols, id, step)`` with step 0 at the target. One small join per hop; the state
-    is never collected.
+    ``(…key_cols, id, step)`` with step 0 at the target.
+
+    Pointer doubling: round ``k`` has a table of jumps over ``2 ** k`` hops, by which the part of a walk already
+    known gives as much again, and jumps joined with themselves give the next table. A walk of ``h`` hops takes
+    ``log2(h)`` rounds, all targets together; a round writes one table.
     """
     keys = list(key_cols)
-    ptab = checkpoint(parents.select(*keys, "id", "parent").filter(F.col("parent").isNotNull()))
-    cur = checkpoint(targets.select(*keys, "id", F.lit(0).alias("step")))
-    frames = [cur]
+    jump = parents.filter(F.col("parent").isNotNull()).select(
+        *keys, "id", F.col("parent").alias("to"), F.lit(None).cast("long").alias("step")
+    )
+    walk = targets.select(*keys, "id", F.lit(None).cast("long").alias("to"), F.lit(0).cast("long").alias("step"))
+    table = checkpoint(jump.unionByName(walk))
+    hops = 1
     while True:
-        nxt = checkpoint(
-            cur.join(ptab, keys + ["id"]).select(*keys, F.col("parent").alias("id"), (F.col("step") + 1).alias("step"))
+        jump = table.filter("step is null").drop("step")
+        walk = table.filter("step is not null").select(*keys, "id", "step")
+        ahead = walk.join(jump, keys + ["id"]).select(
+            *keys, F.col("to").alias("id"), F.lit(None).cast("long").alias("to"), (F.col("step") + hops).alias("step")
         )
-        if nxt.isEmpty():
-            break
-        frames.append(nxt)
-        cur = nxt
-    release(ptab, nxt)
-    return _union(frames)
+        further = jump.select(*keys, F.col("id").alias("to"), F.col("to").alias("_to"))
+        longer = jump.join(further, keys + ["to"]).select(*keys, "id", F.col("_to").alias("to"), F.lit(None).cast("long").alias("step"))
+        known = walk.select(*keys, "id", F.lit(None).cast("long").alias("to"), "step")
+        prev, table = table, checkpoint(known.unionByName(ahead).unionByName(longer))
+        release(prev)
+        hops *= 2
+        if table.filter(F.col("step") >= hops // 2).isEmpty():
+            return table.filter("step is not null").select(*keys, "id", F.col("step").cast("int").alias("step"))
 
 
 def bfs_longest_path(tree: DataFrame) -> DataFrame:
@@ -188,13 +200,63 @@ def tree_preorder(tree: DataFrame) -> DataFrame:
     ascending id order: ``(id, depth, visit_order, subtree_size)``.
 
     Equals the visit order of a stack DFS that pushes neighbours in reverse order when the
-    reachable part is a tree. Bottom-up subtree sizes (one grouped sum per level), one skew-safe
-    grouped prefix sum over siblings, then top-down offsets (one join per level).
+    reachable part is a tree. Shallow trees go level by level, two joins a level; a tree deeper than
+    an Euler tour takes rounds (the logarithm of its nodes) is ranked as such a tour.
     """
     t = checkpoint(tree.select("id", "parent", "depth"))
-    max_depth = t.agg(F.max("depth")).first()[0]
-    if max_depth is None:
+    shape = t.agg(F.max("depth").alias("depth"), F.count(F.lit(1)).alias("n")).first()
+    if shape["depth"] is None:
         return t.select("id", "depth", F.lit(0).cast("long").alias("visit_order"), F.lit(1).cast("long").alias("subtree_size"))
+    tour_rounds = (2 * shape["n"]).bit_length()
+    return _preorder_by_levels(t, shape["depth"]) if 2 * shape["depth"] <= tour_rounds else _preorder_by_tour(t, shape["n"])
+
+
+def _preorder_by_tour(t: DataFrame, n: int) -> DataFrame:
+    """Pre-order by ranking the Euler tour.
+
+    Every node has an arc down into it and one up out of it. The arc after a node's down arc is that into its
+    first child, or its own up arc; the one after its up arc is that into its next sibling, or its parent's up
+    arc; roots are siblings. List ranking by pointer doubling counts the down arcs from each arc to the
+    end: from a node's down arc it gives the order, the difference to its up arc the size."""
+    grouped = t.withColumn("_grp", F.coalesce(F.col("parent"), F.lit(-1).cast("long")))
+    # the next sibling is the next row of the order (parent, id): no window over a hub's children
+    ranked = checkpoint(global_rank(grouped, ["_grp", "id"], rank_col="_r").select("id", "parent", "_grp", "_r"))
+    following = ranked.select((F.col("_r") - 1).alias("_r"), F.col("_grp").alias("_ng"), F.col("id").alias("_sibling"))
+    first = t.filter("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.min("id").alias("_child"))
+    nodes = ranked.join(following, "_r", "left").join(first, "id", "left")
+    sibling = F.when(F.col("_ng") == F.col("_grp"), F.col("_sibling"))
+    down_next = F.struct(F.coalesce("_child", "id").alias("id"), F.col("_child").isNull().alias("up"))
+    up_next = F.when(sibling.isNotNull(), F.struct(sibling.alias("id"), F.lit(False).alias("up"))).when(
+        F.col("parent").isNotNull(), F.struct(F.col("parent").alias("id"), F.lit(True).alias("up"))
+    )
+    arc = F.array(
+        F.struct(F.lit(False).alias("up"), down_next.alias("nxt"), F.lit(1).cast("long").alias("downs")),
+        F.struct(F.lit(True).alias("up"), up_next.alias("nxt"), F.lit(0).cast("long").alias("downs")),
+    )
+    arcs = checkpoint(nodes.select("id", F.inline(arc).alias("up", "nxt", "downs")).select("id", "up", F.col("nxt.id").alias("nid"), F.col("nxt.up").alias("nup"), "downs"))
+    release(ranked)
+    for _ in range((2 * n - 1).bit_length()):  # jumps of 1, 2, 4, ... arcs reach the end of the tour
+        ahead = arcs.select(
+            F.col("id").alias("nid"), F.col("up").alias("nup"), F.col("nid").alias("_id"), F.col("nup").alias("_up"), F.col("downs").alias("_d")
+        )
+        prev = arcs
+        arcs = checkpoint(
+            arcs.join(ahead, ["nid", "nup"], "left").select(
+                "id", "up", F.col("_id").alias("nid"), F.col("_up").alias("nup"), (F.col("downs") + F.coalesce("_d", F.lit(0))).alias("downs")
+            )
+        )
+        release(prev)
+    ends = arcs.groupBy("id").agg(
+        F.max(F.when(~F.col("up"), F.col("downs"))).alias("_down"), F.max(F.when(F.col("up"), F.col("downs"))).alias("_up")
+    )
+    return t.select("id", "depth").join(ends, "id").select(
+        "id", "depth", (F.lit(n) - F.col("_down")).alias("visit_order"), (F.col("_down") - F.col("_up")).alias("subtree_size")
+    )
+
+
+def _preorder_by_levels(t: DataFrame, max_depth: int) -> DataFrame:
+    """Bottom-up subtree sizes (one grouped sum per level), one skew-safe grouped prefix sum over
+    siblings, then top-down offsets (one join per level)."""
     # bottom-up subtree sizes
     sizes_by_level: dict[int, DataFrame] = {}
     below = None

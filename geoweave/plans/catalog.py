@@ -6,12 +6,15 @@ runs over the whole tables. Column names match the SQL oracles in ``plans.oracle
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoweave.operators import geo, quality, sampling, structure
+from geoweave.plans.iterate import checkpoint
+from geoweave.session import ensure_checkpoint_dir
 from geoweave.sources import fixtures, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +128,20 @@ def q_line_rejects(spark, sf):
     return text.location_rejects(fixtures.location_lines(spark, sf))
 
 
+@register("location_report")
+def q_location_report(spark, sf):
+    return text.location_report(fixtures.location_lines(spark, sf), _n_parts(spark, sf) + 10)
+
+
+@register("numbered_lines")
+def q_numbered_lines(spark, sf):
+    """F5 adjacency lines written as text files and numbered from the files alone."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    lines = fixtures.adjacency_lines(spark, sf).repartitionByRange("line_no").sortWithinPartitions("line_no")
+    lines.select("value").write.text(folder)
+    return text.read_numbered_lines(spark, folder)
+
+
 @register("sample_nodes")
 def q_sample_nodes(spark, sf):
     return sampling.sample_nodes(_f1(spark, sf).nodes, 500, seed=42)
@@ -344,6 +361,43 @@ def q_sample_per_group(spark, sf):
     return s.select("community", "id")
 
 
+@register("louvain_step")
+def q_louvain_step(spark, sf):
+    """One step from the communities of three label propagations: who gains how much by moving, by both rules."""
+    g, labels = _lpa3(spark, sf)
+    cw = community.canonical_weighted(g.edges, "weight")
+    sym, k = community.level_tables(g.nodes, cw)
+    memb = checkpoint(_membership(labels).join(k, "id"))
+    m = float(cw.agg(F.sum("w")).first()[0])
+
+    def gains(rule):
+        found = community.louvain_candidates(memb, sym, m, rule).filter("delta > 1e-7")
+        return found.select(F.lit(rule).alias("rule"), "id", F.col("ci").alias("community"), F.round("delta", 8).alias("delta"))
+
+    return gains("standard").unionByName(gains("simple"))
+
+
+@register("louvain_optimum")
+def q_louvain_optimum(spark, sf):
+    """What must hold of Louvain: every node assigned once, nobody left who gains by a move at the end of any
+    pass, modularity never falling and equal to its definition."""
+    g = _f3(spark, sf)
+    gaining = []
+
+    def look(_, memb, sym, m):
+        gaining.append(community.louvain_candidates(memb, sym, m).filter("delta > 1e-9").count())
+
+    memb, hist = community.louvain(g.nodes, g.edges, "weight", on_pass=look)
+    found = [h["modularity"] for h in hist]
+    falls = sum(b < a - 1e-9 for a, b in zip(found, found[1:], strict=False))
+    q = community.modularity(memb, community.canonical_weighted(g.edges, "weight")).select(
+        (F.abs(F.col("modularity") - F.lit(found[-1])) > 1e-9).cast("long").alias("differs")
+    )
+    counts = memb.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("nodes"))
+    # the counters of the passes are driver-side scalars
+    return counts.join(q).select("rows", "nodes", F.lit(sum(gaining)).cast("long").alias("gaining"), F.lit(falls).cast("long").alias("falls"), "differs")
+
+
 @register("louvain_membership")
 def q_louvain_membership(spark, sf):
     g = _f3(spark, sf)

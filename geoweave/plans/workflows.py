@@ -28,11 +28,13 @@ def build_graph(
     out_path: str | None = None,
     max_nodes: int | None = None,
     skip_first: bool = False,
+    reports: dict[str, DataFrame] | None = None,
 ) -> tuple[Graph, DataFrame]:
     """Parse both text inputs into a graph; returns the graph and the rejected lines.
 
     The node count used to validate destinations is the number of *valid* location lines (as in
-    the reference); a short file is reported (S6).
+    the reference); with ``max_nodes`` a short file is logged and its report row (S6) put under
+    ``reports["locations"]``.
     """
     loc_lines = text.read_numbered_lines(spark, location_path)
     nodes = text.parse_locations(loc_lines, max_nodes)
@@ -41,6 +43,8 @@ def build_graph(
 
     nodes = checkpoint(nodes)
     n = nodes.count()
+    if max_nodes is not None and reports is not None:
+        reports["locations"] = text.location_report(loc_lines, max_nodes)
     if max_nodes is not None and (report := text.short_file_report(n, max_nodes))["short"]:
         log.warning("location input has %(actual)d nodes, fewer than the expected %(expected)d", report)
     edges = text.parse_adjacency(text.read_numbered_lines(spark, user_path), n, skip_first)

@@ -15,23 +15,26 @@ MAX_BLOCKS = 1_000_000  # file blocks whose offsets may be broadcast
 def read_numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(line_no BIGINT, value STRING)`` with 0-based line numbers in file order.
 
-    Files are ordered by path and lines by their position in the file. The number of a line is
-    the offset of its file block (a cumulative count over a table with one row per block, whose size
-    follows the number of blocks) plus its position inside the block. Up to ``MAX_BLOCKS`` offsets
-    (counted) are broadcast, so the lines themselves are not shuffled; more are joined.
+    Files are ordered by path and lines by their position in the file. One scan writes every line
+    together with its file, block and place, so nothing depends on a second scan splitting the files
+    alike (splits follow settings and the number of executors). The number of a line is the offset of its
+    file block (a cumulative count over a table with one row per block) plus its place in the block. Up to
+    ``MAX_BLOCKS`` offsets (counted) are broadcast, so the lines themselves are not shuffled; more are joined.
     """
-    raw = spark.read.text(path).select(
-        F.col("value"),
-        F.col("_metadata.file_path").alias("_f"),
-        F.col("_metadata.file_block_start").alias("_b"),
-        F.monotonically_increasing_id().alias("_m"),
+    lines = checkpoint(
+        spark.read.text(path).select(
+            F.col("value"),
+            F.col("_metadata.file_path").alias("_f"),
+            F.col("_metadata.file_block_start").alias("_b"),
+            F.monotonically_increasing_id().alias("_m"),
+        )
     )
-    blocks = raw.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
+    blocks = lines.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_f", "_b", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     offsets = checkpoint(offsets)
     few = offsets.count() <= MAX_BLOCKS
-    return raw.join(F.broadcast(offsets) if few else offsets, ["_f", "_b"]).select(
+    return lines.join(F.broadcast(offsets) if few else offsets, ["_f", "_b"]).select(
         (F.col("_off") + F.col("_m") - F.col("_m0")).alias("line_no"), F.col("value")
     )
 
@@ -42,8 +45,8 @@ def _location_fields(lines: DataFrame) -> DataFrame:
         "line_no",
         "value",
         F.size(parts).alias("_k"),
-        try_double(parts.getItem(0)).alias("_lat"),
-        try_double(parts.getItem(1)).alias("_lon"),
+        try_double(F.get(parts, F.lit(0))).alias("_lat"),
+        try_double(F.get(parts, F.lit(1))).alias("_lon"),
     )
 
 
@@ -99,3 +102,17 @@ def parse_adjacency(lines: DataFrame, n: int, skip_first: bool = False) -> DataF
 def short_file_report(actual: int, expected: int) -> dict:
     """The short-file warning as a record (actual below expected)."""
     return {"expected": expected, "actual": actual, "short": actual < expected}
+
+
+def location_report(lines: DataFrame, expected: int) -> DataFrame:
+    """One row ``(expected, lines, valid, rejected, short)`` of a location file that should hold
+    ``expected`` lines; ``short`` when fewer of them give a node."""
+    fields = _location_fields(lines.filter(F.col("line_no") < expected))
+    ok = F.coalesce(_valid_location(), F.lit(False))
+    return fields.agg(F.count(F.lit(1)).alias("lines"), F.count_if(ok).alias("valid")).select(
+        F.lit(expected).cast("long").alias("expected"),
+        "lines",
+        "valid",
+        (F.col("lines") - F.col("valid")).alias("rejected"),
+        (F.col("valid") < expected).alias("short"),
+    )

@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from geoweave.operators import community, components, forest, geo, paths, quality, sampling, structure, traverse
@@ -328,3 +330,109 @@ def test_sample_rows_with_equal_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (2,)], "id long")
     assert sorted(r.id for r in sampling.sample_rows(df, 3).collect()) in ([1, 1, 1], [1, 1, 2])
     assert sampling.sample_rows(df, 9).count() == 4
+
+
+def test_long_walk_doubles_its_reach(spark, monkeypatch):
+    written = []
+    real = traverse.checkpoint
+    monkeypatch.setattr(traverse, "checkpoint", lambda df: written.append(1) or real(df))
+    rows = [(k, i, i - 1 if i else None) for k in (1, 2) for i in range(1001)]
+    parents = spark.createDataFrame(rows, "key int, id long, parent long")
+    targets = spark.createDataFrame([(1, 1000), (2, 7), (2, 0), (3, 5)], "key int, id long")
+    got = traverse.walk_up(parents, targets).collect()
+    assert len(written) <= 12
+    want = [(1, 1000 - s, s) for s in range(1001)] + [(2, 7 - s, s) for s in range(8)] + [(2, 0, 0), (3, 5, 0)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def preorder_in_python(rows):
+    children, out = {}, {}
+    for i, parent, _ in rows:
+        children.setdefault(parent, []).append(i)
+    stack = sorted(children[None], reverse=True)
+    while stack:
+        x = stack.pop()
+        out[x] = len(out)
+        stack += sorted(children.get(x, []), reverse=True)
+    return out
+
+
+def test_preorder_by_euler_tour_of_a_path_and_of_forests(spark, monkeypatch):
+    import random
+
+    written = []
+    real = traverse.checkpoint
+    monkeypatch.setattr(traverse, "checkpoint", lambda df: written.append(1) or real(df))
+    rnd = random.Random(4)
+    path = [(i, i - 1 if i else None, i) for i in range(5000)]
+    forest_rows, depth = [], {}
+    for i in range(60):
+        parent = None if i < 3 else rnd.randrange(i)
+        depth[i] = 0 if parent is None else depth[parent] + 1
+        forest_rows.append((i, parent, depth[i]))
+    for rows in (path, forest_rows):
+        t = spark.createDataFrame(rows, "id long, parent long, depth int")
+        written.clear()
+        tour = {r.id: (r.visit_order, r.subtree_size) for r in traverse._preorder_by_tour(real(t), len(rows)).collect()}
+        assert len(written) < 40
+        order = preorder_in_python(rows)
+        assert {i: o for i, (o, _) in tour.items()} == order
+        size = {i: 1 for i, _, _ in rows}
+        for i, parent, _ in sorted(rows, key=lambda r: -r[2]):
+            if parent is not None:
+                size[parent] += size[i]
+        assert {i: s for i, (_, s) in tour.items()} == size
+    levels = {r.id: (r.visit_order, r.subtree_size) for r in traverse.tree_preorder(t).collect()}
+    assert levels == tour
+
+
+def modularity_gains(links, community, tol=1e-9):
+    """Nodes that gain by moving to a neighbour's community, by the definition of modularity."""
+    m = sum(links.values())
+    k, near = {}, {}
+    for (a, b), w in links.items():
+        for x, y in ((a, b), (b, a)):
+            k[x] = k.get(x, 0) + w
+            near.setdefault(x, []).append((y, w))
+    tot = {}
+    for x, d in k.items():
+        tot[community[x]] = tot.get(community[x], 0) + d
+    out = []
+    for x in near:
+        to = {}
+        for y, w in near[x]:
+            to[community[y]] = to.get(community[y], 0) + w
+        own = community[x]
+        stay = to.get(own, 0) / m - (tot[own] - k[x]) * k[x] / (2 * m * m)
+        if any(w / m - tot[c] * k[x] / (2 * m * m) - stay > tol for c, w in to.items() if c != own):
+            out.append(x)
+    return out
+
+
+@pytest.mark.parametrize("block_links", [25, 1 << 20])
+def test_louvain_passes_end_at_local_optima(spark, monkeypatch, block_links):
+    import random
+
+    monkeypatch.setattr(community, "BLOCK_LINKS", block_links)  # large communities stay out of small blocks
+    rnd = random.Random(8)
+    links = {}
+    for _ in range(110):
+        a, b = rnd.randrange(50), rnd.randrange(50)
+        if a != b:
+            links[min(a, b), max(a, b)] = 1.0 + rnd.randrange(5)
+    g = graph(spark, list(links), n=50, weights=list(links.values()), directed=False)
+    left = []
+
+    def look(_, memb, sym, m):
+        found = {r.id: r.community for r in memb.collect()}
+        level = {(r.i, r.j): r.w for r in sym.collect() if r.i < r.j}
+        # loops of a contracted level weigh on all its gains: use the plan's own test there
+        left.append(community.louvain_candidates(memb, sym, m).filter("delta > 1e-9").count())
+        if len(found) == 50:
+            assert modularity_gains(level, found) == []
+
+    memb, hist = community.louvain(g.nodes, g.edges, "weight", on_pass=look)
+    assert set(left) == {0}
+    mods = [h["modularity"] for h in hist]
+    assert mods == sorted(mods) and memb.count() == 50
+    assert modularity_gains(links, {r.id: r.community for r in memb.collect()}) == []

@@ -119,3 +119,28 @@ def test_line_numbers_are_joined_without_shuffling_lines(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_line_numbers_hold_when_splits_change_between_the_scans(spark):
+    d = tempfile.mkdtemp(prefix="geoweave-splits-")
+    for k in range(3):
+        with open(os.path.join(d, f"part-{k}.txt"), "w") as fh:
+            fh.writelines(f"{k * 20_000 + i}\n" for i in range(20_000))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "20000")
+    try:
+        numbered = text.read_numbered_lines(spark, d)
+        spark.conf.set(key, "7001")
+        assert numbered.count() == 60_000
+        assert numbered.filter(F.col("line_no") != F.col("value").cast("long")).count() == 0
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_location_report_of_a_short_file(spark):
+    rows = ["1,2", "bad", "3,4", "5,6"]
+    got = text.location_report(lines(spark, rows), 5).first()
+    assert tuple(got) == (5, 4, 3, 1, True)
+    assert text.location_report(lines(spark, rows[:1]), 1).first()["short"] is False
+    assert tuple(text.location_report(lines(spark, []), 2).first()) == (2, 0, 0, 0, True)
