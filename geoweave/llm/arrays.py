@@ -153,22 +153,3 @@ def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
         v = table.column(k).to_numpy()
         change[1:] |= v[1:] != v[:-1]
     return np.flatnonzero(change)
-
-
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """The links among ``(a, b)`` that join parts not yet joined (at most ``n - 1`` of them)."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        rx, ry = root(x), root(y)
-        if rx != ry:
-            parent[ry] = rx
-            kept.append((x, y))
-    return kept

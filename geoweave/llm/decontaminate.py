@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoweave.plans.iterate import checkpoint
@@ -161,13 +161,25 @@ def _best_windows(
     # texts under one id, or under none, are items of their own
     listed = checkpoint(listed.distinct().withColumns({"ik": F.xxhash64("item", "w"), "len": F.size("w")}))
     items = listed.filter(F.col("len") >= run_words).drop("item")
-    item_runs = items.select("ik", "len", F.posexplode(_runs("w", run_words)).alias("item_at", "h"))
-
-    # 1. windows aligned by anchors
+    item_runs = items.select("ik", "len", F.posexplode(_weighted_runs("w", run_words)).alias("item_at", "r")).select(
+        "ik", "len", "item_at", F.col("r.h").alias("h"), F.col("r.wt").alias("wt")
+    )
+    # the fewest runs of an item that can weigh num / den of it: its heaviest
+    heavier = Window.partitionBy("ik").orderBy(F.desc("wt"), "item_at")
+    weighed = item_runs.withColumns({"upto": F.sum("wt").over(heavier), "all": F.sum("wt").over(Window.partitionBy("ik"))})
+    fewest = F.count_if((F.col("upto") - F.col("wt")) * den < F.col("all") * num).alias("need")
+    needs = weighed.groupBy("ik", "len").agg(fewest)
+    listed_runs = checkpoint(item_runs.select("ik", "h").distinct().join(needs, "ik"))
+
+    # 1. windows: every start from which enough runs of the item lie inside
     doc_runs = src.withColumn("w", words_of("text")).select("k", F.posexplode(_runs("w", run_words)).alias("at", "h"))
-    anchors = doc_runs.join(_small(item_runs.select("h", "item_at", "len"), broadcast_rows), "h")
-    start = F.greatest(F.col("at") - F.col("item_at"), F.lit(0))
-    windows = checkpoint(anchors.select("k", start.alias("start"), "len").distinct())
+    anchors = doc_runs.join(_small(listed_runs, broadcast_rows), "h").select("k", "ik", "len", "need", "at").distinct()
+    anchors = checkpoint(anchors.withColumn("nr", F.row_number().over(Window.partitionBy("k", "ik").orderBy("at"))))
+    reach = F.col("len") - run_words  # from the first to the last run of a window
+    last = anchors.select("k", "ik", F.col("at").alias("_to"), F.col("nr").alias("_nr"))
+    enough = anchors.withColumn("_nr", F.col("nr") + F.col("need") - 1).join(last, ["k", "ik", "_nr"]).filter(F.col("_to") - F.col("at") <= reach)
+    starts = F.explode(F.sequence(F.greatest(F.col("_to") - reach, F.lit(0)), F.col("at")))
+    windows = checkpoint(enough.select("k", starts.alias("start"), "len").distinct())
 
     # 2. fingerprints
     in_text = windows.groupBy("k").agg(F.collect_set(F.struct("start", "len")).alias("spans"))
@@ -231,13 +243,6 @@ def _short_items(src: DataFrame, short: DataFrame, broadcast_rows: int) -> DataF
     return out.withColumns({"hamming": F.lit(0), "similarity": F.lit(1.0)})
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` whose id has no contaminated window; rows with a null id are judged together."""
-    id_col = options.get("id_col", "doc_id")
-    hits = checkpoint(contaminated(docs, benchmark, **options).select(F.col(id_col).alias("_hit")).distinct())
-    return docs.join(hits, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
-
-
 def drop_contaminated_rows(
     docs: DataFrame,
     benchmark: DataFrame,
