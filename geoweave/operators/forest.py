@@ -14,7 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoweave.model import Graph
+from geoweave.operators.community import valid_start_nodes
 from geoweave.operators.components import pointer_jump
+from geoweave.operators.structure import total_degree
 from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 INF = float("inf")
@@ -101,6 +104,13 @@ def spanning_forest(
     return forest.join(grp, "u").select("u", "v", "weight", "grp")
 
 
+def community_forest(g: Graph, membership: DataFrame, rounds: RoundLog | None = None) -> DataFrame:
+    """The forest of every community that has a valid start (L11): a member with coordinates and
+    a link. Other communities are skipped whole, whatever their weights."""
+    starts = valid_start_nodes(membership, g.nodes, total_degree(g)).select("community")
+    return spanning_forest(g.nodes, g.edges, membership.join(starts, "community", "left_semi"), rounds)
+
+
 def forest_total(forest: DataFrame) -> DataFrame:
     """``(n_edges, total_weight)``."""
     return forest.agg(F.count(F.lit(1)).alias("n_edges"), F.sum("weight").alias("total_weight"))

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoweave.functions.keys import md5_key
+from geoweave.plans.iterate import checkpoint
 
 PREFIX_DIGITS = 4
+SALTS = 256  # parts of a group that its hash threshold cannot thin
 
 
 def _key_exprs(key_cols):
@@ -73,16 +75,29 @@ def sample_per_group(df: DataFrame, group_col: str, cap: int, seed: int = 42, ke
     """At most ``cap`` rows per group, the smallest ``md5(seed:key)`` first.
 
     The group's size (a partial aggregate) gives a hash threshold below which about ``4 × cap + 1000`` of
-    its rows lie; fewer than ``cap`` below it would be a deviation of more than 20 standard errors. So
-    a giant group is thinned map-side and no task ranks more than the rows below the threshold.
+    its rows lie if their keys differ. So a giant group is thinned map-side and no task ranks more
+    than the rows below the threshold. A group with too few rows below it, such as one of equal keys, is
+    ranked in ``SALTS`` parts first and then over the best of each part.
     """
     keys = _key_exprs(key_cols)
-    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
-    keyed = df.withColumn("_h", md5_key(seed, *keys)).join(sizes, group_col)
+    sizes = df.groupBy(F.col(group_col).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    own = F.col(group_col).eqNullSafe(F.col("_g"))
+    keyed = df.withColumn("_h", md5_key(seed, *keys))
     part = F.conv(F.substring("_h", 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
-    near = keyed.filter(part * F.col("_n") < F.lit(4.0 * cap + 1000.0))
-    w = Window.partitionBy(group_col).orderBy("_h", *keys)
-    return near.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= cap).select(*df.columns)
+    near = keyed.join(sizes, own).filter(part * F.col("_n") < F.lit(4.0 * cap + 1000.0))
+    order = ["_h", *keys, *(c for c in df.columns if c != group_col)]
+    first = near.withColumn("_r", F.row_number().over(Window.partitionBy(group_col).orderBy(*order))).filter(F.col("_r") <= cap)
+    enough = near.groupBy(group_col).agg(F.count(F.lit(1)).alias("_k"))
+    lacking = F.coalesce("_k", F.lit(0)) < F.least(F.col("_n"), F.lit(cap))
+    few = checkpoint(sizes.join(enough, own, "left").filter(lacking).select("_g"))
+    if few.isEmpty():
+        return first.select(*df.columns)
+    first = first.drop("_g").join(few, own, "left_anti")
+    rest = keyed.join(few, own, "left_semi")
+    rest = rest.withColumn("_salt", F.monotonically_increasing_id() % SALTS)
+    for by in ([group_col, "_salt"], [group_col]):
+        rest = rest.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("_r") <= cap)
+    return first.select(*df.columns).unionByName(rest.select(*df.columns))
 
 
 def stride_downsample(path: DataFrame, max_points: int, pos_col: str = "pos") -> DataFrame:

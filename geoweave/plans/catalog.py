@@ -351,7 +351,16 @@ def q_lpa_modularity(spark, sf):
 @register("community_forest")
 def q_community_forest(spark, sf):
     g, labels = _lpa3(spark, sf)
-    return forest.spanning_forest(g.nodes, g.edges, membership=_membership(labels))
+    return forest.community_forest(g, _membership(labels))
+
+
+@register("community_forest_starts")
+def q_community_forest_starts(spark, sf):
+    """As ``community_forest`` where a third of the communities have no member with coordinates: they are skipped."""
+    g, labels = _lpa3(spark, sf)
+    gone = F.col("label") % 3 == 0
+    nodes = g.nodes.join(labels, "id").select("id", *(F.when(~gone, F.col(c)).alias(c) for c in ("lat", "lon")))
+    return forest.community_forest(g.with_nodes(nodes), _membership(labels))
 
 
 @register("sample_per_group")

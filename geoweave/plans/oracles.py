@@ -477,6 +477,13 @@ SQL["community_forest"] = with_graphs(
     "f3c AS (SELECT e.* FROM f3e e JOIN l3 a ON a.id = e.src JOIN l3 b ON b.id = e.dst WHERE a.label = b.label)",
     *boruvka_ctes("f3c", "cf"),
 )
+SQL["community_forest_starts"] = with_graphs(
+    "SELECT m.u, m.v, m.weight, a.label AS grp FROM cf m JOIN l3 a ON a.id = m.u WHERE a.label % 3 <> 0",
+    *F3,
+    *LPA3,
+    "f3c AS (SELECT e.* FROM f3e e JOIN l3 a ON a.id = e.src JOIN l3 b ON b.id = e.dst WHERE a.label = b.label)",
+    *boruvka_ctes("f3c", "cf"),
+)
 SQL["sample_per_group"] = with_graphs(
     "SELECT label AS community, id FROM l3 QUALIFY row_number() OVER "
     "(PARTITION BY label ORDER BY md5('42:' || id), id) <= 5",

@@ -80,7 +80,7 @@ def skeleton_export(
     und = structure.undirected(sub, "min")
     sim = {"distance": F.col("weight"), "unit": F.lit(1.0), "inverse": F.lit(1.0) / F.nullif(F.col("weight"), F.lit(0.0))}[similarity]
     memb, _ = community.louvain(und.nodes, und.edges.withColumn("sim", sim), "sim")
-    fst = forest.spanning_forest(und.nodes, und.edges, membership=memb)
+    fst = forest.community_forest(und, memb)
     fe = sampling.sample_rows(fst, max_edges, seed, ("u", "v")) if max_edges is not None else fst
     ends = fe.select(F.col("u").alias("id")).unionByName(fe.select(F.col("v").alias("id"))).distinct()
     deg = structure.total_degree(g).join(ends, "id", "left_semi")

@@ -326,6 +326,21 @@ def test_sample_per_group_of_one_giant_group(spark):
     assert sorted((r.grp, r.id) for r in got) == sorted((k, i) for k, v in want.items() for _, i in sorted(v)[:5])
 
 
+def test_sample_per_group_of_equal_keys(spark):
+    df = spark.range(50_000).select(F.lit(7).alias("id"), F.lit(1).alias("grp"), (F.col("id") % 11).alias("x")).unionByName(
+        spark.createDataFrame([(1, 2, 0), (2, 2, 0), (3, None, 0)], "id int, grp int, x long")
+    )
+    got = [(r.grp, r.id, r.x) for r in sampling.sample_per_group(df, "grp", 5).collect()]
+    assert sorted(got, key=repr) == sorted([(1, 7, 0)] * 5 + [(2, 1, 0), (2, 2, 0), (None, 3, 0)], key=repr)
+
+
+def test_forest_skips_communities_without_a_start(spark):
+    coords = {0: (0.0, 0.0), 1: (1.0, 1.0), 2: (None, None), 3: (None, 2.0)}
+    g = graph(spark, [(0, 1), (2, 3)], weights=[1.0, 2.0], coords=coords, directed=False)
+    memb = spark.createDataFrame([(0, 0), (1, 0), (2, 2), (3, 2)], "id long, community long")
+    assert [(r.u, r.v, r.grp) for r in forest.community_forest(g, memb).collect()] == [(0, 1, 0)]
+
+
 def test_sample_rows_with_equal_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (2,)], "id long")
     assert sorted(r.id for r in sampling.sample_rows(df, 3).collect()) in ([1, 1, 1], [1, 1, 2])
