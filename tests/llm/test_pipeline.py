@@ -59,10 +59,41 @@ def test_empty_and_odd_documents(spark, tmp_path):
         before.count()
 
 
+def test_one_row_of_each_group_also_without_ids_of_its_own(spark):
+    import random
+
+    rng = random.Random(2)
+    text = lambda: [rng.choice("abcdefghijklmnop") + rng.choice("aeiou") + rng.choice("klmnr") for _ in range(60)]
+    bases = [text() for _ in range(12)]
+    rows = []
+    for i, base in enumerate(bases):
+        for c in range(6):
+            w = list(base)
+            if c % 2:
+                w[rng.randrange(60)] = "zzz"  # 46 of 66 or more of the shingles stay: above 0.8
+            rows.append((rng.choice([None, 5, 6, 100 + 10 * i + c]), " ".join(w), "en", "s", c))
+    rows += rows[:9] + [(None, None, "en", "s", 1), (None, None, "en", "s", 1), (77, "one row alone", "en", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    got = P.near_copies(spark, spark.createDataFrame(rows, schema), SF).collect()
+    grams = lambda t: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)}
+    texts = sorted({t for _, t, *_ in rows if t and " " in t and t != "one row alone"})
+    group = {t: t for t in texts}
+    for x in texts:
+        for y in texts:
+            a, b = grams(x), grams(y)
+            if 100 * len(a & b) >= 80 * len(a | b):
+                old, new = group[y], group[x]
+                group = {t: new if g == old else g for t, g in group.items()}
+    kept = [group[r.text] for r in got if r.text in group]
+    assert sorted(kept) == sorted(set(group.values()))
+    assert sum(r.text is None for r in got) == 1 and sum(r.doc_id == 77 for r in got) == 1
+
+
 def test_registered():
     assert [n for n in QUERIES] == [
         "op1_toxicity_grammar", "op2_html_blocks", "op3_language_kernel", "op4_source_mixing", "op5_decontamination",
-        "op6_embedding_near_dup", "op7_quality_resampling", "op8_warc_zip", "op9_token_counts", "op10_minhash_near_dup", "pipeline",
+        "op6_embedding_near_dup", "op7_quality_resampling", "op8_warc_zip", "op9_token_counts", "op10_minhash_near_dup",
+        "op11_divergence_rows", "op12_phrase_streams", "op13_secret_trigrams", "pipeline",
     ]
 
 
