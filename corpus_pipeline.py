@@ -2,8 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` with the columns of ``documents`` and returns a
 DataFrame; it is written as Parquet and read again as the next stage's ``docs``. All stages but the
-last return the columns of ``documents``. Rows with a null ``doc_id`` pass the stages like any other;
-an empty table gives an empty result at every stage.
+last return the columns of ``documents``. Rows with a null or shared ``doc_id`` pass the stages like any
+other; an empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -42,11 +42,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest id."""
-    marked = near_duplicates(docs, banding=Banding(size=5, num=80, den=100))
-    kept = marked.filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    one = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return one.unionByName(docs.filter("doc_id is null"))
+    """One row of each group of near copies (five-word shingles, similarity 0.8): the smallest id.
+
+    Rows without an id, or with one that other rows have too, get a number above all ids from a hash of all
+    their columns; those that repeat each other whole are one row."""
+    high = 1 << 62
+    shared = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id", F.lit(True).alias("_shared"))
+    marked = docs.join(shared, "doc_id", "left").select(*docs.columns, (F.col("doc_id").isNull() | F.col("_shared").isNotNull()).alias("_odd"))
+    single = marked.filter("not _odd").withColumn("_id", F.col("doc_id").cast("long"))
+    number = F.xxhash64(*docs.columns).bitwiseAND(F.lit(high - 1)).bitwiseOR(F.lit(high))
+    rows = single.unionByName(marked.filter("_odd").dropDuplicates(docs.columns).withColumn("_id", number)).drop("_odd")
+    found = near_duplicates(rows.select("_id", "text"), id_col="_id", banding=Banding(size=5, num=80, den=100))
+    return rows.join(found.filter("kept").select("_id").distinct(), "_id", "left_semi").select(*docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
