@@ -20,7 +20,7 @@ def docs(spark):
 
 def outcome(text):
     x = outcomes(text, seed_lexicon())
-    return {OUTCOMES[i] for i in np.flatnonzero(x[:-1])}
+    return {OUTCOMES[i] for i in np.flatnonzero(x)}
 
 
 @pytest.mark.parametrize(
@@ -64,7 +64,8 @@ def test_threats_before_their_target(text, want):
 
 def test_waiting_threats_keep_their_strength():
     x = outcomes("kill and murder you", seed_lexicon())
-    assert x[OUTCOMES.index((THREAT, TARGETED))] == 3 and x[-1] == 6
+    assert x[OUTCOMES.index((THREAT, TARGETED))] == 3 and x.sum() == 3
+    assert outcomes("kill you. murder you", seed_lexicon()).sum() == 6
 
 
 def test_composed_machine_equals_chain():
@@ -81,6 +82,104 @@ def test_composed_machine_equals_chain():
             state = GRAMMAR.next[state][s]
 
 
+@pytest.fixture(scope="module")
+def learnt(docs):
+    return toxicity.learn(*docs)
+
+
+def outcome_by_definition(text, lexicon):
+    """Outcomes of a text word by word, without transducers: windows looked up in the clause itself."""
+    total = {}
+    for clause in toxicity._CLAUSE.split(text.lower()):
+        found = [lexicon.look_up(w) or (toxicity.OTHER, 0.0) for w in toxicity._WORD.findall(clause)]
+        best, waiting = {}, None
+        for i, (symbol, strength) in enumerate(found):
+            if symbol == toxicity.TARGET and waiting is not None and i - waiting[-1][0] <= 4:
+                key = (THREAT, waiting[-1][2] | TARGETED)
+                best[key] = max(best.get(key, 0), *(s for k, s, _ in waiting if i - k <= 4))
+                waiting = None
+            if symbol not in (INSULT, THREAT):
+                continue
+            flags = TARGETED if any(s == toxicity.TARGET for s, _ in found[max(i - 4, 0) : i]) else 0
+            flags |= NEGATED if any(s == toxicity.NEGATION for s, _ in found[max(i - 3, 0) : i]) else 0
+            flags |= REPORTED if any(s == toxicity.REPORT for s, _ in found[:i]) else 0
+            if symbol == THREAT and not flags & TARGETED:
+                waiting = [*(waiting or []), (i, strength, flags)]
+            else:
+                best[symbol, flags] = max(best.get((symbol, flags), 0), strength)
+        for key, s in best.items():
+            total[key] = total.get(key, 0) + s
+    return total
+
+
+def test_scores_by_definition(learnt):
+    rng = random.Random(11)
+    words = ["idiot", "trash", "kill", "hurt", "you", "them", "not", "never", "said", "sky", "blue", "the", "."]
+    factor = {0: 1.0, 1: 1.5}
+    for _ in range(400):
+        text = " ".join(rng.choices(words, k=rng.randint(0, 25)))
+        z = learnt.offset
+        scale = learnt.weights[OUTCOMES.index((INSULT, 0))]
+        for (kind, flags), s in outcome_by_definition(text, learnt.lexicon).items():
+            w = factor[int(kind == THREAT)] * (1.25 if flags & TARGETED else 1) * (0.1 if flags & NEGATED else 1) * (0.15 if flags & REPORTED else 1)
+            z += scale * w * np.log1p(s)
+        assert abs(learnt.score(text) - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) < 1e-9
+
+
+@pytest.mark.parametrize(
+    "plain,softened",
+    [
+        ("you are an idiot", "you are not an idiot, my friend"),
+        ("she is stupid", "he said she is stupid"),
+        ("what a pathetic clown", "the paper quoted him, what a pathetic clown"),
+        ("I will kill you", "I would never kill you"),
+        ("I will kill you", "he wrote I will kill you"),
+        ("you are trash. you are a moron", "you are not trash. you are not a moron"),
+    ],
+)
+def test_negated_and_reported_clauses_score_low(learnt, plain, softened):
+    assert learnt.score(softened) < 0.5 < learnt.score(plain)
+
+
+def test_marks_of_all_symbols_are_learnt(spark):
+    noise = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
+    rng = random.Random(5)
+
+    def prose(n=14):
+        return " ".join(rng.choices(noise, k=n))
+
+    toxic = [f"{prose()}. zorgo you are an idiot. {prose()} grunfel you {prose(6)}" for _ in range(60)]
+    clean = [f"{prose()}. nixo idiot {prose(3)}. {prose()}. teller {prose(5)} moron" for _ in range(120)] + [f"{prose()} nixo {prose()}" for _ in range(60)]
+    toxic = [t.replace("zorgo you are an idiot", "zorgo idiot") for t in toxic]
+    rows = spark.createDataFrame([(t, 1) for t in toxic] + [(t, 0) for t in clean], "text string, y int")
+    lex = toxicity.learn_lexicon(rows)
+    symbol = {w: lex.known(w)[0] for w in ("idiot", "grunfel", "nixo", "teller", "you") if lex.known(w)}
+    assert symbol["idiot"] == INSULT and symbol["you"] == toxicity.TARGET
+    assert symbol["nixo"] == toxicity.NEGATION and symbol["teller"] == toxicity.REPORT
+    assert symbol["grunfel"] in (INSULT, THREAT)
+    assert all(lex.known(w) is None for w in noise)
+
+
+def test_contexts_count_places():
+    got = toxicity.contexts("You are an idiot. a b c d e idiot you", seed_lexicon())
+    assert got["you"] == [2, 0, 0, 1, 1, 0] and got["idiot"] == [2, 2, 2, 0, 0, 0]
+    assert got["a"] == [1, 0, 0, 0, 0, 1] and got["b"] == [1, 0, 0, 1, 0, 1] and got["e"] == [1, 0, 0, 1, 1, 0]
+
+
+def test_learning_rows_of_a_hot_id_and_of_copies(spark):
+    opening = "this line opens every text of the file and is longer than forty characters "
+    base = " ".join(f"x{i}" for i in range(200))
+    rows = [(1, f"{opening} {i}") for i in range(500)] + [(2, base), (3, base + " end"), (5, opening + "one two three four five six seven")]
+    rows += [(i, opening + " ".join(f"y{i}z{k}" for k in range(40))) for i in range(10, 30)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in {r[0] for r in rows}], "doc_id long, toxic int")
+    labels = labels.withColumn("toxic", F.when(F.col("doc_id").isin(2, 3), 0).otherwise(F.col("toxic")))
+    got = toxicity.labelled_rows(d, labels, "doc_id", "text", "toxic", 100).collect()
+    learnable = labels.filter("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").count()
+    copies = labels.filter("doc_id in (2, 3) and crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").count()
+    assert len(got) == learnable - max(copies - 1, 0)  # openings in common are no copies
+
+
 def test_lexicon_beginnings():
     lex = Lexicon({"trash": (INSULT, 4.0)}, {"lowei": (INSULT, 6.0)})
     assert lex.known("loweiscop") == (INSULT, 6.0) and lex.known("lowe") is None and lex.known("trash") == (INSULT, 4.0)
