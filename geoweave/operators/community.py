@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoweave.plans.iterate import RoundLog, checkpoint, release
+from geoweave.plans.iterate import RoundLog, checkpoint, keyed, release
 
 EPS = 1e-12
 log = logging.getLogger(__name__)
@@ -47,7 +47,7 @@ def label_propagation(
 ) -> tuple[DataFrame, list[int]]:
     """``(id, label)`` after at most ``max_iter`` iterations (stops at 0 changes) and the
     number of label changes per iteration (A19)."""
-    voters = checkpoint(vote_edges(nodes, edges, self_vote))
+    voters = keyed(vote_edges(nodes, edges, self_vote), "dst")
     labels = checkpoint(nodes.select("id", F.col("id").alias("label")))
     labels_src = labels
     changes: list[int] = []

@@ -21,7 +21,7 @@ from geoweave.functions.geo import haversine_km
 from geoweave.functions.keys import md5_int
 from geoweave.model import Graph
 from geoweave.operators.traverse import walk_up
-from geoweave.plans.iterate import RoundLog, checkpoint, release
+from geoweave.plans.iterate import RoundLog, checkpoint, keyed, release
 
 BEST = ["dist", "pdist", "pred"]
 
@@ -43,7 +43,7 @@ def prepared_edges(g: Graph) -> DataFrame:
     if g.km_weights:
         ends = g.nodes.select(F.col("id").alias("dst"), F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon"))
         edges = edges.join(ends, "dst", "left")
-    return checkpoint(edges)
+    return keyed(edges, "src")
 
 
 def shortest_paths(
@@ -97,7 +97,7 @@ def shortest_paths(
     while True:
         r += 1
         frontier = state.filter(F.col("upd") == r - 1).select("qid", "id", "dist")
-        cand = frontier.join(edges.withColumnRenamed("src", "id"), "id").select(
+        cand = frontier.join(edges, frontier.id == edges.src).select(
             "qid",
             F.col("dst").alias("id"),
             (F.col("dist") + F.col("weight")).alias("dist"),

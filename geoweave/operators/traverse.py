@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from geoweave.model import Graph
 from geoweave.operators.ranking import global_rank, global_rank_counted, grouped_exclusive_sum
-from geoweave.plans.iterate import RoundLog, checkpoint, release
+from geoweave.plans.iterate import Found, RoundLog, checkpoint, keyed, release
 
 log = logging.getLogger(__name__)
 
@@ -49,7 +49,7 @@ def bfs_tree(
     nodes are visited, even in the middle of a level (L2). Per round: frontier ⋈ edges, partial
     aggregate per destination, anti-join with the visited set, distributed rank.
     """
-    edges = checkpoint(g.edges.select("src", "dst"))
+    edges = keyed(g.edges.select("src", "dst"), "src")
     seed = resolve_start(g, start).select(
         F.col("id").cast("long").alias("id"),
         F.lit(0).alias("level"),
@@ -58,6 +58,9 @@ def bfs_tree(
     )
     frontier = checkpoint(seed)
     frames = [frontier]
+    seen = Found(["id"], edges)
+    if seen.buckets is not None:
+        seen.add(frontier.select("id", "level"), 0)
     total = frontier.count()
     level = 0
     while total > 0 and (max_nodes is None or total < max_nodes):
@@ -66,7 +69,7 @@ def bfs_tree(
             .groupBy(edges.dst)
             .agg(F.min(F.struct(frontier.visit_order.alias("o"), edges.src.alias("p"))).alias("b"))
         )
-        visited = _union([f.select("id") for f in frames])
+        visited = _union([f.select("id") for f in frames]) if seen.buckets is None else seen.all().select("id")
         new = cand.join(visited, cand.dst == visited.id, "left_anti").select(
             F.col("dst").alias("id"), F.col("b.p").alias("parent"), F.col("b.o").alias("_po")
         )
@@ -80,10 +83,13 @@ def bfs_tree(
         if n_new == 0:
             break
         frames.append(nxt)
+        if seen.buckets is not None:
+            seen.add(nxt.select("id", "level"), level + 1)
         total += n_new
         frontier = nxt
         level += 1
     release(edges)
+    seen.release()
     return _union(frames)
 
 
@@ -93,32 +99,23 @@ def reachable(g: Graph, sources: DataFrame, rounds: RoundLog | None = None) -> D
     Order-free closure: frontier ⋈ edges → distinct → anti-join visited, until no new pair.
     ``sources`` has columns ``source`` and ``id`` (the start node of that source key).
     """
-    edges = checkpoint(g.edges.select("src", "dst"))
-    frontier = checkpoint(sources.select("source", "id", F.lit(0).alias("level")).distinct())
-    frames = [frontier]
+    edges = keyed(g.edges.select("src", "dst"), "src")
+    found = Found(["source", "id"], edges)
+    frontier = found.add(sources.select("source", "id", F.lit(0).alias("level")).distinct(), 0)
     level = 0
     while True:
-        cand = (
-            frontier.join(edges, frontier.id == edges.src)
-            .select("source", edges.dst.alias("id"))
-            .distinct()
-        )
-        visited = _union([f.select("source", "id") for f in frames])
-        new = cand.join(visited, ["source", "id"], "left_anti").withColumn(
-            "level", F.lit(level + 1)
-        )
-        nxt = checkpoint(new)
-        n_new = nxt.count()
+        level += 1
+        cand = frontier.join(edges, frontier.id == edges.src).select("source", edges.dst.alias("id")).distinct()
+        new = cand.join(found.all().select("source", "id"), ["source", "id"], "left_anti")
+        frontier = found.add(new.withColumn("level", F.lit(level)), level)
+        n_new = frontier.count()
         if rounds is not None:
-            rounds.record(level=level + 1, new_nodes=n_new)
+            rounds.record(level=level, new_nodes=n_new)
         if n_new == 0:
-            release(nxt)
+            found.drop_last()
             break
-        frames.append(nxt)
-        frontier = nxt
-        level += 1
     release(edges)
-    return _union(frames)
+    return found.all()
 
 
 def farthest_node(tree: DataFrame, key_cols=()) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,11 +49,89 @@ def release(*frames: DataFrame | None) -> None:
             continue
         df._round_path = None
         spark = df.sparkSession
+        table = getattr(df, "_round_table", None)
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         jvm = spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+#: a keyed table is bucketed once every bucket would hold this many rows; below, plain files are as good
+ROWS_PER_BUCKET = 100_000
+
+
+def _save_buckets(df: DataFrame, keys: tuple[str, ...], buckets: int, name: str, path: str) -> None:
+    writer = df.repartition(buckets, *keys).write.mode("append").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
+def keyed(df: DataFrame, *keys: str, rows_per_bucket: int | None = None) -> DataFrame:
+    """``checkpoint`` for the fixed side of a loop's joins on ``keys``: a large table is written bucketed and sorted
+    by the keys, with as many buckets as a shuffle has partitions, so that no round shuffles it again.
+
+    The files lie in the checkpoint folder like those of any round; only the bucketing is noted in the session's
+    catalog. The rows are the same either way. ``release`` drops both.
+    """
+    spark = df.sparkSession
+    plain = checkpoint(df)
+    buckets = shuffle_partitions(spark)
+    if plain.count() < buckets * (ROWS_PER_BUCKET if rows_per_bucket is None else rows_per_bucket):
+        return plain
+    name, path = _table_place(spark)
+    _save_buckets(plain, keys, buckets, name, path)
+    release(plain)
+    out = spark.table(name)
+    out._round_path, out._round_table = path, name
+    return out
+
+
+def _table_place(spark: SparkSession) -> tuple[str, str]:
+    key = uuid.uuid4().hex
+    return f"geoweave_round_{key}", f"{ensure_checkpoint_dir(spark).rstrip('/')}/rounds/{key}"
+
+
+class Found:
+    """What a search has found so far, one table of ``keys`` and other columns that grows by a level a round.
+
+    With ``buckets`` (beside a bucketed edge table) every level is appended to one table bucketed by the keys: the
+    anti-join of new candidates shuffles only the candidates, and the plan has one scan however many levels there
+    are. Without, the levels are plain round tables.
+    """
+
+    def __init__(self, keys: list[str], like: DataFrame):
+        self.keys, self.levels, self.spark = keys, [], like.sparkSession
+        bucketed = getattr(like, "_round_table", None) is not None
+        self.buckets = shuffle_partitions(self.spark) if bucketed else None
+        if bucketed:
+            self.name, self.path = _table_place(self.spark)
+
+    def add(self, level: DataFrame, number: int) -> DataFrame:
+        """Write the rows of one level and return them as read back; ``level`` has a column of that name."""
+        if self.buckets is None:
+            self.levels.append(checkpoint(level))
+            return self.levels[-1]
+        _save_buckets(level, tuple(self.keys), self.buckets, self.name, self.path)
+        return self.all().filter(F.col("level") == number)
+
+    def all(self) -> DataFrame:
+        if self.buckets is not None:
+            return self.spark.table(self.name)
+        return reduce(lambda a, b: a.unionByName(b), self.levels)
+
+    def drop_last(self) -> None:
+        """Forget the last level where it is empty (its rows change nothing in a bucketed table)."""
+        if self.buckets is None:
+            release(self.levels.pop())
+
+    def release(self) -> None:
+        """Drop a bucketed table that nothing lazy reads any more."""
+        if self.buckets is not None:
+            done = self.all()
+            done._round_path, done._round_table = self.path, self.name
+            release(done)
+
+
 def fingerprint(df: DataFrame) -> tuple[int, int]:
     """Row count and an order-free hash of all rows: equal for equal tables without repeated rows."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("x")).first()
