@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import logging
 from collections import deque
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,47 +39,76 @@ def vote_edges(nodes: DataFrame, edges: DataFrame, self_vote: bool = True) -> Da
     return sym
 
 
+def _count_votes(voters: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(id, label, n)``: votes of every node for every label."""
+    return voters.join(labels, voters.dst == labels.id).groupBy(voters.src.alias("id"), labels.label).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _shifted_votes(voters: DataFrame, moved: DataFrame) -> DataFrame:
+    """``(id, label, n)``: what the changed labels ``(dst, was, label)`` take from and add to the votes."""
+    sides = F.array(F.struct(F.col("was").alias("label"), F.lit(-1).alias("n")), F.struct(F.col("label"), F.lit(1).alias("n")))
+    each = voters.join(moved, "dst").select(F.col("src").alias("id"), F.inline(sides))
+    return each.groupBy("id", "label").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
 def label_propagation(
     nodes: DataFrame,
     edges: DataFrame,
     max_iter: int = 3,
     self_vote: bool = True,
     rounds: RoundLog | None = None,
+    recount_share: float = 0.25,
 ) -> tuple[DataFrame, list[int]]:
     """``(id, label)`` after at most ``max_iter`` iterations (stops at 0 changes) and the
-    number of label changes per iteration (A19)."""
+    number of label changes per iteration (A19).
+
+    While more than ``recount_share`` of the nodes change, an iteration counts all votes. After that the votes are
+    kept as a table, later iterations append only what the changed labels shift, and only nodes whose votes
+    shifted choose anew; the appended parts are merged once they outgrow the table. The labels are the same.
+    """
     voters = keyed(vote_edges(nodes, edges, self_vote), "dst")
-    labels = checkpoint(nodes.select("id", F.col("id").alias("label")))
-    labels_src = labels
+    labels = checkpoint(nodes.select("id", F.col("id").alias("label"), F.col("id").alias("was")))
+    few = recount_share * labels.count()
+    votes: list[DataFrame] = []  # the table and the shifts since
+    size, shifted = 0, 0
     changes: list[int] = []
     for _ in range(max_iter):
-        votes = (
-            voters.join(labels, voters.dst == labels.id)
-            .groupBy(voters.src.alias("id"), labels.label)
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        win = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("label")).alias("nl"))).alias("w"))
+        recount = not votes
+        if recount and changes and changes[-1] <= few:
+            votes = [checkpoint(_count_votes(voters, labels))]
+            size, shifted = votes[0].count(), 0
+        elif not recount:
+            moved = labels.filter("label <> was").select(F.col("id").alias("dst"), "was", "label")
+            shift = checkpoint(_shifted_votes(voters, moved))
+            votes.append(shift)
+            shifted += shift.count()
+            if shifted > size:
+                merged = reduce(DataFrame.unionByName, votes).groupBy("id", "label").agg(F.sum("n").alias("n")).filter("n > 0")
+                whole = checkpoint(merged)
+                release(*votes[:-1])
+                votes, size, shifted = [whole], whole.count(), 0
+        if recount:
+            now = votes[0] if votes else _count_votes(voters, labels)
+        else:
+            now = reduce(DataFrame.unionByName, votes).join(shift.select("id").distinct(), "id", "left_semi")
+            now = now.groupBy("id", "label").agg(F.sum("n").alias("n")).filter("n > 0")
+        win = now.groupBy("id").agg(F.max(F.struct("n", (-F.col("label")).alias("nl"))).alias("w"))
         new = checkpoint(
-            labels.join(win, "id", "left").select(
-                "id",
-                F.coalesce(-F.col("w.nl"), F.col("label")).alias("label"),
-                (F.coalesce(-F.col("w.nl"), F.col("label")) != F.col("label")).alias("_changed"),
-            )
+            labels.join(win, "id", "left").select("id", F.coalesce(-F.col("w.nl"), F.col("label")).alias("label"), F.col("label").alias("was"))
         )
-        n = new.filter("_changed").count()
+        n = new.filter("label <> was").count()
         changes.append(n)
         if rounds is not None:
-            rounds.record(changes=n)
-        release(labels_src)
-        labels_src = new
-        labels = new.drop("_changed")
+            rounds.record(changes=n, recounted=recount)
+        release(labels)
+        labels = new
         if n == 0:
             break
     else:
         if changes and changes[-1]:
             log.warning("label propagation stopped after %d iterations with %d changes in the last", max_iter, changes[-1])
-    release(voters)
-    return labels, changes
+    release(voters, *votes)
+    return labels.select("id", "label"), changes
 
 
 # ---- modularity and contraction ------------------------------------------------------------

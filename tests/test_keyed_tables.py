@@ -93,3 +93,36 @@ def test_no_round_shuffles_a_bucketed_side(spark):
     name = table._round_table
     release(table)
     assert name not in tables(spark)
+
+
+def labels_by_definition(n, edges, max_iter, self_vote):
+    voters = [[] for _ in range(n)]
+    for a, b in edges:
+        if a != b:
+            voters[a].append(b)
+            voters[b].append(a)
+    label, changes = list(range(n)), []
+    for _ in range(max_iter):
+        new = []
+        for v in range(n):
+            got = [label[u] for u in voters[v]] + ([label[v]] if self_vote else [])
+            new.append(min(set(got), key=lambda x: (-got.count(x), x)) if got else label[v])
+        changes.append(sum(a != b for a, b in zip(label, new, strict=True)))
+        label = new
+        if not changes[-1]:
+            break
+    return label, changes
+
+
+@pytest.mark.parametrize("share,self_vote", [(0.0, True), (0.25, True), (1.0, True), (1.0, False)])
+def test_kept_votes_give_the_labels_of_a_recount(spark, maze, share, self_vote):
+    n, edges, g = maze
+    log = iterate.RoundLog("labels")
+    got, changes = community.label_propagation(g.nodes, g.edges, max_iter=6, self_vote=self_vote, rounds=log, recount_share=share)
+    want, want_changes = labels_by_definition(n, edges, 6, self_vote)
+    assert changes == want_changes
+    assert {r.id: r.label for r in got.collect()} == dict(enumerate(want))
+    recounted = [r["recounted"] for r in log.rounds]
+    # an iteration recounts until one before it changed few labels, and that one is the last to recount
+    few = [i for i, c in enumerate(changes) if c <= share * n]
+    assert recounted == [not few or i <= few[0] + 1 for i in range(len(changes))]
