@@ -8,8 +8,9 @@ gives the classifier. As the kernel is linear in the presence vector, landmarks
 one ``BUCKETS × languages`` matrix, and texts are scored by batched products of their presence
 matrix with it.
 
-The fit uses at most about ``per_language`` rows of each language (rows below a hash threshold that is
-set from the language's count; documented bound) of the learning fold; scoring covers every whole text.
+The fit uses at most about ``per_language`` ids of each language (those below a hash threshold that is
+set from the language's count of ids) and about ``sample`` in all, one row an id, of the learning fold; scoring
+covers every whole text.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoweave.llm.arrays import mix
+from geoweave.plans.iterate import checkpoint
 
 BUCKETS = 1 << 14
 LONGEST = 4
@@ -29,40 +31,45 @@ _BATCH_CHARS = 1 << 18
 UNKNOWN = "und"
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of the folded texts, one after another, and their offsets.
-
-    Letters fold to lower case; every other character but a space in words (digits, signs, line
-    ends) becomes a space, so markup and numbers do not speak for a language.
-    """
-    folded = [t.lower() for t in texts]
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in folded])]).astype(np.int64)
-    codes = np.frombuffer("".join(folded).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+def _codes(lowered: list[str]) -> np.ndarray:
+    """Code points of lower-case texts, one after another: every other character than a letter or a sign beyond
+    ASCII (digits, signs, line ends) becomes a space, so markup and numbers do not speak for a language."""
+    codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
     plain = (codes < 97) | ((codes > 122) & (codes < 170))
     codes[plain] = 32
-    return codes, offsets
+    return codes
 
 
 def presence(texts: list[str], longest: int = LONGEST) -> np.ndarray:
-    """``(texts, BUCKETS)`` float32 matrix: 1 where the text holds an n-gram of the bucket."""
-    codes, offsets = _codes(texts)
+    """``(texts, BUCKETS)`` float32 matrix: 1 where the text holds an n-gram of the bucket.
+
+    Long texts are read in pieces that overlap by ``longest - 1`` characters, so memory is bounded by the piece."""
     out = np.zeros((len(texts), BUCKETS), np.float32)
-    n = len(codes)
-    if n == 0:
-        return out
-    row = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    pieces, rows = [], []
+    for i, text in enumerate(texts):
+        lowered = text.lower()
+        for a in range(0, len(lowered), _BATCH_CHARS):
+            pieces.append(lowered[a : a + _BATCH_CHARS + longest - 1])
+            rows.append(i)
+    for a, z in _groups(pieces):
+        _mark(out, pieces[a:z], np.array(rows[a:z]), longest)
+    return out
+
+
+def _mark(out: np.ndarray, pieces: list[str], rows: np.ndarray, longest: int) -> None:
+    codes = _codes(pieces)
+    place = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
     blank = codes == 32
-    h = np.zeros(n, np.uint64)
+    h = np.zeros(len(codes), np.uint64)
     for size in range(1, longest + 1):
-        m = n - size + 1
+        m = len(codes) - size + 1
         if m <= 0:
             break
         h = h[:m] * np.uint64(0x100000001B3) + codes[size - 1 :].astype(np.uint64) + np.uint64(1)
-        whole = row[:m] == row[size - 1 :]
+        whole = place[:m] == place[size - 1 :]
         whole &= ~blank[:m] | ~blank[size - 1 :]  # not from blank to blank
         bucket = (mix(h[whole] + np.uint64(size << 40)) >> np.uint64(50)).astype(np.int64)
-        out[row[:m][whole], bucket] = 1
-    return out
+        out[rows[place[:m][whole]], bucket] = 1
 
 
 def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -115,17 +122,24 @@ def predict_batch(texts: list[str], names: list[str], matrix: np.ndarray) -> tup
     return langs, scores
 
 
-def learning_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
-    """Rows to learn from: text and language not null, crc32(id as text) mod 5 not 0, per language
-    those whose hash of id falls below ``per_language`` over the language's count."""
+def learning_rows(
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, languages: int, sample: int
+) -> DataFrame:
+    """``(id, text, lang)`` to learn from: text and language not null, crc32(id as text) mod 5 not 0.
+
+    The ``languages`` languages of most ids are learnt (ties: the smaller name), each from the ids whose hash falls
+    below ``per_language`` (less where ``sample`` rows would not do for all) over its count of ids; counts are
+    estimated within 5 %. An id gives one row, of its smallest text, however often it repeats.
+    """
     learn = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
-    rows = docs.filter(learn & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}  # one row per language
-    draw = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / float(1 << 30)
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        keep = keep | ((F.col(lang_col) == lang) & (draw < per_language / n))
-    return rows.filter(keep)
+    rows = docs.filter(learn).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    ids = rows.groupBy("lang").agg(F.approx_count_distinct("id", 0.05).alias("n"))
+    most = checkpoint(ids.orderBy(F.desc("n"), "lang").limit(languages))  # at most ``languages`` rows
+    per_language = min(per_language, max(1, sample // max(1, most.count())))
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    near = rows.join(F.broadcast(most), "lang").filter(draw < F.lit(float(per_language)) / F.col("n"))
+    return near.groupBy("id").agg(F.min(F.struct("text", "lang")).alias("r")).select("id", "r.*")
 
 
 def identify(
@@ -136,18 +150,23 @@ def identify(
     per_language: int = 300,
     landmarks: int = 256,
     keep: list[str] | None = None,
+    languages: int = 256,
+    sample: int = 6000,
 ) -> DataFrame:
     """``keep`` columns (default: the id) plus ``held_out, lang_pred, score`` per row of ``docs``.
 
     ``held_out`` marks rows that are never learnt from. A text that is null or has no letter gets
     ``und`` with score 0, as does every text when there is no row to learn from. Repeated rows are scored
     each; an empty table gives an empty result; columns named like a result are dropped in its favour.
+
+    About ``sample`` rows at most reach the driver: ``learning_rows``.
     """
     out = ["held_out", "lang_pred", "score"]
     keep = [c for c in (keep or [id_col]) if c not in out]
-    sample = learning_rows(docs, id_col, text_col, lang_col, per_language).orderBy(F.xxhash64(id_col), id_col).select(text_col, lang_col).collect()
-    sample = [(t, l) for t, l in sample if any(c.isalpha() for c in t)]
-    model = fit([t for t, _ in sample], [l for _, l in sample], landmarks) if sample else None
+    learnt = learning_rows(docs, id_col, text_col, lang_col, per_language, languages, sample)
+    learnt = learnt.orderBy(F.xxhash64("id"), "id").select("text", "lang").collect()
+    learnt = [(t, l) for t, l in learnt if any(c.isalpha() for c in t)]
+    model = fit([t for t, _ in learnt], [l for _, l in learnt], landmarks) if learnt else None
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS × languages numbers
     held = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
     source = docs.select(*keep, F.coalesce(held, F.lit(False)).alias("held_out"), F.col(text_col).alias("_text"))

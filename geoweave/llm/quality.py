@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from geoweave.llm.arrays import mix, slices, text_bytes, words
 from geoweave.operators.ranking import global_rank
-from geoweave.plans.iterate import checkpoint
+from geoweave.plans.iterate import checkpoint, release
 
 BUCKETS = 1 << 15
 _KIND = np.full(256, 2, np.uint8)  # other signs
@@ -91,11 +91,13 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, value: int, sample: int) -> DataFrame:
-    """Texts of at most ``sample`` rows labelled ``value`` whose crc32(id as text) mod 5 is not 0."""
+    """``(id, text)`` of at most ``sample`` ids labelled ``value`` whose crc32(id as text) mod 5 is not 0: the first in
+    hash order, each with its smallest text, however often it repeats. Written to the checkpoint folder."""
     learn = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
     chosen = labels.filter((F.col(label_col) == value) & learn).select(id_col).distinct()
     chosen = chosen.orderBy(F.xxhash64(id_col), id_col).limit(sample)  # at most ``sample`` ids
-    return docs.join(F.broadcast(chosen), id_col, "left_semi")
+    near = docs.join(F.broadcast(chosen), id_col, "left_semi")
+    return checkpoint(near.groupBy(id_col).agg(F.min("text").alias("text")))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -163,7 +165,8 @@ def quality_scores(
         (r["log_weight"] / r["n_grams"], y)
         for y, part in ((1, good), (0, poor))
         for r in _scored(part, "text", ratio, [id_col]).filter("n_grams > 0").select("log_weight", "n_grams").collect()
-    ]  # at most 2 * sample rows
+    ]  # at most 2 * sample rows: one an id
+    release(good, poor)
     x, y = np.array([f[0] for f in fit]), np.array([f[1] for f in fit])
     slope, offset = _logistic(x, y) if len(set(y.tolist())) == 2 else (1.0, 0.0)
     mean = F.when(F.col("n_grams") > 0, F.col("log_weight") / F.col("n_grams")).otherwise(F.lit(0.0))

@@ -240,9 +240,39 @@ def test_kernel_equals_definition():
             assert abs(x[i] @ x[j] - len(grams(texts[i]) & grams(texts[j]))) <= 1  # a hash may coincide
 
 
+def test_presence_of_long_texts_in_pieces(monkeypatch):
+    texts = ["The quick brown fox: über 12 Füße! " * 9, "", "ab", "ΑΣ ΣΑ " * 20]
+    whole = language.presence(texts)
+    monkeypatch.setattr(language, "_BATCH_CHARS", 17)
+    assert (language.presence(texts) == whole).all()
+
+
+def test_language_learning_rows_of_hot_ids_and_many_languages(spark):
+    rows = [(7, f"hot text {i}", "en") for i in range(3000)] + [(i, f"text {i}", "en") for i in range(100, 200)]
+    rows += [(1000 + i, "junk", f"tag{i:03}") for i in range(200)] + [(None, "no id", "en"), (8, None, "en"), (9, "x", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.learning_rows(d, "doc_id", "text", "lang", 300, 5, 6000).collect()
+    learn = {r[0] for r in rows if r[0] is not None and __import__("zlib").crc32(str(r[0]).encode()) % 5}
+    junk = sorted(t for i, _, t in rows if i in learn and i >= 1000)[:4]
+    assert sorted(r.id for r in got if r.lang == "en") == sorted(i for i in learn if i == 7 or 100 <= i < 200)
+    assert sorted(r.lang for r in got if r.lang != "en") == junk
+    assert [r.text for r in got if r.id == 7] in (["hot text 0"], [])
+    few = language.learning_rows(d, "doc_id", "text", "lang", 300, 1, 20).count()
+    assert 1 <= few <= 60
+
+
 # ---- quality ---------------------------------------------------------------------------------
 
 
+def test_labelled_rows_of_a_hot_id(spark):
+    rows = [(7, f"hot text {i}") for i in range(3000)] + [(i, f"text {i}") for i in range(100, 120)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in {r[0] for r in rows}] * 2, "doc_id long, quality int")
+    got = {r.doc_id: r.text for r in quality.labelled(d, labels, "doc_id", "quality", 1, 100).collect()}
+    learn = [i for i in {r[0] for r in rows} if __import__("zlib").crc32(str(i).encode()) % 5]
+    assert got == {i: "hot text 0" if i == 7 else f"text {i}" for i in learn}
+
+
 def test_quality_held_out_accuracy_and_sampling(docs):
     d, labels = docs
     got = quality.resample(quality.quality_scores(d, labels)).join(labels, "doc_id").collect()
