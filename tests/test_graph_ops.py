@@ -147,6 +147,63 @@ def test_forest_size_equals_nodes_minus_components(spark):
     assert f.count() == 40 - n_comp
 
 
+def kruskal(rows):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    out = set()
+    for w, u, v in sorted((w, min(a, b), max(a, b)) for a, b, w in rows if a != b):
+        if find(u) != find(v):
+            root[find(u)] = find(v)
+            out.add((u, v, w))
+    return out, find
+
+
+def test_forest_by_rounds_by_finish_and_by_both(spark):
+    import random
+
+    rnd = random.Random(8)
+    rows = [(rnd.randrange(150), rnd.randrange(150), float(rnd.randrange(6))) for _ in range(400)]
+    rows += [(200 + i, 201 + i, 1.0) for i in range(120)] + [(320, 200, 1.0), (5, 5, 0.0), (1000, 1001, -2.0)]
+    want, find = kruskal(rows)
+    tree = {}
+    for n in {n for r in rows for n in r[:2]}:
+        tree.setdefault(find(n), []).append(n)
+    smallest = {n: min(t) for t in tree.values() for n in t}
+    extra = [(1, 3, float("inf")), (2, 4, float("nan")), (3, 9, None)]
+    e = spark.createDataFrame(rows + extra, "src long, dst long, weight double").repartition(5)
+    nodes = spark.range(2000).toDF("id")
+    for finish in (0, 60, 1 << 19):
+        got = forest.spanning_forest(nodes, e, finish_edges=finish).collect()
+        assert {(r.u, r.v, r.weight) for r in got} == want and len(got) == len(want)
+        assert all(r.grp == smallest[r.u] for r in got)
+
+
+def test_heavy_edges_go_before_the_shuffle(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = sorted((rnd.randrange(60), 60 + rnd.randrange(60), rnd.random()) for _ in range(3000))
+    e = spark.createDataFrame(rows, "u long, v long, weight double").repartition(3)
+    want, _ = kruskal(rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        for at_once in (20, 150, 1 << 19):
+            got = [tuple(r) for r in forest.without_heavy_edges(e, at_once).collect()]
+            assert want <= set(got) <= set(rows)
+            assert kruskal(got)[0] == want
+            assert len(got) <= 3 * 119 or at_once < 119
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    few = spark.createDataFrame([(i, i + 1, 1.0) for i in range(500)], "u long, v long, weight double").coalesce(1)
+    assert forest.without_heavy_edges(few, 40).count() == 500
+    assert forest.without_heavy_edges(few.limit(0)).count() == 0
+
+
 def test_determinism_across_partitions(spark):
     import random
 
