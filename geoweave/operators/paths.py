@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from geoweave.functions.geo import haversine_km
 from geoweave.functions.keys import md5_int
 from geoweave.model import Graph
+from geoweave.operators.components import stars
 from geoweave.operators.traverse import walk_up
 from geoweave.plans.iterate import RoundLog, checkpoint, keyed, release
 
@@ -136,7 +137,9 @@ def shortest_paths(
         if n_new == 0:
             break
     release(goal, edges if own else None)
-    return state.select("qid", "id", "dist", "pred")
+    found = state.select("qid", "id", "dist", "pred")
+    found._round_path = state._round_path  # a caller that is done with the rows may release them
+    return found
 
 
 def route_paths(state: DataFrame, sinks: DataFrame) -> DataFrame:
@@ -198,25 +201,27 @@ def random_routes(
 ):
     """Up to ``n_pairs`` routes between random reachable pairs with positive cost.
 
-    Each slot tries its attempts in order; a wave solves the current attempt of every open slot
-    in one batched relaxation, so the number of waves is the largest number of attempts any
-    slot needs. Returns ``(slot, attempt, u, v, cost)``; with ``with_state`` also the relaxation
+    Each slot tries its attempts in order. No route leaves a weak component, so attempts between two components
+    are known to fail and need no search; a wave solves the next other attempt of every open slot in one batched
+    relaxation. Returns ``(slot, attempt, u, v, cost)``; with ``with_state`` also the relaxation
     state ``(qid = slot, id, dist, pred)`` of the solved slots, for path reconstruction.
     """
     attempts = checkpoint(random_pair_attempts(g.nodes, n_pairs, max_attempts, seed))
     edges = prepared_edges(g)
+    star = stars(edges)
+    centre = {x: star.select(F.col("b").alias(x), F.col("a").alias(f"_{x}")) for x in "uv"}
+    near = attempts.join(centre["u"], "u", "left").join(centre["v"], "v", "left")
+    near = near.filter(F.coalesce("_u", "u") == F.coalesce("_v", "v")).select("slot", "attempt", "u", "v")
+    left = checkpoint(near)
+    release(star)
     done: list[DataFrame] = []
     states: list[DataFrame] = []
-    open_slots = attempts.select("slot").distinct()
-    for a in range(max_attempts):
-        wave = checkpoint(
-            attempts.filter(F.col("attempt") == a).join(open_slots, "slot", "left_semi").withColumn("qid", F.col("slot"))
-        )
+    while True:
+        first = left.groupBy("slot").agg(F.min(F.struct("attempt", "u", "v")).alias("a"))
+        wave = checkpoint(first.select("slot", "a.attempt", "a.u", "a.v", F.col("slot").alias("qid")))
         if wave.isEmpty():
-            release(wave)
-            if open_slots.isEmpty():
-                break
-            continue
+            release(wave, left)
+            break
         state = shortest_paths(
             g,
             wave.select("qid", F.col("u").alias("source")),
@@ -229,13 +234,13 @@ def random_routes(
             .filter(F.col("cost") > 0)
             .select("slot", "attempt", "u", "v", "cost")
         )
-        release(wave)
         done.append(solved)
         if with_state:
-            states.append(state.join(solved.select(F.col("slot").alias("qid")), "qid", "left_semi"))
-        prev = open_slots
-        open_slots = checkpoint(open_slots.join(solved.select("slot"), "slot", "left_anti"))
-        release(prev)
+            states.append(checkpoint(state.join(solved.select(F.col("slot").alias("qid")), "qid", "left_semi")))
+        release(state)
+        prev, tried = left, wave.select("slot", "attempt")
+        left = checkpoint(left.join(solved.select("slot"), "slot", "left_anti").join(tried, ["slot", "attempt"], "left_anti"))
+        release(prev, wave)
     release(edges)
     if not done:
         empty = attempts.limit(0).select("slot", "attempt", "u", "v", F.lit(0.0).alias("cost"))

@@ -345,6 +345,22 @@ def test_random_routes_retry_until_reachable(spark):
     assert got == first and any(a > 1 for a, *_ in got.values())
 
 
+def test_random_routes_search_no_pair_of_two_components(spark, monkeypatch):
+    edges = [(i, (i + 1) % 10) for i in range(10)] + [(10 + i, 10 + (i + 1) % 10) for i in range(10)]
+    g = graph(spark, edges, n=20, weights=[1.0] * len(edges))
+    searched, search = [], paths.shortest_paths
+
+    def watched(g, sources, sinks, **more):
+        searched.extend((r.source // 10, r.sink // 10) for r in sources.join(sinks, "qid").collect())
+        return search(g, sources, sinks, **more)
+
+    monkeypatch.setattr(paths, "shortest_paths", watched)
+    found, state = paths.random_routes(g, 12, 50, 7, with_state=True)
+    assert len(searched) == found.count() == 12 and all(a == b for a, b in searched)
+    ends = found.join(state, (found.slot == state.qid) & (found.v == state.id))
+    assert ends.filter(F.abs(F.col("cost") - F.col("dist")) < 1e-9).count() == 12
+
+
 def test_start_falls_back_to_a_seeded_node(spark):
     g = graph(spark, [(0, 1), (1, 2)])
     a = [r.id for r in traverse.resolve_start(g, 77).collect()]
