@@ -497,6 +497,19 @@ def modularity_gains(links, community, tol=1e-9):
     return out
 
 
+def test_louvain_moves_of_candidates_whose_neighbours_stay():
+    import pandas as pd
+
+    rows = [(1, 2, 1.0, 1, 2, 5.0), (1, 3, 4.0, 1, 3, 6.0), (4, 3, 1.0, 4, 3, 6.0), (4, 1, 0.5, 4, 1, 5.5)]
+    rows += [(1, 4, 0.5, 1, 4, 1.5)]
+    k = {1: 5.5, 4: 1.5}
+    block = pd.DataFrame(
+        [(i, j, w, ci, cj, k[i], k[i], tj) for i, j, w, ci, cj, tj in rows], columns=["i", "j", "w", "ci", "cj", "k", "tot", "tj"]
+    )
+    got = community._moves_in_turn(block, 20.0)
+    assert dict(zip(got["id"], got["cb"])) == {1: 3, 4: 3}
+
+
 @pytest.mark.parametrize("block_links", [25, 1 << 20])
 def test_louvain_passes_end_at_local_optima(spark, monkeypatch, block_links):
     import random
