@@ -40,8 +40,10 @@ def vote_edges(nodes: DataFrame, edges: DataFrame, self_vote: bool = True) -> Da
 
 
 def _count_votes(voters: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(id, label, n)``: votes of every node for every label."""
-    return voters.join(labels, voters.dst == labels.id).groupBy(voters.src.alias("id"), labels.label).agg(F.count(F.lit(1)).alias("n"))
+    """``(id, label, n)``: votes of every node for every label. Votes are dealt by node, so that counting them and
+    choosing a node's label share one shuffle."""
+    each = voters.join(labels, voters.dst == labels.id).select(voters.src.alias("id"), labels.label)
+    return each.repartition("id").groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _shifted_votes(voters: DataFrame, moved: DataFrame) -> DataFrame:

@@ -126,3 +126,20 @@ def test_kept_votes_give_the_labels_of_a_recount(spark, maze, share, self_vote):
     # an iteration recounts until one before it changed few labels, and that one is the last to recount
     few = [i for i, c in enumerate(changes) if c <= share * n]
     assert recounted == [not few or i <= few[0] + 1 for i in range(len(changes))]
+
+
+def test_votes_are_counted_and_chosen_in_one_shuffle(spark, maze):
+    g = maze[2]
+    voters = community.checkpoint(community.vote_edges(g.nodes, g.edges))
+    labels = community.checkpoint(g.nodes.select("id", F.col("id").alias("label")))
+    win = community._count_votes(voters, labels).groupBy("id").agg(F.max(F.struct("n", (-F.col("label")).alias("nl"))).alias("w"))
+    above_join = win._jdf.queryExecution().executedPlan().toString().split("Join")[0]
+    assert above_join.count("Exchange hashpartitioning") == 1
+
+
+def test_queries_over_the_pair_graph_read_its_links_from_one_table(spark):
+    from geoweave.plans import catalog
+
+    g, _ = catalog._lpa3(spark, "/root/testdata/sf0.001")
+    files = g.edges.inputFiles()
+    assert files and not any("lineitem" in f for f in files)
