@@ -29,7 +29,7 @@ from geoweave.plans.iterate import RoundLog, checkpoint, release
 
 INF = float("inf")
 #: edges that a task looks at together when it drops heavy ones
-PRUNE_EDGES = 1 << 19
+PRUNE_EDGES = 1 << 17
 #: edges between fragments that one task may finish
 FINISH_EDGES = 1 << 19
 

@@ -204,6 +204,21 @@ def test_heavy_edges_go_before_the_shuffle(spark):
     assert forest.without_heavy_edges(few.limit(0)).count() == 0
 
 
+def test_a_task_that_drops_heavy_edges_holds_little():
+    import tracemalloc
+
+    import numpy as np
+
+    n = 2 * forest.PRUNE_EDGES
+    r = np.random.default_rng(3)
+    u, v, w = r.integers(0, n, n), r.integers(0, n, n), r.random(n)
+    tracemalloc.start()
+    forest.light_edges(u, v, np.lexsort((v, u, w)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 70e6
+
+
 def test_determinism_across_partitions(spark):
     import random
 
