@@ -1,10 +1,10 @@
 """Weighted shortest paths (G5–G7, A17, A21, L9) by set-wise frontier relaxation.
 
 State ``(qid, id, dist, pdist, pred)`` holds, per query and node, the best known distance and
-the predecessor that reached it. Each round relaxes the out-edges of the nodes whose distance
-dropped in the previous round, keeps per destination the minimum of
-``struct(dist, pdist, pred)`` (a partial aggregate: hubs are pre-combined map-side) and keeps
-only strict improvements. Equal-cost predecessors resolve to the smallest
+the predecessor that reached it. Each round relaxes the out-edges of nodes whose distance
+dropped since they were last relaxed (the nearest of them first where many wait), keeps per
+destination the minimum of ``struct(dist, pdist, pred)`` (a partial aggregate: hubs are
+pre-combined map-side) and logs only improvements. Equal-cost predecessors resolve to the smallest
 ``(dist(pred), pred)`` — the one a binary-heap Dijkstra pops first. With a sink, candidates
 longer than the sink's current distance are pruned (weights are not negative).
 All queries of a batch advance in the same jobs.
@@ -22,7 +22,7 @@ from geoweave.functions.keys import md5_int
 from geoweave.model import Graph
 from geoweave.operators.components import stars
 from geoweave.operators.traverse import walk_up
-from geoweave.plans.iterate import RoundLog, checkpoint, keyed, release
+from geoweave.plans.iterate import Found, RoundLog, checkpoint, keyed, release
 
 BEST = ["dist", "pdist", "pred"]
 
@@ -37,11 +37,11 @@ def usable_edges(g: Graph) -> DataFrame:
     )
 
 
-def prepared_edges(g: Graph) -> DataFrame:
-    """Usable edges written once for a whole search or batch; with km weights each edge also carries its
-    head's coordinates, so rounds need no join with the nodes."""
+def prepared_edges(g: Graph, heads: bool = True) -> DataFrame:
+    """Usable edges written once for a whole search or batch; with km weights and ``heads`` each edge also carries its
+    head's coordinates, so rounds bounded by distance need no join with the nodes."""
     edges = usable_edges(g)
-    if g.km_weights:
+    if g.km_weights and heads:
         ends = g.nodes.select(F.col("id").alias("dst"), F.col("lat").alias("_dlat"), F.col("lon").alias("_dlon"))
         edges = edges.join(ends, "dst", "left")
     return keyed(edges, "src")
@@ -66,25 +66,33 @@ def shortest_paths(
     for the great-circle distance ``h`` to the sink: exact, and it stops the search soon after the
     sink is reached. Any other weights are searched without it.
 
-    Queries, bounds and state are tables: nothing but one counter per round reaches the driver. The
-    state carries ``upd``, the round in which a node's distance last dropped; the next frontier is
-    read back from the written state. A predecessor of equal cost replaces another only if it is
-    itself nearer to the source, so predecessors never form a cycle over zero-weight edges.
-    ``edges`` may be given as made by ``prepared_edges`` to share them between searches.
+    Queries, bounds and state are tables: nothing but three numbers per round reaches the driver. The state is a log
+    (``Found``) to which a round adds the rows that improved; a node's row is the smallest of its rows. A predecessor
+    of equal cost replaces another only if it is itself nearer to the source, so predecessors never form a cycle over
+    zero-weight edges. ``edges`` may be given as made by ``prepared_edges`` to share them between searches.
+
+    A search from one source relaxes the nearest ``NEAREST`` of the waiting nodes in a round while many wait: a node
+    far from the source would mostly be relaxed again when its distance drops. The order changes no distance.
     """
     own = edges is None
-    edges = prepared_edges(g) if own else edges
     geo_bound = geo_bound and g.km_weights and sinks is not None
-    state = checkpoint(
+    edges = prepared_edges(g, geo_bound) if own else edges
+    start = checkpoint(
         sources.select(
             "qid",
             F.col("source").cast("long").alias("id"),
             F.lit(0.0).alias("dist"),
             F.lit(-1.0).alias("pdist"),
             F.lit(None).cast("long").alias("pred"),
-            F.lit(0).alias("upd"),
+            F.lit(0).alias("level"),
+            F.lit(True).alias("near"),
         )
     )
+    one = start.limit(2).count() < 2
+    few = edges.count() // EDGES_PER_WAITING if one else float("inf")
+    found = Found(["qid", "id"], edges)
+    found.add(start, 0)
+    release(start)
     goal = None
     if sinks is not None:
         goal = sinks.filter("sink is not null").select("qid", F.col("sink").cast("long").alias("id"))
@@ -94,10 +102,18 @@ def shortest_paths(
         goal = checkpoint(goal)
     place_cols = ["_tlat", "_tlon"] if geo_bound else []
     head_cols = ["_dlat", "_dlon"] if geo_bound else []
-    r = 0
+    r, limits, reach = 0, {}, float("inf")
     while True:
         r += 1
-        frontier = state.filter(F.col("upd") == r - 1).select("qid", "id", "dist")
+        frontier = _waiting(found.all(), r, limits).filter(F.col("dist") <= reach)
+        if limits:  # rows of earlier rounds may have been improved since
+            other = found.all().select(F.col("qid").alias("_q"), F.col("id").alias("_i"), F.col("dist").alias("_less"))
+            same = (F.col("qid") == F.col("_q")) & (F.col("id") == F.col("_i"))
+            frontier = frontier.join(other.hint("merge"), same & (F.col("_less") < F.col("dist")), "left_anti")
+        limits = {} if reach == float("inf") else {**limits, r: reach}
+        frontier = frontier.select("qid", "id", "dist")
+        if one and found.buckets is not None:  # at most one row a node: a bucket of edges streams past its nodes
+            frontier = frontier.hint("shuffle_hash")
         cand = frontier.join(edges, frontier.id == edges.src).select(
             "qid",
             F.col("dst").alias("id"),
@@ -107,8 +123,9 @@ def shortest_paths(
             *head_cols,
         )
         if goal is not None:
-            reached = goal.join(state.select("qid", "id", F.col("dist").alias("_bound")), ["qid", "id"]).drop("id")
-            cand = cand.join(reached.select("qid", "_bound", *place_cols), "qid", "left")
+            reached = goal.join(found.all().select("qid", "id", "dist"), ["qid", "id"])
+            reached = reached.groupBy("qid", *place_cols).agg(F.min("dist").alias("_bound"))
+            cand = cand.join(reached, "qid", "left")
             way = F.col("dist")
             if geo_bound:
                 h = haversine_km(F.col("_dlat"), F.col("_dlon"), F.col("_tlat"), F.col("_tlon"))
@@ -117,29 +134,70 @@ def shortest_paths(
                 way = way + h - (F.col("_bound") * F.lit(1e-12) + F.lit(1e-9))
             cand = cand.filter(F.col("_bound").isNull() | (way <= F.col("_bound")))
         best = cand.groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("c"))
-        old = state.select("qid", "id", F.struct(*BEST).alias("o"), F.col("upd").alias("_oupd"))
-        nearer = F.col("c").isNotNull() & (F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist")))
+        old = found.all().groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("o")).hint("merge")
+        nearer = F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist"))
         tie = (F.col("c.dist") == F.col("o.dist")) & (F.col("c") < F.col("o")) & (F.col("c.pdist") < F.col("c.dist"))
-        pick = F.when(nearer | tie, F.col("c")).otherwise(F.col("o"))
-        prev = state
-        state = checkpoint(
-            old.join(best, ["qid", "id"], "full_outer").select(
-                "qid",
-                "id",
-                *(pick.getField(x).alias(x) for x in BEST),
-                F.when(nearer, F.lit(r)).otherwise(F.col("_oupd")).alias("upd"),
-            )
+        found.add(
+            best.join(old, ["qid", "id"], "left").filter(nearer | tie).select(
+                "qid", "id", *(F.col(f"c.{x}").alias(x) for x in BEST), F.lit(r).alias("level"), nearer.alias("near")
+            ),
+            r,
         )
-        release(prev)
-        n_new = state.filter(F.col("upd") == r).count()
+        left = _waiting(found.all(), r + 1, limits).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(F.when(F.col("level") == r, 1)).alias("new"),
+            F.percentile_approx("dist", NEAREST, 100).alias("reach"),
+        ).first()
         if rounds is not None:
-            rounds.record(improved=n_new)
-        if n_new == 0:
+            rounds.record(improved=left["new"])
+        if left["n"] == 0:
             break
+        reach = float("inf") if left["n"] <= few else left["reach"]
+        if r % ROUNDS_PER_LOG == 0:
+            found = _compacted(found, edges)
+    state = checkpoint(_rows_now(found.all()))
+    found.drop_all()
     release(goal, edges if own else None)
-    found = state.select("qid", "id", "dist", "pred")
-    found._round_path = state._round_path  # a caller that is done with the rows may release them
-    return found
+    out = state.select("qid", "id", "dist", "pred")
+    out._round_path = state._round_path  # a caller that is done with the rows may release them
+    return out
+
+
+#: the part of the waiting nodes that a round relaxes, the nearest ones
+NEAREST = 0.2
+#: a round relaxes all waiting nodes once they are fewer than one to this many edges
+EDGES_PER_WAITING = 256
+#: after this many rounds the log of a search is written anew with one row a node
+ROUNDS_PER_LOG = 24
+
+
+def _waiting(log: DataFrame, r: int, limits: dict[int, float]) -> DataFrame:
+    """The rows of a search's log that no round before ``r`` has relaxed.
+
+    ``limits``: up to which distance each round since the last unlimited one relaxed. A row of round ``l`` waits if it
+    lies beyond the limits of all rounds after ``l``."""
+    first = min(limits, default=r) - 1
+    beyond, most = [], float("-inf")
+    for level in range(r - 1, first - 1, -1):
+        beyond.append(most)
+        most = max(most, limits.get(level, float("-inf")))
+    least = F.get(F.lit(beyond), F.lit(r - 1) - F.col("level"))
+    return log.filter(F.col("near") & (F.col("level") >= first)).filter(F.col("dist") > least)
+
+
+def _rows_now(log: DataFrame) -> DataFrame:
+    """``(qid, id, dist, pdist, pred, level)``: each node's best row and the round its distance last dropped."""
+    now = log.groupBy("qid", "id").agg(
+        F.min(F.struct(*BEST)).alias("o"), F.max(F.when(F.col("near"), F.col("level"))).alias("level")
+    )
+    return now.select("qid", "id", *(F.col(f"o.{x}").alias(x) for x in BEST), "level")
+
+
+def _compacted(found: Found, like: DataFrame) -> Found:
+    log = Found(found.keys, like)
+    log.add(_rows_now(found.all()).withColumn("near", F.lit(True)), 0)
+    found.drop_all()
+    return log
 
 
 def route_paths(state: DataFrame, sinks: DataFrame) -> DataFrame:

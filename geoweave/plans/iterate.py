@@ -124,6 +124,11 @@ class Found:
         if self.buckets is None:
             release(self.levels.pop())
 
+    def drop_all(self) -> None:
+        """Delete all levels in either layout once nothing lazy reads them any more."""
+        release(*self.levels)
+        self.release()
+
     def release(self) -> None:
         """Drop a bucketed table that nothing lazy reads any more."""
         if self.buckets is not None:

@@ -143,3 +143,51 @@ def test_queries_over_the_pair_graph_read_its_links_from_one_table(spark):
     g, _ = catalog._lpa3(spark, "/root/testdata/sf0.001")
     files = g.edges.inputFiles()
     assert files and not any("lineitem" in f for f in files)
+
+
+def test_nearest_first_search_by_definition(spark, layout, monkeypatch):
+    from tests.test_graph_ops import dijkstra
+
+    rng = random.Random(5)
+    pairs = sorted({(rng.randrange(150), rng.randrange(150)) for _ in range(900)})
+    weight = {e: rng.choice([0, 1, 2, 40, 200]) + rng.random() * (rng.random() < 0.5) for e in pairs}
+    g = graph(spark, pairs, n=150, weights=[weight[e] for e in pairs])
+    want = dijkstra(weight, 0)
+    log, before = iterate.RoundLog("near"), tables(spark)
+    monkeypatch.setattr(paths, "EDGES_PER_WAITING", 100)
+    monkeypatch.setattr(paths, "ROUNDS_PER_LOG", 3)
+    got = {r.id: r for r in paths.shortest_paths(g, q(spark, 0, 0), rounds=log).collect()}
+    assert {i: r.dist for i, r in got.items()} == want and tables(spark) == before
+    for i, r in got.items():
+        seen = set()
+        while i != 0:  # every predecessor explains its distance and leads home
+            assert i not in seen and got[i].pred is not None
+            seen.add(i)
+            assert got[got[i].pred].dist + weight[(got[i].pred, i)] == got[i].dist
+            i = got[i].pred
+    nearest = sum(r["improved"] for r in log.rounds)
+    monkeypatch.setattr(paths, "EDGES_PER_WAITING", 1)  # no round is limited
+    log = iterate.RoundLog("all")
+    again = {r.id: r.dist for r in paths.shortest_paths(g, q(spark, 0, 0), rounds=log).collect()}
+    assert again == want and nearest < sum(r["improved"] for r in log.rounds)
+
+
+def test_waiting_rows_are_those_no_round_relaxed(spark):
+    rng = random.Random(8)
+    for _ in range(3):
+        reach = {r: rng.choice([float("inf"), 1.0, 3.0, 5.0]) for r in range(1, 8)}
+        rows = [(l, float(d), True) for l in range(8) for d in range(7)]
+        log = spark.createDataFrame(rows, "level int, dist double, near boolean")
+        limits = {}
+        for r in range(1, 8):
+            limits = {} if reach[r] == float("inf") else {**limits, r: reach[r]}
+        got = sorted((x.level, x.dist) for x in paths._waiting(log, 8, limits).collect())
+        assert got == [(l, d) for l, d, _ in rows if l <= 7 and all(d > reach[k] for k in range(l + 1, 8))]
+
+
+def test_search_without_sinks_carries_no_coordinates(spark):
+    from geoweave.operators import geo
+
+    g = geo.edge_weights(graph(spark, [(0, 1), (1, 2)]))
+    assert paths.prepared_edges(g, heads=False).columns == ["src", "dst", "weight"]
+    assert "_dlat" in paths.prepared_edges(g).columns
