@@ -125,7 +125,8 @@ def shortest_paths(
         if goal is not None:
             reached = goal.join(found.all().select("qid", "id", "dist"), ["qid", "id"])
             reached = reached.groupBy("qid", *place_cols).agg(F.min("dist").alias("_bound"))
-            cand = cand.join(reached, "qid", "left")
+            # one query has one bound; shuffled by query its candidates would all meet in one task
+            cand = cand.join(F.broadcast(reached) if one else reached, "qid", "left")
             way = F.col("dist")
             if geo_bound:
                 h = haversine_km(F.col("_dlat"), F.col("_dlon"), F.col("_tlat"), F.col("_tlon"))
@@ -168,7 +169,7 @@ NEAREST = 0.2
 #: a round relaxes all waiting nodes once they are fewer than one to this many edges
 EDGES_PER_WAITING = 256
 #: after this many rounds the log of a search is written anew with one row a node
-ROUNDS_PER_LOG = 24
+ROUNDS_PER_LOG = 6
 
 
 def _waiting(log: DataFrame, r: int, limits: dict[int, float]) -> DataFrame:

@@ -145,11 +145,12 @@ def walk_up(parents: DataFrame, targets: DataFrame, key_cols=("key",)) -> DataFr
     while True:
         jump = table.filter("step is null").drop("step")
         walk = table.filter("step is not null").select(*keys, "id", "step")
-        ahead = walk.join(jump, keys + ["id"]).select(
+        # tables as large as the state are joined by shuffles: none of them passes the driver
+        ahead = walk.join(jump.hint("merge"), keys + ["id"]).select(
             *keys, F.col("to").alias("id"), F.lit(None).cast("long").alias("to"), (F.col("step") + hops).alias("step")
         )
         further = jump.select(*keys, F.col("id").alias("to"), F.col("to").alias("_to"))
-        longer = jump.join(further, keys + ["to"]).select(*keys, "id", F.col("_to").alias("to"), F.lit(None).cast("long").alias("step"))
+        longer = jump.join(further.hint("merge"), keys + ["to"]).select(*keys, "id", F.col("_to").alias("to"), F.lit(None).cast("long").alias("step"))
         known = walk.select(*keys, "id", F.lit(None).cast("long").alias("to"), "step")
         prev, table = table, checkpoint(known.unionByName(ahead).unionByName(longer))
         release(prev)

@@ -191,3 +191,17 @@ def test_search_without_sinks_carries_no_coordinates(spark):
     g = geo.edge_weights(graph(spark, [(0, 1), (1, 2)]))
     assert paths.prepared_edges(g, heads=False).columns == ["src", "dst", "weight"]
     assert "_dlat" in paths.prepared_edges(g).columns
+
+
+def test_walks_to_the_root_broadcast_no_pointers(spark, monkeypatch):
+    plans, write = [], traverse.checkpoint
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(traverse, "checkpoint", watched)
+    parents = spark.createDataFrame([(0, i, i - 1 if i else None) for i in range(9)], "key int, id long, parent long")
+    walk = traverse.walk_up(parents, spark.createDataFrame([(0, 8)], "key int, id long"))
+    assert sorted((r.step, r.id) for r in walk.collect()) == [(k, 8 - k) for k in range(9)]
+    assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
