@@ -134,7 +134,7 @@ def shortest_paths(
                 # tolerance: never prune a route that is equal to the bound up to rounding
                 way = way + h - (F.col("_bound") * F.lit(1e-12) + F.lit(1e-9))
             cand = cand.filter(F.col("_bound").isNull() | (way <= F.col("_bound")))
-        best = cand.groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("c"))
+        best = found.placed(cand.groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("c")))
         old = found.all().groupBy("qid", "id").agg(F.min(F.struct(*BEST)).alias("o")).hint("merge")
         nearer = F.col("o").isNull() | (F.col("c.dist") < F.col("o.dist"))
         tie = (F.col("c.dist") == F.col("o.dist")) & (F.col("c") < F.col("o")) & (F.col("c.pdist") < F.col("c.dist"))

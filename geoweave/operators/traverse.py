@@ -66,12 +66,12 @@ def bfs_tree(
     while total > 0 and (max_nodes is None or total < max_nodes):
         cand = (
             frontier.join(edges, frontier.id == edges.src)
-            .groupBy(edges.dst)
+            .groupBy(edges.dst.alias("id"))
             .agg(F.min(F.struct(frontier.visit_order.alias("o"), edges.src.alias("p"))).alias("b"))
         )
         visited = _union([f.select("id") for f in frames]) if seen.buckets is None else seen.all().select("id")
-        new = cand.join(visited, cand.dst == visited.id, "left_anti").select(
-            F.col("dst").alias("id"), F.col("b.p").alias("parent"), F.col("b.o").alias("_po")
+        new = seen.placed(cand).join(visited.withColumn("_seen", F.lit(True)), "id", "left").filter("_seen is null").select(
+            "id", F.col("b.p").alias("parent"), F.col("b.o").alias("_po")
         )
         if max_nodes is not None:  # only the rows that still fit are ranked (a bounded top-k)
             new = new.orderBy("_po", "id").limit(max_nodes - total)
@@ -106,7 +106,8 @@ def reachable(g: Graph, sources: DataFrame, rounds: RoundLog | None = None) -> D
     while True:
         level += 1
         cand = frontier.join(edges, frontier.id == edges.src).select("source", edges.dst.alias("id")).distinct()
-        new = cand.join(found.all().select("source", "id"), ["source", "id"], "left_anti")
+        seen = found.all().select("source", "id", F.lit(True).alias("_seen"))
+        new = found.placed(cand).join(seen, ["source", "id"], "left").filter("_seen is null").drop("_seen")
         frontier = found.add(new.withColumn("level", F.lit(level)), level)
         n_new = frontier.count()
         if rounds is not None:

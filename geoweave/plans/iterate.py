@@ -59,6 +59,19 @@ def release(*frames: DataFrame | None) -> None:
 
 #: a keyed table is bucketed once every bucket would hold this many rows; below, plain files are as good
 ROWS_PER_BUCKET = 100_000
+#: a keyed table gets more buckets than the session has cores only to keep about this many rows in each
+ROWS_IN_FULL_BUCKET = 1_000_000
+
+
+def bucket_count(spark: SparkSession, rows: int) -> int:
+    """Buckets of a keyed table of so many rows: a multiple of the cores if that is at most half the partitions of a
+    shuffle, else as many as those.
+
+    A round starts a task for every bucket, and a level of a search writes a file for each, however few rows it has.
+    """
+    cores, most = spark.sparkContext.defaultParallelism, shuffle_partitions(spark)
+    buckets = cores * max(1, -(-rows // (cores * ROWS_IN_FULL_BUCKET)))
+    return buckets if 2 * buckets <= most else most
 
 
 def _save_buckets(df: DataFrame, keys: tuple[str, ...], buckets: int, name: str, path: str) -> None:
@@ -68,21 +81,22 @@ def _save_buckets(df: DataFrame, keys: tuple[str, ...], buckets: int, name: str,
 
 def keyed(df: DataFrame, *keys: str, rows_per_bucket: int | None = None) -> DataFrame:
     """``checkpoint`` for the fixed side of a loop's joins on ``keys``: a large table is written bucketed and sorted
-    by the keys, with as many buckets as a shuffle has partitions, so that no round shuffles it again.
+    by the keys in ``bucket_count`` buckets, so that no round shuffles it again.
 
     The files lie in the checkpoint folder like those of any round; only the bucketing is noted in the session's
     catalog. The rows are the same either way. ``release`` drops both.
     """
     spark = df.sparkSession
     plain = checkpoint(df)
-    buckets = shuffle_partitions(spark)
-    if plain.count() < buckets * (ROWS_PER_BUCKET if rows_per_bucket is None else rows_per_bucket):
+    rows = plain.count()
+    buckets = bucket_count(spark, rows)
+    if rows < buckets * (ROWS_PER_BUCKET if rows_per_bucket is None else rows_per_bucket):
         return plain
     name, path = _table_place(spark)
     _save_buckets(plain, keys, buckets, name, path)
     release(plain)
     out = spark.table(name)
-    out._round_path, out._round_table = path, name
+    out._round_path, out._round_table, out._round_buckets = path, name, buckets
     return out
 
 
@@ -101,9 +115,8 @@ class Found:
 
     def __init__(self, keys: list[str], like: DataFrame):
         self.keys, self.levels, self.spark = keys, [], like.sparkSession
-        bucketed = getattr(like, "_round_table", None) is not None
-        self.buckets = shuffle_partitions(self.spark) if bucketed else None
-        if bucketed:
+        self.buckets = like._round_buckets if getattr(like, "_round_table", None) is not None else None
+        if self.buckets is not None:
             self.name, self.path = _table_place(self.spark)
 
     def add(self, level: DataFrame, number: int) -> DataFrame:
@@ -114,6 +127,11 @@ class Found:
         _save_buckets(level, tuple(self.keys), self.buckets, self.name, self.path)
         return self.all().filter(F.col("level") == number)
 
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """``rows``, which have the keys, laid out as the buckets are: a join with ``all`` shuffles them, never the
+        table, however many partitions the session gives a shuffle. (Spark pushes an anti-join below this.)"""
+        return rows if self.buckets is None else rows.repartition(self.buckets, *self.keys)
+
     def all(self) -> DataFrame:
         if self.buckets is not None:
             return self.spark.table(self.name)

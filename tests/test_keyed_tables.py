@@ -205,3 +205,33 @@ def test_walks_to_the_root_broadcast_no_pointers(spark, monkeypatch):
     walk = traverse.walk_up(parents, spark.createDataFrame([(0, 8)], "key int, id long"))
     assert sorted((r.step, r.id) for r in walk.collect()) == [(k, 8 - k) for k in range(9)]
     assert any("Join" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+def test_buckets_follow_the_rows_not_the_shuffle(spark):
+    edges = spark.range(4000).select((F.col("id") % 97).alias("src"), F.col("id").alias("dst"))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
+    old = {k: spark.conf.get(k) for k in names}
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        for k, v in zip(names, ("-1", "64"), strict=True):
+            spark.conf.set(k, v)
+        table = keyed(edges, "src", rows_per_bucket=1)
+        found = Found(["id"], table)
+        found.add(spark.range(10).withColumn("level", F.lit(0)), 0)
+        assert found.buckets == cores < 64
+        # candidates that an aggregate has shuffled are shuffled once more; the table stays where it is
+        evens = spark.range(20).select((F.col("id") - F.col("id") % 2).alias("id"))
+        cand = found.placed(evens.groupBy("id").agg(F.count(F.lit(1)).alias("n")))
+        new = cand.join(found.all().select("id", F.lit(1).alias("seen")), "id", "left").filter("seen is null")
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 2 and f", {cores}), REPARTITION" in plan
+        assert sorted(r.id for r in new.collect()) == list(range(10, 20, 2))
+        full = iterate.ROWS_IN_FULL_BUCKET
+        assert [iterate.bucket_count(spark, n * full) for n in (1, cores, cores + 1, 1000)] == [cores, cores, 2 * cores, 64]
+        spark.conf.set("spark.sql.shuffle.partitions", str(cores + 1))
+        assert iterate.bucket_count(spark, full) == cores + 1
+        found.release()
+        release(table)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
