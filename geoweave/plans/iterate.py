@@ -9,6 +9,7 @@ round (size of the delta, a hash of the table), never rows.
 
 from __future__ import annotations
 
+import gc
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -57,6 +58,16 @@ def release(*frames: DataFrame | None) -> None:
         hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def drop_dead_shuffles(like: DataFrame) -> None:
+    """Let Spark delete the shuffle files of plans that nobody holds any more, beside a bucketed (large) table.
+
+    Spark does so when the driver collects its garbage, which a driver with a heap to spare puts off for many rounds,
+    while their shuffles pile up on the executors' disks."""
+    if getattr(like, "_round_table", None) is not None:
+        gc.collect()
+        like.sparkSession.sparkContext._jvm.System.gc()
+
+
 #: a keyed table is bucketed once every bucket would hold this many rows; below, plain files are as good
 ROWS_PER_BUCKET = 100_000
 #: a keyed table gets more buckets than the session has cores only to keep about this many rows in each

@@ -235,3 +235,30 @@ def test_buckets_follow_the_rows_not_the_shuffle(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_search_from_both_ends_leaves_the_links_of_shortest_routes(spark, monkeypatch):
+    from tests.test_graph_ops import dijkstra
+
+    rng = random.Random(12)
+    pairs = sorted({(rng.randrange(120), rng.randrange(120)) for _ in range(500)})
+    weight = {e: rng.choice([0, 1, 2, 5]) for e in pairs}  # many ties
+    g = graph(spark, pairs, n=121, weights=[weight[e] for e in pairs])
+    asked = [(k, 7 * k, 110 - 11 * k) for k in range(3)] + [(4, 3, 120), (5, 9, 9)]  # node 120 has no links
+    qs = spark.createDataFrame(asked, "qid long, source long, sink long")
+    monkeypatch.setattr(paths, "WAITING_AT_ONCE", 24)
+    monkeypatch.setattr(paths, "EDGES_PER_WAITING", 10**6)
+    edges, back = paths.prepared_sides(g)
+    links = {}
+    for r in paths.links_between(g, qs, edges, back).collect():
+        links.setdefault(r.qid, set()).add((r.src, r.dst))
+    to = {(b, a): w for (a, b), w in weight.items()}
+    for k, s, t in asked:
+        f, b = dijkstra(weight, s), dijkstra(to, t)
+        want = {(u, v) for (u, v), w in weight.items() if u in f and v in b and f[u] + w + b[v] == f.get(t)}
+        assert want <= links.get(k, set()) and (t in f or k not in links)
+    assert len(links[0]) < len(pairs) / 2
+    one = paths.shortest_paths(g, qs.select("qid", "source"), edges=edges)
+    two = paths.shortest_paths(g, qs.select("qid", "source"), qs.select("qid", "sink"), edges=edges, back=back)
+    ways = [sorted(tuple(r) for r in paths.route_paths(st, qs).collect()) for st in (one, two)]
+    assert ways[0] == ways[1] and two.count() < one.count() / 2
