@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoweave.plans.iterate import RoundLog, checkpoint, fingerprint, release
+from geoweave.plans.iterate import RoundLog, checkpoint, drop_dead_shuffles, fingerprint, release
 
 
 def _canon(pairs: DataFrame) -> DataFrame:
@@ -66,6 +66,7 @@ def stars(edges: DataFrame, rounds: RoundLog | None = None) -> DataFrame:
             rounds.record(edges=now[0])
         release(cur)
         cur = nxt
+        drop_dead_shuffles(edges)
         if now == seen:
             return cur
         seen = now
